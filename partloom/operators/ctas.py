@@ -16,9 +16,11 @@ from partloom.errors import AlreadyExists, ConfigError
 from partloom.plans.layout import for_table, rebalance as rebalance_rows
 from partloom.plans.limits import TEN_MINUTES, time_limit
 from partloom.sources.catalog import (
+    TableInfo,
     TableName,
     describe_database,
     describe_table,
+    drop_name,
     literal,
     quote,
     table_exists,
@@ -100,16 +102,16 @@ def ctas(
     layout = Layout(partitioned_by, bucketed_by, bucket_count)
     name = TableName(database, table or unique_name("ctas"), catalog)
     target = normalise(location) if location else fresh_location(spark, name)
-    exists = table_exists(spark, name)
+    old = describe_table(spark, name) if table_exists(spark, name) else None
     occupied = location is not None and has_objects(spark, target)
 
-    if save_mode == "error_if_exists" and exists:
+    if save_mode == "error_if_exists" and old:
         raise AlreadyExists(f"table {name} already exists")
     if save_mode == "error_if_exists" and occupied:
         raise AlreadyExists(f"location {target} already holds objects")
-    if save_mode == "ignore" and exists:
+    if save_mode == "ignore" and old:
         log.info("table %s already exists, nothing done", name)
-        return CtasResult(name, describe_table(spark, name).location, False, spark.table(name.sql))
+        return CtasResult(name, old.location, False, spark.table(name.sql))
     frame = select_frame(spark, select, params=params, args=args, database=database, catalog=catalog)
     storage = storage_for(format, frame.schema, compression, field_delimiter)
     if save_mode == "ignore" and occupied:
@@ -128,14 +130,14 @@ def ctas(
 
     with time_limit(spark, timeout):
         if table_mode == "data_only":
-            _data_only(spark, write, name, target, exists and save_mode == "overwrite", save_mode)
+            _data_only(spark, write, name, target, old, save_mode)
             return CtasResult(name, target, True, read_files(spark, target, storage, frame))
         if table_mode == "empty":
-            _empty(spark, write, name, target, save_mode)
-        elif save_mode == "none" or (not exists and is_vacant(spark, target)):
+            _empty(spark, write, name, target, old, save_mode)
+        elif save_mode == "none" or (not old and is_vacant(spark, target)):
             write.create(spark, name, target)
         else:
-            _replace(spark, write, name, target)
+            _replace(spark, write, name, target, old)
     spark.catalog.refreshTable(name.sql)
     return CtasResult(name, target, True, spark.table(name.sql))
 
@@ -218,36 +220,38 @@ def _listed(keyword: str, pairs: Mapping[str, str]) -> str:
 
 
 def _data_only(
-    spark: SparkSession, write: Write, name: TableName, target: str, drop_old: bool, save_mode: str
+    spark: SparkSession, write: Write, name: TableName, target: str, old: TableInfo | None, save_mode: str
 ) -> None:
-    with landing(spark, target, in_place=save_mode == "none") as place:
+    replaced = old if save_mode == "overwrite" else None
+    with landing(spark, target, replaced, in_place=save_mode == "none") as place:
         with write.scratch(spark, name, place.directory):
             pass
-        if drop_old:
-            spark.sql(f"DROP TABLE {name.sql}")
+        if replaced:
+            drop_name(spark, replaced)
         place.settle()
 
 
-def _empty(spark: SparkSession, write: Write, name: TableName, target: str, save_mode: str) -> None:
+def _empty(
+    spark: SparkSession, write: Write, name: TableName, target: str, old: TableInfo | None, save_mode: str
+) -> None:
     aside = staging_beside(spark, target)
     try:
         with write.scratch(spark, name, aside) as like:
             if save_mode == "overwrite":
-                spark.sql(f"DROP TABLE IF EXISTS {name.sql}")
+                if old:
+                    drop_name(spark, old)
                 delete_tree(spark, target)
             write.define_like(spark, name, like, target)
     finally:
         delete_tree(spark, aside)
 
 
-def _replace(spark: SparkSession, write: Write, name: TableName, target: str) -> None:
+def _replace(spark: SparkSession, write: Write, name: TableName, target: str, old: TableInfo | None) -> None:
     """Write first, then take the old table away and give its name to the new one."""
-    exists = table_exists(spark, name)
-    # Dropping a managed table deletes its directory, so never write into that one.
-    shared = exists and same_place(spark, describe_table(spark, name).location, target)
-    with landing(spark, target, aside=shared) as place:
+    with landing(spark, target, old) as place:
         with write.scratch(spark, name, place.directory) as scratch:
-            spark.sql(f"DROP TABLE IF EXISTS {name.sql}")
+            if old:
+                drop_name(spark, old)
             if not place.staged:
                 spark.sql(f"ALTER TABLE {scratch.sql} RENAME TO {name.sql}")
                 return
@@ -270,13 +274,16 @@ class _Place:
 
 
 @contextmanager
-def landing(spark: SparkSession, target: str, *, aside: bool = False, in_place: bool = False):
+def landing(spark: SparkSession, target: str, replaced: TableInfo | None = None, in_place: bool = False):
     """Where a job writes what shall lie at ``target``.
 
     That is ``target`` itself while nothing is there, which spares the move;
-    else a directory beside it, deleted if it was not settled.
+    else a directory beside it, deleted if it was not settled. The directory of a
+    table that is to be replaced never counts as free: dropping a managed table
+    deletes it.
     """
-    place = _Place(spark, target, not in_place and (aside or not is_vacant(spark, target)))
+    taken = replaced is not None and replaced.location is not None and same_place(spark, replaced.location, target)
+    place = _Place(spark, target, not in_place and (taken or not is_vacant(spark, target)))
     try:
         yield place
     finally:

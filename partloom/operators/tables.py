@@ -17,6 +17,7 @@ from partloom.sources.catalog import (
     TableName,
     database_exists,
     describe_table,
+    drop_name,
     quote,
     table_exists as name_is_held,
 )
@@ -144,7 +145,7 @@ def _is_protected(spark: SparkSession, info: TableInfo, protect: Protect, now: d
         # Creating a table is its first update; later ones show in its files.
         if within(info.created_at, protect.updated_within):
             return True
-        if _has_files_since(spark, info, now - protect.updated_within):
+        if info.location and _has_files_since(spark, info, now - protect.updated_within):
             return True
     if protect.accessed_within is not None and info.accessed_at is None:
         log.warning("%s: last access unknown, not protected by it", info.name)
@@ -178,7 +179,7 @@ def _drop(spark: SparkSession, infos: Sequence[TableInfo], with_location: bool)
     if managed and not with_location:
         raise ConfigError(f"dropping managed tables would delete their files: {managed}")
     for info in infos:
-        spark.sql(f"DROP TABLE IF EXISTS {info.name.sql}")
+        drop_name(spark, info)
     if with_location:
         for_each(spark, lambda info: delete_tree(spark, info.location), infos)
 

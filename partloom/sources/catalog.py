@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DataType, StructType
 
-from partloom.errors import ConfigError, NotFound
+from partloom.errors import ConfigError
 from partloom.sources.storage import for_each, normalise
 
 # Fixed value: how Spark names the directory of a null key.
@@ -63,16 +63,21 @@ class TableName:
 @dataclass(frozen=True)
 class TableInfo:
     name: TableName
-    location: str
+    kind: str
+    location: str | None
     provider: str
     serde: str | None
-    managed: bool
     partition_columns: tuple[str, ...]
     storage_properties: Mapping[str, str] = field(default_factory=dict)
     table_properties: Mapping[str, str] = field(default_factory=dict)
     created_at: datetime | None = None
     accessed_at: datetime | None = None
 
+    @property
+    def managed(self) -> bool:
+        """Whether Spark deletes the files when the table or a partition is dropped."""
+        return self.kind == "MANAGED"
+
 
 # --- databases ---------------------------------------------------------------
 
@@ -114,10 +119,10 @@ def describe_table(spark: SparkSession, name: TableName) -> TableInfo:
     facts = json.loads(spark.sql(f"DESCRIBE EXTENDED {name.sql} AS JSON").first()[0])
     return TableInfo(
         name=name,
-        location=normalise(facts["location"]),
+        kind=facts.get("type", ""),
+        location=normalise(facts["location"]) if facts.get("location") else None,
         provider=facts.get("provider", "").lower(),
         serde=facts.get("serde_library"),
-        managed=facts.get("type") == "MANAGED",
         partition_columns=tuple(facts.get("partition_columns", ())),
         storage_properties=facts.get("storage_properties", {}),
         table_properties=facts.get("table_properties", {}),
@@ -132,6 +137,11 @@ def _time(text: str | None) -> datetime | None:
     return datetime.fromisoformat(text.replace("Z", "+00:00")).astimezone(timezone.utc)
 
 
+def drop_name(spark: SparkSession, info: TableInfo) -> None:
+    """Take a table or a view out of the catalog."""
+    spark.sql(f"DROP {'VIEW' if info.kind == 'VIEW' else 'TABLE'} IF EXISTS {info.name.sql}")
+
+
 def partitioned_table(spark: SparkSession, name: TableName) -> TableInfo:
     """The table, or a ConfigError when it cannot take partitions."""
     if not database_exists(spark, name.database, name.catalog):
@@ -180,9 +190,7 @@ def order_specs(spark: SparkSession, info: TableInfo, specs: Sequence[Spec]) ->
         typed = spec_frame(spark, info.partition_columns, ordered).select(
             "spec", *(_column(key).cast(types[key]).cast("string").alias(key) for key in types)
         )
-        ordered = [
-            {key: row[key] for key in types} for row in typed.orderBy("spec").collect()
-        ]
+        ordered = [{key: row[key] for key in types} for row in sorted(typed.collect())]
     if len({tuple(spec.values()) for spec in ordered}) < len(ordered):
         raise ConfigError("the same partition is named twice")
     return ordered
@@ -271,8 +279,3 @@ def drop_from_catalog(spark: SparkSession, info: TableInfo, specs: Sequence[Spec
 
 def _batches(clauses: list[str]) -> list[list[str]]:
     return [clauses[i : i + _SPECS_PER_STATEMENT] for i in range(0, len(clauses), _SPECS_PER_STATEMENT)]
-
-
-def require(found: bool, message: str) -> None:
-    if not found:
-        raise NotFound(message)

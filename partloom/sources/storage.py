@@ -37,8 +37,10 @@ def _hidden(name: str) -> bool:
     return name.startswith(".") or (name.startswith("_") and "=" not in name)
 
 
-def has_objects(spark: SparkSession, uri: str) -> bool:
-    """Whether a data file lies anywhere under ``uri``."""
+def has_objects(spark: SparkSession, uri: str | None) -> bool:
+    """Whether a data file lies anywhere under ``uri``; a view has no location."""
+    if uri is None:
+        return False
     fs, path = _open(spark, uri)
     if not fs.exists(path):
         return False
@@ -63,7 +65,9 @@ def same_place(spark: SparkSession, left: str, right: str) -> bool:
     return fs.makeQualified(path).toString() == other_fs.makeQualified(other).toString()
 
 
-def delete_tree(spark: SparkSession, uri: str) -> None:
+def delete_tree(spark: SparkSession, uri: str | None) -> None:
+    if uri is None:
+        return
     fs, path = _open(spark, uri)
     if fs.exists(path) and not fs.delete(path, True):
         raise StorageError(f"{uri} could not be deleted")
@@ -71,20 +75,25 @@ def delete_tree(spark: SparkSession, uri: str) -> None:
 
 def staging_beside(spark: SparkSession, uri: str) -> str:
     """A fresh directory next to ``uri`` that readers of its parent skip."""
+    return _beside(spark, uri, "_staging")
+
+
+def _beside(spark: SparkSession, uri: str, prefix: str) -> str:
     _, path = _open(spark, uri)
-    return f"{path.getParent().toString().rstrip('/')}/_staging-{uuid.uuid4().hex}/"
+    return f"{path.getParent().toString().rstrip('/')}/{prefix}-{uuid.uuid4().hex}/"
 
 
 def replace_tree(spark: SparkSession, staged: str, target: str) -> None:
     """Move the directory ``staged`` to ``target`` in place of what is there.
 
-    The old directory is set aside, brought back if the move fails and deleted
-    only afterwards. On HDFS and local disks these are two metadata operations
-    however large the data; on object stores the connector copies the objects.
+    The old directory is set aside as ``_replaced-…``, brought back if the move
+    fails and deleted only afterwards. On HDFS and local disks these are two metadata
+    operations however large the data; on object stores the connector copies the
+    objects. Two calls must not replace the same directory at the same time.
     """
     fs, new = _open(spark, staged)
     _, old = _open(spark, target)
-    _, aside = _open(spark, staging_beside(spark, target))
+    _, aside = _open(spark, _beside(spark, target, "_replaced"))
     replaces = fs.exists(old)
     if replaces:
         _rename(fs, old, aside)
@@ -101,7 +110,8 @@ def replace_tree(spark: SparkSession, staged: str, target: str) -> None:
 
 
 def _rename(fs, source, target) -> None:
-    if not fs.rename(source, target):
+    # Moving onto an existing directory would put the source inside it.
+    if fs.exists(target) or not fs.rename(source, target):
         raise StorageError(f"{source.toString()} could not be moved to {target.toString()}")
 
 

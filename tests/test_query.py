@@ -1,0 +1,185 @@
+import time
+from datetime import timedelta
+from pathlib import Path
+
+import pytest
+
+from partloom import preview, query
+from partloom.errors import ConfigError, NotFound, QueryFailed
+from partloom.sources.sqltext import fill, load_sql
+
+RECORD = [
+    "id",
+    "database",
+    "workgroup",
+    "query",
+    "output",
+    "scan_bytes",
+    "exec_millis",
+    "state",
+    "state_change_reason",
+    "submitted_at",
+    "completed_at",
+]
+
+
+def test_variables_are_plain_text():
+    params = {"value": 5, "i": 3, "last": {"id": "x"}}
+    assert fill("select ${value} as a, '${ value }' from t_${i}", params) == "select 5 as a, '5' from t_3"
+    assert fill("${last.id}", params) == "x"
+    assert fill("select '^a$' , '$5'", params) == "select '^a$' , '$5'"
+
+
+@pytest.mark.parametrize("text", ["${nowhere}", "${last.nowhere}", "${value.id}"])
+def test_unknown_variable_is_an_error(text):
+    with pytest.raises(ConfigError, match="no value"):
+        fill(text, {"value": 5, "last": {"id": "x"}})
+
+
+def test_text_from_file_and_uri(spark, tmp_path):
+    path = tmp_path / "q.sql"
+    path.write_text("select ${value} as a,\n  'ü' as b;\n")
+    expected = "select 5 as a,\n  'ü' as b"
+    params = {"value": 5}
+    assert load_sql(spark, path, params) == expected
+    assert load_sql(spark, str(path), params) == expected
+    assert load_sql(spark, f"file://{path}", params) == expected
+    assert load_sql(spark, "select * from db.sql", {}) == "select * from db.sql"
+
+
+def test_missing_file_is_not_taken_for_sql(spark):
+    with pytest.raises(FileNotFoundError):
+        load_sql(spark, "nowhere.sql")
+
+
+@pytest.mark.parametrize("text", ["select 1;", "select 1 ; \n", "select 1"])
+def test_final_semicolon_goes(spark, text):
+    assert load_sql(spark, text).strip() == "select 1"
+
+
+def test_record(spark, folder, sf):
+    select = f"SELECT count(*) AS n FROM parquet.`{sf}/lineitem.parquet`"
+    run = query(spark, select, output=folder, workgroup="primary")
+    record = run.record(spark)
+    assert record.columns == RECORD
+    row = record.first()
+    assert row.id == run.id and row.query == select and row.state == "SUCCEEDED"
+    assert row.output == f"{folder}{run.id}/" and row.workgroup == "primary" and row.database is None
+    assert row.scan_bytes == Path(sf, "lineitem.parquet").stat().st_size
+    assert row.exec_millis > 0 and row.submitted_at <= row.completed_at <= time.time() + 1
+    assert run.frame.first().n == spark.read.parquet(f"{sf}/lineitem.parquet").count()
+    assert spark.read.parquet(run.output).count() == 1
+
+
+def test_scan_bytes_after_partition_pruning(spark, small, db, folder):
+    whole = query(spark, "select * from small", database=db, output=folder).scan_bytes
+    one = query(spark, "select * from small where b = 2", database=db, output=folder).scan_bytes
+    assert 0 < one < whole
+
+
+def test_result_is_computed_once(spark, folder):
+    run = query(spark, "select uuid() as u from range(50)", output=folder, preview=True)
+    assert [r.u for r in run.frame.collect()] == [r.u for r in run.frame.collect()]
+    assert run.preview.rows == preview(spark, run.id).rows
+
+
+def test_default_output_is_in_the_shared_folder(spark):
+    run = query(spark, "select 1 as a")
+    assert run.output.startswith(spark.conf.get("spark.checkpoint.dir"))
+
+
+def test_database_context_is_restored(spark, small, db, folder):
+    before = spark.catalog.currentDatabase()
+    run = query(spark, "select count(*) as n from small", database=db, output=folder)
+    assert run.frame.first().n == 2 and run.database == db
+    with pytest.raises(QueryFailed):
+        query(spark, "select * from nowhere", database=db, output=folder)
+    assert spark.catalog.currentDatabase() == before
+
+
+def test_typed_arguments(spark, small, db, folder):
+    text = "select a from IDENTIFIER(:t) where b = :b"
+    run = query(spark, text, args={"t": f"{db}.small", "b": 5}, output=folder)
+    assert [r.a for r in run.frame.collect()] == [4]
+
+
+def test_statement_without_rows(spark, db, folder):
+    run = query(spark, "create table made (a int) using parquet", database=db, output=folder, preview=True)
+    assert run.state == "SUCCEEDED" and run.output is None and run.preview is None
+    assert spark.catalog.tableExists(f"{db}.made")
+
+
+def test_failure_carries_its_record(spark, folder):
+    with pytest.raises(QueryFailed, match="DIVIDE_BY_ZERO") as caught:
+        query(spark, "select 1 / (id - id) from range(3)", output=folder)
+    run = caught.value.run
+    assert run.state == "FAILED" and "DIVIDE_BY_ZERO" in run.state_change_reason and run.frame is None
+
+
+def test_timeout_cancels_the_jobs(spark, folder):
+    started = time.time()
+    with pytest.raises(QueryFailed) as caught:
+        query(
+            spark,
+            "select sum(hash(a.id) % 7) from range(100000000000) a",
+            output=folder,
+            timeout=timedelta(seconds=1),
+        )
+    assert caught.value.run.state == "CANCELLED"
+    assert time.time() - started < 30
+    assert spark.range(3).count() == 3
+
+
+def test_preview_follows_the_order_of_the_result(spark, folder):
+    select = "select /*+ REPARTITION_BY_RANGE(16, id) */ id from range(0, 1000)"
+    run = query(spark, select, output=folder)
+    assert len(run.frame.inputFiles()) > 5
+    ordered = query(spark, "select id from range(0, 100000) order by id desc", output=folder)
+    assert preview(spark, ordered.id, 3).rows == [["99999"], ["99998"], ["99997"]]
+
+
+def test_preview_reads_on_when_the_first_file_is_short(spark, folder):
+    run = query(spark, "select /*+ REPARTITION(40, id) */ id from range(0, 60)", output=folder)
+    assert len(preview(spark, run.id, 50).rows) == 50
+    assert len(preview(spark, run.id, 100).rows) == 60
+    assert preview(spark, run.id, 0).rows == []
+    assert len(preview(spark, run.id).rows) == 10
+
+
+@pytest.mark.parametrize("max_rows", [-1, 101])
+def test_preview_range(spark, folder, max_rows):
+    run = query(spark, "select 1 as a", output=folder)
+    with pytest.raises(ConfigError):
+        preview(spark, run.id, max_rows)
+
+
+def test_preview_of_unknown_run(spark):
+    with pytest.raises(NotFound):
+        preview(spark, "4b3fb6a4-0000-0000-0000-000000000000")
+
+
+def test_preview_of_no_rows(spark, folder):
+    shown = query(spark, "select id from range(5) where id > 9", output=folder, preview=True).preview
+    assert shown.rows == [] and [c.name for c in shown.columns] == ["id"]
+
+
+def test_preview_values_and_columns(spark, folder):
+    run = query(
+        spark,
+        """select 1 as i, cast(2.5 as decimal(10, 2)) as d, null as n, array(1, 2) as arr, map('k', 1) as m,
+           named_struct('x', 1, 'y', 'z') as s, timestamp_ntz '2020-01-01 00:00:00.000001' as t,
+           cast('ab' as binary) as bin, true as b, '' as empty, 'x' as `odd name`""",
+        output=folder,
+        preview=True,
+    )
+    assert run.preview.rows == [
+        ["1", "2.50", None, "[1,2]", '{"k":1}', '{"x":1,"y":"z"}', "2020-01-01 00:00:00.000001", "6162", "true", "", "x"]
+    ]
+    columns = {c.name: c for c in run.preview.columns}
+    assert (columns["d"].type, columns["d"].precision, columns["d"].scale) == ("decimal(10,2)", 10, 2)
+    assert columns["s"].type == "struct<x:int,y:string>" and columns["i"].precision is None
+    frame = run.preview.columns_frame(spark)
+    assert frame.columns == [
+        "case_sensitive", "catalog", "label", "name", "nullable", "precision", "scale", "database", "table", "type"
+    ]
+    assert run.preview.rows_frame(spark).first()["odd name"] == "x"

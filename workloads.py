@@ -50,7 +50,10 @@ def workload(oracle: str):
 
 
 class Workspace:
-    """A database and a directory that one call has to itself."""
+    """A database and a directory that one call has to itself.
+
+    Its jobs may take as long as the tables are large, so no time limit is set.
+    """
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
@@ -71,15 +74,18 @@ class Workspace:
 
     def query(self, command, params: Mapping | None = None, **options):
         options.setdefault("output", f"{self.folder}results")
+        options.setdefault("timeout", None)
         return query(self.spark, command, params=self.params | dict(params or {}), **options)
 
     def ctas(self, select: str, table: str, database: str | None = None, **options):
         database = database or self.database
         options.setdefault("location", f"{self.folder}{database}_files/{table}")
+        options.setdefault("timeout", None)
         return ctas(self.spark, select, params=self.params, database=database, table=table, **options)
 
     def apas(self, select: str, table: str, params: Mapping | None = None, **options) -> DataFrame:
         merged = self.params | dict(params or {})
+        options.setdefault("timeout", None)
         return apas(self.spark, select, params=merged, database=self.database, table=table, **options)
 
     def on(self, operator: Callable, table, **options) -> DataFrame:
