@@ -111,6 +111,7 @@ def drop_table_multi(
     ``limit`` counts the matching names in order, before protection is looked at.
     A table whose last access the catalog does not know is not protected by it.
     """
+    now = datetime.now(timezone.utc)
     if not regexp:
         raise ConfigError("regexp is required")
     if not database_exists(spark, database, catalog):
@@ -122,7 +123,6 @@ def drop_table_multi(
         matching = matching.limit(limit)
     names = [TableName(database, row["table"], catalog) for row in matching.collect()]
     infos = for_each(spark, lambda name: describe_table(spark, name), names)
-    now = datetime.now(timezone.utc)
     kept = for_each(spark, lambda info: _is_protected(spark, info, protect or Protect(), now), infos)
     _drop(spark, [info for info, keep in zip(infos, kept) if not keep], with_location)
     places = {info.name: info.location for info in infos}
@@ -154,6 +154,8 @@ def _is_protected(spark: SparkSession, info: TableInfo, protect: Protect, now: d
 
 def _has_files_since(spark: SparkSession, info: TableInfo, moment: datetime) -> bool:
     """Whether a data file changed after ``moment``; Spark leaves out the older files before it reads."""
+    # Others may have written since this session last listed the files.
+    spark.catalog.refreshTable(info.name.sql)
     changed = F.col("_metadata.file_modification_time") > F.lit(moment)
     return not spark.table(info.name.sql).where(changed).isEmpty()
 

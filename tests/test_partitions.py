@@ -1,0 +1,240 @@
+import pytest
+from conftest import rows
+from pyspark.sql import functions as F
+
+from partloom import add_partition, ctas, drop_partition, partition_exists
+from partloom.errors import AlreadyExists, ConfigError, NotFound
+from partloom.sources import catalog
+from partloom.sources.storage import has_objects
+
+SPEC = {"b": "5", "c": "6"}
+
+
+@pytest.fixture
+def on(spark, db, small):
+    def call(operator, specs, **options):
+        return operator(spark, database=db, table=small, partition_kv=specs, **options)
+
+    return call
+
+
+@pytest.fixture
+def held(spark, db, small):
+    return lambda: rows(spark.table(f"{db}.{small}"))
+
+
+def write(spark, place, a=100):
+    spark.sql(f"select {a} as a").write.mode("overwrite").parquet(place)
+
+
+# --- add_partition ---
+
+
+@pytest.mark.parametrize("options", [{"database": "nowhere"}, {"table": "nowhere"}, {"table": "plain"}])
+def test_add_needs_a_partitioned_table(spark, db, small, options):
+    ctas(spark, "select 1 as a", database=db, table="plain")
+    with pytest.raises(ConfigError):
+        add_partition(spark, **{"database": db, "table": small, "partition_kv": SPEC, **options})
+
+
+@pytest.mark.parametrize("save_mode", ["overwrite", "skip_if_exists", "error_if_exists"])
+def test_add_new(spark, on, held, folder, save_mode):
+    write(spark, f"{folder}small/b=9/c=10")
+    done = on(add_partition, {"b": "9", "c": "10"}, save_mode=save_mode)
+    assert rows(done) == [("9", "10", f"{folder}small/b=9/c=10/", "added")]
+    assert held() == [(1, 2, 3), (100, 9, 10), (4, 5, 6)]
+
+
+def test_add_present(spark, on, held, folder):
+    write(spark, f"{folder}other")
+    assert on(add_partition, SPEC, location=f"{folder}other", save_mode="skip_if_exists").first().action == "kept"
+    assert held() == [(1, 2, 3), (4, 5, 6)]
+    with pytest.raises(AlreadyExists):
+        on(add_partition, SPEC, location=f"{folder}other", save_mode="error_if_exists")
+    assert on(add_partition, SPEC, location=f"{folder}other").first().action == "relocated"
+    assert held() == [(1, 2, 3), (100, 5, 6)]
+
+
+def test_follow_location_without_objects(on, held, folder):
+    nowhere = {"location": f"{folder}nowhere"}
+    assert on(add_partition, {"b": "9", "c": "10"}, **nowhere).first().action == "skipped"
+    assert on(add_partition, SPEC, save_mode="skip_if_exists", **nowhere).first().action == "kept"
+    with pytest.raises(AlreadyExists):
+        on(add_partition, SPEC, save_mode="error_if_exists", **nowhere)
+    assert held() == [(1, 2, 3), (4, 5, 6)]
+    assert on(add_partition, SPEC, **nowhere).first().action == "dropped"
+    assert held() == [(1, 2, 3)]
+
+
+def test_not_following_the_location(spark, on, held, folder):
+    done = on(add_partition, {"b": "9", "c": "10"}, location=f"{folder}later", follow_location=False)
+    assert done.first().action == "added" and held() == [(1, 2, 3), (4, 5, 6)]
+    write(spark, f"{folder}later")
+    spark.catalog.refreshByPath(f"{folder}later")
+    done = on(add_partition, SPEC, location=f"{folder}nowhere", follow_location=False)
+    assert done.first().action == "relocated" and held() == [(1, 2, 3), (100, 9, 10)]
+
+
+def test_add_set_mixed(spark, on, held, folder):
+    write(spark, f"{folder}small/b=9/c=10")
+    write(spark, f"{folder}moved")
+    specs = [{"b": "9", "c": "10"}, {"b": "11", "c": "12"}, {"b": "2", "c": "3"}, SPEC]
+    places = [None, None, f"{folder}moved", f"{folder}nowhere"]
+    done = on(add_partition, specs, location=places)
+    assert [r.action for r in done.collect()] == ["added", "skipped", "relocated", "dropped"]
+    assert held() == [(100, 2, 3), (100, 9, 10)]
+
+
+def test_errors_come_before_changes(spark, on, held, folder):
+    write(spark, f"{folder}small/b=9/c=10")
+    with pytest.raises(AlreadyExists):
+        on(add_partition, [{"b": "9", "c": "10"}, SPEC], save_mode="error_if_exists")
+    assert held() == [(1, 2, 3), (4, 5, 6)]
+
+
+@pytest.mark.parametrize(
+    "specs, options, message",
+    [
+        ({"b": "5"}, {}, "lacks"),
+        ([{"b": "5", "c": "6"}, {"b": "05", "c": "6"}], {}, "twice"),
+        ([SPEC], {"location": ["x", "y"]}, "2 locations"),
+        (SPEC, {"save_mode": "ignore"}, "save_mode"),
+    ],
+)
+def test_add_bad_request(on, specs, options, message):
+    with pytest.raises(ConfigError, match=message):
+        on(add_partition, specs, **options)
+
+
+def test_key_values_are_compared_by_their_type(on, held):
+    assert on(partition_exists, {"b": "05", "c": "06"}).first().partition_exists
+    assert on(drop_partition, {"b": "05", "c": "06"}).first().action == "dropped"
+    assert held() == [(1, 2, 3)]
+    with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
+        on(partition_exists, {"b": "five", "c": "6"})
+
+
+# --- drop_partition ---
+
+
+def test_drop_keeps_the_files(spark, on, held, folder):
+    assert rows(on(drop_partition, SPEC)) == [("5", "6", f"{folder}small/b=5/c=6/", "dropped")]
+    assert held() == [(1, 2, 3)] and has_objects(spark, f"{folder}small/b=5/c=6")
+
+
+def test_drop_with_location(spark, on, folder):
+    on(drop_partition, SPEC, with_location=True)
+    assert not has_objects(spark, f"{folder}small/b=5/c=6")
+
+
+def test_drop_deletes_where_the_partition_lies(spark, on, folder):
+    write(spark, f"{folder}other")
+    on(add_partition, SPEC, location=f"{folder}other")
+    on(drop_partition, SPEC, with_location=True)
+    assert not has_objects(spark, f"{folder}other") and has_objects(spark, f"{folder}small/b=5/c=6")
+
+
+def test_drop_absent(spark, db, on, held):
+    absent = {"b": "7", "c": "7"}
+    assert on(drop_partition, absent).first().action == "absent"
+    assert [r.action for r in on(drop_partition, [absent, SPEC]).collect()] == ["absent", "dropped"]
+    with pytest.raises(NotFound):
+        on(drop_partition, [absent, {"b": "2", "c": "3"}], ignore_if_not_exist=False)
+    assert held() == [(1, 2, 3)]
+    done = drop_partition(spark, database=db, table="nowhere", partition_kv=SPEC)
+    assert done.first().action == "absent"
+    with pytest.raises(NotFound):
+        drop_partition(spark, database=db, table="nowhere", partition_kv=SPEC, ignore_if_not_exist=False)
+
+
+def test_half_a_spec_drops_nothing(on, held):
+    with pytest.raises(ConfigError, match="'c'"):
+        on(drop_partition, {"b": "5"})
+    assert held() == [(1, 2, 3), (4, 5, 6)]
+
+
+def test_managed_table_keeps_its_files(spark, db, folder):
+    spark.sql(f"CREATE TABLE {db}.m (a INT, b INT) USING parquet PARTITIONED BY (b)")
+    spark.sql(f"INSERT INTO {db}.m VALUES (1, 1), (2, 2)")
+    with pytest.raises(ConfigError, match="managed"):
+        drop_partition(spark, database=db, table="m", partition_kv={"b": "1"})
+    with pytest.raises(ConfigError, match="managed"):
+        add_partition(spark, database=db, table="m", partition_kv={"b": "1"}, location=f"{folder}nowhere")
+    assert rows(spark.table(f"{db}.m")) == [(1, 1), (2, 2)]
+    drop_partition(spark, database=db, table="m", partition_kv={"b": "1"}, with_location=True)
+    assert rows(spark.table(f"{db}.m")) == [(2, 2)]
+
+
+# --- partition_exists ---
+
+
+def test_exists(on, folder):
+    specs = [SPEC, {"b": "7", "c": "7"}, {"b": "2", "c": "3"}]
+    assert [tuple(r) for r in on(partition_exists, specs).collect()] == [
+        ("5", "6", True, None),
+        ("7", "7", False, None),
+        ("2", "3", True, None),
+    ]
+    on(add_partition, SPEC, location=f"{folder}nowhere", follow_location=False)
+    assert [tuple(r) for r in on(partition_exists, specs, with_location=True).collect()] == [
+        ("5", "6", True, False),
+        ("7", "7", False, False),
+        ("2", "3", True, True),
+    ]
+
+
+def test_exists_as_an_error(on, folder):
+    on(partition_exists, SPEC, error_if_not_exist=True, with_location=True)
+    with pytest.raises(NotFound, match="'7'"):
+        on(partition_exists, [SPEC, {"b": "7", "c": "7"}], error_if_not_exist=True)
+    on(add_partition, SPEC, location=f"{folder}nowhere", follow_location=False)
+    on(partition_exists, SPEC, error_if_not_exist=True)
+    with pytest.raises(NotFound, match="hold no objects"):
+        on(partition_exists, SPEC, error_if_not_exist=True, with_location=True)
+
+
+def test_exists_without_table_or_keys(spark, db):
+    ctas(spark, "select 1 as a", database=db, table="plain")
+    for table in ("nowhere", "plain"):
+        found = partition_exists(spark, database=db, table=table, partition_kv=SPEC, with_location=True)
+        assert rows(found) == [("5", "6", False, False)]
+
+
+def test_odd_values_in_a_set(spark, db, folder):
+    values = ["2020-01-01 00:00/z", "100%+1", "a=b", "ünï", "it's", "back\\slash", "x y", "+", "%2B", "__x"]
+    rows_ = ", ".join(f"({i}, {catalog.literal(v)})" for i, v in enumerate(values))
+    ctas(
+        spark,
+        f"select * from values {rows_}, (99, null) as t(a, k)",
+        database=db,
+        table="t",
+        location=f"{folder}t",
+        partitioned_by=["k"],
+    )
+    specs = [{"k": v} for v in values] + [{"k": v + "x"} for v in values]
+    found = partition_exists(spark, database=db, table="t", partition_kv=specs, with_location=True)
+    assert [r.partition_exists for r in found.collect()] == [True] * len(values) + [False] * len(values)
+    assert [r.location_exists for r in found.collect()] == [True] * len(values) + [False] * len(values)
+    for spec in specs[: len(values)]:
+        assert partition_exists(spark, database=db, table="t", partition_kv=spec).first().partition_exists
+    done = drop_partition(spark, database=db, table="t", partition_kv=specs, with_location=True)
+    assert done.where(F.col("action") == "dropped").count() == len(values)
+    assert rows(spark.table(f"{db}.t")) == [(99, None)]
+
+
+def test_many_partitions_in_one_call(spark, db, folder):
+    n = 1200
+    ctas(
+        spark,
+        f"select id as a, cast(id as int) as k from range({n})",
+        database=db,
+        table="t",
+        location=f"{folder}t",
+        partitioned_by=["k"],
+    )
+    specs = [{"k": str(i)} for i in range(n)]
+    drop_partition(spark, database=db, table="t", partition_kv=specs)
+    assert spark.sql(f"SHOW PARTITIONS {db}.t").isEmpty()
+    done = add_partition(spark, database=db, table="t", partition_kv=specs)
+    assert done.where("action = 'added'").count() == n
+    assert spark.table(f"{db}.t").count() == n
