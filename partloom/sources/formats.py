@@ -65,9 +65,8 @@ def storage_for(
     elif provider == "json":
         options |= _TIMES | _JSON_WRITE
     elif provider == "csv":
-        # Quotes are doubled, so that a backslash is an ordinary character.
         options |= _TIMES | _CSV_WRITE
-        options |= {"sep": field_delimiter or "\u0001", "nullValue": "\\N", "escape": '"', "lineSep": "\n"}
+        options |= {"sep": field_delimiter or "\u0001", "nullValue": "\\N", "lineSep": "\n"}
         if _holds_text(schema):
             # A text may contain line ends; its row then spans several lines.
             options["multiLine"] = "true"
@@ -90,11 +89,8 @@ def _holds_text(schema: StructType) -> bool:
 def storage_of(info: TableInfo) -> Storage:
     """How new files of an existing table must be written so that the table reads them."""
     if info.provider == "hive":
-        format = SERDE_FORMATS.get(info.serde, "textfile")
-        options = {}
-        if "field.delim" in info.storage_properties:
-            options["sep"] = info.storage_properties["field.delim"]
-        provider = PROVIDERS[format]
+        provider = PROVIDERS[SERDE_FORMATS.get(info.serde, "textfile")]
+        options = _serde_text(info) if provider == "csv" else {}
     else:
         provider = info.provider
         options = {k: v for k, v in info.storage_properties.items() if k != "serialization.format"}
@@ -109,3 +105,22 @@ def storage_of(info: TableInfo) -> Storage:
         if codec:
             options["compression"] = codec
     return Storage(provider, options)
+
+
+def _serde_text(info: TableInfo) -> dict[str, str]:
+    """The csv options that write what a text SerDe reads."""
+    given = info.storage_properties
+    if info.serde == "org.apache.hadoop.hive.serde2.OpenCSVSerde":
+        return {
+            "sep": given.get("separatorChar", ","),
+            "quote": given.get("quoteChar", '"'),
+            "escape": given.get("escapeChar", "\\"),
+        }
+    return {
+        "sep": given.get("field.delim", "\u0001"),
+        "nullValue": given.get("serialization.null.format", "\\N"),
+        "emptyValue": "",
+        "quote": "\u0000",
+        "timestampFormat": "yyyy-MM-dd HH:mm:ss.SSSSSS",
+        "timestampNTZFormat": "yyyy-MM-dd HH:mm:ss.SSSSSS",
+    }

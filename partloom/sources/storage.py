@@ -24,7 +24,8 @@ def shared_folder(spark: SparkSession) -> str:
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
         raise ConfigError("spark.checkpoint.dir is not set: name an output folder")
-    return normalise(folder)
+    fs, path = _open(spark, folder)
+    return normalise(fs.makeQualified(path).toString())
 
 
 def _open(spark: SparkSession, uri: str):

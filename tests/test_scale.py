@@ -1,0 +1,116 @@
+"""What must hold for plans and files when tables are large and keys are uneven."""
+
+import os
+from collections import Counter
+from pathlib import Path
+
+import pytest
+from conftest import rows
+
+from partloom import apas, ctas, query
+
+# A third of the rows belongs to key 0, the rest to 30 others.
+SKEWED = "select id, if(id % 3 = 0, 0, cast(1 + hash(id) % 15 + 15 as int)) as k, xxhash64(id) as r from range(0, 600000, 1, 16)"
+
+
+@pytest.fixture
+def small_parts(spark):
+    key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    spark.conf.set(key, "256k")
+    yield
+    spark.conf.unset(key)
+
+
+def files_per_key(frame):
+    return Counter(Path(name).parent.name for name in frame.inputFiles())
+
+
+def test_hot_partition_is_written_by_several_tasks(spark, db, small_parts):
+    made = ctas(spark, SKEWED, database=db, partitioned_by=["k"])
+    files = files_per_key(made.frame)
+    # As many files as its size asks for, next to the keys of ordinary size.
+    assert files["k=0"] > 3 * sorted(files.values())[len(files) // 2]
+    assert made.frame.count() == 600000
+
+
+def test_thin_partitions_get_one_file_each(spark, db):
+    select = "select id, cast(id % 100 as int) as k from range(0, 100000, 1, 16)"
+    assert set(files_per_key(ctas(spark, select, database=db, partitioned_by=["k"]).frame).values()) == {1}
+    plain = ctas(spark, select, database=db, partitioned_by=["k"], rebalance=False)
+    assert set(files_per_key(plain.frame).values()) == {16}
+
+
+def test_hot_bucket_is_written_by_several_tasks(spark, db, small_parts):
+    made = ctas(spark, SKEWED, database=db, bucketed_by=["k"], bucket_count=4)
+    buckets = Counter(name.split("_")[-1].split(".")[0] for name in made.frame.inputFiles())
+    assert len(buckets) == 4 and max(buckets.values()) > 4
+    assert rows(made.frame.groupBy("k").count()) == rows(spark.sql(SKEWED).groupBy("k").count())
+
+
+def test_thin_buckets_get_one_file_each(spark, db):
+    select = "select id, cast(id % 100 as int) as k from range(0, 100000, 1, 16)"
+    made = ctas(spark, select, database=db, bucketed_by=["k"], bucket_count=4)
+    assert len(made.frame.inputFiles()) == 4
+
+
+def test_thin_slice_of_a_wide_scan_gets_few_files(spark, db, folder):
+    ctas(spark, "select id as a, 1 as k from range(1)", database=db, table="t", partitioned_by=["k"], table_mode="empty")
+    apas(spark, "select id as a from range(0, 100000, 1, 64) where id % 10 = 0", database=db, table="t", partition_kv={"k": "1"})
+    assert len(spark.table(f"{db}.t").inputFiles()) == 1 and spark.table(f"{db}.t").count() == 10000
+
+
+def test_large_partition_is_written_by_several_tasks(spark, db, small_parts):
+    ctas(spark, "select id as a, 1 as k from range(1)", database=db, table="t", partitioned_by=["k"], table_mode="empty")
+    select = "select xxhash64(id) as a from range(0, 600000, 1, 16)"
+    apas(spark, select, database=db, table="t", partition_kv={"k": "1"})
+    assert len(spark.table(f"{db}.t").inputFiles()) > 4 and spark.table(f"{db}.t").count() == 600000
+
+
+@pytest.mark.parametrize("options", [{"partitioned_by": ["k"]}, {"bucketed_by": ["k"], "bucket_count": 4}])
+def test_right_without_adaptive_execution(spark, db, options):
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        made = ctas(spark, SKEWED, database=db, **options)
+        assert rows(made.frame.groupBy("k").count()) == rows(spark.sql(SKEWED).groupBy("k").count())
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
+def test_partitions_are_pruned(spark, db, small):
+    plan = spark.table(f"{db}.{small}").where("b = 5")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(b" in plan
+
+
+def test_filters_and_columns_reach_the_scan(spark, sf, folder):
+    from partloom.sources.sqltext import select_frame
+
+    root = Path(__file__).parent.parent / "sql"
+    frame = select_frame(spark, root / "pricing_summary.sql", params={"sf": sf, "cutoff": "2000-01-01"})
+    plan = frame._jdf.queryExecution().executedPlan().toString()
+    assert "LessThanOrEqual(l_shipdate" in plan and "l_comment" not in plan and "l_suppkey" not in plan
+
+
+def test_ranks_are_cut_before_the_shuffle(spark, sf):
+    from partloom.sources.sqltext import select_frame
+
+    root = Path(__file__).parent.parent / "sql"
+    frame = select_frame(spark, root / "window_rank.sql", params={"sf": sf, "top": 3})
+    plan = frame._jdf.queryExecution().executedPlan().toString()
+    below = plan[plan.index("Exchange") :]
+    assert "WindowGroupLimit" in below and "Partial" in below
+
+
+def test_stored_result_is_not_computed_again(spark, folder, sf):
+    run = query(spark, f"select l_orderkey, count(*) as n from parquet.`{sf}/lineitem.parquet` group by 1", output=folder)
+    plan = run.frame._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "lineitem" not in plan
+
+
+def test_replacing_does_not_copy(spark, db, folder):
+    """The new files are moved into place, not written a second time."""
+    ctas(spark, "select 1 as a", database=db, table="t", location=f"{folder}t")
+    root = Path(folder.removeprefix("file:"))
+    before = os.stat(root / "t").st_ino
+    made = ctas(spark, "select 2 as a", database=db, table="t", location=f"{folder}t")
+    assert rows(made.frame) == [(2,)] and os.stat(root / "t").st_ino != before
+    assert sorted(p.name for p in root.iterdir()) == [db, "t"]
