@@ -53,6 +53,8 @@ class Layout:
     bucket_count: int | None = None
 
     def __post_init__(self):
+        if isinstance(self.partitioned_by, str) or isinstance(self.bucketed_by, str):
+            raise ConfigError("partitioned_by and bucketed_by take a list of columns")
         if self.bucketed_by and not self.bucket_count:
             raise ConfigError("bucketed_by needs bucket_count")
 

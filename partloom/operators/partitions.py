@@ -99,6 +99,7 @@ def drop_partition(
 ) -> DataFrame:
     """Take partitions out of the catalog, with their files if ``with_location``.
 
+    ``location`` names the directory that was deleted, ``action`` is ``dropped`` or ``absent``.
     Managed tables lose the files in any case, so there ``with_location`` is a must.
     """
     name = TableName(database, table, catalog)
@@ -115,7 +116,8 @@ def drop_partition(
     refuse_managed(info, not with_location)
 
     there = _picked(specs, held)
-    places = partition_locations(spark, info, there)
+    # Looked up one by one, so only if needed.
+    places = partition_locations(spark, info, there) if with_location else [None] * len(there)
     drop_from_catalog(spark, info, there)
     if with_location:
         for_each(spark, lambda place: delete_tree(spark, place), places)

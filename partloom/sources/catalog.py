@@ -181,7 +181,7 @@ def order_specs(spark: SparkSession, info: TableInfo, specs: Sequence[Spec]) ->
     """
     ordered = []
     for spec in specs:
-        missing = [key for key in info.partition_columns if key not in spec]
+        missing = [key for key in info.partition_columns if spec.get(key) is None]
         if missing:
             raise ConfigError(f"{info.name} is partitioned by {missing}, which {dict(spec)} lacks")
         ordered.append({key: str(spec[key]) for key in info.partition_columns})

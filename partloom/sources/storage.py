@@ -57,7 +57,7 @@ def has_objects(spark: SparkSession, uri: str | None) -> bool:
 def is_vacant(spark: SparkSession, uri: str) -> bool:
     """Whether nothing at all, not even a marker file, lies under ``uri``."""
     fs, path = _open(spark, uri)
-    return not fs.exists(path) or len(fs.listStatus(path)) == 0
+    return not fs.exists(path) or not fs.listStatusIterator(path).hasNext()
 
 
 def same_place(spark: SparkSession, left: str, right: str) -> bool:

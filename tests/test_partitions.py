@@ -118,12 +118,13 @@ def test_key_values_are_compared_by_their_type(on, held):
 
 
 def test_drop_keeps_the_files(spark, on, held, folder):
-    assert rows(on(drop_partition, SPEC)) == [("5", "6", f"{folder}small/b=5/c=6/", "dropped")]
+    assert rows(on(drop_partition, SPEC)) == [("5", "6", None, "dropped")]
     assert held() == [(1, 2, 3)] and has_objects(spark, f"{folder}small/b=5/c=6")
 
 
 def test_drop_with_location(spark, on, folder):
-    on(drop_partition, SPEC, with_location=True)
+    done = on(drop_partition, SPEC, with_location=True)
+    assert rows(done) == [("5", "6", f"{folder}small/b=5/c=6/", "dropped")]
     assert not has_objects(spark, f"{folder}small/b=5/c=6")
 
 

@@ -9,6 +9,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 from collections.abc import Callable, Mapping
+from datetime import timedelta
 from functools import reduce
 from pathlib import Path
 
@@ -16,6 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from partloom import (
+    Protect,
     add_partition,
     apas,
     ctas,
@@ -248,6 +250,26 @@ def ctas_textfile_tabs(w: Workspace) -> DataFrame:
     return w.ctas(select, "t", format="textfile", field_delimiter="\t").frame
 
 
+_NUMBERS = """
+    SELECT vec_id, generate_subscripts(embedding, 1) - 1 AS place, unnest(embedding) AS number FROM embeddings"""
+
+
+def _numbers(table: DataFrame) -> DataFrame:
+    place = F.col("place").cast("bigint").alias("place")
+    return table.select("vec_id", F.posexplode("embedding").alias("place", "number")).select("vec_id", place, "number")
+
+
+@workload(_NUMBERS)
+def ctas_orc_nested(w: Workspace) -> DataFrame:
+    """Arrays go in and come back element by element."""
+    return _numbers(w.ctas("SELECT * FROM parquet.`${sf}/embeddings.parquet`", "t", format="orc").frame)
+
+
+@workload(_NUMBERS)
+def ctas_json_nested(w: Workspace) -> DataFrame:
+    return _numbers(w.ctas("SELECT * FROM parquet.`${sf}/embeddings.parquet`", "t", format="json").frame)
+
+
 @workload("SELECT * FROM lineitem")
 def ctas_partitioned(w: Workspace) -> DataFrame:
     select = "SELECT * FROM parquet.`${sf}/lineitem.parquet`"
@@ -358,6 +380,41 @@ def apas_schema_diff_kept(w: Workspace) -> DataFrame:
     raise AssertionError("the changed type went unnoticed")
 
 
+@workload("SELECT o_orderkey, o_totalprice, o_orderstatus FROM orders WHERE o_orderstatus <> 'F'")
+def apas_empty(w: Workspace) -> DataFrame:
+    """A SELECT without rows takes the partition away."""
+    select = "SELECT o_orderkey, o_totalprice, o_orderstatus FROM parquet.`${sf}/orders.parquet`"
+    w.ctas(select, "t", partitioned_by=["o_orderstatus"])
+    nothing = "SELECT o_orderkey, o_totalprice FROM parquet.`${sf}/orders.parquet` WHERE o_totalprice < 0"
+    w.apas(nothing, "t", partition_kv={"o_orderstatus": "F"})
+    return w.table("t")
+
+
+@workload("SELECT * FROM orders")
+def apas_location(w: Workspace) -> DataFrame:
+    """Partitions at places of the author's choice, their files in four buckets."""
+    w.ctas("SELECT * FROM parquet.`${sf}/orders.parquet`", "t", table_mode="empty", partitioned_by=["o_orderstatus"])
+    select = (
+        "SELECT o_orderkey, o_custkey, o_totalprice, o_orderdate, o_orderpriority "
+        "FROM parquet.`${sf}/orders.parquet` WHERE o_orderstatus = '${status}'"
+    )
+
+    def store(status: str):
+        w.apas(
+            select,
+            "t",
+            {"status": status},
+            partition_kv={"o_orderstatus": status},
+            location=f"{w.folder}elsewhere/{status}",
+            bucketed_by=["o_custkey"],
+            bucket_count=4,
+        )
+
+    statuses = w.values(f"SELECT DISTINCT o_orderstatus FROM {w.source('orders')}")
+    for_each(w.spark, store, [status for (status,) in statuses])
+    return w.table("t")
+
+
 @workload("SELECT * FROM documents")
 def apas_textfile(w: Workspace) -> DataFrame:
     """Format and delimiter are those of the table."""
@@ -440,6 +497,22 @@ def add_partition_follow(w: Workspace) -> DataFrame:
     return w.table("t")
 
 
+@workload("""
+    SELECT o_orderkey, CASE WHEN o_orderstatus = 'F' THEN 0 ELSE o_totalprice END AS o_totalprice, o_orderstatus
+    FROM orders""")
+def add_partition_relocate(w: Workspace) -> DataFrame:
+    """A partition that is there is pointed at other files."""
+    select = "SELECT o_orderkey, o_totalprice, o_orderstatus FROM parquet.`${sf}/orders.parquet`"
+    w.ctas(select, "t", partitioned_by=["o_orderstatus"])
+    zeroed = (
+        "SELECT o_orderkey, CAST(0 AS DOUBLE) AS o_totalprice FROM parquet.`${sf}/orders.parquet` "
+        "WHERE o_orderstatus = 'F'"
+    )
+    other = w.ctas(zeroed, "files", table_mode="data_only").location
+    w.on(add_partition, "t", partition_kv={"o_orderstatus": "F"}, location=other)
+    return w.table("t")
+
+
 @workload(_KEYED_ORDERS + " WHERE o_orderpriority <> '5-LOW'")
 def drop_partition_set(w: Workspace) -> DataFrame:
     specs = [spec for spec in _keyed_orders(w) if spec["o_orderpriority"] == "5-LOW"]
@@ -510,6 +583,15 @@ def drop_table_multi_limited(w: Workspace) -> DataFrame:
     return w.counts()
 
 
+@workload("SELECT 'events_' || event_type AS name, COUNT(*) AS n FROM events GROUP BY event_type")
+def drop_table_multi_protected(w: Workspace) -> DataFrame:
+    """Every name matches, but the tables are young."""
+    _table_per_type(w)
+    for protect in (Protect(created_within=timedelta(days=1)), Protect(updated_within=timedelta(days=1))):
+        drop_table_multi(w.spark, database=w.database, regexp="events_.*", protect=protect, with_location=True)
+    return w.counts()
+
+
 # --- databases ---------------------------------------------------------------
 
 
