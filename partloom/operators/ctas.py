@@ -103,6 +103,8 @@ def ctas(
     choose("save_mode", save_mode, SAVE_MODES)
     layout = Layout(partitioned_by, bucketed_by, bucket_count)
     name = TableName(database, table or unique_name("ctas"), catalog)
+    if save_mode == "overwrite" or table_mode == "empty":
+        name.require_session_catalog()
     target = normalise(location) if location else fresh_location(spark, name)
     old = describe_table(spark, name) if table_exists(spark, name) else None
     occupied = location is not None and has_objects(spark, target)
@@ -203,7 +205,7 @@ class Write:
 
     def define_like(self, spark: SparkSession, name: TableName, like: TableName, location: str) -> None:
         properties = _listed("TBLPROPERTIES", self.properties)
-        spark.sql(f"CREATE TABLE {name.sql} LIKE {like.sql} {properties} LOCATION {literal(location)}")
+        spark.sql(f"CREATE TABLE {name.in_session} LIKE {like.in_session} {properties} LOCATION {literal(location)}")
 
     def _division(self) -> str:
         clauses = []
@@ -255,7 +257,7 @@ def _replace(spark: SparkSession, write: Write, name: TableName, target: str, ol
             if old:
                 drop_name(spark, old)
             if not place.staged:
-                spark.sql(f"ALTER TABLE {scratch.sql} RENAME TO {name.sql}")
+                spark.sql(f"ALTER TABLE {scratch.in_session} RENAME TO {name.in_session}")
                 return
             place.settle()
             write.define_like(spark, name, scratch, target)

@@ -71,9 +71,10 @@ def add_partition(
     dropped = [action == "dropped" for action in actions]
     refuse_managed(info, any(dropped))
     add_to_catalog(spark, info, _picked(specs, added), _picked(places, added))
-    for spec, place, action in zip(specs, places, actions):
-        if action == "relocated":
-            move_in_catalog(spark, info, spec, place)
+    moved = [action == "relocated" for action in actions]
+    for_each(
+        spark, lambda pair: move_in_catalog(spark, info, *pair), zip(_picked(specs, moved), _picked(places, moved))
+    )
     drop_from_catalog(spark, info, _picked(specs, dropped))
     spark.catalog.refreshTable(info.name.sql)
     return outcome(spark, info.partition_columns, specs, places, actions)

@@ -180,8 +180,7 @@ def _drop(spark: SparkSession, infos: Sequence[TableInfo], with_location: bool)
     managed = [str(info.name) for info in infos if info.managed]
     if managed and not with_location:
         raise ConfigError(f"dropping managed tables would delete their files: {managed}")
-    for info in infos:
-        drop_name(spark, info)
+    for_each(spark, lambda info: drop_name(spark, info), infos)
     if with_location:
         for_each(spark, lambda info: delete_tree(spark, info.location), infos)
 

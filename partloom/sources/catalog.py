@@ -52,6 +52,15 @@ class TableName:
     def sql(self) -> str:
         return ".".join(quote(p) for p in (self.catalog, self.database, self.table) if p)
 
+    @property
+    def in_session(self) -> str:
+        """The name for statements that know the session catalog only."""
+        return f"{quote(self.database)}.{quote(self.table)}"
+
+    def require_session_catalog(self) -> None:
+        if self.catalog not in (None, "spark_catalog"):
+            raise ConfigError(f"tables of the catalog {self.catalog} cannot be replaced, only those of spark_catalog")
+
     def sibling(self, prefix: str) -> TableName:
         """A name in the same database that nothing else uses."""
         return TableName(self.database, unique_name(prefix), self.catalog)

@@ -88,6 +88,8 @@ def _holds_text(schema: StructType) -> bool:
 
 def storage_of(info: TableInfo) -> Storage:
     """How new files of an existing table must be written so that the table reads them."""
+    if info.provider not in (*PROVIDERS.values(), "hive"):
+        raise ConfigError(f"{info.name} is stored as '{info.provider}', whose partitions are not plain directories")
     if info.provider == "hive":
         provider = PROVIDERS[SERDE_FORMATS.get(info.serde, "textfile")]
         options = _serde_text(info) if provider == "csv" else {}

@@ -6,6 +6,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
+from partloom.errors import ConfigError
 from partloom.sources.catalog import TableInfo, TableName, escape_value
 from partloom.sources.formats import storage_for, storage_of
 
@@ -51,6 +52,11 @@ def test_delimiter_and_codec_of_a_table():
     assert "compression" not in storage_of(info(provider="parquet")).options
 
 
+def test_table_of_another_kind_is_refused():
+    with pytest.raises(ConfigError, match="delta"):
+        storage_of(info(provider="delta"))
+
+
 def test_text_for_a_plain_serde(spark, folder):
     select = "select 1 as a, cast(null as string) as b, 'it said \"x\"' as c, timestamp_ntz '2020-01-01 00:00:00.5' as t, '' as e"
     storage = storage_of(info(serde=LAZY))
