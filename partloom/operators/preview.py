@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 from dataclasses import dataclass
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -86,7 +87,7 @@ def preview(spark: SparkSession, run_id: str, max_rows: int = 10) -> Preview:
     result = spark.table(view_of(run_id))
     rows: list[list[str | None]] = []
     # The part numbers follow the order of the result; most often the first file is enough.
-    for path in sorted(result.inputFiles(), key=_part_number):
+    for path in sorted(map(unquote, result.inputFiles()), key=_part_number):
         if len(rows) == max_rows:
             break
         part = spark.read.schema(result.schema).parquet(path).select(*_as_strings(result.schema))

@@ -61,6 +61,9 @@ def in_database(spark: SparkSession, database: str | None, catalog: str | None =
     with _use_lock:
         catalog_before = spark.catalog.currentCatalog()
         database_before = spark.catalog.currentDatabase()
+        if (catalog or catalog_before, database) == (catalog_before, database_before):
+            yield
+            return
         spark.sql("USE " + ".".join(quote(p) for p in (catalog, database) if p))
         try:
             yield

@@ -11,8 +11,9 @@ SF = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 
 @pytest.fixture(scope="session")
 def spark():
+    # Failed tasks are tried three times, as on a cluster.
     builder = (
-        SparkSession.builder.master("local[8]")
+        SparkSession.builder.master("local[8, 3]")
         .appName("tests")
         .config("spark.ui.enabled", "false")
         .config("spark.sql.shuffle.partitions", "8")

@@ -146,6 +146,11 @@ def test_preview_reads_on_when_the_first_file_is_short(spark, folder):
     assert len(preview(spark, run.id).rows) == 10
 
 
+def test_preview_of_an_oddly_named_folder(spark, folder):
+    run = query(spark, "select id from range(5)", output=f"{folder}with blank %41 ü", preview=True)
+    assert sorted(run.preview.rows) == [[str(i)] for i in range(5)]
+
+
 @pytest.mark.parametrize("max_rows", [-1, 101])
 def test_preview_range(spark, folder, max_rows):
     run = query(spark, "select 1 as a", output=folder)
