@@ -177,10 +177,10 @@ def outcome(
     places: Sequence[str | None],
     actions: Sequence[str],
 ) -> DataFrame:
-    """What was done with each spec."""
+    """What was done with each spec; a key of the name ``location`` or ``action`` keeps its own column."""
     columns = {key: pa.array([spec[key] for spec in specs], pa.string()) for key in keys}
-    columns["location"] = pa.array(places, pa.string())
-    columns["action"] = pa.array(actions, pa.string())
+    for name, values in (("location", places), ("action", actions)):
+        columns[name if name not in keys else f"partition_{name}"] = pa.array(values, pa.string())
     return spark.createDataFrame(pa.table(columns))
 
 

@@ -23,6 +23,7 @@ from pyspark.sql.types import (
 
 from partloom.errors import ConfigError, NotFound
 from partloom.sources.catalog import quote
+from partloom.sources.storage import has_objects, normalise, shared_folder
 
 _COLUMN = StructType(
     [
@@ -78,13 +79,20 @@ def view_of(run_id: str) -> str:
     return "query_run_" + run_id.replace("-", "_")
 
 
-def preview(spark: SparkSession, run_id: str, max_rows: int = 10) -> Preview:
-    """The columns and the first ``max_rows`` (0 to 100) rows of a run of this session."""
+def result_folder(spark: SparkSession, run_id: str, output: str | None) -> str:
+    """Where a run keeps its rows."""
+    return normalise(output or shared_folder(spark) + "query-results") + run_id + "/"
+
+
+def preview(spark: SparkSession, run_id: str, max_rows: int = 10, *, output: str | None = None) -> Preview:
+    """The columns and the first ``max_rows`` (0 to 100) rows of a run.
+
+    Runs of earlier sessions are found below ``output``, by default the folder
+    that ``query`` writes to.
+    """
     if not 0 <= max_rows <= 100:
         raise ConfigError(f"max_rows is {max_rows}, it must lie between 0 and 100")
-    if not spark.catalog.tableExists(view_of(run_id)):
-        raise NotFound(f"this session has no result of a query run {run_id}")
-    result = spark.table(view_of(run_id))
+    result = _result(spark, run_id, output)
     rows: list[list[str | None]] = []
     # The part numbers follow the order of the result; most often the first file is enough.
     for path in sorted(map(unquote, result.inputFiles()), key=_part_number):
@@ -95,6 +103,15 @@ def preview(spark: SparkSession, run_id: str, max_rows: int = 10) -> Preview:
     return Preview(run_id, [_describe(f) for f in result.schema.fields], rows)
 
 
+def _result(spark: SparkSession, run_id: str, output: str | None) -> DataFrame:
+    if spark.catalog.tableExists(view_of(run_id)):
+        return spark.table(view_of(run_id))
+    folder = result_folder(spark, run_id, output)
+    if not has_objects(spark, folder):
+        raise NotFound(f"there is no result of a query run {run_id}")
+    return spark.read.parquet(folder)
+
+
 def _part_number(path: str) -> int:
     return int(_PART.search(path.rsplit("/", 1)[-1]).group(1))
 

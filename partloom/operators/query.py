@@ -13,11 +13,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import LongType, NullType, StringType, StructField, StructType
 
 from partloom.errors import QueryFailed, QueryTimeout
-from partloom.operators.preview import Preview, preview as preview_rows, view_of
+from partloom.operators.preview import Preview, preview as preview_rows, result_folder, view_of
 from partloom.plans.limits import TEN_MINUTES, time_limit
 from partloom.sources.catalog import quote
 from partloom.sources.sqltext import in_database, load_sql
-from partloom.sources.storage import normalise, shared_folder
 
 _RECORD = StructType(
     [
@@ -82,7 +81,7 @@ def query(
     """
     text = load_sql(spark, command, params)
     run_id = str(uuid.uuid4())
-    folder = normalise(output or shared_folder(spark) + "query-results") + run_id + "/"
+    folder = result_folder(spark, run_id, output)
     started = time.time()
     run = QueryRun(id=run_id, query=text, state="RUNNING", database=database, workgroup=workgroup)
     try:

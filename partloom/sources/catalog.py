@@ -24,6 +24,9 @@ NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
 # besides the control characters.
 _ESCAPED = set("\"#%'*/:=?\\\x7f{[]^")
 
+# Column that numbers requested specs, next to columns named by the author's keys.
+_POSITION = "__position__"
+
 # Specs named in one ALTER TABLE statement.
 _SPECS_PER_STATEMENT = 500
 
@@ -197,9 +200,10 @@ def order_specs(spark: SparkSession, info: TableInfo, specs: Sequence[Spec]) ->
     types = key_types(spark, info)
     if ordered and any(t.typeName() != "string" for t in types.values()):
         typed = spec_frame(spark, info.partition_columns, ordered).select(
-            "spec", *(_column(key).cast(types[key]).cast("string").alias(key) for key in types)
+            _POSITION, *(_column(key).cast(types[key]).cast("string").alias(key) for key in types)
         )
-        ordered = [{key: row[key] for key in types} for row in sorted(typed.collect())]
+        rows = sorted(typed.collect(), key=lambda row: row[_POSITION])
+        ordered = [{key: row[key] for key in types} for row in rows]
     if len({tuple(spec.values()) for spec in ordered}) < len(ordered):
         raise ConfigError("the same partition is named twice")
     return ordered
@@ -207,7 +211,7 @@ def order_specs(spark: SparkSession, info: TableInfo, specs: Sequence[Spec]) ->
 
 def spec_frame(spark: SparkSession, keys: Sequence[str], specs: Sequence[Spec]) -> DataFrame:
     """Requested specs as rows: their position in the request, then the keys."""
-    columns = {"spec": pa.array(range(len(specs)), pa.int32())}
+    columns = {_POSITION: pa.array(range(len(specs)), pa.int32())}
     columns |= {key: pa.array([spec[key] for spec in specs], pa.string()) for key in keys}
     return spark.createDataFrame(pa.table(columns))
 
@@ -253,11 +257,11 @@ def present(spark: SparkSession, info: TableInfo, specs: Sequence[Spec]) -> list
     types = key_types(spark, info)
     keys = list(info.partition_columns)
     wanted = spec_frame(spark, keys, specs).select(
-        "spec", *(_column(key).cast(types[key]).alias(key) for key in keys)
+        _POSITION, *(_column(key).cast(types[key]).alias(key) for key in keys)
     )
     held = list_partitions(spark, info).select(*(_column(key).cast(types[key]).alias(key) for key in keys))
-    found = wanted.join(held, on=keys, how="left_semi").select("spec").collect()
-    positions = {row["spec"] for row in found}
+    found = wanted.join(held, on=keys, how="left_semi").select(_POSITION).collect()
+    positions = {row[_POSITION] for row in found}
     return [i in positions for i in range(len(specs))]
 
 

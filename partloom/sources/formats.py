@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Mapping
 from dataclasses import dataclass, field
 
@@ -10,6 +11,8 @@ from pyspark.sql.types import ArrayType, CharType, DataType, MapType, StringType
 from partloom.errors import ConfigError
 from partloom.sources.catalog import TableInfo
 
+log = logging.getLogger(__name__)
+
 # Format names and the Spark data source behind each.
 PROVIDERS = {
     "parquet": "parquet",
@@ -59,10 +62,11 @@ def storage_for(
         raise ConfigError(f"format '{format}' is not supported, use one of {sorted(PROVIDERS)}")
     provider = PROVIDERS[format]
     options: dict[str, str] = {}
-    if provider in ("parquet", "orc"):
-        if compression:
-            options["compression"] = compression
-    elif provider == "json":
+    if provider not in ("parquet", "orc"):
+        log.info("compression does not apply to the format %s", format)
+    elif compression:
+        options["compression"] = compression
+    if provider == "json":
         options |= _TIMES | _JSON_WRITE
     elif provider == "csv":
         options |= _TIMES | _CSV_WRITE

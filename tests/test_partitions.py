@@ -223,6 +223,16 @@ def test_odd_values_in_a_set(spark, db, folder):
     assert rows(spark.table(f"{db}.t")) == [(99, None)]
 
 
+def test_keys_named_like_the_report(spark, db, folder):
+    keys = ["location", "action", "spec"]
+    select = "select 1 as a, 'l' as location, 'x' as action, 's' as spec"
+    ctas(spark, select, database=db, table="t", location=f"{folder}t", partitioned_by=keys)
+    specs = [{"location": "l", "action": "x", "spec": "s"}, {"location": "m", "action": "y", "spec": "s"}]
+    done = drop_partition(spark, database=db, table="t", partition_kv=specs)
+    assert done.columns == [*keys, "partition_location", "partition_action"]
+    assert [tuple(r) for r in done.collect()] == [("l", "x", "s", None, "dropped"), ("m", "y", "s", None, "absent")]
+
+
 def test_many_partitions_in_one_call(spark, db, folder):
     n = 1200
     ctas(

@@ -158,6 +158,15 @@ def test_preview_range(spark, folder, max_rows):
         preview(spark, run.id, max_rows)
 
 
+def test_preview_of_a_run_of_another_session(spark, folder):
+    runs = [query(spark, "select id from range(20) order by id", output=folder), query(spark, "select 7 as id")]
+    other = spark.newSession()
+    assert preview(other, runs[0].id, 2, output=folder).rows == [["0"], ["1"]]
+    assert preview(other, runs[1].id).rows == [["7"]]
+    with pytest.raises(NotFound):
+        preview(other, runs[0].id)
+
+
 def test_preview_of_unknown_run(spark):
     with pytest.raises(NotFound):
         preview(spark, "4b3fb6a4-0000-0000-0000-000000000000")
