@@ -192,7 +192,7 @@ def query_events_hourly(w: Workspace) -> DataFrame:
     ORDER BY n_lines DESC, CAST(l_partkey AS BIGINT) LIMIT 10""")
 def preview_rows(w: Workspace) -> DataFrame:
     run = w.query(
-        "SELECT l_partkey, COUNT(*) AS n_lines, SUM(CAST(l_quantity AS DECIMAL(12, 2))) AS qty "
+        "SELECT l_partkey, COUNT(*) AS n_lines, SUM(CAST(l_quantity AS DECIMAL(8, 2))) AS qty "
         "FROM parquet.`${sf}/lineitem.parquet` GROUP BY l_partkey ORDER BY n_lines DESC, l_partkey"
     )
     return preview(w.spark, run.id, max_rows=10).rows_frame(w.spark)
@@ -489,6 +489,19 @@ def add_partition_set(w: Workspace) -> DataFrame:
     return w.table("t")
 
 
+@workload(_KEYED_ORDERS)
+def add_partition_files(w: Workspace) -> DataFrame:
+    """Many partitions from one SELECT: one job writes the files, one call registers them."""
+    keys = ["o_orderstatus", "o_orderpriority"]
+    w.ctas(_KEYED, "t", table_mode="empty", partitioned_by=keys)
+    files = w.ctas(_KEYED, "files", table_mode="data_only", partitioned_by=keys).location
+    pairs = w.values(f"SELECT DISTINCT o_orderstatus, o_orderpriority FROM {w.source('orders')}")
+    specs = [dict(zip(keys, pair)) for pair in pairs]
+    places = [f"{files}o_orderstatus={status}/o_orderpriority={priority}" for status, priority in pairs]
+    w.on(add_partition, "t", partition_kv=specs, location=places)
+    return w.table("t")
+
+
 @workload(_KEYED_ORDERS + " WHERE o_orderstatus <> 'F'")
 def add_partition_follow(w: Workspace) -> DataFrame:
     """A partition pointed at a location without objects goes."""
