@@ -75,9 +75,9 @@ def query(
     """Run one statement and store its rows as parquet under ``output/<run id>/``.
 
     The statement runs once; the result, its preview and all later reads come
-    from the stored rows. ``params`` fill ``${name}`` as plain text, ``args`` are
-    Spark's typed parameters for values that are not trusted. ``workgroup`` is
-    only noted in the record.
+    from the stored rows, where columns of one name are numbered. ``params`` fill
+    ``${name}`` as plain text, ``args`` are Spark's typed parameters for values that
+    are not trusted. ``workgroup`` is only noted in the record.
     """
     text = load_sql(spark, command, params)
     run_id = str(uuid.uuid4())
@@ -114,12 +114,27 @@ def _finish(run: QueryRun, started: float, **changes) -> QueryRun:
 
 def _store(spark: SparkSession, frame: DataFrame, folder: str) -> DataFrame:
     """Write the rows once and read them from there on."""
+    frame = frame.toDF(*_distinct(frame.columns))
     untyped = [f.name for f in frame.schema.fields if isinstance(f.dataType, NullType)]
     frame = frame.withColumns({name: frame[quote(name)].cast("string") for name in untyped})
     frame.write.parquet(folder)
     return spark.read.schema(frame.schema).parquet(folder)
 
 
+def _distinct(names: list[str]) -> list[str]:
+    """Columns of one name, as ``SELECT *`` over a join gives them, get a number."""
+    taken: set[str] = set()
+    distinct = []
+    for name in names:
+        number, free = 1, name
+        while free.lower() in taken:
+            number += 1
+            free = f"{name}_{number}"
+        taken.add(free.lower())
+        distinct.append(free)
+    return distinct
+
+
 def scan_bytes(frame: DataFrame) -> int:
     """Size of the files the plan reads, after partition and before column pruning."""
     leaves = frame._jdf.queryExecution().optimizedPlan().collectLeaves()

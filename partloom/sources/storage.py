@@ -122,4 +122,4 @@ def for_each(spark: SparkSession, call: Callable, items: Iterable) -> list:
     if len(items) < 2:
         return [call(item) for item in items]
     with ThreadPoolExecutor(min(_WAITING_CALLS, len(items))) as pool:
-        return list(pool.map(inheritable_thread_target(spark)(call), items))
+        return list(pool.map(inheritable_thread_target(call), items))

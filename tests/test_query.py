@@ -103,6 +103,11 @@ def test_typed_arguments(spark, small, db, folder):
     assert [r.a for r in run.frame.collect()] == [4]
 
 
+def test_columns_of_one_name_and_of_none(spark, folder):
+    run = query(spark, "select *, count(1) over (), 'a,b;{}' from (select 1 as a, 2 as A, 3 as a_2)", output=folder)
+    assert run.frame.columns[:3] == ["a", "A_2", "a_2_2"] and tuple(run.frame.first())[:4] == (1, 2, 3, 1)
+
+
 def test_statement_without_rows(spark, db, folder):
     run = query(spark, "create table made (a int) using parquet", database=db, output=folder, preview=True)
     assert run.state == "SUCCEEDED" and run.output is None and run.preview is None
