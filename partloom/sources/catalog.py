@@ -128,7 +128,7 @@ def table_exists(spark: SparkSession, name: TableName) -> bool:
 
 
 def describe_table(spark: SparkSession, name: TableName) -> TableInfo:
-    facts = json.loads(spark.sql(f"DESCRIBE EXTENDED {name.sql} AS JSON").first()[0])
+    facts = json.loads(spark.sql(f"DESCRIBE EXTENDED {name.sql} AS JSON").collect()[0][0])
     return TableInfo(
         name=name,
         kind=facts.get("type", ""),
@@ -269,7 +269,7 @@ def partition_locations(spark: SparkSession, info: TableInfo, specs: Sequence[Sp
     """Where each of these existing partitions lies."""
 
     def location(spec: Spec) -> str:
-        text = spark.sql(f"DESCRIBE EXTENDED {info.name.sql} {partition_clause(spec)} AS JSON").first()[0]
+        text = spark.sql(f"DESCRIBE EXTENDED {info.name.sql} {partition_clause(spec)} AS JSON").collect()[0][0]
         return normalise(json.loads(text)["location"])
 
     return for_each(spark, location, specs)

@@ -5,7 +5,9 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable, Iterable
 from concurrent.futures import ThreadPoolExecutor
+from functools import lru_cache
 
+from py4j.protocol import Py4JJavaError
 from pyspark import inheritable_thread_target
 from pyspark.sql import SparkSession
 
@@ -28,8 +30,14 @@ def shared_folder(spark: SparkSession) -> str:
     return normalise(fs.makeQualified(path).toString())
 
 
+@lru_cache(maxsize=1)
+def _path_class(jvm):
+    # Each part of a Java package name costs a call to the JVM.
+    return jvm.org.apache.hadoop.fs.Path
+
+
 def _open(spark: SparkSession, uri: str):
-    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(uri)
+    path = _path_class(spark.sparkContext._jvm)(uri)
     return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), path
 
 
@@ -111,9 +119,16 @@ def replace_tree(spark: SparkSession, staged: str, target: str) -> None:
 
 
 def _rename(fs, source, target) -> None:
+    problem = f"{source.toString()} could not be moved to {target.toString()}"
     # Moving onto an existing directory would put the source inside it.
-    if fs.exists(target) or not fs.rename(source, target):
-        raise StorageError(f"{source.toString()} could not be moved to {target.toString()}")
+    if fs.exists(target):
+        raise StorageError(f"{problem}, which is there already")
+    try:
+        moved = fs.rename(source, target)
+    except Py4JJavaError as error:
+        raise StorageError(problem) from error
+    if not moved:
+        raise StorageError(problem)
 
 
 def for_each(spark: SparkSession, call: Callable, items: Iterable) -> list:
@@ -121,5 +136,8 @@ def for_each(spark: SparkSession, call: Callable, items: Iterable) -> list:
     items = list(items)
     if len(items) < 2:
         return [call(item) for item in items]
+    # Wrapped once per item: threads that shared one wrapper would share the job
+    # properties it hands on, and overwrite each other's.
+    calls = [inheritable_thread_target(call) for _ in items]
     with ThreadPoolExecutor(min(_WAITING_CALLS, len(items))) as pool:
-        return list(pool.map(inheritable_thread_target(call), items))
+        return list(pool.map(lambda wrapped, item: wrapped(item), calls, items))
