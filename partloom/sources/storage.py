@@ -136,8 +136,24 @@ def for_each(spark: SparkSession, call: Callable, items: Iterable) -> list:
     items = list(items)
     if len(items) < 2:
         return [call(item) for item in items]
-    # Wrapped once per item: threads that shared one wrapper would share the job
-    # properties it hands on, and overwrite each other's.
-    calls = [inheritable_thread_target(call) for _ in items]
-    with ThreadPoolExecutor(min(_WAITING_CALLS, len(items))) as pool:
-        return list(pool.map(lambda wrapped, item: wrapped(item), calls, items))
+    workers = min(_WAITING_CALLS, len(items))
+
+    def share(first: int) -> list:
+        return [call(item) for item in items[first::workers]]
+
+    results = [None] * len(items)
+    with ThreadPoolExecutor(workers) as pool:
+        shares = [pool.submit(_inheriting(spark, share), first) for first in range(workers)]
+        for first, done in enumerate(shares):
+            results[first::workers] = done.result()
+    return results
+
+
+def _inheriting(spark: SparkSession, call: Callable) -> Callable:
+    """``call`` for one other thread, with a copy of this thread's job properties and tags.
+
+    Threads must not share a copy: they would overwrite each other's properties.
+    """
+    wrap = inheritable_thread_target(spark)
+    # Spark hands its argument back where threads are not tied to the JVM's.
+    return call if wrap is spark else wrap(call)
