@@ -9,10 +9,12 @@ from __future__ import annotations
 import tempfile
 import uuid
 from collections.abc import Callable, Mapping
+from contextlib import contextmanager
 from datetime import timedelta
 from functools import reduce
 from pathlib import Path
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -31,7 +33,7 @@ from partloom import (
     query,
     table_exists,
 )
-from partloom.errors import ConfigError, SchemaMismatch
+from partloom.errors import AlreadyExists, ConfigError, SchemaMismatch
 from partloom.sources.storage import for_each, shared_folder
 
 SQL = Path(__file__).parent / "sql"
@@ -103,7 +105,8 @@ class Workspace:
     def counts(self, database: str | None = None) -> DataFrame:
         """Rows of every table of a database."""
         database = database or self.database
-        names = [r[0] for r in self.spark.sql(f"SHOW TABLES IN {database}").where("NOT isTemporary").select("tableName").collect()]
+        tables = self.spark.sql(f"SHOW TABLES IN {database}").where("NOT isTemporary")
+        names = [row.tableName for row in tables.collect()]
         frames = [
             self.spark.table(f"{database}.{name}").agg(F.count("*").alias("n")).withColumn("name", F.lit(name))
             for name in names
@@ -120,6 +123,16 @@ def _shared(spark: SparkSession) -> str:
         return tempfile.mkdtemp(prefix="run-") + "/"
 
 
+@contextmanager
+def refused(kind: type[Exception]):
+    """The block must fail in this way."""
+    try:
+        yield
+    except kind:
+        return
+    raise AssertionError(f"{kind.__name__} was expected")
+
+
 def _filled(frame: DataFrame, label: str) -> DataFrame:
     """How many values each column holds: ``column`` and ``label``."""
     counted = frame.agg(*(F.count(name).alias(name) for name in frame.columns))
@@ -276,13 +289,10 @@ def ctas_partitioned(w: Workspace) -> DataFrame:
     return w.ctas(select, "t", partitioned_by=["l_returnflag", "l_linestatus"]).frame
 
 
-@workload("""
-    SELECT o_custkey, COUNT(*) AS n_orders, MAX(o_totalprice) AS highest FROM orders GROUP BY o_custkey""")
+@workload(_ORDERS)
 def ctas_bucketed(w: Workspace) -> DataFrame:
     select = "SELECT * FROM parquet.`${sf}/orders.parquet`"
-    table = w.ctas(select, "t", bucketed_by=["o_custkey"], bucket_count=8).frame
-    # Grouping by the bucket column needs no further shuffle.
-    return table.groupBy("o_custkey").agg(F.count("*").alias("n_orders"), F.max("o_totalprice").alias("highest"))
+    return w.ctas(select, "t", bucketed_by=["o_custkey"], bucket_count=8).frame
 
 
 @workload("""
@@ -316,6 +326,24 @@ def ctas_ignore(w: Workspace) -> DataFrame:
     return w.ctas("SELECT * FROM parquet.`${sf}/part.parquet`", "t", save_mode="ignore").frame
 
 
+@workload("SELECT * FROM supplier")
+def ctas_error_if_exists(w: Workspace) -> DataFrame:
+    """The first table is made, the second call is an error and changes nothing."""
+    w.ctas("SELECT * FROM parquet.`${sf}/supplier.parquet`", "t", save_mode="error_if_exists")
+    with refused(AlreadyExists):
+        w.ctas("SELECT * FROM parquet.`${sf}/part.parquet`", "t", save_mode="error_if_exists")
+    return w.table("t")
+
+
+@workload("SELECT * FROM part")
+def ctas_none(w: Workspace) -> DataFrame:
+    """No checks of our own: Spark makes the first table and refuses the second."""
+    w.ctas("SELECT * FROM parquet.`${sf}/part.parquet`", "t", save_mode="none")
+    with refused(AnalysisException):
+        w.ctas("SELECT * FROM parquet.`${sf}/supplier.parquet`", "t", save_mode="none")
+    return w.table("t")
+
+
 # --- apas --------------------------------------------------------------------
 
 
@@ -369,15 +397,25 @@ def apas_skip(w: Workspace) -> DataFrame:
 def apas_schema_diff_kept(w: Workspace) -> DataFrame:
     select = "SELECT o_orderkey, o_totalprice, o_orderstatus FROM parquet.`${sf}/orders.parquet`"
     w.ctas(select, "t", partitioned_by=["o_orderstatus"])
-    try:
+    with refused(SchemaMismatch):
         w.apas(
             "SELECT CAST(o_orderkey AS INT) AS o_orderkey, o_totalprice FROM parquet.`${sf}/orders.parquet`",
             "t",
             partition_kv={"o_orderstatus": "F"},
         )
-    except SchemaMismatch:
-        return w.table("t")
-    raise AssertionError("the changed type went unnoticed")
+    return w.table("t")
+
+
+@workload("SELECT o_orderkey, o_totalprice, o_orderstatus FROM orders")
+def apas_error_if_exists(w: Workspace) -> DataFrame:
+    """P is new and is stored, F is there and stays as it is."""
+    select = "SELECT o_orderkey, o_totalprice, o_orderstatus FROM parquet.`${sf}/orders.parquet`"
+    w.ctas(select + " WHERE o_orderstatus <> 'P'", "t", partitioned_by=["o_orderstatus"])
+    new = "SELECT o_orderkey, o_totalprice FROM parquet.`${sf}/orders.parquet` WHERE o_orderstatus = 'P'"
+    w.apas(new, "t", partition_kv={"o_orderstatus": "P"}, save_mode="error_if_exists")
+    with refused(AlreadyExists):
+        w.apas(new, "t", partition_kv={"o_orderstatus": "F"}, save_mode="error_if_exists")
+    return w.table("t")
 
 
 @workload("SELECT o_orderkey, o_totalprice, o_orderstatus FROM orders WHERE o_orderstatus <> 'F'")
@@ -526,6 +564,20 @@ def add_partition_relocate(w: Workspace) -> DataFrame:
     return w.table("t")
 
 
+@workload("SELECT o_orderkey, o_totalprice, o_orderstatus FROM orders")
+def add_partition_skip(w: Workspace) -> DataFrame:
+    """Partitions that are there stay where they are, by leave or by error."""
+    select = "SELECT o_orderkey, o_totalprice, o_orderstatus FROM parquet.`${sf}/orders.parquet`"
+    w.ctas(select, "t", partitioned_by=["o_orderstatus"])
+    doubled = "SELECT o_orderkey, o_totalprice * 2 AS o_totalprice FROM parquet.`${sf}/orders.parquet`"
+    other = w.ctas(doubled, "files", table_mode="data_only").location
+    spec = {"o_orderstatus": "F"}
+    w.on(add_partition, "t", partition_kv=spec, location=other, save_mode="skip_if_exists")
+    with refused(AlreadyExists):
+        w.on(add_partition, "t", partition_kv=spec, location=other, save_mode="error_if_exists")
+    return w.table("t")
+
+
 @workload(_KEYED_ORDERS + " WHERE o_orderpriority <> '5-LOW'")
 def drop_partition_set(w: Workspace) -> DataFrame:
     specs = [spec for spec in _keyed_orders(w) if spec["o_orderpriority"] == "5-LOW"]
@@ -568,7 +620,8 @@ def table_exists_set(w: Workspace) -> DataFrame:
     kinds = _table_per_type(w)
     w.on(drop_table, "events_error", with_location=True)
     found = w.on(table_exists, [f"events_{kind}" for kind in kinds], with_location=True)
-    found = found.select(F.replace("table", F.lit("events_"), F.lit("")).alias("event_type"), "table_exists", "location_exists")
+    kind = F.replace("table", F.lit("events_"), F.lit("")).alias("event_type")
+    found = found.select(kind, "table_exists", "location_exists")
     return w.read("events").groupBy("event_type").agg(F.count("*").alias("n_events")).join(found, "event_type")
 
 
