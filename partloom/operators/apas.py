@@ -14,7 +14,7 @@ from pyspark.sql.types import StructType
 
 from partloom.errors import AlreadyExists, ConfigError
 from partloom.operators.ctas import Layout, Write, choose, landing, read_files
-from partloom.operators.partitions import SAVE_MODES, outcome, refuse_managed
+from partloom.operators.partitions import SAVE_MODES, outcome, refuse_managed, refuse_table_root
 from partloom.operators.schema_diff import differences, report
 from partloom.plans.layout import rebalance as rebalance_rows
 from partloom.plans.limits import TEN_MINUTES, time_limit
@@ -77,6 +77,7 @@ def apas(
     info = partitioned_table(spark, TableName(database, table, catalog))
     spec = order_specs(spark, info, [partition_kv])[0]
     target = normalise(location) if location else default_location(info, spec)
+    refuse_table_root(spark, info, [target])
 
     def done(action: str) -> DataFrame:
         return outcome(spark, info.partition_columns, [spec], [target], [action])

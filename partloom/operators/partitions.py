@@ -26,7 +26,7 @@ from partloom.sources.catalog import (
     present,
     table_exists,
 )
-from partloom.sources.storage import delete_tree, for_each, has_objects, normalise
+from partloom.sources.storage import delete_tree, for_each, has_objects, holds, normalise
 
 log = logging.getLogger(__name__)
 
@@ -119,6 +119,7 @@ def drop_partition(
     there = _picked(specs, held)
     # Looked up one by one, so only if needed.
     places = partition_locations(spark, info, there) if with_location else [None] * len(there)
+    refuse_table_root(spark, info, [place for place in places if place])
     drop_from_catalog(spark, info, there)
     if with_location:
         for_each(spark, lambda place: delete_tree(spark, place), places)
@@ -198,3 +199,10 @@ def _picked(items: Sequence, flags: Sequence[bool]) -> list:
 def refuse_managed(info: TableInfo, keeps_files: bool) -> None:
     if info.managed and keeps_files:
         raise ConfigError(f"{info.name} is managed: dropping its partitions would delete their files")
+
+
+def refuse_table_root(spark: SparkSession, info: TableInfo, places: Sequence[str]) -> None:
+    """A partition's directory is replaced or deleted as a whole, so it must not hold the others."""
+    whole = for_each(spark, lambda place: holds(spark, place, info.location), places)
+    if any(whole):
+        raise ConfigError(f"{_picked(places, whole)[0]} holds all of {info.name}, not one partition")

@@ -26,8 +26,7 @@ def shared_folder(spark: SparkSession) -> str:
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
         raise ConfigError("spark.checkpoint.dir is not set: name an output folder")
-    fs, path = _open(spark, folder)
-    return normalise(fs.makeQualified(path).toString())
+    return _qualified(spark, folder)
 
 
 @lru_cache(maxsize=1)
@@ -69,9 +68,17 @@ def is_vacant(spark: SparkSession, uri: str) -> bool:
 
 
 def same_place(spark: SparkSession, left: str, right: str) -> bool:
-    fs, path = _open(spark, left)
-    other_fs, other = _open(spark, right)
-    return fs.makeQualified(path).toString() == other_fs.makeQualified(other).toString()
+    return _qualified(spark, left) == _qualified(spark, right)
+
+
+def holds(spark: SparkSession, outer: str, inner: str) -> bool:
+    """Whether ``inner`` is ``outer`` or lies below it."""
+    return _qualified(spark, inner).startswith(_qualified(spark, outer))
+
+
+def _qualified(spark: SparkSession, uri: str) -> str:
+    fs, path = _open(spark, uri)
+    return normalise(fs.makeQualified(path).toString())
 
 
 def delete_tree(spark: SparkSession, uri: str | None) -> None:

@@ -268,3 +268,10 @@ def test_no_rows_no_partition(spark, db, small, store, held, folder, spec):
     place = "/".join(f"{k}={v}" for k, v in spec.items())
     assert not has_objects(spark, f"{folder}small/{place}") and tidy(folder)
     assert store("select 7 as a", spec, save_mode="error_if_exists") == "stored"
+
+
+@pytest.mark.parametrize("place", ["small", "small/", ""])
+def test_the_table_itself_is_no_partition(store, held, folder, place):
+    with pytest.raises(ConfigError, match="holds all of"):
+        store("select 7 as a", NEW, location=f"{folder}{place}")
+    assert held() == [(1, 2, 3), (4, 5, 6)]

@@ -135,6 +135,14 @@ def test_drop_deletes_where_the_partition_lies(spark, on, folder):
     assert not has_objects(spark, f"{folder}other") and has_objects(spark, f"{folder}small/b=5/c=6")
 
 
+def test_drop_does_not_delete_the_whole_table(on, held, folder):
+    on(add_partition, {"b": "9", "c": "10"}, location=f"{folder}small")
+    with pytest.raises(ConfigError, match="holds all of"):
+        on(drop_partition, {"b": "9", "c": "10"}, with_location=True)
+    on(drop_partition, {"b": "9", "c": "10"})
+    assert held() == [(1, 2, 3), (4, 5, 6)]
+
+
 def test_drop_absent(spark, db, on, held):
     absent = {"b": "7", "c": "7"}
     assert on(drop_partition, absent).first().action == "absent"

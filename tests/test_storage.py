@@ -74,6 +74,11 @@ def test_same_place(spark):
     assert not storage.same_place(spark, "file:/a/b", "file:/a/c")
 
 
+def test_holds(spark):
+    assert storage.holds(spark, "file:/a", "/a/b/") and storage.holds(spark, "/a/b", "file:/a/b/")
+    assert not storage.holds(spark, "/a/b", "/a/bc") and not storage.holds(spark, "/a/b/c", "/a/b")
+
+
 def test_shared_folder_must_be_named(spark):
     class Bare:
         class conf:
