@@ -95,7 +95,7 @@ def preview(spark: SparkSession, run_id: str, max_rows: int = 10, *, output: str
     result = _result(spark, run_id, output)
     rows: list[list[str | None]] = []
     # The part numbers follow the order of the result; most often the first file is enough.
-    for path in sorted(map(unquote, result.inputFiles()), key=_part_number):
+    for path in sorted(map(unquote, result.inputFiles()), key=_place):
         if len(rows) == max_rows:
             break
         part = spark.read.schema(result.schema).parquet(path).select(*_as_strings(result.schema))
@@ -112,8 +112,10 @@ def _result(spark: SparkSession, run_id: str, output: str | None) -> DataFrame:
     return spark.read.parquet(folder)
 
 
-def _part_number(path: str) -> int:
-    return int(_PART.search(path.rsplit("/", 1)[-1]).group(1))
+def _place(path: str) -> tuple[int, str]:
+    """Where a file stands in the result: by task, then by its number within the task."""
+    name = path.rsplit("/", 1)[-1]
+    return int(_PART.search(name).group(1)), name
 
 
 def _as_strings(schema: StructType) -> list[Column]:

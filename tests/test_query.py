@@ -143,6 +143,15 @@ def test_preview_follows_the_order_of_the_result(spark, folder):
     assert preview(spark, ordered.id, 3).rows == [["99999"], ["99998"], ["99997"]]
 
 
+def test_preview_of_files_cut_by_size(spark, folder):
+    spark.conf.set("spark.sql.files.maxRecordsPerFile", "3")
+    try:
+        run = query(spark, "select id from range(0, 40) order by id desc", output=folder)
+    finally:
+        spark.conf.unset("spark.sql.files.maxRecordsPerFile")
+    assert preview(spark, run.id, 25).rows == [[str(i)] for i in range(39, 14, -1)]
+
+
 def test_preview_reads_on_when_the_first_file_is_short(spark, folder):
     run = query(spark, "select /*+ REPARTITION(40, id) */ id from range(0, 60)", output=folder)
     assert len(preview(spark, run.id, 50).rows) == 50
