@@ -238,6 +238,9 @@ def _data_only(
 def _empty(
     spark: SparkSession, write: Write, name: TableName, target: str, old: TableInfo | None, save_mode: str
 ) -> None:
+    if save_mode == "none" and not is_vacant(spark, target):
+        # Spark would refuse a table with rows here, too.
+        raise AlreadyExists(f"location {target} is not empty")
     aside = staging_beside(spark, target)
     try:
         with write.scratch(spark, name, aside) as like:

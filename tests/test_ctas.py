@@ -292,3 +292,53 @@ def tidy(spark, folder, db):
     names = [r.tableName for r in spark.sql(f"SHOW TABLES IN {db}").collect()]
     staged = [p for p in Path(folder.removeprefix("file:")).rglob("_*") if p.name.startswith(("_stag", "_repl"))]
     return not staged and not [n for n in names if n.startswith(("scratch_", "select_"))]
+
+
+# --- what a SELECT may be ---
+
+
+def test_partitioned_and_bucketed(spark, db, folder):
+    select = "select id as a, cast(id % 3 as int) as b, cast(id % 5 as int) as c from range(300)"
+    options = dict(partitioned_by=["B"], bucketed_by=["a"], bucket_count=4)
+    for _ in range(2):
+        made = ctas(spark, select, database=db, table="t", location=f"{folder}t", **options)
+        assert rows(made.frame, "a", "b", "c") == rows(spark.sql(select))
+    assert spark.sql(f"SHOW PARTITIONS {db}.t").count() == 3
+    detail = {r.col_name: r.data_type for r in spark.sql(f"DESCRIBE EXTENDED {db}.t").collect()}
+    assert detail["Num Buckets"] == "4"
+
+
+@pytest.mark.parametrize("columns", [["a"], ["nowhere"], ["a", "a"]])
+def test_impossible_partitions(spark, db, folder, columns):
+    ctas(spark, ONE, database=db, table="t", location=f"{folder}t")
+    with pytest.raises(Exception, match="PARTITION|partition|UNRESOLVED|COLUMN"):
+        ctas(spark, TWO, database=db, table="t", location=f"{folder}t", partitioned_by=columns)
+    assert rows(spark.table(f"{db}.t")) == [(1,)] and tidy(spark, folder, db)
+
+
+@pytest.mark.parametrize(
+    "select",
+    [
+        "select id as a from mine order by id desc",
+        "select id as a from mine limit 3",
+        "select max(id) as a from mine",
+        "select id as a from mine union all select id from mine",
+        "values (1L), (2L) as t(a)",
+        "with x as (select * from mine) select x.id as a from x join mine using (id)",
+        "select explode(sequence(1L, 3L)) as a",
+        "select id as a from mine where id = :n",
+    ],
+)
+@pytest.mark.parametrize("options", [{}, {"rebalance": True}, {"bucketed_by": ["a"], "bucket_count": 2}])
+def test_selects_of_all_kinds(spark, db, folder, select, options):
+    spark.range(7).createOrReplaceTempView("mine")
+    args = {"n": 5} if ":n" in select else None
+    made = ctas(spark, select, database=db, table="t", location=f"{folder}t", args=args, **options)
+    assert made.frame.count() == spark.sql(select, args=args).count()
+    assert tidy(spark, folder, db)
+
+
+def test_not_a_select(spark, db, folder):
+    with pytest.raises(Exception):
+        ctas(spark, "selct 1", database=db, table="t", location=f"{folder}t")
+    assert not spark.catalog.tableExists(f"{db}.t") and tidy(spark, folder, db)

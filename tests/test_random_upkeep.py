@@ -1,0 +1,185 @@
+"""Random sequences of partition calls against a plain model of catalog and files."""
+
+import random
+
+import pytest
+from conftest import rows
+
+from partloom import add_partition, apas, ctas, drop_partition, drop_table, partition_exists, table_exists
+from partloom.errors import AlreadyExists
+
+MODES = ["overwrite", "skip_if_exists", "error_if_exists"]
+
+
+class Model:
+    def __init__(self):
+        self.catalog = {}  # key -> place
+        self.files = {}  # place -> values
+
+    def rows(self):
+        return sorted((v, k) for k, place in self.catalog.items() for v in self.files.get(place, []))
+
+    def add(self, key, place, mode, follow):
+        held = key in self.catalog
+        if held and mode == "error_if_exists":
+            return "error"
+        if not self.files.get(place) and follow:
+            if held and mode == "overwrite":
+                del self.catalog[key]
+                return "dropped"
+            return "kept" if held else "skipped"
+        if held and mode == "skip_if_exists":
+            return "kept"
+        self.catalog[key] = place
+        return "relocated" if held else "added"
+
+    def drop(self, key, with_location):
+        if key not in self.catalog:
+            return "absent"
+        place = self.catalog.pop(key)
+        if with_location:
+            self.files.pop(place, None)
+        return "dropped"
+
+    def apas(self, key, place, mode, values):
+        if mode != "overwrite" and (key in self.catalog or self.files.get(place)):
+            return "error" if mode == "error_if_exists" else "kept"
+        if not values:
+            self.catalog.pop(key, None)
+            self.files.pop(place, None)
+            return "empty"
+        self.files[place] = values
+        self.catalog[key] = place
+        return "stored"
+
+    def exists(self, key):
+        held = key in self.catalog
+        return held, held and bool(self.files.get(self.catalog[key]))
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_like_the_model(spark, db, folder, seed):
+    ctas(
+        spark,
+        "select 1 as a, 1 as k",
+        database=db,
+        table="t",
+        location=f"{folder}t",
+        table_mode="empty",
+        partitioned_by=["k"],
+    )
+    chance, model = random.Random(seed), Model()
+    on = {"database": db, "table": "t"}
+
+    def outcome(call):
+        try:
+            return call().first().action
+        except AlreadyExists:
+            return "error"
+
+    for step in range(30):
+        key = chance.randrange(3)
+        spec = {"k": chance.choice([f"{key}", f"0{key}"])}
+        # A place of the key's own, or one that keys may share.
+        place = chance.choice([f"{folder}t/k={key}", f"{folder}t/k={key}", f"{folder}shared"])
+        given = None if place.endswith(f"k={key}") and chance.random() < 0.5 else place
+        mode = chance.choice([*MODES, "overwrite"])
+        what = chance.choice(["write", "add", "add", "drop", "apas", "apas", "exists"])
+        if what == "write":
+            values = [step]
+            spark.sql(f"select {step} as a").write.mode("overwrite").parquet(place)
+            spark.catalog.refreshTable(f"{db}.t")
+            model.files[place] = values
+        elif what == "add":
+            follow = chance.random() < 0.7
+            found = outcome(
+                lambda: add_partition(
+                    spark, partition_kv=spec, location=given, save_mode=mode, follow_location=follow, **on
+                )
+            )
+            assert found == model.add(key, place, mode, follow), (seed, step)
+        elif what == "drop":
+            with_location = chance.random() < 0.5
+            found = outcome(lambda: drop_partition(spark, partition_kv=spec, with_location=with_location, **on))
+            assert found == model.drop(key, with_location), (seed, step)
+        elif what == "apas":
+            values = chance.choice([[], [step], [step, -step]])
+            select = f"select a from values (0), ({step}), ({-step}) as v(a) where a in ({', '.join(map(str, values or ['null']))})"
+            if step == 0 and values:
+                continue
+            found = outcome(
+                lambda: apas(spark, select, partition_kv=spec, location=given, save_mode=mode, **on)
+            )
+            assert found == model.apas(key, place, mode, values), (seed, step)
+        else:
+            row = partition_exists(spark, partition_kv=spec, with_location=True, **on).first()
+            assert (row.partition_exists, row.location_exists) == model.exists(key), (seed, step)
+        assert rows(spark.table(f"{db}.t")) == sorted(model.rows(), key=repr), (seed, step, what)
+
+
+class Tables:
+    def __init__(self):
+        self.catalog = {}  # name -> place
+        self.files = {}  # place -> values
+
+    def ctas(self, name, place, save_mode, table_mode, value):
+        taken = name in self.catalog or bool(self.files.get(place))
+        if taken and save_mode in ("error_if_exists", "none"):
+            # Files alone do not make a name taken for Spark, a table alone does not fill a place.
+            if save_mode == "none" and table_mode == "data_only" and not self.files.get(place):
+                self.files[place] = [value]
+                return "done"
+            return "error"
+        if taken and save_mode == "ignore":
+            return "ignored"
+        if save_mode == "overwrite":
+            self.catalog.pop(name, None)
+        self.files[place] = [] if table_mode == "empty" else [value]
+        if table_mode != "data_only":
+            self.catalog[name] = place
+        return "done"
+
+    def drop(self, name, with_location):
+        if name not in self.catalog:
+            return "absent"
+        place = self.catalog.pop(name)
+        if with_location:
+            self.files.pop(place, None)
+        return "dropped"
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_tables_like_the_model(spark, db, folder, seed):
+    chance, model = random.Random(100 + seed), Tables()
+    for step in range(25):
+        name, place = chance.choice(["x", "y"]), f"{folder}{chance.choice(['p', 'q', 'r'])}/"
+        if chance.random() < 0.75:
+            save_mode = chance.choice(["none", "error_if_exists", "ignore", "overwrite", "overwrite"])
+            table_mode = chance.choice(["default", "default", "empty", "data_only"])
+            options = {"partitioned_by": ["k"]} if chance.random() < 0.5 else {}
+            try:
+                made = ctas(
+                    spark,
+                    f"select {step} as a, 1 as k",
+                    database=db,
+                    table=name,
+                    location=place,
+                    save_mode=save_mode,
+                    table_mode=table_mode,
+                    **options,
+                )
+                found = "done" if made.created else "ignored"
+            except Exception as error:
+                assert any(word in str(error) for word in ("already", "ALREADY", "empty")), error
+                found = "error"
+            expected = model.ctas(name, place, save_mode, table_mode, step)
+            assert found == expected, (seed, step, name, place, save_mode, table_mode)
+        else:
+            with_location = chance.random() < 0.5
+            done = drop_table(spark, database=db, table=name, with_location=with_location).first()
+            assert done.action == model.drop(name, with_location), (seed, step)
+        found = table_exists(spark, database=db, table=["x", "y"], with_location=True).collect()
+        for row in found:
+            held = row.table in model.catalog
+            values = model.files.get(model.catalog[row.table], []) if held else []
+            assert (row.table_exists, row.location_exists) == (held, bool(values)), (seed, step, row)
