@@ -43,11 +43,12 @@ ORACLES: dict[str, str] = {}
 
 
 def workload(oracle: str):
-    """Register a function of a workspace under its own name."""
+    """Register a function of a workspace under its own name, without a final underscore."""
 
     def register(run: Callable[[Workspace], DataFrame]):
-        QUERIES[run.__name__] = lambda spark, sf_dir: run(Workspace(spark, sf_dir))
-        ORACLES[run.__name__] = oracle
+        name = run.__name__.rstrip("_")
+        QUERIES[name] = lambda spark, sf_dir: run(Workspace(spark, sf_dir))
+        ORACLES[name] = oracle
         return run
 
     return register
@@ -483,7 +484,7 @@ def apas_textfile(w: Workspace) -> DataFrame:
     UNION ALL SELECT 'o_custkey', NULL, 'string', 'right_only', COUNT(o_custkey) FROM orders
     UNION ALL SELECT 'o_orderpriority', 'string', NULL, 'left_only', COUNT(o_orderpriority) FROM orders
     UNION ALL SELECT 'order_year', NULL, 'int', 'right_only', COUNT(o_orderdate) FROM orders""")
-def diff_schema_report(w: Workspace) -> DataFrame:
+def diff_schema_(w: Workspace) -> DataFrame:
     """The differing columns of two tables, and how many values each holds."""
     w.ctas(
         "SELECT o_orderkey, o_custkey, o_orderpriority, o_orderstatus FROM parquet.`${sf}/orders.parquet`",
@@ -519,7 +520,7 @@ def _keyed_orders(w: Workspace) -> list[dict[str, str]]:
 
 
 @workload(_KEYED_ORDERS)
-def add_partition_set(w: Workspace) -> DataFrame:
+def add_partition_(w: Workspace) -> DataFrame:
     """Partitions dropped without their files come back from those files."""
     specs = _keyed_orders(w)
     w.on(drop_partition, "t", partition_kv=specs)
@@ -579,7 +580,7 @@ def add_partition_skip(w: Workspace) -> DataFrame:
 
 
 @workload(_KEYED_ORDERS + " WHERE o_orderpriority <> '5-LOW'")
-def drop_partition_set(w: Workspace) -> DataFrame:
+def drop_partition_(w: Workspace) -> DataFrame:
     specs = [spec for spec in _keyed_orders(w) if spec["o_orderpriority"] == "5-LOW"]
     w.on(drop_partition, "t", partition_kv=specs, with_location=True)
     return w.table("t")
@@ -589,7 +590,7 @@ def drop_partition_set(w: Workspace) -> DataFrame:
     SELECT o_orderstatus, o_orderpriority, o_orderstatus <> 'P' AS partition_exists,
            o_orderstatus <> 'P' AS location_exists, COUNT(*) AS n_orders
     FROM orders GROUP BY o_orderstatus, o_orderpriority""")
-def partition_exists_set(w: Workspace) -> DataFrame:
+def partition_exists_(w: Workspace) -> DataFrame:
     """Which (status, priority) groups of the source have a partition."""
     specs = _keyed_orders(w)
     w.on(drop_partition, "t", partition_kv=[s for s in specs if s["o_orderstatus"] == "P"], with_location=True)
@@ -616,7 +617,7 @@ def _table_per_type(w: Workspace) -> list[str]:
     SELECT event_type, event_type <> 'error' AS table_exists, event_type <> 'error' AS location_exists,
            COUNT(*) AS n_events
     FROM events GROUP BY event_type""")
-def table_exists_set(w: Workspace) -> DataFrame:
+def table_exists_(w: Workspace) -> DataFrame:
     kinds = _table_per_type(w)
     w.on(drop_table, "events_error", with_location=True)
     found = w.on(table_exists, [f"events_{kind}" for kind in kinds], with_location=True)
@@ -628,7 +629,7 @@ def table_exists_set(w: Workspace) -> DataFrame:
 @workload("""
     SELECT 'events_' || event_type AS name, COUNT(*) AS n FROM events
     WHERE event_type NOT IN ('error', 'view') GROUP BY event_type""")
-def drop_table_set(w: Workspace) -> DataFrame:
+def drop_table_(w: Workspace) -> DataFrame:
     _table_per_type(w)
     w.on(drop_table, ["events_error", "events_view", "events_nowhere"], with_location=True)
     return w.counts()
@@ -637,7 +638,7 @@ def drop_table_set(w: Workspace) -> DataFrame:
 @workload("""
     SELECT 'prio_' || left(o_orderpriority, 1) AS name, COUNT(*) AS n FROM orders
     WHERE left(o_orderpriority, 1) IN ('3', '4', '5') GROUP BY o_orderpriority""")
-def drop_table_multi_limited(w: Workspace) -> DataFrame:
+def drop_table_multi_(w: Workspace) -> DataFrame:
     """Three names match, the limit lets the first two go."""
 
     def store(priority: str):
@@ -668,7 +669,7 @@ def drop_table_multi_protected(w: Workspace) -> DataFrame:
         for name in names
     )
 )
-def for_each_database_counts(w: Workspace) -> DataFrame:
+def for_each_database_(w: Workspace) -> DataFrame:
     """Rows of every table in two databases, which their comments name."""
     for shop, names in {"goods": ("part", "supplier"), "sales": ("customer", "orders")}.items():
         database = w.new_database(f"{w.database}_{shop}", comment=shop)
