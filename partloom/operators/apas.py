@@ -16,7 +16,7 @@ from partloom.errors import AlreadyExists, ConfigError
 from partloom.operators.ctas import Layout, Write, choose, landing, read_files
 from partloom.operators.partitions import SAVE_MODES, outcome, refuse_managed, refuse_table_root
 from partloom.operators.schema_diff import differences, report
-from partloom.plans.layout import rebalance as rebalance_rows
+from partloom.plans.layout import for_table, rebalance as rebalance_rows
 from partloom.plans.limits import TEN_MINUTES, time_limit
 from partloom.sources.catalog import (
     Spec,
@@ -96,11 +96,10 @@ def apas(
 
     storage = _storage(info, format, compression, field_delimiter)
     rows = _like_table(frame, columns, positional=storage.provider == "csv")
-    if layout.bucketed_by:
-        spread = rebalance_rows(rows, layout.bucketed_by, layout.bucket_count)
-    else:
-        spread = rebalance_rows(rows) if rebalance else rows
-    write = Write(spread, storage, layout, additional_properties or {})
+    spread = for_table(rows, (), layout.bucketed_by, layout.bucket_count)
+    if spread is rows:
+        spread = rebalance_rows(rows)
+    write = Write(spread if rebalance else rows, storage, layout, additional_properties or {})
     old_place = partition_locations(spark, info, [spec])[0] if held else None
 
     with time_limit(spark, timeout), landing(spark, target) as place:
