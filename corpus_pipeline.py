@@ -4,10 +4,16 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from partloom.llm import paragraph_minhash, quality_rules, simhash_trie
+from partloom.llm import best_fit_packing, compression_toxicity, paragraph_minhash, quality_rules, simhash_trie
 from partloom.llm.common import stored, work_folder
 
 
+def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that are not predicted toxic."""
+    model = compression_toxicity.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return compression_toxicity.reject(docs, model)
+
+
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the standard policy keeps."""
     return quality_rules.keep_rows(docs)
@@ -23,7 +29,18 @@ def repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return paragraph_minhash.remove_repeats(docs).select(*docs.columns)
 
 
-STAGES = [("quality rules", quality), ("simhash near-dedup", near_copies), ("substring dedup", repeats)]
+def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every piece of every document with its place in a sequence."""
+    return best_fit_packing.pack(docs)
+
+
+STAGES = [
+    ("toxicity", toxicity),
+    ("quality rules", quality),
+    ("simhash near-dedup", near_copies),
+    ("substring dedup", repeats),
+    ("best-fit packing", packing),
+]
 
 #: No single SQL statement says what the stages do; the tests hold them against plain Python.
 ORACLE_SQL = None

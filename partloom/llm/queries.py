@@ -2,12 +2,25 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from partloom.llm import chat_format, license_scan, paragraph_minhash, quality_rules, simhash_trie
+from partloom.llm import (
+    best_fit_packing,
+    chat_format,
+    compression_toxicity,
+    embedding_blocks,
+    license_scan,
+    paragraph_minhash,
+    quality_rules,
+    sentencepiece_dropout,
+    simhash_trie,
+    warc_transactions,
+)
+from partloom.llm.common import stored, work_folder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -22,6 +35,72 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: The vocabulary that op1 uses; a file that every node has.
+MODEL_FILE = os.environ.get("PIECE_MODEL", "/opt/tokenizers/piece_bpe_32k.model")
+
+
+@registered
+def op1_sentencepiece_dropout(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = sentencepiece_dropout.encode(table(spark, sf_dir, "documents"), MODEL_FILE, dropout=0.1, seed=1)
+    return found.select(
+        "doc_id",
+        F.size("pieces").cast("long").alias("n_pieces"),
+        F.sha2(sentencepiece_dropout.decoded(MODEL_FILE)("pieces").cast("binary"), 256).alias("decoded_sha256"),
+        "pieces",
+    )
+
+
+@registered
+def op2_embedding_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_blocks.near_duplicates(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
+
+
+@registered
+def op3_warc_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = work_folder(spark)
+    warc_transactions.write_archives(table(spark, sf_dir, "pages").select("page_id", "url", "html"), f"{folder}archives")
+    read = warc_transactions.read_archives(spark, f"{folder}archives")
+    # Payloads are looked at as they are read; captures are assembled from the records without them.
+    is_page = F.col("type") == "response"
+    records = read.withColumns(
+        {
+            "stored_bytes": F.when(is_page, F.octet_length("payload").cast("long")),
+            "stored_digest": F.when(is_page, F.sha1("payload")),
+            "payload": F.when(F.col("type") == "metadata", F.col("payload")),
+        }
+    )
+    records = stored(records, folder, "records")
+    captures = warc_transactions.assemble(records, folder)
+    head = warc_transactions.field_of(F.col("capture.http_head"), "Content-Length")
+    pages = captures.select(
+        "capture_id",
+        warc_transactions.field_of(F.element_at("metadata", 1)["payload"], "page-id").cast("long").alias("page_id"),
+        F.coalesce("capture.stored_bytes", head.cast("long")).alias("payload_bytes"),
+        F.coalesce("capture.stored_digest", F.regexp_replace("capture.payload_digest", "^sha1:", "")).alias("payload_digest"),
+        F.col("capture.type").alias("record_type"),
+        F.col("capture.refers_to").alias("target"),
+        F.size("requests").cast("long").alias("n_requests"),
+    )
+    pages = stored(pages, folder, "captures")
+    targets = pages.where("record_type = 'response'").select(F.col("capture_id").alias("target"), F.col("page_id").alias("refers_to"))
+    return pages.join(targets, "target", "left").select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "n_requests"
+    )
+
+
+ORACLES["op3_warc_transactions"] = """
+WITH filled AS (
+  SELECT page_id, octet_length(encode(coalesce(html, ''))) AS size, sha1(coalesce(html, '')) AS digest FROM pages
+), ranked AS (
+  SELECT *, max(page_id) OVER (PARTITION BY digest, size) AS keeper FROM filled
+)
+SELECT page_id, CAST(size AS BIGINT) AS payload_bytes, digest AS payload_digest,
+  CASE WHEN size >= 1000 AND keeper <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN size >= 1000 AND keeper <> page_id THEN keeper END AS refers_to, CAST(1 AS BIGINT) AS n_requests
+FROM ranked
+"""
+
+
 @registered
 def op4_simhash_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_trie.near_duplicates(table(spark, sf_dir, "documents"))
@@ -32,6 +111,18 @@ def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.scan(table(spark, sf_dir, "documents"))
 
 
+@registered
+def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return best_fit_packing.pack(table(spark, sf_dir, "documents"))
+
+
+@registered
+def op7_compression_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = compression_toxicity.fit(docs, table(spark, sf_dir, "labels"))
+    return compression_toxicity.score(docs, model)
+
+
 @registered
 def op8_paragraph_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
