@@ -361,6 +361,19 @@ def test_repeats_of_the_tables(spark, texts):
     assert len(near) <= 0.05 * len(texts), lines
 
 
+def test_results_do_not_depend_on_chunks(spark, texts, monkeypatch):
+    rows = [(i, (t or "").replace("e", "à")) for i, t in texts]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+
+    def results():
+        spans = paragraph_minhash.repeated_spans(frame).collect()
+        return sorted((r.doc_id, r.spans) for r in spans), sorted(map(tuple, quality_rules.measure(frame).collect()))
+
+    whole = results()
+    monkeypatch.setattr(common, "_CHUNK", 5_000)
+    assert results() == whole and dict((r[0], r[1:6]) for r in whole[1]) == {i: brute_measures(t) for i, t in rows}
+
+
 def test_similar_pairs_are_exact():
     rng = np.random.default_rng(8)
     sets = [np.unique(rng.integers(0, 40, rng.integers(1, 30), dtype=np.uint64)) for _ in range(60)]
