@@ -23,6 +23,10 @@ class SchemaMismatch(PipelineError):
     """The columns of a SELECT differ from those of its target table."""
 
 
+class PartlyDone(PipelineError):
+    """A change of many partitions takes several statements, and a later one failed."""
+
+
 class StorageError(PipelineError):
     """The file system refused to move or delete a directory."""
 

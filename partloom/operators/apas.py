@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import logging
 import os
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import replace
 from datetime import timedelta
 
@@ -14,7 +14,7 @@ from pyspark.sql.types import StructType
 
 from partloom.errors import AlreadyExists, ConfigError
 from partloom.operators.ctas import Layout, Write, choose, landing, read_files
-from partloom.operators.partitions import SAVE_MODES, outcome, refuse_managed, refuse_table_root
+from partloom.operators.partitions import SAVE_MODES, outcome, refuse_managed, refuse_shared, refuse_table_root
 from partloom.operators.schema_diff import differences, report
 from partloom.plans.layout import for_table, rebalance as rebalance_rows
 from partloom.plans.limits import TEN_MINUTES, time_limit
@@ -35,7 +35,7 @@ from partloom.sources.catalog import (
 )
 from partloom.sources.formats import PROVIDERS, Storage, storage_of
 from partloom.sources.sqltext import select_frame
-from partloom.sources.storage import delete_tree, has_objects, normalise, same_place
+from partloom.sources.storage import delete_tree, fresh_below, has_objects, is_vacant, normalise, parent_of, same_place
 
 log = logging.getLogger(__name__)
 
@@ -56,7 +56,8 @@ def apas(
     bucket_count: int | None = None,
     additional_properties: Mapping[str, str] | None = None,
     ignore_schema_diff: bool = False,
-    rebalance: bool = True,
+    rebalance: bool | None = None,
+    relocate: bool = False,
     params: Mapping | None = None,
     args: Mapping | list | None = None,
     timeout: timedelta | None = TEN_MINUTES,
@@ -70,7 +71,13 @@ def apas(
     only when the new rows are complete. Format, compression and delimiter are
     those of the table unless given. ``bucketed_by`` divides the files, but the
     catalog does not know the partition as bucketed. ``rebalance`` shuffles the
-    rows into files of even size; turn it off to keep an order of your own.
+    rows into files of even size; by default that is done for buckets and for
+    text files with strings, each of which one task must read.
+    ``additional_properties`` are options of the files' writer.
+
+    ``relocate`` never moves files: the rows go to a new directory beside the partition's place, the
+    catalog is pointed to it in one call, and the old directory is deleted last. The time limit
+    covers the job that writes.
     """
     choose("save_mode", save_mode, SAVE_MODES)
     layout = Layout((), bucketed_by, bucket_count)
@@ -79,8 +86,8 @@ def apas(
     target = normalise(location) if location else default_location(info, spec)
     refuse_table_root(spark, info, [target])
 
-    def done(action: str) -> DataFrame:
-        return outcome(spark, info.partition_columns, [spec], [target], [action])
+    def done(action: str, place: str = target) -> DataFrame:
+        return outcome(spark, info.partition_columns, [spec], [place], [action])
 
     held = present(spark, info, [spec])[0]
     if save_mode != "overwrite" and (held or has_objects(spark, target)):
@@ -96,31 +103,79 @@ def apas(
 
     storage = _storage(info, format, compression, field_delimiter)
     rows = _like_table(frame, columns, positional=storage.provider == "csv")
-    spread = for_table(rows, (), layout.bucketed_by, layout.bucket_count)
-    if spread is rows:
-        spread = rebalance_rows(rows)
-    write = Write(spread if rebalance else rows, storage, layout, additional_properties or {})
+    if rebalance is not False:
+        spread = for_table(rows, (), layout.bucketed_by, layout.bucket_count)
+        even = spread is rows and (rebalance or storage.unsplittable)
+        rows = rebalance_rows(rows) if even else spread
+    storage = replace(storage, options={**storage.options, **(additional_properties or {})})
+    write = Write(rows, storage, layout, timeout=timeout)
     old_place = partition_locations(spark, info, [spec])[0] if held else None
-
-    with time_limit(spark, timeout), landing(spark, target) as place:
+    if location or not is_vacant(spark, target):
+        refuse_shared(spark, info, [spec], [target])
+
+    def register(place: str) -> None:
+        if not held:
+            add_to_catalog(spark, info, [spec], [place])
+        elif not same_place(spark, old_place, place):
+            move_in_catalog(spark, info, spec, place)
+
+    if relocate:
+        stored = _relocate(spark, info, spec, write, target, old_place, register)
+        spark.catalog.refreshTable(info.name.sql)
+        return done("stored", stored) if stored else done("empty")
+    with landing(spark, target) as place:
         with write.scratch(spark, info.name, place.directory):
             pass
         # A SELECT without rows still leaves a file, so look inside.
-        if read_files(spark, place.directory, storage, rows).isEmpty():
+        empty = _is_empty(spark, write, place.directory)
+        if empty:
             refuse_managed(info, held)
             if held:
                 drop_from_catalog(spark, info, [spec])
             delete_tree(spark, target)
-            action = "empty"
         else:
-            place.settle()
-            if not held:
-                add_to_catalog(spark, info, [spec], [target])
-            elif not same_place(spark, old_place, target):
-                move_in_catalog(spark, info, spec, target)
-            action = "stored"
+            with place.settled():
+                register(target)
     spark.catalog.refreshTable(info.name.sql)
-    return done(action)
+    return done("empty" if empty else "stored")
+
+
+def _is_empty(spark: SparkSession, write: Write, directory: str) -> bool:
+    with time_limit(spark, write.timeout):
+        return read_files(spark, directory, write.storage, write.rows).isEmpty()
+
+
+def _relocate(
+    spark: SparkSession,
+    info: TableInfo,
+    spec: Spec,
+    write: Write,
+    target: str,
+    old_place: str | None,
+    register: Callable[[str], None],
+) -> str | None:
+    """Write into a new directory beside ``target``, register it, then delete the old one. None without rows."""
+    fresh = fresh_below(parent_of(spark, target))
+    if old_place:
+        refuse_table_root(spark, info, [old_place])
+        refuse_shared(spark, info, [spec], [old_place])
+    try:
+        with write.scratch(spark, info.name, fresh):
+            pass
+        empty = _is_empty(spark, write, fresh)
+        if not empty:
+            register(fresh)
+    except BaseException:
+        delete_tree(spark, fresh)
+        raise
+    if empty:
+        refuse_managed(info, old_place is not None)
+        delete_tree(spark, fresh)
+        if old_place:
+            drop_from_catalog(spark, info, [spec])
+    delete_tree(spark, old_place)
+    delete_tree(spark, target)
+    return None if empty else fresh
 
 
 def _storage(info: TableInfo, format: str | None, compression: str | None, delimiter: str | None) -> Storage:

@@ -12,15 +12,20 @@ from datetime import timedelta
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
-from partloom.errors import AlreadyExists, ConfigError
+from partloom.errors import AlreadyExists, ConfigError, StorageError
 from partloom.plans.layout import for_table, rebalance as rebalance_rows
 from partloom.plans.limits import TEN_MINUTES, time_limit
 from partloom.sources.catalog import (
+    NULL_PARTITION,
     TableInfo,
     TableName,
+    add_to_catalog,
+    default_location,
     describe_database,
     describe_table,
     drop_name,
+    every_location,
+    list_partitions,
     literal,
     quote,
     table_exists,
@@ -29,13 +34,17 @@ from partloom.sources.catalog import (
 from partloom.sources.formats import Storage, storage_for
 from partloom.sources.sqltext import select_frame
 from partloom.sources.storage import (
+    delete_beside,
     delete_tree,
+    for_each,
+    fresh_below,
     has_objects,
     is_vacant,
     normalise,
-    replace_tree,
+    overlapping,
     same_place,
     staging_beside,
+    swapped,
 )
 
 log = logging.getLogger(__name__)
@@ -86,6 +95,7 @@ def ctas(
     table_mode: str = "default",
     save_mode: str = "overwrite",
     rebalance: bool | None = None,
+    relocate: bool = False,
     params: Mapping | None = None,
     args: Mapping | list | None = None,
     timeout: timedelta | None = TEN_MINUTES,
@@ -97,7 +107,12 @@ def ctas(
     database. With ``overwrite`` the rows are written aside first, so a SELECT
     may read the table it replaces and a failing one leaves it untouched.
     ``rebalance`` puts a shuffle before the write so that files are of even size;
-    by default that is done when the table is partitioned or bucketed.
+    by default that is done when the table is partitioned or bucketed, and for text files with
+    strings, each of which one task must read.
+
+    ``relocate`` never moves files: the rows go to a new directory below ``location``, the name is
+    switched to it, and what else lies in ``location`` is deleted last. That is the way for object
+    stores, where moving a directory copies it. The time limit covers the job that writes.
     """
     choose("table_mode", table_mode, TABLE_MODES)
     choose("save_mode", save_mode, SAVE_MODES)
@@ -105,6 +120,8 @@ def ctas(
     name = TableName(database, table or unique_name("ctas"), catalog)
     if save_mode == "overwrite" or table_mode == "empty":
         name.require_session_catalog()
+    if relocate and (location is None or save_mode != "overwrite" or table_mode == "empty"):
+        raise ConfigError("relocate replaces the rows at a given location, with save_mode 'overwrite'")
     target = normalise(location) if location else fresh_location(spark, name)
     old = describe_table(spark, name) if table_exists(spark, name) else None
     occupied = location is not None and has_objects(spark, target)
@@ -128,20 +145,23 @@ def ctas(
         rows = frame
     else:
         rows = for_table(frame, layout.partitioned_by, layout.bucketed_by, layout.bucket_count)
-        if rows is frame and rebalance:
+        if rows is frame and (rebalance or storage.unsplittable):
             rows = rebalance_rows(frame)
-    write = Write(rows, storage, layout, additional_properties or {})
-
-    with time_limit(spark, timeout):
-        if table_mode == "data_only":
-            _data_only(spark, write, name, target, old, save_mode)
-            return CtasResult(name, target, True, read_files(spark, target, storage, frame))
-        if table_mode == "empty":
-            _empty(spark, write, name, target, old, save_mode)
-        elif save_mode == "none" or (not old and is_vacant(spark, target)):
-            write.create(spark, name, target)
-        else:
-            _replace(spark, write, name, target, old)
+    write = Write(rows, storage, layout, additional_properties or {}, timeout)
+    if save_mode == "overwrite" and location is not None and not is_vacant(spark, target):
+        refuse_other_tables(spark, name, target)
+
+    if table_mode == "data_only":
+        target = _data_only(spark, write, name, target, old, save_mode, relocate)
+        return CtasResult(name, target, True, read_files(spark, target, storage, frame))
+    if table_mode == "empty":
+        _empty(spark, write, name, target, old, save_mode)
+    elif save_mode == "none" or (not old and not relocate and is_vacant(spark, target)):
+        write.create(spark, name, target)
+    elif relocate:
+        target = _relocate(spark, write, name, target, old)
+    else:
+        _replace(spark, write, name, target, old)
     spark.catalog.refreshTable(name.sql)
     return CtasResult(name, target, True, spark.table(name.sql))
 
@@ -168,13 +188,20 @@ class Write:
     storage: Storage
     layout: Layout = Layout()
     properties: Mapping[str, str] = field(default_factory=dict)
+    timeout: timedelta | None = None
 
     def create(self, spark: SparkSession, name: TableName, location: str) -> None:
-        """CREATE TABLE AS SELECT: the one job that moves rows."""
+        """CREATE TABLE AS SELECT: the one job that moves rows, within the time limit."""
+        with time_limit(spark, self.timeout):
+            self._create(name, location)
+
+    def _create(self, name: TableName, location: str) -> None:
+        # The rows may belong to a session with a current database of its own.
+        session = self.rows.sparkSession
         view = unique_name("select")
         self.rows.createOrReplaceTempView(view)
         try:
-            spark.sql(
+            session.sql(
                 " ".join(
                     [
                         f"CREATE TABLE {name.sql} USING {self.storage.provider}",
@@ -191,7 +218,7 @@ class Write:
                 raise ConfigError("format 'avro' needs the spark-avro package on the session's classpath") from error
             raise
         finally:
-            spark.catalog.dropTempView(view)
+            session.catalog.dropTempView(view)
 
     @contextmanager
     def scratch(self, spark: SparkSession, name: TableName, location: str):
@@ -223,16 +250,38 @@ def _listed(keyword: str, pairs: Mapping[str, str]) -> str:
     return f"{keyword} (" + ", ".join(f"{literal(k)} = {literal(str(v))}" for k, v in pairs.items()) + ")"
 
 
+def refuse_other_tables(spark: SparkSession, name: TableName, target: str) -> None:
+    """A directory is replaced as a whole, so it must not hold, or lie in, that of another table."""
+    rows = spark.sql(f"SHOW TABLES IN {quote(name.database)}").where("NOT isTemporary").collect()
+    others = [TableName(name.database, row["tableName"]) for row in rows if row["tableName"].lower() != name.table.lower()]
+    infos = for_each(spark, lambda other: describe_table(spark, other), others)
+    for info in infos:
+        if info.location and overlapping(spark, [target], [info.location]):
+            raise ConfigError(f"{target} shares its directory with the table {info.name}")
+
+
 def _data_only(
-    spark: SparkSession, write: Write, name: TableName, target: str, old: TableInfo | None, save_mode: str
-) -> None:
+    spark: SparkSession, write: Write, name: TableName, target: str, old: TableInfo | None, save_mode: str, relocate: bool
+) -> str:
     replaced = old if save_mode == "overwrite" else None
-    with landing(spark, target, replaced, in_place=save_mode == "none") as place:
-        with write.scratch(spark, name, place.directory):
+    if relocate:
+        fresh = fresh_below(target)
+        with write.scratch(spark, name, fresh):
             pass
         if replaced:
             drop_name(spark, replaced)
-        place.settle()
+        delete_beside(spark, fresh)
+        return fresh
+    with landing(spark, target, replaced, in_place=save_mode == "none") as place:
+        with write.scratch(spark, name, place.directory):
+            pass
+        if replaced and replaced.managed:
+            drop_name(spark, replaced)  # takes its files with it
+            replaced = None
+        with place.settled():
+            if replaced:
+                drop_name(spark, replaced)
+    return target
 
 
 def _empty(
@@ -244,28 +293,94 @@ def _empty(
     aside = staging_beside(spark, target)
     try:
         with write.scratch(spark, name, aside) as like:
-            if save_mode == "overwrite":
-                if old:
-                    drop_name(spark, old)
-                delete_tree(spark, target)
-            write.define_like(spark, name, like, target)
+            if save_mode != "overwrite":
+                write.define_like(spark, name, like, target)
+                return
+            if old and old.managed:
+                drop_name(spark, old)
+                old = None
+            with swapped(spark, None, target):
+                _define_and_switch(spark, write, name, like, target, old, [])
     finally:
         delete_tree(spark, aside)
 
 
 def _replace(spark: SparkSession, write: Write, name: TableName, target: str, old: TableInfo | None) -> None:
-    """Write first, then take the old table away and give its name to the new one."""
+    """Write first; then the new table is defined in full under another name and takes the old one's."""
     with landing(spark, target, old) as place:
         with write.scratch(spark, name, place.directory) as scratch:
-            if old:
+            if old and old.managed:
                 drop_name(spark, old)
+                old = None
             if not place.staged:
-                spark.sql(f"ALTER TABLE {scratch.in_session} RENAME TO {name.in_session}")
+                _switch(spark, name, scratch, old)
                 return
-            place.settle()
-            write.define_like(spark, name, scratch, target)
-        if write.layout.partitioned_by:
-            spark.sql(f"ALTER TABLE {name.sql} RECOVER PARTITIONS")
+            specs = _partitions(spark, scratch)
+            with place.settled():
+                _define_and_switch(spark, write, name, scratch, target, old, specs)
+
+
+def _relocate(spark: SparkSession, write: Write, name: TableName, target: str, old: TableInfo | None) -> str:
+    """Write into a new directory, switch the name to it, then delete what was in ``target`` before."""
+    fresh = fresh_below(target)
+    try:
+        with write.scratch(spark, name, fresh) as scratch:
+            if old and old.managed:
+                drop_name(spark, old)
+                old = None
+            _switch(spark, name, scratch, old)
+    except BaseException:
+        delete_tree(spark, fresh)
+        raise
+    delete_beside(spark, fresh)
+    return fresh
+
+
+def _partitions(spark: SparkSession, name: TableName) -> list[dict[str, str]]:
+    """The partitions of the table that was written, as its catalog entry has them."""
+    info = describe_table(spark, name)
+    if not info.partition_columns:
+        return []
+    rows = list_partitions(spark, info).collect()
+    return [{key: NULL_PARTITION if row[key] is None else row[key] for key in info.partition_columns} for row in rows]
+
+
+def _define_and_switch(
+    spark: SparkSession, write: Write, name: TableName, like: TableName, target: str, old: TableInfo | None, specs: list
+) -> None:
+    """A table like ``like`` at ``target``, with its partitions, that takes the name once it is complete."""
+    ready = name.sibling("scratch")
+    try:
+        write.define_like(spark, ready, like, target)
+        if specs:
+            info = describe_table(spark, ready)
+            add_to_catalog(spark, info, specs, [default_location(info, spec) for spec in specs])
+            held = len(every_location(spark, info))
+            if held != len(specs):
+                raise StorageError(f"{held} of {len(specs)} partitions of {name} were registered")
+        _switch(spark, name, ready, old)
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {ready.sql}")
+
+
+def _switch(spark: SparkSession, name: TableName, ready: TableName, old: TableInfo | None) -> None:
+    """Give ``name`` to ``ready``. The old table keeps an entry until that is done."""
+    kind = "VIEW" if old and old.kind == "VIEW" else "TABLE"
+    before = name.sibling("replaced")
+    if old:
+        spark.sql(f"ALTER {kind} {name.in_session} RENAME TO {before.in_session}")
+    taken = False
+    try:
+        spark.sql(f"ALTER TABLE {ready.in_session} RENAME TO {name.in_session}")
+        taken = True
+        if old:
+            spark.sql(f"DROP {kind} IF EXISTS {before.in_session}")
+    except BaseException:
+        if taken:
+            spark.sql(f"ALTER TABLE {name.in_session} RENAME TO {ready.in_session}")
+        if old:
+            spark.sql(f"ALTER {kind} {before.in_session} RENAME TO {name.in_session}")
+        raise
 
 
 class _Place:
@@ -274,10 +389,14 @@ class _Place:
         self.staged = staged
         self.directory = staging_beside(spark, target) if staged else target
 
-    def settle(self) -> None:
-        """Put a staged directory where it belongs."""
+    @contextmanager
+    def settled(self):
+        """A staged directory where it belongs, for good if the block ends well."""
         if self.staged:
-            replace_tree(self._spark, self.directory, self._target)
+            with swapped(self._spark, self.directory, self._target):
+                yield
+        else:
+            yield
 
 
 @contextmanager

@@ -6,12 +6,13 @@ import re
 from collections.abc import Callable
 from dataclasses import dataclass
 from datetime import datetime
-from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import MapType, StringType, StructField, StructType, TimestampType
 
+from partloom.errors import ConfigError
+from partloom.plans.layout import union
 from partloom.sources.catalog import describe_database, quote
 from partloom.sources.storage import for_each
 
@@ -56,17 +57,22 @@ def for_each_database(
     *,
     regexp: str | None = None,
     catalog: str | None = None,
+    parallel: int = 1,
 ) -> DataFrame:
     """The DataFrames that ``body`` gives for each database, as one with a ``database`` column.
 
     They become branches of a single plan, which Spark runs side by side. A body
-    that only acts and gives None adds no rows.
+    that only acts and gives None adds no rows. ``parallel`` bodies are at work at a time.
     """
-    frames = []
-    for database in list_databases(spark, regexp=regexp, catalog=catalog):
+    if parallel < 1:
+        raise ConfigError(f"parallel is {parallel}, it must be 1 or more")
+
+    def run(database: Database) -> DataFrame | None:
         frame = body(database)
-        if frame is not None:
-            frames.append(frame.withColumn("database", F.lit(database.name)))
+        return None if frame is None else frame.withColumn("database", F.lit(database.name))
+
+    results = for_each(spark, run, list_databases(spark, regexp=regexp, catalog=catalog), parallel)
+    frames = [frame for frame in results if frame is not None]
     if not frames:
         return spark.createDataFrame([], StructType([StructField("database", StringType())]))
-    return reduce(DataFrame.unionByName, frames)
+    return union(frames)

@@ -21,6 +21,7 @@ from partloom.sources.catalog import (
     drop_from_catalog,
     move_in_catalog,
     order_specs,
+    others_at,
     partition_locations,
     partitioned_table,
     present,
@@ -119,7 +120,9 @@ def drop_partition(
     there = _picked(specs, held)
     # Looked up one by one, so only if needed.
     places = partition_locations(spark, info, there) if with_location else [None] * len(there)
-    refuse_table_root(spark, info, [place for place in places if place])
+    if with_location:
+        refuse_table_root(spark, info, places)
+        refuse_shared(spark, info, there, places)
     drop_from_catalog(spark, info, there)
     if with_location:
         for_each(spark, lambda place: delete_tree(spark, place), places)
@@ -206,3 +209,9 @@ def refuse_table_root(spark: SparkSession, info: TableInfo, places: Sequence[str
     whole = for_each(spark, lambda place: holds(spark, place, info.location), places)
     if any(whole):
         raise ConfigError(f"{_picked(places, whole)[0]} holds all of {info.name}, not one partition")
+
+
+def refuse_shared(spark: SparkSession, info: TableInfo, specs: Sequence[Spec], places: Sequence[str]) -> None:
+    """Nor may it hold, or lie in, the directory of a partition that is none of ``specs``."""
+    if shared := others_at(spark, info, specs, places):
+        raise ConfigError(f"{shared[0]} shares its directory with another partition of {info.name}")

@@ -39,6 +39,8 @@ _COLUMN = StructType(
         StructField("type", StringType(), False),
     ]
 )
+# Where a row of a result stands, and how many files are opened by one job.
+_FILE, _ROW, _MOST_FILES = "__file__", "__row__", 64
 _PART = re.compile(r"part-(\d+)")
 
 
@@ -94,12 +96,20 @@ def preview(spark: SparkSession, run_id: str, max_rows: int = 10, *, output: str
         raise ConfigError(f"max_rows is {max_rows}, it must lie between 0 and 100")
     result = _result(spark, run_id, output)
     rows: list[list[str | None]] = []
-    # The part numbers follow the order of the result; most often the first file is enough.
-    for path in sorted(map(unquote, result.inputFiles()), key=_place):
-        if len(rows) == max_rows:
-            break
-        part = spark.read.schema(result.schema).parquet(path).select(*_as_strings(result.schema))
-        rows += [list(row) for row in part.limit(max_rows - len(rows)).collect()]
+    # The part numbers follow the order of the result; most often the first file is enough. Where it is
+    # not, groups of files grow, so many small files take few jobs.
+    paths, at, group = sorted(map(unquote, result.inputFiles()), key=_place), 0, 1
+    while at < len(paths) and len(rows) < max_rows:
+        chosen = paths[at : at + group]
+        part = spark.read.schema(result.schema).parquet(*chosen).select(
+            F.col("_metadata.file_name").alias(_FILE), F.col("_metadata.row_index").alias(_ROW), *_as_strings(result.schema)
+        )
+        # A file gives no more rows than are wanted in all.
+        few = part.where(F.col(_ROW) < max_rows - len(rows)).collect()
+        place = {path.rsplit("/", 1)[-1]: i for i, path in enumerate(chosen)}
+        few.sort(key=lambda row: (place[unquote(row[_FILE])], row[_ROW]))
+        rows += [list(row)[2:] for row in few[: max_rows - len(rows)]]
+        at, group = at + group, min(group * 4, _MOST_FILES)
     return Preview(run_id, [_describe(f) for f in result.schema.fields], rows)
 
 

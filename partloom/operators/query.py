@@ -9,14 +9,24 @@ from collections.abc import Mapping
 from dataclasses import dataclass, field, replace
 from datetime import timedelta
 
+from py4j.protocol import Py4JError
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import LongType, NullType, StringType, StructField, StructType
+from pyspark.sql.types import (
+    CalendarIntervalType,
+    DayTimeIntervalType,
+    LongType,
+    NullType,
+    StringType,
+    StructField,
+    StructType,
+    YearMonthIntervalType,
+)
 
 from partloom.errors import QueryFailed, QueryTimeout
 from partloom.operators.preview import Preview, preview as preview_rows, result_folder, view_of
 from partloom.plans.limits import TEN_MINUTES, time_limit
 from partloom.sources.catalog import quote
-from partloom.sources.sqltext import in_database, load_sql
+from partloom.sources.sqltext import load_sql, session_in
 
 _RECORD = StructType(
     [
@@ -35,9 +45,17 @@ _RECORD = StructType(
 )
 
 
+_TEXT_TYPES = (NullType, CalendarIntervalType, DayTimeIntervalType, YearMonthIntervalType)
+
+
 @dataclass(frozen=True)
 class QueryRun:
-    """One run of a query. ``frame`` reads the stored result."""
+    """One run of a query. ``frame`` reads the stored result.
+
+    Like any stored table ``frame`` has no order of its own, whatever the ORDER BY of the
+    statement: sort it again where order matters. ``preview`` does keep the statement's order.
+    ``scan_bytes`` is null where the plan does not say what is read.
+    """
 
     id: str
     query: str
@@ -86,8 +104,7 @@ def query(
     run = QueryRun(id=run_id, query=text, state="RUNNING", database=database, workgroup=workgroup)
     try:
         with time_limit(spark, timeout):
-            with in_database(spark, database, catalog):
-                frame = spark.sql(text, args=args)
+            frame = session_in(spark, database, catalog).sql(text, args=args)
             scanned = scan_bytes(frame)
             if frame.columns:
                 frame = _store(spark, frame, folder)
@@ -115,8 +132,9 @@ def _finish(run: QueryRun, started: float, **changes) -> QueryRun:
 def _store(spark: SparkSession, frame: DataFrame, folder: str) -> DataFrame:
     """Write the rows once and read them from there on."""
     frame = frame.toDF(*_distinct(frame.columns))
-    untyped = [f.name for f in frame.schema.fields if isinstance(f.dataType, NullType)]
-    frame = frame.withColumns({name: frame[quote(name)].cast("string") for name in untyped})
+    # Types that parquet files do not hold become text.
+    as_text = [f.name for f in frame.schema.fields if isinstance(f.dataType, _TEXT_TYPES)]
+    frame = frame.withColumns({name: frame[quote(name)].cast("string") for name in as_text})
     frame.write.parquet(folder)
     return spark.read.schema(frame.schema).parquet(folder)
 
@@ -135,8 +153,51 @@ def _distinct(names: list[str]) -> list[str]:
     return distinct
 
 
-def scan_bytes(frame: DataFrame) -> int:
-    """Size of the files the plan reads, after partition and before column pruning."""
-    leaves = frame._jdf.queryExecution().optimizedPlan().collectLeaves()
-    scans = (leaves.apply(i) for i in range(leaves.size()))
-    return sum(int(str(scan.stats().sizeInBytes())) for scan in scans if scan.nodeName() == "LogicalRelation")
+def scan_bytes(frame: DataFrame) -> int | None:
+    """Size of the files the plan reads, after partition and before column pruning.
+
+    A statement that ran on its own (INSERT, CREATE TABLE AS SELECT) is asked for the plan it ran.
+    Null where a table does not tell its size.
+    """
+    plan = frame._jdf.queryExecution().optimizedPlan()
+    try:
+        if plan.nodeName() == "CommandResult":
+            plan = plan.commandLogicalPlan()
+        return _scan_bytes(frame.sparkSession, plan)
+    except Py4JError:  # a plan that does not tell
+        return None
+
+
+def _scan_bytes(spark: SparkSession, plan) -> int | None:
+    # Commands keep their query out of the children.
+    inner, total = plan.innerChildren(), 0
+    parts = [plan.collectLeaves().apply(i) for i in range(plan.collectLeaves().size())]
+    if plan.nodeName() not in _RELATIONS and plan.children().isEmpty():
+        parts = [inner.apply(i) for i in range(inner.size())]
+    for part in parts:
+        if part.nodeName() in _RELATIONS:
+            size = _size_of(spark, part)
+        elif part.equals(plan):
+            size = 0
+        else:
+            size = _scan_bytes(spark, part)
+        if size is None:
+            return None
+        total += size
+    return total
+
+
+# Leaves that read files or tables, and the size that Spark gives what it knows nothing of.
+_RELATIONS = ("LogicalRelation", "HiveTableRelation", "RelationV2", "DataSourceV2ScanRelation", "DataSourceV2Relation")
+_UNKNOWN_SIZE = 2**63 - 1
+
+
+def _size_of(spark: SparkSession, relation) -> int | None:
+    size = int(str(relation.stats().sizeInBytes()))
+    if size < _UNKNOWN_SIZE:
+        return size
+    if relation.nodeName() != "LogicalRelation":
+        return None
+    # A partitioned table without statistics: its files are listed, as the scan did.
+    none = spark.sparkContext._jvm.org.apache.spark.api.python.PythonUtils.toSeq(spark.sparkContext._jvm.java.util.ArrayList())
+    return int(relation.relation().location().filterPartitions(none).sizeInBytes())

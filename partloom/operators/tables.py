@@ -19,9 +19,8 @@ from partloom.sources.catalog import (
     describe_table,
     drop_name,
     quote,
-    table_exists as name_is_held,
 )
-from partloom.sources.storage import delete_tree, for_each, has_objects
+from partloom.sources.storage import delete_tree, for_each, has_objects, newest_file
 
 log = logging.getLogger(__name__)
 
@@ -153,8 +152,15 @@ def _is_protected(spark: SparkSession, info: TableInfo, protect: Protect, now: d
 
 
 def _has_files_since(spark: SparkSession, info: TableInfo, moment: datetime) -> bool:
-    """Whether a data file changed after ``moment``; Spark leaves out the older files before it reads."""
-    # Others may have written since this session last listed the files.
+    """Whether a file of the table or of its partitions was written after ``moment``.
+
+    Listings tell, so a table that was emptied a moment ago counts as updated and no file is opened.
+    """
+    if newest_file(spark, info.location, int(moment.timestamp() * 1000)):
+        return True
+    if not info.partition_columns:
+        return False
+    # Partitions may lie elsewhere; Spark leaves out the older files before it reads.
     spark.catalog.refreshTable(info.name.sql)
     changed = F.col("_metadata.file_modification_time") > F.lit(moment)
     return not spark.table(info.name.sql).where(changed).isEmpty()
@@ -166,14 +172,9 @@ def _names(database: str, table: str | Sequence[str], catalog: str | None) -> li
 
 
 def _held(spark: SparkSession, names: Sequence[TableName]) -> list[bool]:
-    if len(names) == 1:
-        return [name_is_held(spark, names[0])]
     if not names or not database_exists(spark, names[0].database, names[0].catalog):
         return [False] * len(names)
-    wanted = spark.createDataFrame(pa.table({"table": pa.array([n.table.lower() for n in names], pa.string())}))
-    held = list_tables(spark, names[0].database, names[0].catalog).select(F.lower("table").alias("table"))
-    found = {row["table"] for row in wanted.join(held, "table", "left_semi").collect()}
-    return [name.table.lower() in found for name in names]
+    return for_each(spark, lambda name: spark.catalog.tableExists(name.sql), names)
 
 
 def _drop(spark: SparkSession, infos: Sequence[TableInfo], with_location: bool) -> None:

@@ -16,7 +16,10 @@ TEN_MINUTES = timedelta(minutes=10)
 
 @contextmanager
 def time_limit(spark: SparkSession, timeout: timedelta | None):
-    """Cancel every job the block starts once ``timeout`` has passed, and raise QueryTimeout."""
+    """Cancel every job the block starts once ``timeout`` has passed, and raise QueryTimeout.
+
+    The limit holds for the block as a whole: one that ends well, but late, is an error, too.
+    """
     if timeout is None:
         yield
         return
@@ -40,6 +43,10 @@ def time_limit(spark: SparkSession, timeout: timedelta | None):
     watcher.start()
     try:
         yield
+        if expired.is_set():
+            raise QueryTimeout(f"not done after {timeout}")
+    except QueryTimeout:
+        raise
     except Exception as error:
         if expired.is_set():
             raise QueryTimeout(f"cancelled after {timeout}") from error

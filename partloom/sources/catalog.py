@@ -10,12 +10,13 @@ from dataclasses import dataclass, field
 from datetime import datetime, timezone
 
 import pyarrow as pa
+from py4j.protocol import Py4JError
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DataType, StructType
 
-from partloom.errors import ConfigError
-from partloom.sources.storage import for_each, normalise
+from partloom.errors import ConfigError, PartlyDone
+from partloom.sources.storage import for_each, normalise, overlapping
 
 # Fixed value: how Spark names the directory of a null key.
 NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
@@ -107,16 +108,34 @@ def describe_database(spark: SparkSession, database: str, catalog: str | None =
         "created_at": None,
         "description": facts.get("Comment") or None,
         "location": facts.get("Location"),
-        "parameters": _pairs(facts.get("Properties") or ""),
+        "parameters": _properties(spark, name, facts),
     }
 
 
+# Properties that Spark keeps for itself.
+_RESERVED_PROPERTIES = ("comment", "location", "owner", "collation")
+
+
+def _properties(spark: SparkSession, name: str, facts: Mapping[str, str]) -> dict[str, str]:
+    """The properties of a database of the session's catalog as it keeps them; of others, as they are printed."""
+    try:
+        state = spark._jsparkSession.sessionState()
+        parts = state.sqlParser().parseMultipartIdentifier(name)
+        if parts.size() == 1 or parts.apply(0) == "spark_catalog":
+            kept = state.catalog().getDatabaseMetadata(parts.last()).properties().toSeq()
+            pairs = (kept.apply(i) for i in range(kept.size()))
+            return {p._1(): p._2() for p in pairs if p._1() not in _RESERVED_PROPERTIES}
+    except Py4JError:
+        pass
+    return _pairs(facts.get("Properties") or "")
+
+
 def _pairs(text: str) -> dict[str, str]:
-    """``((k,v), (k2,v2))`` as a mapping; a value may itself hold commas."""
+    """``((k,v), (k2,v2))`` as a mapping; a value may itself hold commas and ``), (`` without a comma after it."""
     inner = text.strip()
     if not inner.startswith("(("):
         return {}
-    return dict(pair.split(",", 1) for pair in re.split(r"\), \(", inner[2:-2]))
+    return dict(pair.split(",", 1) for pair in re.split(r"\), \((?=[^(),]+,)", inner[2:-2]))
 
 
 # --- tables ------------------------------------------------------------------
@@ -189,7 +208,7 @@ def order_specs(spark: SparkSession, info: TableInfo, specs: Sequence[Spec]) ->
     """Every spec in the table's key order, its values as Spark prints them.
 
     A key that is missing is an error, one the table does not have is ignored.
-    ``05`` given for an int key becomes ``5``.
+    ``05`` given for an int key becomes ``5``; ``__HIVE_DEFAULT_PARTITION__`` names the null partition.
     """
     ordered = []
     for spec in specs:
@@ -200,7 +219,7 @@ def order_specs(spark: SparkSession, info: TableInfo, specs: Sequence[Spec]) ->
     types = key_types(spark, info)
     if ordered and any(t.typeName() != "string" for t in types.values()):
         typed = spec_frame(spark, info.partition_columns, ordered).select(
-            _POSITION, *(_column(key).cast(types[key]).cast("string").alias(key) for key in types)
+            _POSITION, *(_typed(key, types[key]).alias(key) for key in types)
         )
         rows = sorted(typed.collect(), key=lambda row: row[_POSITION])
         ordered = [{key: row[key] for key in types} for row in rows]
@@ -216,12 +235,20 @@ def spec_frame(spark: SparkSession, keys: Sequence[str], specs: Sequence[Spec])
     return spark.createDataFrame(pa.table(columns))
 
 
+def _typed(key: str, kind: DataType) -> Column:
+    """A value as its key's type prints it; the name of the null partition stays."""
+    return F.when(_column(key) == NULL_PARTITION, _column(key)).otherwise(_column(key).cast(kind).cast("string"))
+
+
 def _column(name: str) -> Column:
     return F.col(quote(name))
 
 
 def partition_clause(spec: Spec) -> str:
-    return "PARTITION (" + ", ".join(f"{quote(k)}={literal(v)}" for k, v in spec.items()) + ")"
+    def value(text: str) -> str:
+        return "null" if text == NULL_PARTITION else literal(text)
+
+    return "PARTITION (" + ", ".join(f"{quote(k)}={value(v)}" for k, v in spec.items()) + ")"
 
 
 def escape_value(value: str) -> str:
@@ -250,19 +277,15 @@ def list_partitions(spark: SparkSession, info: TableInfo) -> DataFrame:
 
 def present(spark: SparkSession, info: TableInfo, specs: Sequence[Spec]) -> list[bool]:
     """Which of the specs, as given by ``order_specs``, the catalog holds."""
-    if len(specs) == 1:
-        # One name: ask for it rather than list the whole table.
-        found = spark.sql(f"SHOW PARTITIONS {info.name.sql} {partition_clause(specs[0])}")
-        return [not found.isEmpty()]
-    types = key_types(spark, info)
-    keys = list(info.partition_columns)
-    wanted = spec_frame(spark, keys, specs).select(
-        _POSITION, *(_column(key).cast(types[key]).alias(key) for key in keys)
-    )
-    held = list_partitions(spark, info).select(*(_column(key).cast(types[key]).alias(key) for key in keys))
-    found = wanted.join(held, on=keys, how="left_semi").select(_POSITION).collect()
-    positions = {row[_POSITION] for row in found}
-    return [i in positions for i in range(len(specs))]
+
+    def held(spec: Spec) -> bool:
+        # Spark has no partition with an empty value: it keeps such rows under the null one.
+        if "" in spec.values():
+            return False
+        return not spark.sql(f"SHOW PARTITIONS {info.name.sql} {partition_clause(spec)}").isEmpty()
+
+    # Each is asked for by its name: a listing would bring all partitions of the table here.
+    return for_each(spark, held, specs)
 
 
 def partition_locations(spark: SparkSession, info: TableInfo, specs: Sequence[Spec]) -> list[str]:
@@ -275,10 +298,34 @@ def partition_locations(spark: SparkSession, info: TableInfo, specs: Sequence[Sp
     return for_each(spark, location, specs)
 
 
+def every_location(spark: SparkSession, info: TableInfo) -> dict[str, str]:
+    """Where each partition of the table lies, by ``key=value, …``: one call to the catalog.
+
+    Spark's SQL tells locations one partition at a time, which a table of many has no time for.
+    """
+    state, jvm = spark._jsparkSession.sessionState(), spark.sparkContext._jvm
+    name = state.sqlParser().parseTableIdentifier(info.name.in_session)
+    text = state.catalog().listPartitions(name, jvm.scala.Option.empty()).mkString("\x1e")
+    found = {}
+    for part in text.split("\x1e") if text else []:
+        values = re.search(r"Partition Values: \[(.*)\]\n\tLocation: ([^\n]*)", part, re.DOTALL)
+        found[values[1]] = normalise(values[2])
+    return found
+
+
+def others_at(spark: SparkSession, info: TableInfo, specs: Sequence[Spec], places: Sequence[str]) -> list[str]:
+    """Which of ``places`` hold, or lie within, the directory of a partition that is none of ``specs``."""
+    if info.name.catalog not in (None, "spark_catalog"):
+        return []
+    own = {", ".join(f"{k}={v}" for k, v in spec.items()) for spec in specs}
+    others = [place for values, place in every_location(spark, info).items() if values not in own]
+    return overlapping(spark, places, others)
+
+
 def add_to_catalog(spark: SparkSession, info: TableInfo, specs: Sequence[Spec], locations: Sequence[str]) -> None:
+    # Above _SPECS_PER_STATEMENT these are several statements; one that fails says what went before it.
     clauses = [f"{partition_clause(s)} LOCATION {literal(l)}" for s, l in zip(specs, locations)]
-    for batch in _batches(clauses):
-        spark.sql(f"ALTER TABLE {info.name.sql} ADD {' '.join(batch)}")
+    _alter(spark, f"ALTER TABLE {info.name.sql} ADD ", " ", clauses)
 
 
 def move_in_catalog(spark: SparkSession, info: TableInfo, spec: Spec, location: str) -> None:
@@ -286,9 +333,15 @@ def move_in_catalog(spark: SparkSession, info: TableInfo, spec: Spec, location:
 
 
 def drop_from_catalog(spark: SparkSession, info: TableInfo, specs: Sequence[Spec]) -> None:
-    for batch in _batches([partition_clause(spec) for spec in specs]):
-        spark.sql(f"ALTER TABLE {info.name.sql} DROP IF EXISTS {', '.join(batch)}")
-
-
-def _batches(clauses: list[str]) -> list[list[str]]:
-    return [clauses[i : i + _SPECS_PER_STATEMENT] for i in range(0, len(clauses), _SPECS_PER_STATEMENT)]
+    _alter(spark, f"ALTER TABLE {info.name.sql} DROP IF EXISTS ", ", ", [partition_clause(spec) for spec in specs])
+
+
+def _alter(spark: SparkSession, statement: str, separator: str, clauses: list[str]) -> None:
+    for done in range(0, len(clauses), _SPECS_PER_STATEMENT):
+        batch = clauses[done : done + _SPECS_PER_STATEMENT]
+        try:
+            spark.sql(statement + separator.join(batch))
+        except Exception as error:
+            if done:
+                raise PartlyDone(f"{done} of {len(clauses)} partitions were done, in the order given") from error
+            raise

@@ -53,6 +53,11 @@ class Storage:
     provider: str
     options: Mapping[str, str] = field(default_factory=dict)
 
+    @property
+    def unsplittable(self) -> bool:
+        """Whether a file, however large, is read by one task."""
+        return self.options.get("multiLine", "").lower() == "true"
+
 
 def storage_for(
     format: str, schema: StructType, compression: str | None = None, field_delimiter: str | None = None

@@ -4,33 +4,29 @@ from __future__ import annotations
 
 import os
 import re
-import threading
 from collections.abc import Mapping
-from contextlib import contextmanager
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
 from partloom.errors import ConfigError
 from partloom.sources.catalog import quote
+from partloom.sources.storage import only_file
 
 _VARIABLE = re.compile(r"\$\{\s*([^{}]+?)\s*\}")
 _URI = re.compile(r"[A-Za-z][A-Za-z0-9+.-]*://\S+")
 _LOCAL_FILE = re.compile(r"\S+\.sql")
 
-# USE changes the session for every thread, so one context at a time.
-_use_lock = threading.RLock()
-
 
 def load_sql(spark: SparkSession, command: str | os.PathLike, params: Mapping | None = None) -> str:
     """The text of ``command`` with its variables filled in.
 
-    A path object, a word ending in ``.sql`` and a URI are read; all else is SQL.
+    A path object, a word ending in ``.sql`` and the URI of one file are read; all else is SQL.
     """
     if isinstance(command, os.PathLike):
         text = Path(command).read_text(encoding="utf-8")
     elif _URI.fullmatch(command.strip()):
-        text = spark.read.text(command.strip(), wholetext=True).first()[0]
+        text = _at_uri(spark, command.strip())
     elif _LOCAL_FILE.fullmatch(command.strip()):
         text = Path(command.strip()).read_text(encoding="utf-8")
     else:
@@ -38,6 +34,13 @@ def load_sql(spark: SparkSession, command: str | os.PathLike, params: Mapping |
     return re.sub(r";\s*$", "", fill(text, params or {}))
 
 
+def _at_uri(spark: SparkSession, uri: str) -> str:
+    row = spark.read.text(only_file(spark, uri), wholetext=True).first()
+    if row is None or not row[0].strip():
+        raise ConfigError(f"{uri} holds no SQL")
+    return row[0]
+
+
 def fill(text: str, params: Mapping) -> str:
     """Replace each ``${name}``; ``${a.b}`` looks inside nested mappings."""
 
@@ -52,23 +55,20 @@ def fill(text: str, params: Mapping) -> str:
     return _VARIABLE.sub(value, text)
 
 
-@contextmanager
-def in_database(spark: SparkSession, database: str | None, catalog: str | None = None):
-    """Resolve unqualified names against ``database`` while the block runs."""
+def session_in(spark: SparkSession, database: str | None, catalog: str | None = None) -> SparkSession:
+    """A session that resolves unqualified names against ``database``.
+
+    ``USE`` holds for every thread of a session, so another current database gets a copy of the
+    session: same settings, views and functions as now, but what a statement adds or sets stays there.
+    """
     if database is None:
-        yield
-        return
-    with _use_lock:
-        catalog_before = spark.catalog.currentCatalog()
-        database_before = spark.catalog.currentDatabase()
-        if (catalog or catalog_before, database) == (catalog_before, database_before):
-            yield
-            return
-        spark.sql("USE " + ".".join(quote(p) for p in (catalog, database) if p))
-        try:
-            yield
-        finally:
-            spark.sql(f"USE {quote(catalog_before)}.{quote(database_before)}")
+        return spark
+    current = (spark.catalog.currentCatalog(), spark.catalog.currentDatabase())
+    if (catalog or current[0], database) == current:
+        return spark
+    own = SparkSession(spark.sparkContext, spark._jsparkSession.cloneSession())
+    own.sql("USE " + ".".join(quote(p) for p in (catalog, database) if p))
+    return own
 
 
 def select_frame(
@@ -82,5 +82,4 @@ def select_frame(
 ) -> DataFrame:
     """The analysed, not yet executed, DataFrame of a SELECT."""
     text = load_sql(spark, command, params)
-    with in_database(spark, database, catalog):
-        return spark.sql(text, args=args)
+    return session_in(spark, database, catalog).sql(text, args=args)

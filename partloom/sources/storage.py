@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import logging
 import uuid
 from collections.abc import Callable, Iterable
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
 from functools import lru_cache
 
 from py4j.protocol import Py4JJavaError
@@ -13,6 +15,8 @@ from pyspark.sql import SparkSession
 
 from partloom.errors import ConfigError, StorageError
 
+log = logging.getLogger(__name__)
+
 # Calls to a catalog or an object store wait on the network, hence more threads than cores.
 _WAITING_CALLS = 32
 
@@ -26,7 +30,15 @@ def shared_folder(spark: SparkSession) -> str:
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
         raise ConfigError("spark.checkpoint.dir is not set: name an output folder")
-    return _qualified(spark, folder)
+    uri = _qualified(spark, folder)
+    if uri.startswith("file:") and not _is_one_machine(spark):
+        log.warning("spark.checkpoint.dir is %s: every node must reach it under that path, as a shared mount", uri)
+    return uri
+
+
+def _is_one_machine(spark: SparkSession) -> bool:
+    master = spark.sparkContext.master
+    return master == "local" or master.startswith("local[")
 
 
 @lru_cache(maxsize=1)
@@ -67,6 +79,31 @@ def is_vacant(spark: SparkSession, uri: str) -> bool:
     return not fs.exists(path) or not fs.listStatusIterator(path).hasNext()
 
 
+def only_file(spark: SparkSession, uri: str) -> str:
+    """The URI of the one file that ``uri`` names; folders, patterns and absent files are refused."""
+    fs, path = _open(spark, uri)
+    found = fs.globStatus(path)
+    if found is None or len(found) != 1 or not found[0].isFile():
+        raise ConfigError(f"{uri} is not one file")
+    return found[0].getPath().toString()
+
+
+def newest_file(spark: SparkSession, uri: str, after_millis: int) -> bool:
+    """Whether a data file below ``uri`` was written after that time; a listing that ends at the first."""
+    fs, path = _open(spark, uri)
+    if not fs.exists(path):
+        return False
+    root = fs.makeQualified(path).toString()
+    files = fs.listFiles(path, True)
+    while files.hasNext():
+        status = files.next()
+        inside = status.getPath().toString()[len(root):].strip("/").split("/")
+        # A marker that a job left counts: a write without rows may leave nothing else.
+        if status.getModificationTime() > after_millis and not any(_hidden(name) for name in inside[:-1]):
+            return True
+    return False
+
+
 def same_place(spark: SparkSession, left: str, right: str) -> bool:
     return _qualified(spark, left) == _qualified(spark, right)
 
@@ -76,6 +113,18 @@ def holds(spark: SparkSession, outer: str, inner: str) -> bool:
     return _qualified(spark, inner).startswith(_qualified(spark, outer))
 
 
+def overlapping(spark: SparkSession, places: Iterable[str], others: Iterable[str]) -> list[str]:
+    """Which of ``places`` are, hold or lie within one of ``others``."""
+    taken = {_qualified(spark, other) for other in others}
+    above = {prefix for other in taken for prefix in _prefixes(other)}
+    return [place for place in places if (full := _qualified(spark, place)) in above or taken.intersection(_prefixes(full))]
+
+
+def _prefixes(uri: str) -> list[str]:
+    """The directory and all that hold it, each ending in a slash."""
+    return [uri[: i + 1] for i, c in enumerate(uri) if c == "/" and i and uri[i - 1] not in ":/"]
+
+
 def _qualified(spark: SparkSession, uri: str) -> str:
     fs, path = _open(spark, uri)
     return normalise(fs.makeQualified(path).toString())
@@ -99,25 +148,33 @@ def _beside(spark: SparkSession, uri: str, prefix: str) -> str:
     return f"{path.getParent().toString().rstrip('/')}/{prefix}-{uuid.uuid4().hex}/"
 
 
-def replace_tree(spark: SparkSession, staged: str, target: str) -> None:
-    """Move the directory ``staged`` to ``target`` in place of what is there.
+@contextmanager
+def swapped(spark: SparkSession, staged: str | None, target: str):
+    """The directory ``staged`` (or none) at ``target`` in place of what is there, for good if the block ends well.
 
-    The old directory is set aside as ``_replaced-…``, brought back if the move
-    fails and deleted only afterwards. On HDFS and local disks these are two metadata
-    operations however large the data; on object stores the connector copies the
-    objects. Two calls must not replace the same directory at the same time.
+    The old directory is set aside as ``_replaced-…`` and brought back if the move or the block
+    fails; it is deleted at the end. On HDFS and local disks these are metadata operations however
+    large the data; on object stores the connector copies the objects. Two calls must not replace the
+    same directory at the same time.
     """
-    fs, new = _open(spark, staged)
-    _, old = _open(spark, target)
-    _, aside = _open(spark, _beside(spark, target, "_replaced"))
-    replaces = fs.exists(old)
+    fs, old = _open(spark, target)
+    new = _open(spark, staged)[1] if staged else None
+    aside = _open(spark, _beside(spark, target, "_replaced"))[1]
+    replaces, moved = fs.exists(old), False
     if replaces:
         _rename(fs, old, aside)
     else:
         fs.mkdirs(old.getParent())
     try:
-        _rename(fs, new, old)
-    except Exception:
+        if new is not None:
+            _rename(fs, new, old)
+            moved = True
+        yield
+    except BaseException:
+        if moved:
+            _rename(fs, old, new)
+        elif fs.exists(old):
+            fs.delete(old, True)  # what the block put there
         if replaces:
             _rename(fs, aside, old)
         raise
@@ -125,6 +182,24 @@ def replace_tree(spark: SparkSession, staged: str, target: str) -> None:
         fs.delete(aside, True)
 
 
+def parent_of(spark: SparkSession, uri: str) -> str:
+    return normalise(_open(spark, uri)[1].getParent().toString())
+
+
+def fresh_below(uri: str) -> str:
+    """A new directory in ``uri`` that counts as data."""
+    return f"{normalise(uri)}_run={uuid.uuid4().hex}/"
+
+
+def delete_beside(spark: SparkSession, kept: str) -> None:
+    """Delete what lies next to ``kept`` in its directory."""
+    fs, path = _open(spark, kept)
+    name = path.getName()
+    for status in fs.listStatus(path.getParent()):
+        if status.getPath().getName() != name:
+            fs.delete(status.getPath(), True)
+
+
 def _rename(fs, source, target) -> None:
     problem = f"{source.toString()} could not be moved to {target.toString()}"
     # Moving onto an existing directory would put the source inside it.
@@ -138,12 +213,12 @@ def _rename(fs, source, target) -> None:
         raise StorageError(problem)
 
 
-def for_each(spark: SparkSession, call: Callable, items: Iterable) -> list:
+def for_each(spark: SparkSession, call: Callable, items: Iterable, at_once: int = _WAITING_CALLS) -> list:
     """``call`` on every item, many waiting at once; the results in order."""
     items = list(items)
-    if len(items) < 2:
+    workers = min(at_once, len(items))
+    if workers < 2:
         return [call(item) for item in items]
-    workers = min(_WAITING_CALLS, len(items))
 
     def share(first: int) -> list:
         return [call(item) for item in items[first::workers]]

@@ -1,0 +1,312 @@
+"""Overwrites that fail half-way, directories that are shared, sessions side by side, and the truth of side facts."""
+
+import importlib
+import threading
+import time
+from datetime import timedelta
+
+import pytest
+from conftest import AMERICA, EUROPE, SF, rows
+from pyspark.sql import SparkSession
+
+from partloom import (
+    Protect,
+    add_partition,
+    apas,
+    ctas,
+    drop_partition,
+    drop_table_multi,
+    for_each_database,
+    partition_exists,
+    preview,
+    query,
+    table_exists,
+)
+from partloom.errors import ConfigError, QueryFailed, QueryTimeout
+from partloom.plans.layout import rebalance, union
+from partloom.sources import storage
+
+
+# The module, which the function of its name hides.
+ctas_operator = importlib.import_module("partloom.operators.ctas")
+
+
+class Broken(Exception):
+    pass
+
+
+def breaking(monkeypatch, owner, name, when=lambda *_: True):
+    kept = getattr(owner, name)
+
+    def call(*given, **options):
+        if when(*given):
+            raise Broken(name)
+        return kept(*given, **options)
+
+    monkeypatch.setattr(owner, name, call)
+
+
+def statement(start, number):
+    """Whether a call to ``SparkSession.sql`` is the given one among those that hold ``start``."""
+    seen = []
+
+    def when(_, text, *__):
+        if start in text:
+            seen.append(text)
+        return start in text and len(seen) == number
+
+    return when
+
+
+STEPS = {
+    "write": (ctas_operator.Write, "_create", lambda *_: True),
+    "define": (ctas_operator.Write, "define_like", lambda *_: True),
+    "partitions": (ctas_operator, "add_to_catalog", lambda *_: True),
+    "check": (ctas_operator, "every_location", lambda *_: True),
+    "old name": (SparkSession, "sql", statement("RENAME TO", 1)),
+    "new name": (SparkSession, "sql", statement("RENAME TO", 2)),
+    "old entry": (SparkSession, "sql", statement("`replaced_", 3)),
+}
+
+
+@pytest.mark.parametrize("step", STEPS)
+def test_failed_overwrite_leaves_the_old_rows(spark, small, db, folder, monkeypatch, step):
+    def overwrite():
+        ctas(
+            spark, "select 9 as a, 1 as b, 7 as c", database=db, table=small, location=f"{folder}small", partitioned_by=["b", "c"]
+        )
+
+    owner, name, when = STEPS[step]
+    if step in ("old name", "new name", "old entry"):
+        when = statement({"old name": "RENAME TO", "new name": "RENAME TO", "old entry": "DROP TABLE IF EXISTS `"}[step], {"old name": 1, "new name": 2, "old entry": 1}[step])
+    breaking(monkeypatch, owner, name, when)
+    with pytest.raises(Broken):
+        overwrite()
+    monkeypatch.undo()
+    spark.catalog.refreshTable(f"{db}.{small}")
+    assert rows(spark.table(f"{db}.{small}")) == [AMERICA, EUROPE]
+    overwrite()
+    assert rows(spark.table(f"{db}.{small}")) == [(9, 1, 7)]
+
+
+@pytest.mark.parametrize("step", ["write", "old name", "new name"])
+def test_failed_relocation_leaves_the_old_rows(spark, small, db, folder, monkeypatch, step):
+    owner, name, when = STEPS[step]
+    if step != "write":
+        when = statement("RENAME TO", 1 if step == "old name" else 2)
+    breaking(monkeypatch, owner, name, when)
+    with pytest.raises(Broken):
+        ctas(spark, "select 9 as a, 1 as b, 7 as c", database=db, table=small, location=f"{folder}small", partitioned_by=["b", "c"], relocate=True)
+    monkeypatch.undo()
+    spark.catalog.refreshTable(f"{db}.{small}")
+    assert rows(spark.table(f"{db}.{small}")) == [AMERICA, EUROPE]
+
+
+def test_relocation_moves_no_files(spark, small, db, folder, monkeypatch):
+    breaking(monkeypatch, storage, "_rename")
+    spec = {"b": "3", "c": "6"}
+    for _ in range(2):
+        apas(spark, f"select a + 1 as a from {db}.small where b = 3", database=db, table=small, partition_kv=spec, relocate=True)
+    assert rows(spark.table(f"{db}.{small}")) == [AMERICA, (7, 3, 6)]
+    assert not storage.has_objects(spark, f"{folder}small/b=3/c=6")
+    apas(spark, "select 1 as a where false", database=db, table=small, partition_kv=spec, relocate=True)
+    assert rows(spark.table(f"{db}.{small}")) == [AMERICA] and not storage.has_objects(spark, f"{folder}small/b=3")
+    made = ctas(spark, f"select a + 1 as a, b, c from {db}.small", database=db, table=small, location=f"{folder}small", partitioned_by=["b", "c"], relocate=True)
+    assert rows(spark.table(f"{db}.{small}")) == [(6, 1, 7)]
+    assert storage.is_vacant(spark, f"{folder}small/b=1") and made.location.startswith(f"{folder}small/")
+
+
+def test_relocation_needs_something_to_replace(spark, db, folder):
+    for options in ({}, {"location": f"{folder}x", "save_mode": "ignore"}, {"location": f"{folder}x", "table_mode": "empty"}):
+        with pytest.raises(ConfigError):
+            ctas(spark, "select 1 as a", database=db, relocate=True, **options)
+
+
+def test_shared_directories_are_not_replaced(spark, small, db, folder):
+    def refused(call):
+        with pytest.raises(ConfigError, match="shares its directory"):
+            call()
+        assert rows(spark.table(f"{db}.{small}").where("b < 9")) == [AMERICA, EUROPE]
+
+    on = {"database": db, "table": small}
+    # A directory above those of other partitions, and one of another partition.
+    for place in ("b=1", "b=1/c=7", "b=1/c=7/below"):
+        refused(lambda: apas(spark, "select 5 as a", partition_kv={"b": "9", "c": "9"}, location=f"{folder}small/{place}", **on))  # noqa: B023
+    add_partition(spark, partition_kv={"b": "9", "c": "9"}, location=f"{folder}small/b=1/c=7", **on)
+    refused(lambda: drop_partition(spark, partition_kv={"b": "9", "c": "9"}, with_location=True, **on))
+    refused(lambda: apas(spark, "select 5 as a", partition_kv={"b": "1", "c": "7"}, **on))
+    drop_partition(spark, partition_kv={"b": "9", "c": "9"}, **on)
+    # Another table's directory.
+    ctas(spark, "select 1 as a", database=db, table="other", location=f"{folder}other")
+    for place in ("small", "small/b=1"):
+        refused(lambda: ctas(spark, "select 2 as a", database=db, table="other", location=f"{folder}{place}"))  # noqa: B023
+
+
+def test_one_and_many_get_one_answer(spark, db, folder):
+    ctas(spark, "select 1 as a, cast(null as string) as k union all select 2, 'x'", database=db, table="t", location=f"{folder}t", partitioned_by=["k"])
+    values = ["x", "y", "", "__HIVE_DEFAULT_PARTITION__"]
+    many = partition_exists(spark, database=db, table="t", partition_kv=[{"k": v} for v in values]).collect()
+    one = [partition_exists(spark, database=db, table="t", partition_kv={"k": v}).first() for v in values]
+    assert many == one and [r.partition_exists for r in many] == [True, False, False, True]
+    assert [table_exists(spark, database=db, table=[n]).first() for n in ("t", "T", "u")] == table_exists(spark, database=db, table=["t", "T", "u"]).collect()
+    drop_partition(spark, database=db, table="t", partition_kv={"k": values[-1]})
+    assert rows(spark.table(f"{db}.t"), "a") == [(2,)]
+    back = add_partition(spark, database=db, table="t", partition_kv={"k": values[-1]}).first()
+    assert back.action == "added" and rows(spark.table(f"{db}.t"), "a", "k") == [(1, None), (2, "x")]
+
+
+def test_null_partition_of_a_number(spark, db, folder):
+    ctas(spark, "select 1 as a, cast(null as int) as k union all select 2, 5", database=db, table="t", location=f"{folder}t", partitioned_by=["k"])
+    found = partition_exists(spark, database=db, table="t", partition_kv=[{"k": "05"}, {"k": "__HIVE_DEFAULT_PARTITION__"}])
+    assert [r.partition_exists for r in found.collect()] == [True, True]
+
+
+def test_statements_of_two_databases_overlap(spark, db, folder):
+    other = f"{db}_b"
+    spark.sql(f"CREATE DATABASE {other} LOCATION '{folder}{other}'")
+    spark.sql(f"CREATE TABLE {db}.t (a BIGINT) USING parquet")
+    ended = {}
+
+    def slow():
+        query(spark, "insert into t select java_method('java.lang.Thread', 'sleep', 4000L) is null and false or id > 5 from range(0, 1, 1, 1)".replace("java_method('java.lang.Thread', 'sleep', 4000L) is null and false or id > 5", "cast(length(coalesce(java_method('java.lang.Thread', 'sleep', 4000L), '')) as bigint)"), database=db, output=folder)
+        ended["slow"] = time.monotonic()
+
+    thread = threading.Thread(target=slow)
+    thread.start()
+    time.sleep(0.5)
+    assert query(spark, "select current_database() as d", database=other, output=folder).frame.first().d == other
+    ended["quick"] = time.monotonic()
+    thread.join()
+    assert ended["quick"] < ended["slow"] and spark.catalog.currentDatabase() == "default"
+
+
+def test_views_and_settings_of_the_session_are_seen(spark, db, folder):
+    spark.range(3).createOrReplaceTempView("mine")
+    spark.conf.set("spark.sql.session.timeZone", "Asia/Tokyo")
+    try:
+        told = query(spark, "select count(*) as n, current_timezone() as z from mine", database=db, output=folder).frame.first()
+        assert (told.n, told.z) == (3, "Asia/Tokyo")
+        assert ctas(spark, "select * from mine", database=db).frame.count() == 3
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+        spark.catalog.dropTempView("mine")
+
+
+def test_limit_holds_from_call_to_return(spark, folder):
+    with pytest.raises(QueryFailed) as failed:
+        query(spark, "select java_method('java.lang.Thread', 'sleep', 1500L) as s", output=folder, timeout=timedelta(seconds=0.3))
+    assert failed.value.run.state == "CANCELLED" and isinstance(failed.value.__cause__, QueryTimeout)
+
+
+def test_a_partition_is_written_without_a_shuffle(spark, small, db, monkeypatch):
+    plans = []
+    kept = ctas_operator.Write._create
+
+    def noting(self, *given):
+        plans.append(self.rows._jdf.queryExecution().toString())
+        return kept(self, *given)
+
+    monkeypatch.setattr(ctas_operator.Write, "_create", noting)
+    spec = {"b": "3", "c": "6"}
+    for chosen in (None, True):
+        apas(spark, "select cast(id as int) as a from range(0, 100, 1, 4)", database=db, table=small, partition_kv=spec, rebalance=chosen)
+    assert "Exchange" not in plans[0].split("Physical Plan")[1]
+    assert "Rebalance" in plans[1] and spark.table(f"{db}.{small}").where("b = 3").count() == 100
+
+
+def test_rows_are_dealt_by_their_hash(spark):
+    dealt = rebalance(spark.range(0, 1000, 1, 4).selectExpr("id", "map(id, id) as m"))
+    text = dealt._jdf.queryExecution().toString()
+    assert dealt.columns == ["id", "m"] and "hashpartitioning(__row_hash__" in text and "RoundRobin" not in text
+    assert dealt.count() == 1000
+
+
+def test_emptied_table_is_protected(spark, db, folder):
+    ctas(spark, "select 1 as a", database=db, table="t", location=f"{folder}t")
+    time.sleep(2.5)
+    spark.sql(f"INSERT OVERWRITE {db}.t SELECT 1 AS a WHERE false")
+    kept = drop_table_multi(spark, database=db, regexp="t", protect=Protect(updated_within=timedelta(seconds=2)))
+    assert kept.first().action == "protected"
+    time.sleep(2.5)
+    gone = drop_table_multi(spark, database=db, regexp="t", protect=Protect(updated_within=timedelta(seconds=2)))
+    assert gone.first().action == "dropped"
+
+
+def test_properties_reach_the_writer(spark, small, db):
+    apas(spark, "select 1 as a", database=db, table=small, partition_kv={"b": "3", "c": "6"}, additional_properties={"compression": "gzip"})
+    names = [n for n in spark.table(f"{db}.{small}").where("b = 3").inputFiles()]
+    assert [n for n in names if "b=3" in n] and all(n.endswith(".gz.parquet") for n in names if "b=3" in n)
+
+
+def test_scan_bytes_of_statements(spark, db, folder):
+    size = query(spark, f"select * from parquet.`{SF}/orders.parquet`", output=folder).scan_bytes
+    spark.sql(f"CREATE TABLE {db}.t (a BIGINT) USING parquet")
+    insert = query(spark, f"insert into {db}.t select o_orderkey from parquet.`{SF}/orders.parquet`", output=folder)
+    made = query(spark, f"create table {db}.u using parquet as select * from parquet.`{SF}/orders.parquet`", output=folder)
+    assert size > 0 and insert.scan_bytes == size and made.scan_bytes == size
+
+
+def test_statement_at_a_uri(spark, folder, tmp_path):
+    (tmp_path / "q").mkdir()
+    (tmp_path / "q" / "a.sql").write_text("select ${x} as a;\n")
+    (tmp_path / "q" / "b.sql").write_text("")
+    uri = folder.replace("file:", "file://")
+    assert query(spark, f"{uri}q/a.sql", params={"x": 4}, output=folder).frame.first().a == 4
+    for other in ("q", "q/*.sql", "q/b.sql", "q/c.sql"):
+        with pytest.raises(ConfigError):
+            query(spark, f"{uri}{other}", output=folder)
+
+
+def test_intervals_are_kept_as_text(spark, folder):
+    run = query(spark, "select interval '1' day as d, interval '2' month as m, make_interval(1) as i", output=folder)
+    assert all(isinstance(v, str) for v in run.frame.first())
+
+
+def jobs(spark, tag, call):
+    spark.sparkContext.setJobGroup(tag, tag)
+    try:
+        call()
+        return len(spark.sparkContext.statusTracker().getJobIdsForGroup(tag))
+    finally:
+        spark.sparkContext._jsc.clearJobGroup()
+
+
+def test_preview_of_many_small_files_takes_few_jobs(spark, folder):
+    run = query(spark, "select id from range(0, 100, 1, 100)", output=folder)
+    assert len(run.frame.inputFiles()) == 100
+    found = []
+    assert jobs(spark, "preview", lambda: found.append(preview(spark, run.id, 100))) <= 8
+    assert [row[0] for row in found[0].rows] == [str(i) for i in range(100)]
+
+
+def test_text_is_read_by_several_tasks(spark, db):
+    key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    spark.conf.set(key, "256k")
+    try:
+        made = ctas(spark, "select id, uuid() as u from range(0, 60000, 1, 1)", database=db, table="t", format="textfile", compression=None)
+    finally:
+        spark.conf.unset(key)
+    assert made.frame.rdd.getNumPartitions() > 1 and made.frame.count() == 60000
+
+
+def test_bodies_side_by_side(spark, db, folder):
+    for i in range(3):
+        spark.sql(f"CREATE DATABASE {db}_{i} LOCATION '{folder}{db}_{i}'")
+    meet = threading.Barrier(3, timeout=20)
+
+    def body(database):
+        meet.wait()
+        ctas(spark, "select 1 as a", database=database.name, table="t")
+        return spark.table(f"{database.name}.t")
+
+    found = for_each_database(spark, body, regexp=f"{db}_.", parallel=3)
+    assert rows(found, "database", "a") == [(f"{db}_{i}", 1) for i in range(3)]
+    with pytest.raises(ConfigError):
+        for_each_database(spark, body, parallel=0)
+
+
+def test_union_is_as_deep_as_the_logarithm(spark):
+    whole = union([spark.range(1).selectExpr(f"{i} as a") for i in range(64)])
+    text = whole._jdf.queryExecution().logical().toString()
+    assert max(len(line) - len(line.lstrip(" :+-")) for line in text.splitlines()) < 40
+    assert sorted(r.a for r in whole.collect()) == list(range(64))

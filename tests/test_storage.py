@@ -50,25 +50,50 @@ def test_delete_tree(spark, folder):
     assert [p.name for p in root.iterdir()] == ["xy"]
 
 
-def test_replace_tree(spark, folder):
+def test_swap(spark, folder):
     root = put(folder, "old/a", "old/sub/b", "new/c")
-    storage.replace_tree(spark, f"{folder}new", f"{folder}old/")
+    with storage.swapped(spark, f"{folder}new", f"{folder}old/"):
+        assert (root / "old/c").exists()
     assert sorted(str(p.relative_to(root)) for p in root.rglob("*")) == ["old", "old/c"]
 
 
-def test_replace_tree_where_nothing_was(spark, folder):
+def test_swap_where_nothing_was(spark, folder):
     root = put(folder, "new/c")
-    storage.replace_tree(spark, f"{folder}new", f"{folder}deep/er/old/")
+    with storage.swapped(spark, f"{folder}new", f"{folder}deep/er/old/"):
+        pass
     assert sorted(str(p.relative_to(root)) for p in root.rglob("*")) == ["deep", "deep/er", "deep/er/old", "deep/er/old/c"]
 
 
 def test_failed_move_brings_the_old_files_back(spark, folder):
     root = put(folder, "old/a")
     with pytest.raises(StorageError):
-        storage.replace_tree(spark, f"{folder}nowhere", f"{folder}old")
+        with storage.swapped(spark, f"{folder}nowhere", f"{folder}old"):
+            pass
     assert sorted(str(p.relative_to(root)) for p in root.rglob("*")) == ["old", "old/a"]
 
 
+def test_failed_block_brings_the_old_files_back(spark, folder):
+    root = put(folder, "old/a", "new/c")
+    for staged in (f"{folder}new", None):
+        with pytest.raises(KeyError), storage.swapped(spark, staged, f"{folder}old"):
+            put(folder, "old/made-meanwhile")
+            raise KeyError
+        assert (root / "old/a").exists() and not (root / "old/c").exists()
+
+
+def test_overlapping(spark):
+    places = ["file:/a/b", "file:/a/b/c/d", "file:/a", "file:/x/bc"]
+    assert storage.overlapping(spark, places, ["/a/b/c/", "/x/b"]) == places[:3]
+
+
+def test_one_file_only(spark, folder):
+    put(folder, "x/a.sql", "x/b.sql")
+    assert storage.only_file(spark, f"{folder}x/a.sql").endswith("/x/a.sql")
+    for other in ("x", "x/*.sql", "x/c.sql"):
+        with pytest.raises(ConfigError):
+            storage.only_file(spark, f"{folder}{other}")
+
+
 def test_same_place(spark):
     assert storage.same_place(spark, "file:/a/b", "/a/b/")
     assert not storage.same_place(spark, "file:/a/b", "file:/a/c")

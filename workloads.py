@@ -6,12 +6,12 @@ files go to a database and a directory of its own, below the cluster's shared fo
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from collections.abc import Callable, Mapping
 from contextlib import contextmanager
 from datetime import timedelta
-from functools import reduce
 from pathlib import Path
 
 from pyspark.errors import AnalysisException
@@ -23,6 +23,7 @@ from partloom import (
     add_partition,
     apas,
     ctas,
+    database_inventory,
     diff_schema,
     drop_partition,
     drop_table,
@@ -33,9 +34,13 @@ from partloom import (
     query,
     table_exists,
 )
-from partloom.errors import AlreadyExists, ConfigError, SchemaMismatch
+from partloom.errors import AlreadyExists, ConfigError, QueryFailed, SchemaMismatch
+from partloom.plans.layout import union
+from partloom.sources.catalog import NULL_PARTITION, escape_value
 from partloom.sources.storage import for_each, shared_folder
 
+_MOST_NAMES = 10_000
+
 SQL = Path(__file__).parent / "sql"
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -100,8 +105,11 @@ class Workspace:
         return self.spark.table(f"{self.database}.{name}")
 
     def values(self, sql: str) -> list:
-        """The few distinct values that name tables or partitions."""
-        return sorted(tuple(row) for row in self.spark.sql(sql).collect())
+        """The few distinct values that name tables or partitions; more than a catalog should hold are refused."""
+        rows = self.spark.sql(f"{sql} LIMIT {_MOST_NAMES + 1}").collect()
+        if len(rows) > _MOST_NAMES:
+            raise ConfigError(f"more than {_MOST_NAMES} values would each name a table or a partition")
+        return sorted(tuple(row) for row in rows)
 
     def counts(self, database: str | None = None) -> DataFrame:
         """Rows of every table of a database."""
@@ -112,7 +120,7 @@ class Workspace:
             self.spark.table(f"{database}.{name}").agg(F.count("*").alias("n")).withColumn("name", F.lit(name))
             for name in names
         ]
-        return reduce(DataFrame.unionByName, frames)
+        return union(frames)
 
 
 def _shared(spark: SparkSession) -> str:
@@ -196,6 +204,51 @@ def query_events_hourly(w: Workspace) -> DataFrame:
     return w.query(SQL / "events_hourly.sql").frame
 
 
+_STATUSES = "SELECT o_orderstatus, COUNT(*) AS n FROM parquet.`${sf}/orders.parquet` GROUP BY o_orderstatus"
+
+
+@workload("SELECT o_orderstatus, COUNT(*) AS n FROM orders GROUP BY o_orderstatus")
+def query_uri(w: Workspace) -> DataFrame:
+    """The statement comes from a file that is named by its URI."""
+    w.spark.createDataFrame([(_STATUSES,)], "value string").coalesce(1).write.text(f"{w.folder}statement")
+    return w.query(w.spark.read.text(f"{w.folder}statement").inputFiles()[0]).frame
+
+
+@workload("SELECT COUNT(*) AS n, 'SUCCEEDED' AS state, true AS read_something, true AS took_time FROM orders")
+def query_record(w: Workspace) -> DataFrame:
+    """What is known of a run, next to its rows."""
+    run = w.query("SELECT o_orderkey FROM parquet.`${sf}/orders.parquet`")
+    told = run.record(w.spark).first()
+    facts = {"state": told.state, "read_something": told.scan_bytes > 0, "took_time": told.exec_millis > 0}
+    return run.frame.agg(F.count("*").alias("n")).withColumns({name: F.lit(value) for name, value in facts.items()})
+
+
+@workload("SELECT COUNT(*) AS n, 'FAILED' AS state, true AS says_why FROM orders")
+def query_failed(w: Workspace) -> DataFrame:
+    """A run that fails says so, and why."""
+    try:
+        w.query("SELECT assert_true(o_orderkey < 0, 'not below zero') AS a FROM parquet.`${sf}/orders.parquet`")
+    except QueryFailed as error:
+        told = error.run.record(w.spark)
+    said = told.select("state", F.col("state_change_reason").contains("not below zero").alias("says_why")).first()
+    return w.read("orders").agg(F.count("*").alias("n")).withColumns({name: F.lit(said[name]) for name in said.asDict()})
+
+
+@workload("SELECT COUNT(*) AS n, 'CANCELLED' AS state FROM orders")
+def query_timeout(w: Workspace) -> DataFrame:
+    """A run that takes too long is cancelled."""
+    # Pairs of orders, which end long after the limit.
+    slow = (
+        "SELECT COUNT(*) AS n FROM parquet.`${sf}/orders.parquet` a JOIN parquet.`${sf}/orders.parquet` b "
+        "ON a.o_orderkey + b.o_orderkey + a.o_custkey * 7 <> b.o_custkey * 3 AND sqrt(a.o_totalprice) < b.o_totalprice"
+    )
+    try:
+        state = w.query(slow, timeout=timedelta(milliseconds=50)).state
+    except QueryFailed as error:
+        state = error.run.state
+    return w.read("orders").agg(F.count("*").alias("n")).withColumn("state", F.lit(state))
+
+
 # --- preview -----------------------------------------------------------------
 
 
@@ -327,6 +380,32 @@ def ctas_ignore(w: Workspace) -> DataFrame:
     return w.ctas("SELECT * FROM parquet.`${sf}/part.parquet`", "t", save_mode="ignore").frame
 
 
+@workload("SELECT o_orderkey, o_totalprice * 2 AS o_totalprice, o_orderstatus FROM orders WHERE o_orderstatus <> 'P'")
+def ctas_overwrite_partitioned(w: Workspace) -> DataFrame:
+    """A partitioned table replaced at its place by a SELECT from itself, then by switching directories."""
+    select = "SELECT o_orderkey, o_totalprice, o_orderstatus FROM parquet.`${sf}/orders.parquet`"
+    w.ctas(select, "t", partitioned_by=["o_orderstatus"])
+    w.ctas("SELECT * FROM t WHERE o_orderstatus <> 'P'", "t", partitioned_by=["o_orderstatus"])
+    doubled = "SELECT o_orderkey, o_totalprice * 2 AS o_totalprice, o_orderstatus FROM t"
+    w.ctas(doubled, "t", partitioned_by=["o_orderstatus"], relocate=True)
+    return w.table("t")
+
+
+@workload("SELECT * FROM customer")
+def ctas_generated_name(w: Workspace) -> DataFrame:
+    """Without a name the call makes one up; a final semicolon is no harm."""
+    made = w.ctas("SELECT * FROM parquet.`${sf}/customer.parquet`;\n", None, location=None)
+    return w.spark.table(made.table.sql)
+
+
+@workload("SELECT COUNT(*) AS n, 'sales' AS owner FROM customer")
+def ctas_properties(w: Workspace) -> DataFrame:
+    """Properties of the author's choice are kept with the table."""
+    w.ctas("SELECT * FROM parquet.`${sf}/customer.parquet`", "t", additional_properties={"made.for": "sales"})
+    kept = w.spark.sql(f"SHOW TBLPROPERTIES {w.database}.t ('made.for')").first()["value"]
+    return w.table("t").agg(F.count("*").alias("n")).withColumn("owner", F.lit(kept))
+
+
 @workload("SELECT * FROM supplier")
 def ctas_error_if_exists(w: Workspace) -> DataFrame:
     """The first table is made, the second call is an error and changes nothing."""
@@ -474,6 +553,63 @@ def apas_textfile(w: Workspace) -> DataFrame:
     return w.table("t")
 
 
+@workload("""
+    SELECT o_orderkey, CASE WHEN o_orderstatus = 'F' THEN o_totalprice * 2 ELSE o_totalprice END AS o_totalprice,
+           o_orderstatus
+    FROM orders""")
+def apas_overwrite_relocate(w: Workspace) -> DataFrame:
+    """The catalog is pointed to the new rows; no file is moved."""
+    select = "SELECT o_orderkey, o_totalprice, o_orderstatus FROM parquet.`${sf}/orders.parquet`"
+    w.ctas(select, "t", partitioned_by=["o_orderstatus"])
+    doubled = "SELECT o_orderkey, o_totalprice * 2 AS o_totalprice FROM t WHERE o_orderstatus = 'F'"
+    w.apas(doubled, "t", partition_kv={"o_orderstatus": "F"}, relocate=True)
+    return w.table("t")
+
+
+@workload("SELECT o_orderstatus, COUNT(*) AS n, true AS packed FROM orders GROUP BY o_orderstatus")
+def apas_codec(w: Workspace) -> DataFrame:
+    """New files are compressed as those of the table, or as asked for."""
+    select = "SELECT o_orderkey, o_totalprice, o_orderstatus FROM parquet.`${sf}/orders.parquet`"
+    w.ctas(f"{select} WHERE o_orderstatus = 'O'", "t", partitioned_by=["o_orderstatus"], compression="gzip")
+    for status, options in {"F": {}, "P": {"additional_properties": {"compression": "gzip"}}}.items():
+        data = f"SELECT o_orderkey, o_totalprice FROM parquet.`${{sf}}/orders.parquet` WHERE o_orderstatus = '{status}'"
+        w.apas(data, "t", partition_kv={"o_orderstatus": status}, **options)
+    packed = F.bool_and(F.col("_metadata.file_name").endswith(".gz.parquet")).alias("packed")
+    return w.table("t").groupBy("o_orderstatus").agg(F.count("*").alias("n"), packed)
+
+
+@workload("""
+    SELECT o_orderkey, CASE WHEN o_orderstatus = 'F' THEN NULL ELSE o_totalprice END AS o_totalprice, o_orderstatus
+    FROM orders""")
+def apas_schema_diff_ignored(w: Workspace) -> DataFrame:
+    """A column that the SELECT lacks is null, one that the table lacks is not seen."""
+    select = "SELECT o_orderkey, o_totalprice, o_orderstatus FROM parquet.`${sf}/orders.parquet`"
+    w.ctas(select, "t", partitioned_by=["o_orderstatus"])
+    other = "SELECT o_orderkey, o_custkey AS extra FROM parquet.`${sf}/orders.parquet` WHERE o_orderstatus = 'F'"
+    w.apas(other, "t", partition_kv={"o_orderstatus": "F"}, ignore_schema_diff=True)
+    return w.table("t")
+
+
+@workload("SELECT o_orderkey, o_totalprice, o_orderstatus FROM orders")
+def apas_refused(w: Workspace) -> DataFrame:
+    """What cannot take the partition is refused before anything is written."""
+    select = "SELECT o_orderkey, o_totalprice, o_orderstatus FROM parquet.`${sf}/orders.parquet`"
+    w.ctas(select, "t", partitioned_by=["o_orderstatus"])
+    w.ctas("SELECT * FROM parquet.`${sf}/part.parquet`", "flat")
+    data = "SELECT o_orderkey, o_totalprice FROM parquet.`${sf}/orders.parquet`"
+    inside = f"{w.folder}{w.database}_files/t"
+    for table, spec, options in (
+        ("nowhere", {"o_orderstatus": "F"}, {}),
+        ("flat", {"o_orderstatus": "F"}, {}),
+        ("t", {"other": "F"}, {}),
+        ("t", {"o_orderstatus": "F"}, {"location": inside}),
+        ("t", {"o_orderstatus": "new"}, {"location": f"{inside}/o_orderstatus=F"}),
+    ):
+        with refused(ConfigError):
+            w.apas(data, table, partition_kv=spec, **options)
+    return w.table("t")
+
+
 # --- diff_schema -------------------------------------------------------------
 
 
@@ -579,6 +715,32 @@ def add_partition_skip(w: Workspace) -> DataFrame:
     return w.table("t")
 
 
+@workload("""
+    SELECT o_orderstatus, true AS partition_exists, o_orderstatus <> 'F' AS location_exists,
+           CASE WHEN o_orderstatus = 'F' THEN 0 ELSE COUNT(*) END AS n
+    FROM orders GROUP BY o_orderstatus""")
+def add_partition_unfollowed(w: Workspace) -> DataFrame:
+    """Without a look at the files, a partition may point to a place without objects."""
+    select = "SELECT o_orderkey, o_totalprice, o_orderstatus FROM parquet.`${sf}/orders.parquet`"
+    w.ctas(select, "t", partitioned_by=["o_orderstatus"])
+    w.on(add_partition, "t", partition_kv={"o_orderstatus": "F"}, location=f"{w.folder}nowhere", follow_location=False)
+    statuses = w.values(f"SELECT DISTINCT o_orderstatus FROM {w.source('orders')}")
+    found = w.on(partition_exists, "t", partition_kv=[{"o_orderstatus": s} for (s,) in statuses], with_location=True)
+    counts = w.table("t").groupBy("o_orderstatus").agg(F.count("*").alias("n"))
+    return found.join(counts, "o_orderstatus", "left").fillna(0, ["n"])
+
+
+@workload(_KEYED_ORDERS)
+def add_partition_refused(w: Workspace) -> DataFrame:
+    """Absent tables, flat ones and incomplete specs are refused."""
+    specs = _keyed_orders(w)
+    w.ctas("SELECT * FROM parquet.`${sf}/part.parquet`", "flat")
+    for table, spec in (("nowhere", specs[0]), ("flat", specs[0]), ("t", {"o_orderstatus": "F"}), ("t", [specs[0], specs[0]])):
+        with refused(ConfigError):
+            w.on(add_partition, table, partition_kv=spec)
+    return w.table("t")
+
+
 @workload(_KEYED_ORDERS + " WHERE o_orderpriority <> '5-LOW'")
 def drop_partition_(w: Workspace) -> DataFrame:
     specs = [spec for spec in _keyed_orders(w) if spec["o_orderpriority"] == "5-LOW"]
@@ -599,18 +761,56 @@ def partition_exists_(w: Workspace) -> DataFrame:
     return w.read("orders").groupBy(*keys).agg(F.count("*").alias("n_orders")).join(found, keys)
 
 
+@workload("""
+    SELECT o_orderstatus, o_orderstatus <> '' AS alone, o_orderstatus <> '' AS listed, COUNT(*) AS n
+    FROM (SELECT CASE WHEN o_orderstatus = 'P' THEN '__HIVE_DEFAULT_PARTITION__' ELSE o_orderstatus END AS o_orderstatus
+          FROM orders UNION ALL SELECT '' FROM orders)
+    GROUP BY o_orderstatus""")
+def partition_exists_single(w: Workspace) -> DataFrame:
+    """One spec and a list get the same answer, also for the null partition and an empty value."""
+    nulled = "SELECT o_orderkey, nullif(o_orderstatus, 'P') AS o_orderstatus FROM parquet.`${sf}/orders.parquet`"
+    w.ctas(nulled, "t", partitioned_by=["o_orderstatus"])
+    orders = w.read("orders")
+    statuses = orders.select(F.when(F.col("o_orderstatus") == "P", NULL_PARTITION).otherwise(F.col("o_orderstatus")).alias("o_orderstatus"))
+    statuses = statuses.unionByName(orders.select(F.lit("").alias("o_orderstatus")))
+    counts = statuses.groupBy("o_orderstatus").agg(F.count("*").alias("n"))
+    specs = [{"o_orderstatus": status} for status in ("F", "O", NULL_PARTITION, "")]
+    listed = w.on(partition_exists, "t", partition_kv=specs).select("o_orderstatus", F.col("partition_exists").alias("listed"))
+    alone = union([w.on(partition_exists, "t", partition_kv=spec) for spec in specs])
+    alone = alone.select("o_orderstatus", F.col("partition_exists").alias("alone"))
+    return counts.join(alone, "o_orderstatus").join(listed, "o_orderstatus")
+
+
 # --- tables ------------------------------------------------------------------
 
 
-def _table_per_type(w: Workspace) -> list[str]:
-    """Events split into one table per type."""
+def _named(prefix: str, value: str) -> str:
+    """The table of a value; ``_SQL_NAMED`` says the same."""
+    return f"{prefix}_" + re.sub("[^0-9a-z]+", "_", value.lower())
+
+
+_SQL_NAMED = "'{0}_' || regexp_replace(lower({1}), '[^0-9a-z]+', '_', 'g')"
+
 
-    def store(kind: str):
-        w.ctas(f"SELECT * FROM parquet.`${{sf}}/events.parquet` WHERE event_type = '{kind}'", f"events_{kind}")
+def _table_per_value(w: Workspace, prefix: str, table: str, column: str) -> list[str]:
+    """A table per value of a column: one job writes a directory per value, and each becomes a table."""
+    select = f"SELECT *, {column} AS of_table FROM parquet.`${{sf}}/{table}.parquet`"
+    files = w.ctas(select, "files", table_mode="data_only", partitioned_by=["of_table"]).location
+    values = [value for (value,) in w.values(f"SELECT DISTINCT {column} FROM {w.source(table)}")]
+    named = [_named(prefix, value) for value in values]
+    if len(set(named)) < len(named):
+        raise ConfigError(f"two values of {column} name one table: {values}")
 
-    kinds = [kind for (kind,) in w.values(f"SELECT DISTINCT event_type FROM {w.source('events')}")]
-    for_each(w.spark, store, kinds)
-    return kinds
+    def define(pair: tuple[str, str]) -> None:
+        place = f"{files}of_table={escape_value(pair[1])}/"
+        w.spark.sql(f"CREATE TABLE {w.database}.{pair[0]} USING parquet LOCATION '{place}'")
+
+    for_each(w.spark, define, zip(named, values))
+    return values
+
+
+def _table_per_type(w: Workspace) -> list[str]:
+    return _table_per_value(w, "events", "events", "event_type")
 
 
 @workload("""
@@ -620,14 +820,15 @@ def _table_per_type(w: Workspace) -> list[str]:
 def table_exists_(w: Workspace) -> DataFrame:
     kinds = _table_per_type(w)
     w.on(drop_table, "events_error", with_location=True)
-    found = w.on(table_exists, [f"events_{kind}" for kind in kinds], with_location=True)
-    kind = F.replace("table", F.lit("events_"), F.lit("")).alias("event_type")
-    found = found.select(kind, "table_exists", "location_exists")
+    names = {kind: _named("events", kind) for kind in kinds}
+    found = w.on(table_exists, list(names.values()), with_location=True)
+    told = w.spark.createDataFrame(list(names.items()), "event_type string, table string")
+    found = told.join(found, "table").select("event_type", "table_exists", "location_exists")
     return w.read("events").groupBy("event_type").agg(F.count("*").alias("n_events")).join(found, "event_type")
 
 
-@workload("""
-    SELECT 'events_' || event_type AS name, COUNT(*) AS n FROM events
+@workload(f"""
+    SELECT {_SQL_NAMED.format("events", "event_type")} AS name, COUNT(*) AS n FROM events
     WHERE event_type NOT IN ('error', 'view') GROUP BY event_type""")
 def drop_table_(w: Workspace) -> DataFrame:
     _table_per_type(w)
@@ -635,22 +836,21 @@ def drop_table_(w: Workspace) -> DataFrame:
     return w.counts()
 
 
-@workload("""
-    SELECT 'prio_' || left(o_orderpriority, 1) AS name, COUNT(*) AS n FROM orders
-    WHERE left(o_orderpriority, 1) IN ('3', '4', '5') GROUP BY o_orderpriority""")
+_PRIORITIES = f"SELECT {_SQL_NAMED.format('prio', 'o_orderpriority')} AS name, COUNT(*) AS n FROM orders"
+
+
+@workload(f"{_PRIORITIES} WHERE left(o_orderpriority, 1) IN ('3', '4', '5') GROUP BY o_orderpriority")
 def drop_table_multi_(w: Workspace) -> DataFrame:
     """Three names match, the limit lets the first two go."""
+    _table_per_value(w, "prio", "orders", "o_orderpriority")
+    drop_table_multi(w.spark, database=w.database, regexp="prio_[123].*", limit=2, with_location=True)
+    return w.counts()
 
-    def store(priority: str):
-        w.ctas(f"SELECT * FROM parquet.`${{sf}}/orders.parquet` WHERE o_orderpriority = '{priority}'", f"prio_{priority[0]}")
 
-    priorities = w.values(f"SELECT DISTINCT o_orderpriority FROM {w.source('orders')}")
-    for_each(w.spark, store, [priority for (priority,) in priorities])
-    drop_table_multi(w.spark, database=w.database, regexp="prio_[123]", limit=2, with_location=True)
-    return w.counts()
+_EVENTS = f"SELECT {_SQL_NAMED.format('events', 'event_type')} AS name, COUNT(*) AS n FROM events"
 
 
-@workload("SELECT 'events_' || event_type AS name, COUNT(*) AS n FROM events GROUP BY event_type")
+@workload(f"{_EVENTS} GROUP BY event_type")
 def drop_table_multi_protected(w: Workspace) -> DataFrame:
     """Every name matches, but the tables are young."""
     _table_per_type(w)
@@ -659,6 +859,25 @@ def drop_table_multi_protected(w: Workspace) -> DataFrame:
     return w.counts()
 
 
+@workload(f"{_EVENTS} WHERE event_type <> 'view' GROUP BY event_type")
+def drop_table_multi_accessed(w: Workspace) -> DataFrame:
+    """The catalog keeps no time of access, so that protects nothing."""
+    _table_per_type(w)
+    protect = Protect(accessed_within=timedelta(days=1))
+    drop_table_multi(w.spark, database=w.database, regexp="events_view", protect=protect)
+    return w.counts()
+
+
+@workload(f"{_EVENTS} GROUP BY event_type")
+def drop_table_multi_refused(w: Workspace) -> DataFrame:
+    """Without an expression nothing is dropped; an expression must match a whole name."""
+    _table_per_type(w)
+    with refused(ConfigError):
+        drop_table_multi(w.spark, database=w.database, regexp="", with_location=True)
+    drop_table_multi(w.spark, database=w.database, regexp="events", with_location=True)
+    return w.counts()
+
+
 # --- databases ---------------------------------------------------------------
 
 
@@ -681,3 +900,14 @@ def for_each_database_(w: Workspace) -> DataFrame:
         regexp=f"{w.database}_.*",
     )
     return counts.drop("database")
+
+
+@workload("SELECT 'part' AS description, COUNT(*) AS n FROM part UNION ALL SELECT 'orders', COUNT(*) FROM orders")
+def database_inventory_(w: Workspace) -> DataFrame:
+    """What is known of the databases, and the rows that each holds."""
+    for name in ("part", "orders"):
+        database = w.new_database(f"{w.database}_{name}", comment=name)
+        w.ctas(f"SELECT * FROM parquet.`${{sf}}/{name}.parquet`", "t", database=database)
+    found = database_inventory(w.spark, regexp=f"{w.database}_.*")
+    counts = for_each_database(w.spark, lambda d: w.counts(d.name), regexp=f"{w.database}_.*", parallel=2)
+    return found.select("description", F.col("name").alias("database")).join(counts, "database").select("description", "n")
