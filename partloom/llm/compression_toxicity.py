@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from partloom.llm.common import plain
 
 #: Words of a window, compression level, and the gains in bytes at which windows are counted.
-WINDOW, LEVEL, GAINS = 32, 6, (2, 3, 4, 6)
+WINDOW, LEVEL, GAINS = 32, 6, (1, 2, 3, 4)
 #: The score from which a text is predicted toxic.
 CUT = 0.7
 
