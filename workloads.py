@@ -514,14 +514,14 @@ def apas_location(w: Workspace) -> DataFrame:
     w.ctas("SELECT * FROM parquet.`${sf}/orders.parquet`", "t", table_mode="empty", partitioned_by=["o_orderstatus"])
     select = (
         "SELECT o_orderkey, o_custkey, o_totalprice, o_orderdate, o_orderpriority "
-        "FROM parquet.`${sf}/orders.parquet` WHERE o_orderstatus = '${status}'"
+        "FROM parquet.`${sf}/orders.parquet` WHERE o_orderstatus = :status"
     )
 
     def store(status: str):
         w.apas(
             select,
             "t",
-            {"status": status},
+            args={"status": status},
             partition_kv={"o_orderstatus": status},
             location=f"{w.folder}elsewhere/{status}",
             bucketed_by=["o_custkey"],
@@ -544,10 +544,10 @@ def apas_textfile(w: Workspace) -> DataFrame:
         field_delimiter="|",
         partitioned_by=["lang"],
     )
-    select = "SELECT doc_id, text, source, n_chars FROM parquet.`${sf}/documents.parquet` WHERE lang = '${lang}'"
+    select = "SELECT doc_id, text, source, n_chars FROM parquet.`${sf}/documents.parquet` WHERE lang = :lang"
 
     def store(lang: str):
-        w.apas(select, "t", {"lang": lang}, partition_kv={"lang": lang})
+        w.apas(select, "t", args={"lang": lang}, partition_kv={"lang": lang})
 
     for_each(w.spark, store, [lang for (lang,) in w.values(f"SELECT DISTINCT lang FROM {w.source('documents')}")])
     return w.table("t")
