@@ -145,6 +145,9 @@ class _Bytes:
         del self._held[: at + len(mark)]
         return out
 
+    def rest(self) -> int:
+        return len(self._held)
+
     def take(self, n: int) -> bytes:
         while len(self._held) < n and self._more():
             pass
@@ -166,6 +169,8 @@ def records_of(content: memoryview) -> Iterator[tuple[list[tuple[str, str]], byt
         block = data.take(int(dict(fields)["content-length"]))
         data.take(4)
         yield fields, block
+    if data.rest():
+        raise ValueError("an archive ends within a record")
 
 
 def _row(fields: list[tuple[str, str]], block: bytes) -> tuple:
@@ -212,38 +217,38 @@ CAPTURE_TYPES = ("response", "revisit", "resource")
 
 
 def assemble(records: DataFrame, folder: str | None = None) -> DataFrame:
-    """One row per capture: ``capture`` (its response, revisit or resource record) and arrays of the
-    ``requests``, ``metadata`` and ``others`` that are concurrent to it, directly or through another record.
+    """One row per capture: ``capture_id``, ``capture`` (its response, revisit or resource record) and arrays of
+    the ``requests``, ``metadata`` and ``others`` that are concurrent to it, directly or through another record.
 
-    Identifiers may point either way. Captures with more records than another only make their own row longer.
+    Captures and the records that name them meet in one grouping by the identifier. Identifiers may point
+    either way; where some name a record that is no capture, those are followed first. A record that names
+    several captures is with each. Captures with more records than another only make their own row longer.
     """
     folder = folder or work_folder(records.sparkSession)
     is_capture = F.col("type").isin(*CAPTURE_TYPES)
     pointing = records.select("record_id", is_capture.alias("is_capture"), F.explode("concurrent_to").alias("other"))
-    ties = pointing.where("NOT is_capture").select(F.col("record_id").alias("part"), F.col("other").alias("at")).unionAll(
-        pointing.where("is_capture").select(F.col("other").alias("part"), F.col("record_id").alias("at"))
-    )
-    ties = stored(ties.distinct(), folder, "ties")
-    captures = records.where(is_capture)
-    ids = captures.select(F.col("record_id").alias("at"))
-    placed = stored(ties.join(ids, "at").groupBy("part").agg(F.min("at").alias("at")), folder, "placed-0")
-    number, waiting = 0, ties.join(ids, "at", "left_anti").join(placed.select("part"), "part", "left_anti")
-    while not is_empty(waiting):  # records that point to a record that is already placed
-        via = placed.select(F.col("part").alias("at"), F.col("at").alias("capture"))
-        more = waiting.join(via, "at").groupBy("part").agg(F.min("capture").alias("at"))
-        number += 1
-        more = stored(more, folder, f"placed-{number}")
-        if is_empty(more):
-            break
-        placed = stored(placed.unionByName(more), folder, f"all-{number}")
-        waiting = waiting.join(placed.select("part"), "part", "left_anti")
+    named = pointing.where("NOT is_capture").select(F.col("record_id").alias("part"), F.col("other").alias("at"))
+    naming = pointing.where("is_capture").select(F.col("other").alias("part"), F.col("record_id").alias("at"))
+    ids = records.where(is_capture).select(F.col("record_id").alias("at"))
+    indirect = stored(named.join(ids, "at", "left_anti"), folder, "indirect")
+    parts = records.where(~is_capture)
+    if is_empty(indirect) and is_empty(naming):
+        placed = parts.withColumn("capture_id", F.explode(F.array_distinct("concurrent_to")))
+    else:
+        places = _follow(named, naming, ids, indirect, folder)
+        placed = parts.join(places.select(F.col("part").alias("record_id"), F.col("at").alias("capture_id")), "record_id")
     fields = ("record_id", "type", "target_uri", "date", "http_head", "payload")
-    parts = records.where(~is_capture).join(placed.select(F.col("part").alias("record_id"), F.col("at").alias("capture_id")), "record_id")
-    gathered = parts.groupBy("capture_id").agg(F.sort_array(F.collect_list(F.struct(*fields))).alias("parts"))
+    part = F.struct(*fields)
+    whole = F.struct(*(f"`{name}`" for name in records.columns))
+    captures = records.where(is_capture).select(F.col("record_id").alias("capture_id"), whole.alias("capture"))
+    both = captures.withColumn("part", F.lit(None).cast(parts.select(part.alias("p")).schema["p"].dataType)).unionByName(
+        placed.select("capture_id", F.lit(None).cast(captures.schema["capture"].dataType).alias("capture"), part.alias("part"))
+    )
+    gathered = both.groupBy("capture_id").agg(
+        F.first("capture", ignorenulls=True).alias("capture"), F.sort_array(F.collect_list("part")).alias("parts")
+    ).where("capture IS NOT NULL")
     kind = lambda wanted: F.filter("parts", lambda p: wanted(p["type"]))
-    joined = captures.select(F.col("record_id").alias("capture_id"), F.struct(*captures.columns).alias("capture")).join(gathered, "capture_id", "left")
-    none = F.coalesce("parts", F.array().cast(gathered.schema["parts"].dataType))
-    return joined.withColumn("parts", none).select(
+    return gathered.select(
         "capture_id", "capture",
         kind(lambda t: t == "request").alias("requests"),
         kind(lambda t: t == "metadata").alias("metadata"),
@@ -251,6 +256,22 @@ def assemble(records: DataFrame, folder: str | None = None) -> DataFrame:
     )
 
 
+def _follow(named: DataFrame, naming: DataFrame, ids: DataFrame, indirect: DataFrame, folder: str) -> DataFrame:
+    """``part`` and the captures ``at`` which it belongs to, through as many records as it takes."""
+    placed = stored(named.join(ids, "at", "left_semi").unionByName(naming).distinct(), folder, "placed-0")
+    fresh, number = placed, 0
+    while not is_empty(fresh):
+        number += 1
+        through = fresh.select(F.col("part").alias("at"), F.col("at").alias("capture"))
+        # Records that name one which was placed, and records that such a one names.
+        on = indirect.join(through, "at").select("part", F.col("capture").alias("at"))
+        back = indirect.select(F.col("at").alias("part"), F.col("part").alias("at")).join(through, "at").select("part", F.col("capture").alias("at"))
+        found = on.unionByName(back).distinct().join(placed, ["part", "at"], "left_anti")
+        fresh = stored(found, folder, f"found-{number}")
+        placed = stored(placed.unionByName(fresh), folder, f"placed-{number}")
+    return placed
+
+
 def field_of(block: Column, name: str) -> Column:
     """A field of a ``application/warc-fields`` block or of an HTTP head; null if it has none."""
     found = F.regexp_extract(block.cast("string"), rf"(?im)^{name}:[ \t]*([^\r\n]*)", 1)
