@@ -26,6 +26,7 @@ from heapq import heapify, heappop, heappush
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import sentencepiece
 import xxhash
 from pyspark.sql import Column, DataFrame
@@ -34,8 +35,9 @@ from pyspark.sql import functions as F
 from partloom.llm.common import chunks, plain
 
 SPACE = "\u2581"
-#: Different words that are segmented at once, and characters from which a word is segmented alone.
-TOGETHER, ALONE = 50_000, 256
+#: Different words that are segmented at once.
+TOGETHER = 50_000
+# Words of more characters than the last are segmented alone.
 _WIDTHS = (2, 4, 6, 8, 10, 12, 16, 24, 32, 64, 128, 256)
 #: Ids from here on stand for a character (its code point more) that no piece spells.
 _CHARACTER = 1 << 20
@@ -43,6 +45,14 @@ _SHIFT = 22
 _NONE = np.int32(2**31 - 1)
 
 
+# The merges stand in an open hash table of this many slots, less one.
+_SLOTS = (1 << 19) - 1
+
+
+def _slot(key: np.ndarray) -> np.ndarray:
+    return (key.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(45)).astype(np.int64)
+
+
 @dataclass(frozen=True)
 class Vocabulary:
     """A model as tables: ids of the mergeable pieces, of byte pieces and of characters, every id's bytes,
@@ -59,8 +69,15 @@ class Vocabulary:
     def merge(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The merged id and rank of neighbours; no rank where they do not merge."""
         key = left.astype(np.int64) << _SHIFT | right
-        at = np.minimum(np.searchsorted(self.pairs, key), len(self.pairs) - 1)
-        return self.merged[at], np.where(self.pairs[at] == key, self.rank[at], _NONE)
+        slot = _slot(key)
+        found = self.pairs[slot]
+        # Few keys share a slot with another; those look on.
+        lost = np.nonzero((found != key) & (found >= 0))
+        while len(lost[0]):
+            slot[lost] = (slot[lost] + 1) & _SLOTS
+            found = self.pairs[slot[lost]]
+            lost = tuple(x[(found != key[lost]) & (found >= 0)] for x in lost)
+        return self.merged[slot], np.where(self.pairs[slot] == key, self.rank[slot], _NONE)
 
 
 @lru_cache(maxsize=2)
@@ -86,13 +103,17 @@ def vocabulary(model_file: str) -> Vocabulary:
     symbol = lambda text: pieces.get(text, _CHARACTER + ord(text) if len(text) == 1 else -1)
     splits = [(symbol(p[:k]), symbol(p[k:]), i) for p, i in pieces.items() for k in range(1, len(p))]
     table = np.array([x for x in splits if x[0] >= 0 and x[1] >= 0], np.int64).reshape(-1, 3)
-    order = np.argsort(table[:, 0] << _SHIFT | table[:, 1])
-    table = table[order]
+    if len(table) > _SLOTS // 2:
+        raise ValueError("the vocabulary has too many merges for the table")
     scores = np.array([model.get_score(i) for i in range(n)])
     rank = np.unique(-scores[table[:, 2]], return_inverse=True)[1].astype(np.int32)
-    return Vocabulary(
-        pieces, byte_ids, spelled, of_character, table[:, 0] << _SHIFT | table[:, 1], table[:, 2].astype(np.int32), rank
-    )
+    keys = table[:, 0] << _SHIFT | table[:, 1]
+    pairs, row = np.full(_SLOTS + 1, -1, np.int64), np.zeros(_SLOTS + 1, np.int64)
+    for i, slot in enumerate(_slot(keys).tolist()):
+        while pairs[slot] >= 0:
+            slot = (slot + 1) & _SLOTS
+        pairs[slot], row[slot] = keys[i], i
+    return Vocabulary(pieces, byte_ids, spelled, of_character, pairs, table[row, 2].astype(np.int32), rank[row])
 
 
 def _skips(seed: int, variant: np.ndarray, merged: np.ndarray, left: np.ndarray, place: np.ndarray, dropout: float) -> np.ndarray:
@@ -143,51 +164,54 @@ def segment(word: str, v: Vocabulary, dropout: float = 0.0, seed: int = 0, varia
 
 def _segment_table(ids: np.ndarray, size: np.ndarray, v: Vocabulary, dropout: float, seed: int, variant: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The agendas of many short words at once: a row of ``ids`` is a word of ``size`` symbols. Every
-    round takes the first candidate of each word and skips or merges it."""
-    width = ids.shape[1]
+    round takes the first candidate of each word and skips or merges it. The symbols that are left, and how many."""
+    n, width = ids.shape
+    column = np.arange(width, dtype=np.int32)
+    inside = column < size[:, None]
     if width < 2:
-        return ids, size
-    out, out_size = ids.copy(), size.copy()
-    row = np.arange(len(ids))
-    place = np.broadcast_to(np.arange(width, dtype=np.int16), ids.shape).copy()
-    column = np.arange(width - 1)
-    merged, rank = v.merge(ids[:, :-1], ids[:, 1:])
+        return ids[inside], size
+    # One row after the other; a pair stands where its left symbol does.
+    flat = ids.reshape(-1).copy()
+    merged, rank = np.zeros((n, width), np.int32), np.full((n, width), _NONE, np.int32)
+    merged[:, :-1], rank[:, :-1] = v.merge(ids[:, :-1], ids[:, 1:])
     rank[column >= (size - 1)[:, None]] = _NONE
-    ids, size = ids.copy(), size.copy()
+    after = np.broadcast_to(column + 1, ids.shape).reshape(-1).copy()
+    before = np.broadcast_to(column - 1, ids.shape).reshape(-1).copy()
+    end = size.astype(np.int32)
+    flat_merged, flat_rank = merged.reshape(-1), rank.reshape(-1)
+    alive = inside.reshape(-1).copy()
+    row = np.arange(n)
     while len(row):
-        at = rank.argmin(axis=1)
-        every = np.arange(len(row))
-        live = rank[every, at] != _NONE
+        at = rank[row].argmin(axis=1)
+        place = row * width + at
+        live = flat_rank[place] != _NONE
         if not live.all():
-            done = ~live
-            out[row[done], :] = ids[done]
-            out_size[row[done]] = size[done]
-            row, ids, size, place, merged, rank, variant, at = (x[live] for x in (row, ids, size, place, merged, rank, variant, at))
-            if not len(row):
-                break
-            every = np.arange(len(row))
-        to = merged[every, at]
-        if dropout:
-            skip = _skips(seed, variant, to, ids[every, at], place[every, at], dropout)
-            rank[every[skip], at[skip]] = _NONE
-            every, at, to = every[~skip], at[~skip], to[~skip]
-            if not len(every):
-                continue
-        ids[every, at] = to
-        # What stands behind the merged pair moves up by one.
-        for table, first in ((ids, at + 1), (place, at + 1), (merged, at), (rank, at)):
-            part = table[every]
-            moved = np.concatenate([part[:, 1:], part[:, -1:]], axis=1)
-            table[every] = np.where(np.arange(part.shape[1]) >= first[:, None], moved, part)
-        size[every] -= 1
-        last = size[every] - 1  # pairs begin before the last symbol
-        rank[every, np.minimum(last, width - 2)] = _NONE
-        for shift in (-1, 0):
-            pair = at + shift
-            real = (pair >= 0) & (pair < last)
-            r, p = every[real], pair[real]
-            merged[r, p], rank[r, p] = v.merge(ids[r, p], ids[r, p + 1])
-    return out, out_size
+            row, at, place = row[live], at[live], place[live]
+        to = flat_merged[place]
+        if dropout and len(row):
+            skip = _skips(seed, variant[row], to, flat[place], at, dropout)
+            flat_rank[place[skip]] = _NONE
+            kept = ~skip
+            r, at, place, to = row[kept], at[kept], place[kept], to[kept]
+        else:
+            r = row
+        base = r * width
+        gone = base + after[place]
+        flat[place] = to
+        alive[gone] = False
+        flat_rank[gone] = _NONE
+        behind = after[gone]
+        after[place] = behind
+        more = behind < end[r]
+        # Beside the merged symbol there are new pairs, or none any more.
+        flat_rank[place] = _NONE
+        p, q = place[more], (base + behind)[more]
+        before[q] = at[more]
+        flat_merged[p], flat_rank[p] = v.merge(flat[p], flat[q])
+        ahead = before[place] >= 0
+        p, q = (base + before[place])[ahead], place[ahead]
+        flat_merged[p], flat_rank[p] = v.merge(flat[p], flat[q])
+    return flat[alive], alive.reshape(n, width).sum(axis=1)
 
 
 def segment_many(words: list[str], variants: np.ndarray, v: Vocabulary, dropout: float, seed: int) -> tuple[np.ndarray, np.ndarray]:
@@ -208,7 +232,7 @@ def segment_many(words: list[str], variants: np.ndarray, v: Vocabulary, dropout:
             ids = np.where(inside, symbols[np.minimum(start[some][:, None] + np.arange(width), max(0, len(symbols) - 1))], -1)
             ids, size = _segment_table(ids.astype(np.int32), length[some], v, dropout, seed, variants[some])
             count[some] = size
-            parts.append((some, ids[np.arange(width) < size[:, None]]))
+            parts.append((some, ids))
     for i in np.flatnonzero(kind == len(_WIDTHS)):
         found = np.array(segment(words[i], v, dropout, seed, int(variants[i])), np.int32)
         count[i] = len(found)
@@ -301,6 +325,28 @@ def decode_ids(ids, v: Vocabulary) -> str:
     return text[1:] if text[:1] == " " else text
 
 
+def decode_lists(pieces: pa.ListArray, v: Vocabulary) -> pa.Array:
+    """The texts of many lists of ids, put together from the bytes of the pieces."""
+    n = np.diff(pieces.offsets.to_numpy()).astype(np.int64)
+    ids = pieces.flatten().to_numpy(zero_copy_only=False)
+    valid = pieces.is_valid().to_numpy(zero_copy_only=False)
+    n[~valid] = 0
+    size = np.fromiter(map(len, v.spelled), np.int64, len(v.spelled))
+    start = np.cumsum(size) - size
+    spelled = np.frombuffer(b"".join(v.spelled), np.uint8)
+    ends = np.concatenate([[0], np.cumsum(size[ids])])
+    out = spelled[np.arange(ends[-1]) - np.repeat(ends[:-1], size[ids]) + np.repeat(start[ids], size[ids])]
+    edge = ends[np.concatenate([[0], np.cumsum(n)])]
+    # The space that was put before a text does not belong to it.
+    first = edge[:-1][(np.diff(edge) > 0)]
+    keep = np.ones(len(out), bool)
+    keep[first[out[first] == 0x20]] = False
+    lost = np.concatenate([[0], np.cumsum(~keep)])
+    offsets = (edge - lost[edge]).astype(np.int64)
+    mask = np.packbits(valid, bitorder="little").tobytes()
+    return pa.LargeStringArray.from_buffers(len(pieces), pa.py_buffer(offsets.tobytes()), pa.py_buffer(out[keep].tobytes()), pa.py_buffer(mask))
+
+
 def encode(
     docs: DataFrame, model_file: str, dropout: float = 0.1, seed: int = 1, variants: int = 8
 ) -> DataFrame:
@@ -326,7 +372,12 @@ def decoded(model_file: str) -> Callable[..., Column]:
 
     @F.arrow_udf("string")
     def run(pieces: pa.Array) -> pa.Array:
-        v = vocabulary(model_file)
-        return pa.array([None if p is None else decode_ids(p, v) for p in (x.as_py() for x in pieces)], pa.string())
+        v, parts, at = vocabulary(model_file), [], 0
+        ends = np.cumsum(pc.fill_null(pc.list_value_length(pieces), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+        while at < len(pieces):  # lists of bounded length together
+            to = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + 1_000_000, side="right")))
+            parts.append(decode_lists(pieces.take(pa.array(np.arange(at, to))), v).cast(pa.string()))
+            at = to
+        return pa.concat_arrays(parts) if parts else pa.array([], pa.string())
 
     return run
