@@ -34,8 +34,9 @@ from partloom.llm.common import components, merge_pairs, plain, stored, work_fol
 
 #: Dimensions of a block.
 BLOCK_DIMS = 8
-#: Vectors that a cell should hold, and rows of one side of a group.
-CELL, SIDE = 2048, 4096
+#: Vectors that a cell should hold, and rows of one side of a group. Every gridded coordinate doubles the
+#: copies that are sent, so cells are as large as a group has room for.
+CELL, SIDE = 16_384, 65_536
 #: Rotated coordinates are kept as whole numbers of this many steps.
 _STEPS = 1 << 13
 _TILE = 1024
@@ -68,8 +69,14 @@ def rotated(vectors: np.ndarray, turn: np.ndarray) -> np.ndarray:
     return np.rint(unit @ turn * _STEPS).astype(np.int16)
 
 
+def _kind(vectors: DataFrame) -> type:
+    """Floats are sent as floats; all else as doubles. Both are compared as doubles."""
+    return np.float32 if vectors.schema["embedding"].dataType.simpleString() == "array<float>" else np.float64
+
+
 def _packed(vectors: DataFrame) -> DataFrame:
-    """``vec_id``, ``vec`` (doubles as bytes; null where the vector links with nothing) and its ``dims``."""
+    """``vec_id``, ``vec`` (its components as bytes; null where the vector links with nothing) and its ``dims``."""
+    kind = _kind(vectors)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -80,14 +87,14 @@ def _packed(vectors: DataFrame) -> DataFrame:
             ends = np.cumsum(size)
             out = []
             for end, n in zip(ends, size, strict=True):
-                v = flat[end - n: end].astype(np.float64)
+                v = flat[end - n: end].astype(kind)
                 top = np.abs(v).max() if n else 0.0
                 out.append(v.tobytes() if n and np.isfinite(v).all() and top > 0 else None)
             yield pa.RecordBatch.from_arrays(
                 [batch.column("vec_id"), pa.array(out, pa.binary()), pa.array(size, pa.int32())], names=["vec_id", "vec", "dims"]
             )
 
-    slim = vectors.where("vec_id IS NOT NULL").select(F.col("vec_id").cast("long"), F.col("embedding").cast("array<double>"))
+    slim = vectors.where("vec_id IS NOT NULL").select(F.col("vec_id").cast("long"), F.col("embedding").cast("array<float>" if kind is np.float32 else "array<double>"))
     return slim.mapInArrow(run, "vec_id long, vec binary, dims int")
 
 
@@ -113,40 +120,47 @@ def cells(turned: np.ndarray, similarity: float, coordinates: int) -> Iterator[t
             yield number, rows[near], key, np.full(len(cell), not any(step))
 
 
+def _sides(turned: np.ndarray, block: slice) -> tuple[np.ndarray, np.ndarray]:
+    """Rows whose products are half the negated squared distances of the block's parts, for either side."""
+    part = turned[:, block].astype(np.float32) / _STEPS
+    half, one = -(part**2).sum(axis=1, keepdims=True) / 2, np.ones((len(part), 1), np.float32)
+    return np.hstack([part, half, one]), np.hstack([part, one, half])
+
+
 def _found_pairs(a: np.ndarray, b: np.ndarray, budget: float) -> tuple[np.ndarray, np.ndarray]:
-    """Index pairs whose block parts are within the budget; whole numbers throughout."""
-    left, right = a.astype(np.float64), b.astype(np.float64)
-    distance = (left**2).sum(axis=1)[:, None] + (right**2).sum(axis=1)[None, :] - 2 * (left @ right.T)
-    return np.nonzero(distance <= budget)
+    """Index pairs that may be within the budget: single precision, with room for its error."""
+    within = a @ b.T >= -(budget / _STEPS**2) / 2 - 1e-5
+    flat = np.flatnonzero(within)
+    return flat // within.shape[1], flat % within.shape[1]
 
 
-def linked_in_cell(number: int, home: pd.DataFrame, other: pd.DataFrame, similarity: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+def linked_in_cell(number: int, home: pd.DataFrame, other: pd.DataFrame, similarity: float, kind: type) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Index pairs (home row, other row) that are linked and that no block before ``number`` finds."""
-    h, o = (np.stack([np.frombuffer(v, np.float64) for v in f["vec"]]) for f in (home, other))
-    th, to = (np.stack([np.frombuffer(v, np.int16) for v in f["turned"]]) for f in (home, other))
+    h, o = (np.frombuffer(b"".join(f["vec"]), kind).reshape(len(f), -1) for f in (home, other))
+    th, to = (np.frombuffer(b"".join(f["turned"]), np.int16).reshape(len(f), -1) for f in (home, other))
     dims = th.shape[1]
     parts, allowed = blocks_of(dims), budgets(dims, similarity)
-    nh, no = np.sqrt((h * h).sum(axis=1)), np.sqrt((o * o).sum(axis=1))
+    nh, no = (np.sqrt(np.einsum("ij,ij->i", v, v, dtype=np.float64)) for v in (h, o))
     ids_h, ids_o = home["rep"].to_numpy(), other["rep"].to_numpy()
     at_home = other["home"].to_numpy(bool)
-    block = parts[number]
+    sides = _sides(th, parts[number])[0], _sides(to, parts[number])[1]
     for i in range(0, len(h), _TILE):
         for j in range(0, len(o), _TILE):
-            x, y = _found_pairs(th[i: i + _TILE, block], to[j: j + _TILE, block], allowed[number])
+            x, y = _found_pairs(sides[0][i: i + _TILE], sides[1][j: j + _TILE], allowed[number])
             x, y = x + i, y + j
             # Two rows at home in this cell are one pair; a visitor's home is another cell.
             once = ~at_home[y] | (ids_o[y] < ids_h[x])
             x, y = x[once], y[once]
             for at in range(0, len(x), 65_536):
                 p, q = x[at: at + 65_536], y[at: at + 65_536]
-                near = np.einsum("ij,ij->i", h[p], o[q]) / (nh[p] * no[q]) >= similarity
+                near = np.einsum("ij,ij->i", h[p], o[q], dtype=np.float64) / (nh[p] * no[q]) >= similarity
                 p, q = p[near], q[near]
-                if number and len(p):
+                if len(p):
+                    # Whole numbers from here on: this block, and none before it, has the pair.
                     apart = (th[p].astype(np.int64) - to[q]) ** 2
-                    earlier = np.zeros(len(p), bool)
-                    for before in range(number):
-                        earlier |= apart[:, parts[before]].sum(axis=1) <= allowed[before]
-                    p, q = p[~earlier], q[~earlier]
+                    inside = [apart[:, parts[k]].sum(axis=1) <= allowed[k] for k in range(number + 1)]
+                    mine = inside[number] & ~np.any(inside[:number], axis=0) if number else inside[0]
+                    p, q = p[mine], q[mine]
                 if len(p):
                     yield p, q
 
@@ -155,7 +169,7 @@ def near_duplicates(vectors: DataFrame, similarity: float = 0.9, seed: int = 5,
     """``vec_id``, ``n_links``, ``component_id`` and ``kept`` of every vector of ``vectors`` (vec_id, embedding)."""
     folder = folder or work_folder(vectors.sparkSession)
     whole = _packed(vectors).groupBy("vec_id").agg(F.max(F.struct("vec", "dims")).alias("v")).select("vec_id", "v.*")
-    packed = stored(whole, folder, "packed")
+    packed, kind = stored(whole, folder, "packed"), _kind(vectors)
     usable = packed.where("vec IS NOT NULL")
     reps = usable.groupBy("vec", "dims").agg(F.min("vec_id").alias("rep"), F.count("*").alias("copies"))
 
@@ -166,7 +180,7 @@ def near_duplicates(vectors: DataFrame, similarity: float = 0.9, seed: int = 5,
             for vec, dims in zip(batch.column("vec").to_pylist(), batch.column("dims").to_pylist(), strict=True):
                 if dims not in turns:
                     turns[dims] = rotation(dims, seed)
-                out.append(rotated(np.frombuffer(vec, np.float64)[None, :], turns[dims])[0].tobytes())
+                out.append(rotated(np.frombuffer(vec, kind)[None, :].astype(np.float64), turns[dims])[0].tobytes())
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out, pa.binary())], names=[*batch.schema.names, "turned"])
 
     reps = stored(reps.mapInArrow(turn, "vec binary, dims int, rep long, copies long, turned binary"), folder, "reps")
@@ -226,7 +240,7 @@ def near_duplicates(vectors: DataFrame, similarity: float = 0.9, seed: int = 5,
         wh, wo = home["copies"].to_numpy(), other["copies"].to_numpy()
         links = np.zeros(len(ids), np.int64)
         a, b = np.empty(0, np.int64), np.empty(0, np.int64)
-        for p, q in linked_in_cell(number, home, other, similarity):
+        for p, q in linked_in_cell(number, home, other, similarity, kind):
             np.add.at(links, ph[p], wo[q])
             np.add.at(links, po[q], wh[p])
             a, b = merge_pairs(np.concatenate([a, ids[ph[p]]]), np.concatenate([b, ids[po[q]]]))
