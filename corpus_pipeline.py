@@ -26,7 +26,7 @@ def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without the paragraphs that other documents, or the text itself, have before."""
-    return paragraph_minhash.remove_repeats(docs).select(*docs.columns)
+    return paragraph_minhash.remove_repeats(docs)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -114,13 +114,13 @@ def plain(column) -> pa.Array:
     return column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
 
 
-def chunks(texts: pa.Array) -> Iterator[pa.Array]:
+def chunks(texts: pa.Array, bytes_at_once: int | None = None) -> Iterator[pa.Array]:
     """The texts in parts of bounded size, each a copy: some kernels misread a slice once it is cast."""
     size = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64))
     at = 0
     while at < len(texts):
         before = size[at - 1] if at else 0
-        to = max(at + 1, int(np.searchsorted(size, before + _CHUNK, side="right")))
+        to = max(at + 1, int(np.searchsorted(size, before + (bytes_at_once or _CHUNK), side="right")))
         yield texts.take(pa.array(np.arange(at, to)))
         at = to
 

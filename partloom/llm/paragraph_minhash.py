@@ -24,6 +24,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pandas as pd
@@ -39,8 +40,12 @@ from partloom.llm.common import chunks, components, flat_words, merge_pairs, pla
 WINDOW = 16
 #: Bits of the table that tells which paragraphs may repeat (8 MB).
 TABLE_BITS = 26
-#: Members of a bucket that are verified in one group.
-BLOCK = 2048
+#: Members of a bucket that are verified in one group, and rows of small buckets that make up a group.
+BLOCK, TOGETHER = 2048, 8192
+#: Members up to which a bucket is small.
+SMALL = 64
+#: Bytes of text, and windows, that are worked on at once.
+BYTES, ROWS = 1_000_000, 4096
 
 _A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)  # odd, so they have inverses
 
@@ -110,6 +115,31 @@ class _Paragraphs:
     def doc_of(self, place: np.ndarray) -> np.ndarray:
         return np.searchsorted(self.doc_start, place, side="right") - 1
 
+    def within_documents(self) -> tuple[np.ndarray, np.ndarray]:
+        """Numbers of the windows that repeat an earlier one of their own document, and of those earlier ones."""
+        order = np.lexsort((self.window, self.window_keys[1], self.window_keys[0], self.doc_of(self.window)))
+        parts = [self.doc_of(self.window)[order], *(k[order] for k in self.window_keys)]
+        new = np.ones(len(order), bool)
+        new[1:] = np.any([x[1:] != x[:-1] for x in parts], axis=0)
+        first = order[np.flatnonzero(new)][np.cumsum(new) - 1]
+        return order[~new], first[~new]
+
+    def around(self, place: np.ndarray, reach: int) -> tuple[np.ndarray, np.ndarray]:
+        """A byte per word, never 0, of the words before and after each window, nearest first; 0 beyond the text."""
+        if len(place) > ROWS:
+            parts = [self.around(place[i: i + ROWS], reach) for i in range(0, len(place), ROWS)]
+            return np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts])
+        steps, doc = np.arange(reach), self.doc_of(place)
+        back, on = place[:, None] - 1 - steps, place[:, None] + WINDOW + steps
+        if not len(self.words):
+            return np.zeros(back.shape, np.uint8), np.zeros(on.shape, np.uint8)
+        at = lambda x: self.bytes[np.clip(x, 0, len(self.words) - 1)]
+        return np.where(back >= self.doc_start[doc][:, None], at(back), 0).astype(np.uint8), np.where(on < self.doc_start[doc + 1][:, None], at(on), 0).astype(np.uint8)
+
+    @cached_property
+    def bytes(self) -> np.ndarray:
+        return (self.words % np.uint64(255) + np.uint64(1)).astype(np.uint8)
+
 
 def _paragraphs(texts: pa.Array, o: Options) -> _Paragraphs:
     values = pc.ascii_lower(pc.fill_null(texts.cast(pa.large_string()), ""))
@@ -132,7 +162,7 @@ def _paragraphs(texts: pa.Array, o: Options) -> _Paragraphs:
         whole = np.flatnonzero(doc[: n - o.min_words + 1] == doc[o.min_words - 1:])
         if len(whole):
             runs = np.lib.stride_tricks.sliding_window_view(order, o.run)
-            least = np.concatenate([runs[part].argmin(axis=1) + part for part in np.array_split(whole, len(whole) // 100_000 + 1)])
+            least = np.concatenate([runs[part].argmin(axis=1) + part for part in np.array_split(whole, len(whole) // (4 * ROWS) + 1)])
             window = np.unique(least)
     # Lines with enough words.
     line, words_in = np.unique(in_line, return_index=True)[1], np.bincount(in_line)
@@ -183,7 +213,7 @@ def _each_chunk(batches: Iterator[pa.RecordBatch], o: Options) -> Iterator[tuple
     for batch in batches:
         ids = plain(batch.column("doc_id")).to_numpy(zero_copy_only=False)
         at = 0
-        for texts in chunks(plain(batch.column("text"))):
+        for texts in chunks(plain(batch.column("text")), BYTES):
             yield _paragraphs(texts, o), ids[at: at + len(texts)]
             at += len(texts)
 
@@ -194,7 +224,11 @@ def _found(docs: DataFrame, o: Options) -> DataFrame:
     def run(batches):
         for p, ids in _each_chunk(batches, o):
             bands = _bands(p, o)
-            for kind, place, keys in ((0, p.window, p.window_keys), (1, p.line, p.line_keys)):
+            # What a document repeats of itself needs no other to be found.
+            own = np.ones(len(p.window), bool)
+            own[p.within_documents()[0]] = False
+            windows = (0, p.window[own], tuple(k[own] for k in p.window_keys))
+            for kind, place, keys in (windows, (1, p.line, p.line_keys)):
                 doc = p.doc_of(place)
                 packed = pa.array([row.tobytes() for row in bands], pa.binary()) if kind else pa.nulls(len(place), pa.binary())
                 yield pa.RecordBatch.from_arrays(
@@ -226,22 +260,47 @@ def _may_be_in(table: np.ndarray, keys: np.ndarray) -> np.ndarray:
 _SECOND = "kind int, k1 long, k2 long, doc_id long, start long, stop long, before binary, after binary, shingles binary"
 
 
+def _of_themselves(p: _Paragraphs, ids: np.ndarray, reach: int) -> pa.RecordBatch:
+    """The ranges of windows that repeat an earlier one of their document, grown, as few as they make."""
+    later, first = p.within_documents()
+    starts, stops = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+    for some in np.array_split(np.arange(len(later)), len(later) // ROWS + 1):
+        at, kept = p.window[later[some]], p.window[first[some]]
+        before, after = p.around(at, reach)
+        kept_before, kept_after = p.around(kept, reach)
+        # The first occurrence itself stays whole.
+        starts.append(np.maximum(at - _agreeing(before, kept_before), kept + WINDOW))
+        stops.append(at + WINDOW + _agreeing(after, kept_after))
+    start, stop = np.concatenate(starts), np.concatenate(stops)
+    start, stop = start[start < stop], stop[start < stop]
+    order = np.argsort(start, kind="stable")
+    start, doc, reached = start[order], p.doc_of(start[order]), np.maximum.accumulate(stop[order])
+    # A range ends where its document does, so a new one begins there at the latest.
+    new = np.ones(len(start), bool)
+    new[1:] = (start[1:] > reached[:-1]) | (doc[1:] != doc[:-1])
+    last = np.append(np.flatnonzero(new)[1:], len(start))[: new.sum()] - 1
+    start, stop, doc = start[new], reached[last], doc[new]
+    n, blank = len(start), pa.nulls(len(start), pa.binary())
+    zero = pa.array(np.zeros(n, np.int64))
+    return pa.RecordBatch.from_arrays(
+        [pa.array(np.full(n, 2, np.int32)), zero, zero, pa.array(ids[doc]), pa.array(start - p.doc_start[doc]), pa.array(stop - p.doc_start[doc]), blank, blank, blank],
+        names=[c.split()[0] for c in _SECOND.split(", ")],
+    )
+
+
 def _again(docs: DataFrame, windows: np.ndarray, lines: np.ndarray, o: Options) -> DataFrame:
-    """The paragraphs that may repeat, with the words around them (a byte per word, 0 beyond the text)
-    or, for lines, their shingles."""
+    """The paragraphs that may repeat, with the words around them or, for lines, their shingles; as kind 2,
+    the word ranges in which documents repeat themselves."""
     reach = o.run
 
     def run(batches):
-        steps = np.arange(reach)
         for p, ids in _each_chunk(batches, o):
-            byte = (p.words % np.uint64(255) + np.uint64(1)).astype(np.uint8)
-            place = p.window[_may_be_in(windows, p.window_keys[0])]
+            yield _of_themselves(p, ids, reach)
+            chosen = _may_be_in(windows, p.window_keys[0])
+            chosen[p.within_documents()[0]] = False
+            place, keys = p.window[chosen], [k[chosen] for k in p.window_keys]
             doc = p.doc_of(place)
-            keys = [k[_may_be_in(windows, p.window_keys[0])] for k in p.window_keys]
-            back, on = place[:, None] - 1 - steps, place[:, None] + WINDOW + steps
-            at = lambda x, inside: np.where(inside, byte[np.clip(x, 0, max(0, len(byte) - 1))] if len(byte) else 0, 0).astype(np.uint8)  # noqa: B023, E731
-            before = at(back, back >= p.doc_start[doc][:, None])
-            after = at(on, on < p.doc_start[doc + 1][:, None])
+            before, after = p.around(place, reach)
             blank = pa.nulls(len(place), pa.binary())
             yield pa.RecordBatch.from_arrays(
                 [pa.array(np.zeros(len(place), np.int32)), *map(_signed, keys), pa.array(ids[doc]), pa.array(place - p.doc_start[doc]),
@@ -265,74 +324,121 @@ def _again(docs: DataFrame, windows: np.ndarray, lines: np.ndarray, o: Options)
     return _named(docs).mapInArrow(run, _SECOND)
 
 
-def similar_pairs(sets: list[np.ndarray], similarity: float, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Index pairs of the ``sets`` (each of distinct numbers), one ``left`` and one ``right``, with Jaccard
-    similarity of at least ``similarity``; counted over an inverted index."""
+def similar_links(sets: list[np.ndarray], similarity: float) -> tuple[np.ndarray, np.ndarray]:
+    """Index pairs that join the ``sets`` (each of distinct numbers) as all pairs with Jaccard similarity of at
+    least ``similarity`` would. Every pair that could join two clusters is counted in full, over an inverted index.
+
+    A set that is in no cluster yet leads one: it is compared with all sets. That leaves the pairs of two
+    sets that lead nothing and are in different clusters; those outside the largest cluster are compared with all.
+    """
     size = np.fromiter(map(len, sets), np.int64, len(sets))
     member = np.repeat(np.arange(len(sets)), size)
     value = np.unique(np.concatenate(sets) if sets else np.empty(0, np.uint64), return_inverse=True)[1]
-    of_right = right[member]
-    rank = np.argsort(value[of_right], kind="stable")
-    posted, by_value = member[of_right][rank], value[of_right][rank]
-    begin = np.searchsorted(by_value, np.arange(value.max() + 2 if len(value) else 1))
+    rank = np.argsort(value, kind="stable")
+    posted = member[rank]
+    begin = np.searchsorted(value[rank], np.arange(value.max() + 2 if len(value) else 1))
     ends = np.cumsum(size)
-    a, b = [], []
-    for i in np.flatnonzero(left):
+    a, b = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+
+    def compare(i: int) -> np.ndarray:
         mine = value[ends[i] - size[i]: ends[i]]
         count = begin[mine + 1] - begin[mine]
         place = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count) + np.repeat(begin[mine], count)
         common = np.bincount(posted[place], minlength=len(sets))
         found = np.flatnonzero((common > 0) & (common >= similarity * (size + size[i] - common) - 1e-9))
-        found = found[found != i]
         a.append(np.full(len(found), i))
         b.append(found)
-    return (np.concatenate(a), np.concatenate(b)) if a else (np.empty(0, np.int64), np.empty(0, np.int64))
-
-
-def _line_links(lines: DataFrame, sets: DataFrame, o: Options, folder: str) -> DataFrame:
-    """Links ``a``-``b`` of lines (by ``k1``) that are similar enough. ``lines``: the distinct lines' buckets."""
-    members = lines.select("bucket", "size", "id").join(sets.select(F.col("k1").alias("id"), "shingles"), "id")
-    # A large bucket is cut into blocks, and every pair of blocks is a group.
+        return found
+
+    cluster = np.full(len(sets), -1)
+    for i in range(len(sets)):
+        if cluster[i] < 0:
+            found = compare(i)
+            cluster[found[cluster[found] < 0]] = i
+            cluster[i] = i
+    if len(sets):
+        largest = np.bincount(cluster).argmax()
+        for i in np.flatnonzero((cluster != np.arange(len(sets))) & (cluster != largest)):
+            compare(i)
+    x, y = np.concatenate(a), np.concatenate(b)
+    return x[x != y], y[x != y]
+
+
+def _line_links(buckets: DataFrame, lines: DataFrame, found: DataFrame, o: Options) -> DataFrame:
+    """Links ``a``-``b`` of lines (by ``k1``) that are similar enough and share a bucket. The shingles of a
+    line are those of its first occurrence, so that they are sent once per bucket."""
+    first = lines.select(F.col("k1").alias("id"), "k2", "first.*")
+    occurrences = found.where("kind = 1").select(F.col("k1").alias("id"), "k2", "doc_id", "start", "shingles").dropDuplicates(["id", "k2", "doc_id", "start"])
+    members = buckets.join(first, "id").join(occurrences, ["id", "k2", "doc_id", "start"])
+    # A large bucket is cut into blocks, and every pair of blocks is a group; small ones share a group.
     blocks = F.ceil(F.col("size") / BLOCK).cast("int")
     own = F.pmod(F.xxhash64("id"), blocks).cast("int")
-    spread = members.select("bucket", "id", "shingles", own.alias("own"), F.explode(F.sequence(F.lit(0), blocks - 1)).alias("other"))
+    shared = max(1, -(-buckets.where(F.col("size") <= SMALL).count() // TOGETHER))
+    group = F.when(F.col("size") <= SMALL, F.pmod(F.xxhash64("bucket"), F.lit(shared))).otherwise(F.col("bucket"))
+    spread = members.select(
+        "bucket", "id", "shingles", (F.col("size") <= SMALL).alias("small"), group.alias("group"), own.alias("own"),
+        F.explode(F.sequence(F.lit(0), blocks - 1)).alias("other"),
+    )
     spread = spread.select(
-        "bucket", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "id", "shingles"
+        "small", "group", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "bucket", "id", "shingles"
     )
     similarity = o.similarity
 
-    def verify(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
-        _, i, j = key
-        ids, own = frame["id"].to_numpy(np.int64), frame["own"].to_numpy()
-        sets = [np.frombuffer(s, np.uint64) for s in frame["shingles"]]
-        x, y = similar_pairs(sets, similarity, own == i, own == j)
-        a, b = merge_pairs(ids[x], ids[y])
+    def verify(frame: pd.DataFrame) -> pd.DataFrame:
+        frame = frame.sort_values("bucket", kind="stable")
+        ids, bucket = frame["id"].to_numpy(np.int64), frame["bucket"].to_numpy()
+        sets = [np.frombuffer(shingles, np.uint64) for shingles in frame["shingles"]]
+        edge = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1]))
+        size = np.diff(np.append(edge, len(bucket)))
+        two = edge[size == 2]
+        near = similar_twos([sets[i] for i in two], [sets[i + 1] for i in two], similarity)
+        x, y = [two[near]], [two[near] + 1]
+        for start, n in zip(edge[size > 2].tolist(), size[size > 2].tolist(), strict=True):
+            left, right = similar_links(sets[start: start + n], similarity)
+            x.append(left + start)
+            y.append(right + start)
+        a, b = merge_pairs(ids[np.concatenate(x)], ids[np.concatenate(y)])
         return pd.DataFrame({"a": a, "b": b})
 
-    return spread.groupBy("bucket", "i", "j").applyInPandas(verify, "a long, b long")
+    return spread.groupBy("small", "group", "i", "j").applyInPandas(verify, "a long, b long")
+
+
+def similar_twos(left: list[np.ndarray], right: list[np.ndarray], similarity: float) -> np.ndarray:
+    """For sets side by side, whether their Jaccard similarity is at least ``similarity``; all counted at once."""
+    if not left:
+        return np.empty(0, bool)
+    sizes = [np.fromiter(map(len, side), np.int64, len(side)) for side in (left, right)]
+    pair = np.concatenate([np.repeat(np.arange(len(left)), n) for n in sizes])
+    value = np.concatenate([*left, *right])
+    order = np.lexsort((value, pair))
+    value, pair = value[order], pair[order]
+    again = (value[1:] == value[:-1]) & (pair[1:] == pair[:-1])
+    common = np.bincount(pair[1:][again], minlength=len(left))
+    return common >= similarity * (sizes[0] + sizes[1] - common) - 1e-9
 
 
-def _buckets(lines: DataFrame, o: Options) -> DataFrame:
+def _buckets(lines: DataFrame, o: Options, folder: str) -> DataFrame:
     """``bucket``, ``size`` and ``id`` of the lines that share a band, one bucket per set of members."""
     bands, _ = tuned_bands(o.similarity, o.recall)
     band = F.explode(F.array(*(F.struct(F.lit(i).alias("band"), F.substr("bands", F.lit(8 * i + 1), F.lit(8)).alias("value")) for i in range(bands))))
     tall = lines.select(F.col("k1").alias("id"), band.alias("b")).select("id", F.xxhash64("b.band", "b.value").alias("bucket"))
-    groups = tall.groupBy("bucket").agg(
-        F.count("*").alias("size"), F.min("id").alias("least"), F.bit_xor(F.xxhash64("id")).alias("x"), F.sum(F.shiftright(F.xxhash64("id", F.lit(1)), 24)).alias("s")
-    ).where("size > 1")
-    once = groups.groupBy("size", "least", "x", "s").agg(F.min("bucket").alias("bucket")).select("bucket", "size")
-    return tall.join(once, "bucket")
+    several = tall.groupBy("bucket").agg(F.count("*").alias("size")).where("size > 1")
+    members = stored(tall.join(several, "bucket"), folder, "members")
+    groups = members.groupBy("bucket", "size").agg(
+        F.min("id").alias("least"), F.bit_xor(F.xxhash64("id")).alias("x"), F.sum(F.shiftright(F.xxhash64("id", F.lit(1)), 24)).alias("s")
+    )
+    once = groups.groupBy("size", "least", "x", "s").agg(F.min("bucket").alias("bucket")).select("bucket")
+    return members.join(once, "bucket")
 
 
-def _grown(before: bytes, after: bytes, kept_before: bytes, kept_after: bytes) -> tuple[int, int]:
-    """How many words on the two sides agree with those of the occurrence that stays."""
+def _table(rows: pd.Series) -> np.ndarray:
+    return np.frombuffer(b"".join(rows), np.uint8).reshape(len(rows), -1)
 
-    def agree(x: bytes, y: bytes) -> int:
-        a, b = np.frombuffer(x, np.uint8), np.frombuffer(y, np.uint8)
-        apart = np.flatnonzero((a != b) | (a == 0))
-        return int(apart[0]) if len(apart) else len(a)
 
-    return agree(before, kept_before), agree(after, kept_after)
+def _agreeing(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """How many words, from the first on, agree in each row; a zero is beyond the text."""
+    apart = np.column_stack([(a != b) | (a == 0), np.ones(len(a), bool)])
+    return apart.argmax(axis=1)
 
 
 def _window_spans(found: DataFrame, repeated: DataFrame, folder: str) -> DataFrame:
@@ -346,13 +452,12 @@ def _window_spans(found: DataFrame, repeated: DataFrame, folder: str) -> DataFra
 
     def grow(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for f in frames:
-            sides = [_grown(*x) for x in zip(f["before"], f["after"], f["kept_before"], f["kept_after"], strict=True)]
-            back = np.fromiter((s[0] for s in sides), np.int64, len(sides))
-            on = np.fromiter((s[1] for s in sides), np.int64, len(sides))
-            start = f["start"].to_numpy() - back
+            if not len(f):
+                continue
+            start = f["start"].to_numpy() - _agreeing(_table(f["before"]), _table(f["kept_before"]))
             # Within one document what stays must not be cut by its own later occurrence.
             start = np.where(f["doc_id"] == f["kept_doc"], np.maximum(start, f["kept_start"] + WINDOW), start)
-            stop = f["stop"].to_numpy() + on
+            stop = f["stop"].to_numpy() + _agreeing(_table(f["after"]), _table(f["kept_after"]))
             yield pd.DataFrame({"doc_id": f["doc_id"], "start": start, "stop": stop})[start < stop]
 
     slim = pairs.select("doc_id", "start", "stop", "before", "after", "kept_before", "kept_after", "kept_doc", "kept_start")
@@ -387,12 +492,12 @@ def repeated_spans(docs: DataFrame, options: Options | None = None, folder: str
     keyed = _found(docs, o).groupBy("kind", "k1", "k2").agg(F.count("*").alias("n"), first, F.max("bands").alias("bands"))
     keyed = stored(keyed.where("kind = 1 OR n > 1"), folder, "paragraphs")
     windows, lines = keyed.where("kind = 0"), keyed.where("kind = 1")
-    buckets = stored(_buckets(lines, o), folder, "buckets")
+    buckets = stored(_buckets(lines, o, folder), folder, "buckets")
     wanted = buckets.select(F.col("id").alias("k1")).union(lines.where("n > 1").select("k1"))
     found = stored(_again(docs, _bitmap(windows), _bitmap(wanted), o), folder, "again")
-    sets = lines.select("k1", "k2", "first.*").join(found.where("kind = 1").select("k1", "k2", "doc_id", "start", "shingles"), ["k1", "k2", "doc_id", "start"]).dropDuplicates(["k1"])
-    links = _line_links(buckets, sets, o, folder)
-    spans = _window_spans(found, windows, folder).union(_line_spans(found, lines, links, folder))
+    links = _line_links(buckets, lines, found, o)
+    own = found.where("kind = 2").select("doc_id", "start", "stop")
+    spans = _window_spans(found, windows, folder).union(_line_spans(found, lines, links, folder)).union(own)
     least = o.min_words
 
     def merge(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -418,16 +523,31 @@ def cut(text: str, spans: list[tuple[int, int]]) -> str:
     return "".join([*out, text[at:]])
 
 
-def remove_repeats(docs: DataFrame, options: Options | None = None, folder: str | None = None) -> DataFrame:
-    """The rows of ``docs`` with repeated paragraphs cut out of ``text``, and ``removed_spans``. A text that
-    is all repeats stays as an empty one."""
-    spans = repeated_spans(docs, options, folder).withColumnRenamed("spans", "removed_spans")
-    clean = docs.drop("removed_spans")
+def remove_repeats(
+    docs: DataFrame, options: Options | None = None, folder: str | None = None, spans_column: str | None = None
+) -> DataFrame:
+    """The rows of ``docs`` with repeated paragraphs cut out of ``text``, and with what was cut where a
+    ``spans_column`` is named (null for nothing). A text that is all repeats stays as an empty one."""
+    if spans_column in docs.columns:
+        raise ValueError(f"the table has a column {spans_column} of its own")
+    own = spans_column or "spans"
+    while own in docs.columns:
+        own += "_"
+    spans = repeated_spans(docs, options, folder).withColumnRenamed("spans", own)
+    table = _bitmap(spans.select(F.xxhash64("doc_id").alias("k1")))
+
+    @F.arrow_udf("boolean")
+    def may_have_spans(keys: pa.Array) -> pa.Array:
+        return pa.array(_may_be_in(table, keys.to_numpy(zero_copy_only=False).view(np.uint64)))
 
     @F.arrow_udf("string")
     def without(texts: pa.Array, spans: pa.Array) -> pa.Array:
         rows = zip(texts.to_pylist(), spans.to_pylist(), strict=True)
         return pa.array([cut(t, [(s["start"], s["stop"]) for s in found]) if t and found else t for t, found in rows], pa.string())
 
-    joined = clean.join(spans, "doc_id", "left")
-    return joined.withColumn("text", F.when(F.col("removed_spans").isNull(), F.col("text")).otherwise(without("text", "removed_spans")))
+    # Texts that surely have none stay where they are; the others are shuffled to their spans.
+    touched = may_have_spans(F.xxhash64(F.col("doc_id").cast("long")))
+    joined = docs.where(touched).join(spans, "doc_id", "left").withColumn("text", without(F.col("text").cast("string"), own))
+    rest = docs.where(~touched).withColumn(own, F.lit(None).cast(spans.schema[own].dataType))
+    columns = [*docs.columns, own] if spans_column else docs.columns
+    return joined.unionByName(rest).select(*(f"`{name}`" for name in columns))

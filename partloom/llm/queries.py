@@ -126,7 +126,7 @@ def op7_compression_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 @registered
 def op8_paragraph_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    done = paragraph_minhash.remove_repeats(docs)
+    done = paragraph_minhash.remove_repeats(docs, spans_column="removed_spans")
     spans = F.coalesce("removed_spans", F.array().cast("array<struct<start:bigint,stop:bigint>>"))
     return done.select(
         "doc_id",

@@ -371,20 +371,30 @@ def test_results_do_not_depend_on_chunks(spark, texts, monkeypatch):
 
     whole = results()
     monkeypatch.setattr(common, "_CHUNK", 5_000)
+    for name, value in (("BLOCK", 2), ("SMALL", 1), ("TOGETHER", 3), ("BYTES", 5_000), ("ROWS", 7)):
+        monkeypatch.setattr(paragraph_minhash, name, value)
     assert results() == whole and dict((r[0], r[1:6]) for r in whole[1]) == {i: brute_measures(t) for i, t in rows}
 
 
-def test_similar_pairs_are_exact():
+def test_similar_links_join_what_is_similar():
     rng = np.random.default_rng(8)
-    sets = [np.unique(rng.integers(0, 40, rng.integers(1, 30), dtype=np.uint64)) for _ in range(60)]
-    side = rng.random(60) < 0.5
-    x, y = paragraph_minhash.similar_pairs(sets, 0.5, side, ~side)
-    found = set(zip(x.tolist(), y.tolist(), strict=True))
-    for i in range(60):
-        for j in range(60):
-            if side[i] and not side[j]:
-                a, b = set(sets[i].tolist()), set(sets[j].tolist())
-                assert ((i, j) in found) == (len(a & b) >= 0.5 * len(a | b))
+    for n, kinds, similarity in ((60, 40, 0.5), (80, 12, 0.6), (40, 200, 0.3), (1, 5, 0.5), (0, 5, 0.5)):
+        sets = [np.unique(rng.integers(0, kinds, rng.integers(1, 30), dtype=np.uint64)) for _ in range(n)]
+        near = [[j for j in range(n) if j != i and len(set(s) & set(sets[j])) >= similarity * len(set(s) | set(sets[j]))] for i, s in enumerate(sets)]
+        x, y = paragraph_minhash.similar_links(sets, similarity)
+        assert all(j in near[i] for i, j in zip(x.tolist(), y.tolist(), strict=True))
+        joined = defaultdict(set)
+        for i, j in zip(x.tolist(), y.tolist(), strict=True):
+            joined[i].add(j)
+            joined[j].add(i)
+        assert least_by_reach(n, lambda i: joined[i]) == least_by_reach(n, lambda i: near[i])  # noqa: B023
+
+
+def test_similar_twos():
+    rng = np.random.default_rng(9)
+    left, right = ([np.unique(rng.integers(0, 30, rng.integers(1, 25), dtype=np.uint64)) for _ in range(200)] for _ in range(2))
+    expected = [len(set(a) & set(b)) >= 0.5 * len(set(a) | set(b)) for a, b in zip(left, right, strict=True)]
+    assert paragraph_minhash.similar_twos(left, right, 0.5).tolist() == expected
 
 
 def test_bands_reach_their_recall():
