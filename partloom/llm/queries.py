@@ -60,13 +60,17 @@ def op3_warc_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = work_folder(spark)
     warc_transactions.write_archives(table(spark, sf_dir, "pages").select("page_id", "url", "html"), f"{folder}archives")
     read = warc_transactions.read_archives(spark, f"{folder}archives")
-    # Payloads are looked at as they are read; captures are assembled from the records without them.
+    # Payloads are looked at as they are read; captures are assembled from what is asked of them below.
     is_page = F.col("type") == "response"
     records = read.withColumns(
         {
             "stored_bytes": F.when(is_page, F.octet_length("payload").cast("long")),
             "stored_digest": F.when(is_page, F.sha1("payload")),
             "payload": F.when(F.col("type") == "metadata", F.col("payload")),
+            "http_head": F.when(F.col("type") == "revisit", F.col("http_head")),
+            "payload_digest": F.when(F.col("type") == "revisit", F.col("payload_digest")),
+            "target_uri": F.lit(None).cast("string"),
+            "date": F.lit(None).cast("string"),
         }
     )
     records = stored(records, folder, "records")
