@@ -35,8 +35,8 @@ from pyspark.sql import functions as F
 from partloom.llm.common import chunks, plain
 
 SPACE = "\u2581"
-#: Different words that are segmented at once.
-TOGETHER = 50_000
+#: Different words that are segmented at once, and bytes of text that are encoded at once.
+TOGETHER, BYTES = 50_000, 2_000_000
 # Words of more characters than the last are segmented alone.
 _WIDTHS = (2, 4, 6, 8, 10, 12, 16, 24, 32, 64, 128, 256)
 #: Ids from here on stand for a character (its code point more) that no piece spells.
@@ -358,7 +358,7 @@ def encode(
         encoder = Encoder(model_file, dropout, seed, variants)
         for batch in batches:
             at = 0
-            for texts in chunks(plain(batch.column("text"))):
+            for texts in chunks(plain(batch.column("text")), BYTES):
                 ids = batch.column("doc_id").slice(at, len(texts))
                 at += len(texts)
                 yield pa.RecordBatch.from_arrays([ids, encoder.encode(texts.to_pylist(), ids.to_pylist())], names=["doc_id", "pieces"])
