@@ -66,7 +66,8 @@ def write_archives(pages: DataFrame, path: str, date: str = "2024-01-01T00:00:00
     size = whole.agg(F.sum(F.octet_length("html"))).first()[0] or 0  # one number
     files = max(1, -(-size // ARCHIVE_BYTES))
     once = whole.groupBy("page_id").agg(F.max(F.struct("url", "html")).alias("p")).select("page_id", "p.*") if _repeats(whole) else whole
-    dealt = once.join(kept_payloads(once), "page_id", "left").repartition(files, "page_id")
+    # Dealt before the join, so that payloads are shuffled once.
+    dealt = once.repartition(files, "page_id").join(kept_payloads(once).repartition(files, "page_id"), "page_id", "left")
 
     page = F.col("page_id")
     response, request, metadata = (_record_id(kind, page) for kind in ("response", "request", "metadata"))
