@@ -5,14 +5,15 @@ bands tuned to a recall, colliding lines joined, the Jaccard similarity of their
 computed in full, and lines clustered by components; one line of a cluster stays. Passages that
 stand within longer lines are no line of their own, so texts are also cut into content-defined
 paragraphs: windows of words whose places depend on the words alone (the least hash of each run of
-windows), so that a passage of ``min_words`` words that two texts share gives both the same
-paragraph at least once. Equal ones are joined, and grown word by word while the texts agree.
-What stays is always the occurrence with the least (doc_id, word).
+windows). Every passage of ``min_words`` words belongs to the window with the least hash in it, so equal
+passages belong to equal windows at the same place. A passage goes if an equal one (by 128 bits of
+hashes of all its words) stands before it: what stays is the occurrence with the least (doc_id, word).
 
-Scale: equal paragraphs meet in a partial aggregate. Rows with their context are only sent for
-paragraphs that may repeat, told by a bitmap of fixed size; where it fills up it lets more rows
-pass, and the join after it decides. Buckets of a band with equal members are verified once, large
-ones in pairs of blocks; a group gives a spanning star of its links.
+Scale: equal windows meet in a partial aggregate. Blocks, a window with all passages that belong to
+it, are only sent for windows that may repeat, told by a bitmap of fixed size; where it fills up it lets
+more rows pass, and the joins after it decide. Equal blocks are told by one key; only where a window
+has several different blocks, the first of each are compared passage by passage. Buckets of a band with
+equal members are verified once, large ones in pairs of blocks; a group gives a spanning star of its links.
 
 Defined results: words are split at ASCII white space and compared without ASCII case; a null text is
 empty and stays null; rows without an id are left as they are; rows that repeat an id count as one
@@ -24,7 +25,6 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import cached_property
 
 import numpy as np
 import pandas as pd
@@ -106,7 +106,10 @@ class _Paragraphs:
     doc_start: np.ndarray  # first word of each document, and the end of the last
     words: np.ndarray  # a hash per word
     window: np.ndarray
-    window_keys: tuple[np.ndarray, np.ndarray]
+    window_keys: np.ndarray
+    least: np.ndarray  # first and last place where a passage begins that belongs to each window
+    most: np.ndarray
+    rolling: _Rolling
     line: np.ndarray
     line_end: np.ndarray
     line_keys: tuple[np.ndarray, np.ndarray]
@@ -117,28 +120,18 @@ class _Paragraphs:
 
     def within_documents(self) -> tuple[np.ndarray, np.ndarray]:
         """Numbers of the windows that repeat an earlier one of their own document, and of those earlier ones."""
-        order = np.lexsort((self.window, self.window_keys[1], self.window_keys[0], self.doc_of(self.window)))
-        parts = [self.doc_of(self.window)[order], *(k[order] for k in self.window_keys)]
+        order = np.lexsort((self.window, self.window_keys, self.doc_of(self.window)))
+        parts = [self.doc_of(self.window)[order], self.window_keys[order]]
         new = np.ones(len(order), bool)
         new[1:] = np.any([x[1:] != x[:-1] for x in parts], axis=0)
         first = order[np.flatnonzero(new)][np.cumsum(new) - 1]
         return order[~new], first[~new]
 
-    def around(self, place: np.ndarray, reach: int) -> tuple[np.ndarray, np.ndarray]:
-        """A byte per word, never 0, of the words before and after each window, nearest first; 0 beyond the text."""
-        if len(place) > ROWS:
-            parts = [self.around(place[i: i + ROWS], reach) for i in range(0, len(place), ROWS)]
-            return np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts])
-        steps, doc = np.arange(reach), self.doc_of(place)
-        back, on = place[:, None] - 1 - steps, place[:, None] + WINDOW + steps
-        if not len(self.words):
-            return np.zeros(back.shape, np.uint8), np.zeros(on.shape, np.uint8)
-        at = lambda x: self.bytes[np.clip(x, 0, len(self.words) - 1)]
-        return np.where(back >= self.doc_start[doc][:, None], at(back), 0).astype(np.uint8), np.where(on < self.doc_start[doc + 1][:, None], at(on), 0).astype(np.uint8)
-
-    @cached_property
-    def bytes(self) -> np.ndarray:
-        return (self.words % np.uint64(255) + np.uint64(1)).astype(np.uint8)
+    def passages(self, some: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Where the passages of ``some`` windows begin, one window after the other, and where each window's begin."""
+        count = self.most[some] - self.least[some] + 1
+        offset = np.concatenate([[0], np.cumsum(count)])
+        return np.arange(offset[-1]) - np.repeat(offset[:-1] - self.least[some], count), offset
 
 
 def _paragraphs(texts: pa.Array, o: Options) -> _Paragraphs:
@@ -154,7 +147,7 @@ def _paragraphs(texts: pa.Array, o: Options) -> _Paragraphs:
     first, second = _Rolling(words, _A), _Rolling(_mixed(words ^ _B), _B)
 
     # The place with the least hash of each run of windows that lies within one document.
-    window = np.empty(0, np.int64)
+    window = lowest = highest = np.empty(0, np.int64)
     if n >= o.min_words:
         at = np.arange(n - WINDOW + 1)
         order = first.of(at, at + WINDOW)
@@ -163,7 +156,9 @@ def _paragraphs(texts: pa.Array, o: Options) -> _Paragraphs:
         if len(whole):
             runs = np.lib.stride_tricks.sliding_window_view(order, o.run)
             least = np.concatenate([runs[part].argmin(axis=1) + part for part in np.array_split(whole, len(whole) // (4 * ROWS) + 1)])
-            window = np.unique(least)
+            # Places of runs ascend, and so do those of their least windows.
+            window, at = np.unique(least, return_index=True)
+            lowest, highest = whole[at], whole[np.append(at[1:], len(whole)) - 1]
     # Lines with enough words.
     line, words_in = np.unique(in_line, return_index=True)[1], np.bincount(in_line)
     words_in = words_in[words_in > 0]
@@ -171,7 +166,7 @@ def _paragraphs(texts: pa.Array, o: Options) -> _Paragraphs:
     line, line_end = line[long], (line + words_in)[long]
     at = np.arange(max(0, n - o.shingle + 1))
     return _Paragraphs(
-        doc_start, words, window, (first.of(window, window + WINDOW), second.of(window, window + WINDOW)),
+        doc_start, words, window, first.of(window, window + WINDOW), lowest, highest, second,
         line, line_end, (first.of(line, line_end), second.of(line, line_end)), first.of(at, at + o.shingle),
     )
 
@@ -219,22 +214,25 @@ def _each_chunk(batches: Iterator[pa.RecordBatch], o: Options) -> Iterator[tuple
 
 
 def _found(docs: DataFrame, o: Options) -> DataFrame:
-    """Every paragraph by its key: content-defined ones are kind 0, lines kind 1 with their bands."""
+    """Every paragraph by its key: windows are kind 0, lines kind 1 with their place and bands."""
 
     def run(batches):
         for p, ids in _each_chunk(batches, o):
             bands = _bands(p, o)
-            # What a document repeats of itself needs no other to be found.
+            # Windows are only counted, once per document.
             own = np.ones(len(p.window), bool)
             own[p.within_documents()[0]] = False
-            windows = (0, p.window[own], tuple(k[own] for k in p.window_keys))
-            for kind, place, keys in (windows, (1, p.line, p.line_keys)):
-                doc = p.doc_of(place)
-                packed = pa.array([row.tobytes() for row in bands], pa.binary()) if kind else pa.nulls(len(place), pa.binary())
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(place), kind, np.int32)), *map(_signed, keys), pa.array(ids[doc]), pa.array(place - p.doc_start[doc]), packed],
-                    names=["kind", "k1", "k2", "doc_id", "start", "bands"],
-                )
+            zero = pa.array(np.zeros(own.sum(), np.int64))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.zeros(len(zero), np.int32)), _signed(p.window_keys[own]), zero, zero, zero, pa.nulls(len(zero), pa.binary())],
+                names=["kind", "k1", "k2", "doc_id", "start", "bands"],
+            )
+            doc = p.doc_of(p.line)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.ones(len(doc), np.int32)), *map(_signed, p.line_keys), pa.array(ids[doc]), pa.array(p.line - p.doc_start[doc]),
+                 pa.array([row.tobytes() for row in bands], pa.binary())],
+                names=["kind", "k1", "k2", "doc_id", "start", "bands"],
+            )
 
     return _named(docs).mapInArrow(run, _FIRST)
 
@@ -257,56 +255,60 @@ def _may_be_in(table: np.ndarray, keys: np.ndarray) -> np.ndarray:
     return (table[(place >> np.uint64(6)).astype(np.int64)] >> (place & np.uint64(63))) & np.uint64(1) == 1
 
 
-_SECOND = "kind int, k1 long, k2 long, doc_id long, start long, stop long, before binary, after binary, shingles binary"
+_SECOND = "kind int, k1 long, k2 long, doc_id long, start long, stop long, hashes binary"
 
 
-def _of_themselves(p: _Paragraphs, ids: np.ndarray, reach: int) -> pa.RecordBatch:
-    """The ranges of windows that repeat an earlier one of their document, grown, as few as they make."""
-    later, first = p.within_documents()
-    starts, stops = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
-    for some in np.array_split(np.arange(len(later)), len(later) // ROWS + 1):
-        at, kept = p.window[later[some]], p.window[first[some]]
-        before, after = p.around(at, reach)
-        kept_before, kept_after = p.around(kept, reach)
-        # The first occurrence itself stays whole.
-        starts.append(np.maximum(at - _agreeing(before, kept_before), kept + WINDOW))
-        stops.append(at + WINDOW + _agreeing(after, kept_after))
-    start, stop = np.concatenate(starts), np.concatenate(stops)
-    start, stop = start[start < stop], stop[start < stop]
+def _of_themselves(p: _Paragraphs, words: int) -> tuple[np.ndarray, np.ndarray]:
+    """The ranges of passages that repeat an earlier one of their document, as few as they make."""
+    some = np.unique(np.concatenate(p.within_documents()))
+    at, offset = p.passages(some)
+    window = np.repeat(some, np.diff(offset))
+    keys = [p.rolling.of(at, at + words), p.window_keys[window], p.doc_of(at)]
+    order = np.lexsort((at, *keys))
+    new = np.ones(len(order), bool)
+    new[1:] = np.any([k[order][1:] != k[order][:-1] for k in keys], axis=0)
+    first = at[order][np.flatnonzero(new)][np.cumsum(new) - 1][~new]
+    later = at[order][~new]
+    # The first occurrence itself stays whole.
+    start, stop = np.maximum(later, first + words), later + words
     order = np.argsort(start, kind="stable")
-    start, doc, reached = start[order], p.doc_of(start[order]), np.maximum.accumulate(stop[order])
+    start, doc, reached = start[order], p.doc_of(later[order]), np.maximum.accumulate(stop[order])
     # A range ends where its document does, so a new one begins there at the latest.
     new = np.ones(len(start), bool)
     new[1:] = (start[1:] > reached[:-1]) | (doc[1:] != doc[:-1])
     last = np.append(np.flatnonzero(new)[1:], len(start))[: new.sum()] - 1
-    start, stop, doc = start[new], reached[last], doc[new]
-    n, blank = len(start), pa.nulls(len(start), pa.binary())
-    zero = pa.array(np.zeros(n, np.int64))
-    return pa.RecordBatch.from_arrays(
-        [pa.array(np.full(n, 2, np.int32)), zero, zero, pa.array(ids[doc]), pa.array(start - p.doc_start[doc]), pa.array(stop - p.doc_start[doc]), blank, blank, blank],
-        names=[c.split()[0] for c in _SECOND.split(", ")],
-    )
+    return start[new], reached[last]
+
+
+def _lists(values: np.ndarray, offset: np.ndarray) -> pa.Array:
+    """Binary values that hold the numbers between the offsets."""
+    return pa.Array.from_buffers(pa.binary(), len(offset) - 1, [None, pa.py_buffer((8 * offset).astype(np.int32)), pa.py_buffer(values)])
 
 
 def _again(docs: DataFrame, windows: np.ndarray, lines: np.ndarray, o: Options) -> DataFrame:
-    """The paragraphs that may repeat, with the words around them or, for lines, their shingles; as kind 2,
-    the word ranges in which documents repeat themselves."""
-    reach = o.run
+    """The paragraphs that may repeat: as kind 0 the blocks of windows, with a key of all their words and a hash
+    of each passage; as kind 1 lines with their shingles; as kind 2 the word ranges in which documents repeat themselves."""
+    names = [c.split()[0] for c in _SECOND.split(", ")]
 
     def run(batches):
         for p, ids in _each_chunk(batches, o):
-            yield _of_themselves(p, ids, reach)
-            chosen = _may_be_in(windows, p.window_keys[0])
+            start, stop = _of_themselves(p, o.min_words)
+            doc, zero = p.doc_of(start), pa.array(np.zeros(len(start), np.int64))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.full(len(start), 2, np.int32)), zero, zero, pa.array(ids[doc]), pa.array(start - p.doc_start[doc]),
+                 pa.array(stop - p.doc_start[doc]), pa.nulls(len(start), pa.binary())],
+                names=names,
+            )
+            chosen = _may_be_in(windows, p.window_keys)
             chosen[p.within_documents()[0]] = False
-            place, keys = p.window[chosen], [k[chosen] for k in p.window_keys]
-            doc = p.doc_of(place)
-            before, after = p.around(place, reach)
-            blank = pa.nulls(len(place), pa.binary())
+            some = np.flatnonzero(chosen)
+            start, stop = p.least[some], p.most[some] + o.min_words
+            doc = p.doc_of(start)
+            at, offset = p.passages(some)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.zeros(len(place), np.int32)), *map(_signed, keys), pa.array(ids[doc]), pa.array(place - p.doc_start[doc]),
-                 pa.array(place - p.doc_start[doc] + WINDOW), pa.array([r.tobytes() for r in before], pa.binary()),
-                 pa.array([r.tobytes() for r in after], pa.binary()), blank],
-                names=[c.split()[0] for c in _SECOND.split(", ")],
+                [pa.array(np.zeros(len(some), np.int32)), _signed(p.window_keys[some]), _signed(p.rolling.of(start, stop)), pa.array(ids[doc]),
+                 pa.array(start - p.doc_start[doc]), pa.array(stop - p.doc_start[doc]), _lists(p.rolling.of(at, at + o.min_words), offset)],
+                names=names,
             )
             if not len(p.line):
                 continue
@@ -314,11 +316,10 @@ def _again(docs: DataFrame, windows: np.ndarray, lines: np.ndarray, o: Options)
             chosen = np.flatnonzero(_may_be_in(lines, p.line_keys[0]))
             doc = p.doc_of(p.line[chosen])
             sets = [np.unique(values[offset[i]: offset[i + 1]]).tobytes() for i in chosen]
-            blank = pa.nulls(len(chosen), pa.binary())
             yield pa.RecordBatch.from_arrays(
                 [pa.array(np.ones(len(chosen), np.int32)), *(_signed(k[chosen]) for k in p.line_keys), pa.array(ids[doc]),
-                 pa.array(p.line[chosen] - p.doc_start[doc]), pa.array(p.line_end[chosen] - p.doc_start[doc]), blank, blank, pa.array(sets, pa.binary())],
-                names=[c.split()[0] for c in _SECOND.split(", ")],
+                 pa.array(p.line[chosen] - p.doc_start[doc]), pa.array(p.line_end[chosen] - p.doc_start[doc]), pa.array(sets, pa.binary())],
+                names=names,
             )
 
     return _named(docs).mapInArrow(run, _SECOND)
@@ -368,7 +369,7 @@ def _line_links(buckets: DataFrame, lines: DataFrame, found: DataFrame, o: Optio
     """Links ``a``-``b`` of lines (by ``k1``) that are similar enough and share a bucket. The shingles of a
     line are those of its first occurrence, so that they are sent once per bucket."""
     first = lines.select(F.col("k1").alias("id"), "k2", "first.*")
-    occurrences = found.where("kind = 1").select(F.col("k1").alias("id"), "k2", "doc_id", "start", "shingles").dropDuplicates(["id", "k2", "doc_id", "start"])
+    occurrences = found.where("kind = 1").select(F.col("k1").alias("id"), "k2", "doc_id", "start", F.col("hashes").alias("shingles")).dropDuplicates(["id", "k2", "doc_id", "start"])
     members = buckets.join(first, "id").join(occurrences, ["id", "k2", "doc_id", "start"])
     # A large bucket is cut into blocks, and every pair of blocks is a group; small ones share a group.
     blocks = F.ceil(F.col("size") / BLOCK).cast("int")
@@ -431,37 +432,52 @@ def _buckets(lines: DataFrame, o: Options, folder: str) -> DataFrame:
     return members.join(once, "bucket")
 
 
-def _table(rows: pd.Series) -> np.ndarray:
-    return np.frombuffer(b"".join(rows), np.uint8).reshape(len(rows), -1)
+def _in_table(table: np.ndarray):
+    @F.arrow_udf("boolean")
+    def run(keys: pa.Array) -> pa.Array:
+        return pa.array(_may_be_in(table, keys.to_numpy(zero_copy_only=False).view(np.uint64)))
 
+    return run
 
-def _agreeing(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """How many words, from the first on, agree in each row; a zero is beyond the text."""
-    apart = np.column_stack([(a != b) | (a == 0), np.ones(len(a), bool)])
-    return apart.argmax(axis=1)
 
+def _passages(blocks: DataFrame, some: np.ndarray | None = None) -> DataFrame:
+    """``k1``, ``k2``, ``doc_id`` and ``start`` of the passages of blocks, or of ``some`` that may repeat."""
 
-def _window_spans(found: DataFrame, repeated: DataFrame, folder: str) -> DataFrame:
-    """Word ranges of the repeated content-defined paragraphs, grown, but for the occurrence that stays."""
-    kept = repeated.select("k1", "k2", F.col("first.doc_id").alias("kept_doc"), F.col("first.start").alias("kept_start"))
-    every = stored(found.where("kind = 0").join(kept, ["k1", "k2"]).select("k1", "k2", "doc_id", "start", "stop", "before", "after", "kept_doc", "kept_start"), folder, "repeats")
-    stays = every.where("doc_id = kept_doc AND start = kept_start").select(
-        "k1", "k2", F.col("before").alias("kept_before"), F.col("after").alias("kept_after")
-    ).dropDuplicates(["k1", "k2"])
-    pairs = every.where("doc_id <> kept_doc OR start <> kept_start").join(stays, ["k1", "k2"])
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, len(batch), ROWS):
+                part = batch.slice(at, ROWS)
+                rows = part.column("hashes").to_pylist()
+                hashes = np.frombuffer(b"".join(rows), np.uint64)
+                count = np.fromiter((len(r) // 8 for r in rows), np.int64, len(rows))
+                row = np.repeat(np.arange(len(rows)), count)
+                place = np.arange(len(row)) - np.repeat(np.cumsum(count) - count, count)
+                if some is not None:
+                    chosen = _may_be_in(some, hashes)
+                    row, place, hashes = row[chosen], place[chosen], hashes[chosen]
+                k1, doc, start = (part.column(name).to_numpy(zero_copy_only=False)[row] for name in ("k1", "doc_id", "start"))
+                yield pa.RecordBatch.from_arrays([pa.array(k1), _signed(hashes), pa.array(doc), pa.array(start + place)], names=["k1", "k2", "doc_id", "start"])
 
-    def grow(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for f in frames:
-            if not len(f):
-                continue
-            start = f["start"].to_numpy() - _agreeing(_table(f["before"]), _table(f["kept_before"]))
-            # Within one document what stays must not be cut by its own later occurrence.
-            start = np.where(f["doc_id"] == f["kept_doc"], np.maximum(start, f["kept_start"] + WINDOW), start)
-            stop = f["stop"].to_numpy() + _agreeing(_table(f["after"]), _table(f["kept_after"]))
-            yield pd.DataFrame({"doc_id": f["doc_id"], "start": start, "stop": stop})[start < stop]
+    return blocks.select("k1", "doc_id", "start", "hashes").mapInArrow(run, "k1 long, k2 long, doc_id long, start long")
 
-    slim = pairs.select("doc_id", "start", "stop", "before", "after", "kept_before", "kept_after", "kept_doc", "kept_start")
-    return slim.mapInPandas(grow, "doc_id long, start long, stop long")
+
+def _window_spans(found: DataFrame, o: Options, folder: str) -> DataFrame:
+    """Word ranges of the passages that repeat an earlier one of another document."""
+    every = found.where("kind = 0")
+    first = F.min(F.struct("doc_id", "start")).alias("first")
+    blocks = stored(every.groupBy("k1", "k2").agg(F.count("*").alias("n"), first), folder, "blocks")
+    # Of equal blocks all but the first go as a whole.
+    whole = every.select("k1", "k2", "doc_id", "start", "stop").join(blocks.where("n > 1").select("k1", "k2", "first"), ["k1", "k2"])
+    whole = whole.where("doc_id <> first.doc_id").select("doc_id", "start", "stop")
+    # The first ones of different blocks of a window may still share passages.
+    several = _bitmap(blocks.groupBy("k1").agg(F.count("*").alias("n")).where("n > 1"))
+    place = lambda *columns: F.xxhash64("k1", "k2", *columns)
+    leading = _bitmap(blocks.where(_in_table(several)("k1")).select(place("first.doc_id", "first.start").alias("k1")))
+    members = every.where(_in_table(leading)(place("doc_id", "start")))
+    repeated = stored(_passages(members).groupBy("k1", "k2").agg(F.count("*").alias("n"), first).where("n > 1").select("k1", "k2", "first"), folder, "passages")
+    again = _passages(members, _bitmap(repeated.select(F.col("k2").alias("k1")))).join(repeated, ["k1", "k2"])
+    single = again.where("doc_id <> first.doc_id").select("doc_id", "start", (F.col("start") + o.min_words).alias("stop"))
+    return whole.union(single)
 
 
 def _line_spans(found: DataFrame, distinct: DataFrame, links: DataFrame, folder: str) -> DataFrame:
@@ -497,7 +513,7 @@ def repeated_spans(docs: DataFrame, options: Options | None = None, folder: str
     found = stored(_again(docs, _bitmap(windows), _bitmap(wanted), o), folder, "again")
     links = _line_links(buckets, lines, found, o)
     own = found.where("kind = 2").select("doc_id", "start", "stop")
-    spans = _window_spans(found, windows, folder).union(_line_spans(found, lines, links, folder)).union(own)
+    spans = _window_spans(found, o, folder).union(_line_spans(found, lines, links, folder)).union(own)
     least = o.min_words
 
     def merge(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -536,17 +552,13 @@ def remove_repeats(
     spans = repeated_spans(docs, options, folder).withColumnRenamed("spans", own)
     table = _bitmap(spans.select(F.xxhash64("doc_id").alias("k1")))
 
-    @F.arrow_udf("boolean")
-    def may_have_spans(keys: pa.Array) -> pa.Array:
-        return pa.array(_may_be_in(table, keys.to_numpy(zero_copy_only=False).view(np.uint64)))
-
     @F.arrow_udf("string")
     def without(texts: pa.Array, spans: pa.Array) -> pa.Array:
         rows = zip(texts.to_pylist(), spans.to_pylist(), strict=True)
         return pa.array([cut(t, [(s["start"], s["stop"]) for s in found]) if t and found else t for t, found in rows], pa.string())
 
     # Texts that surely have none stay where they are; the others are shuffled to their spans.
-    touched = may_have_spans(F.xxhash64(F.col("doc_id").cast("long")))
+    touched = _in_table(table)(F.xxhash64(F.col("doc_id").cast("long")))
     joined = docs.where(touched).join(spans, "doc_id", "left").withColumn("text", without(F.col("text").cast("string"), own))
     rest = docs.where(~touched).withColumn(own, F.lit(None).cast(spans.schema[own].dataType))
     columns = [*docs.columns, own] if spans_column else docs.columns
