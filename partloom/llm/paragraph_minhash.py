@@ -258,8 +258,9 @@ def _may_be_in(table: np.ndarray, keys: np.ndarray) -> np.ndarray:
 _SECOND = "kind int, k1 long, k2 long, doc_id long, start long, stop long, hashes binary"
 
 
-def _of_themselves(p: _Paragraphs, words: int) -> tuple[np.ndarray, np.ndarray]:
-    """The ranges of passages that repeat an earlier one of their document, as few as they make."""
+def _of_themselves(p: _Paragraphs, words: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The ranges of passages that repeat an earlier one of their document, as few as they make; and the
+    numbers of the windows all of whose passages do."""
     some = np.unique(np.concatenate(p.within_documents()))
     at, offset = p.passages(some)
     window = np.repeat(some, np.diff(offset))
@@ -269,6 +270,7 @@ def _of_themselves(p: _Paragraphs, words: int) -> tuple[np.ndarray, np.ndarray]:
     new[1:] = np.any([k[order][1:] != k[order][:-1] for k in keys], axis=0)
     first = at[order][np.flatnonzero(new)][np.cumsum(new) - 1][~new]
     later = at[order][~new]
+    wholly = np.flatnonzero(np.bincount(window[order][~new], minlength=len(p.window)) > p.most - p.least)
     # The first occurrence itself stays whole.
     start, stop = np.maximum(later, first + words), later + words
     order = np.argsort(start, kind="stable")
@@ -277,7 +279,7 @@ def _of_themselves(p: _Paragraphs, words: int) -> tuple[np.ndarray, np.ndarray]:
     new = np.ones(len(start), bool)
     new[1:] = (start[1:] > reached[:-1]) | (doc[1:] != doc[:-1])
     last = np.append(np.flatnonzero(new)[1:], len(start))[: new.sum()] - 1
-    return start[new], reached[last]
+    return start[new], reached[last], wholly
 
 
 def _lists(values: np.ndarray, offset: np.ndarray) -> pa.Array:
@@ -292,7 +294,7 @@ def _again(docs: DataFrame, windows: np.ndarray, lines: np.ndarray, o: Options)
 
     def run(batches):
         for p, ids in _each_chunk(batches, o):
-            start, stop = _of_themselves(p, o.min_words)
+            start, stop, wholly = _of_themselves(p, o.min_words)
             doc, zero = p.doc_of(start), pa.array(np.zeros(len(start), np.int64))
             yield pa.RecordBatch.from_arrays(
                 [pa.array(np.full(len(start), 2, np.int32)), zero, zero, pa.array(ids[doc]), pa.array(start - p.doc_start[doc]),
@@ -300,7 +302,8 @@ def _again(docs: DataFrame, windows: np.ndarray, lines: np.ndarray, o: Options)
                 names=names,
             )
             chosen = _may_be_in(windows, p.window_keys)
-            chosen[p.within_documents()[0]] = False
+            # An occurrence all of whose passages the document has before needs no other to be found.
+            chosen[wholly] = False
             some = np.flatnonzero(chosen)
             start, stop = p.least[some], p.most[some] + o.min_words
             doc = p.doc_of(start)

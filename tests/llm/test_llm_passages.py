@@ -45,3 +45,20 @@ def test_short_matches_with_two_documents_stay(spark):
     left, right = fresh(rng, 40), fresh(rng, 40)
     rows = [(0, fresh(rng, 80) + left + fresh(rng, 80)), (1, fresh(rng, 80) + right + fresh(rng, 80)), (2, fresh(rng, 80) + left + right + fresh(rng, 80))]
     assert cut(spark, rows) == dict(rows)
+
+
+def test_phrase_alone_and_again_in_a_shared_passage(spark):
+    rng = random.Random(13)
+    rows = []
+    for n in range(8):
+        phrase, at = fresh(rng, 40), rng.randrange(5, 35)
+        passage = fresh(rng, at) + phrase + fresh(rng, 40 - at)
+        rows += [(10 * n, fresh(rng, 150) + passage + fresh(rng, 150)), (10 * n + 1, fresh(rng, 60) + phrase + fresh(rng, 60) + passage + fresh(rng, 60))]
+        # The same within one document, and a passage of which another document has the second occurrence only.
+        rows += [(10 * n + 2, fresh(rng, 60) + phrase + fresh(rng, 60)), (10 * n + 3, passage * 2 + phrase[:20] * 6)]
+    kept = cut(spark, rows)
+    assert all(len(kept[10 * n + 1]) == 220 for n in range(8))
+    brute = cut_by_brute(rows)
+    assert {i: w for i, w in kept.items() if i % 10 < 3} == {i: w for i, w in brute.items() if i % 10 < 3}
+    left = [tuple(w[k: k + 50]) for w in kept.values() for k in range(len(w) - 49)]
+    assert len(left) == len(set(left))
