@@ -16,8 +16,9 @@ has several different blocks, the first of each are compared passage by passage.
 equal members are verified once, large ones in pairs of blocks; a group gives a spanning star of its links.
 
 Defined results: words are split at ASCII white space and compared without ASCII case; a null text is
-empty and stays null; rows without an id are left as they are; rows that repeat an id count as one
-document; extra columns are kept; an empty table gives no rows.
+empty and stays null; rows without an id are left as they are; rows that repeat an id and its text count as
+one document, and rows that repeat an id with another text as several, in the order of a hash of their texts;
+extra columns are kept; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -197,41 +198,43 @@ def _signed(x: np.ndarray) -> pa.Array:
     return pa.array(x.view(np.int64))
 
 
-_FIRST = "kind int, k1 long, k2 long, doc_id long, start long, bands binary"
+_FIRST = "kind int, k1 long, k2 long, doc_id long, text_key long, start long, bands binary"
 
 
 def _named(docs: DataFrame) -> DataFrame:
-    return docs.where("doc_id IS NOT NULL").select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    text = F.col("text").cast("string")
+    return docs.where("doc_id IS NOT NULL").select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("text_key"), text.alias("text"))
 
 
-def _each_chunk(batches: Iterator[pa.RecordBatch], o: Options) -> Iterator[tuple[_Paragraphs, np.ndarray]]:
+def _each_chunk(batches: Iterator[pa.RecordBatch], o: Options) -> Iterator[tuple[_Paragraphs, np.ndarray, np.ndarray]]:
     for batch in batches:
-        ids = plain(batch.column("doc_id")).to_numpy(zero_copy_only=False)
+        ids, keys = (plain(batch.column(name)).to_numpy(zero_copy_only=False) for name in ("doc_id", "text_key"))
         at = 0
         for texts in chunks(plain(batch.column("text")), BYTES):
-            yield _paragraphs(texts, o), ids[at: at + len(texts)]
+            yield _paragraphs(texts, o), ids[at: at + len(texts)], keys[at: at + len(texts)]
             at += len(texts)
 
 
 def _found(docs: DataFrame, o: Options) -> DataFrame:
     """Every paragraph by its key: windows are kind 0, lines kind 1 with their place and bands."""
+    names = [c.split()[0] for c in _FIRST.split(", ")]
 
     def run(batches):
-        for p, ids in _each_chunk(batches, o):
+        for p, ids, keys in _each_chunk(batches, o):
             bands = _bands(p, o)
             # Windows are only counted, once per document.
             own = np.ones(len(p.window), bool)
             own[p.within_documents()[0]] = False
             zero = pa.array(np.zeros(own.sum(), np.int64))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.zeros(len(zero), np.int32)), _signed(p.window_keys[own]), zero, zero, zero, pa.nulls(len(zero), pa.binary())],
-                names=["kind", "k1", "k2", "doc_id", "start", "bands"],
+                [pa.array(np.zeros(len(zero), np.int32)), _signed(p.window_keys[own]), zero, zero, zero, zero, pa.nulls(len(zero), pa.binary())],
+                names=names,
             )
             doc = p.doc_of(p.line)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.ones(len(doc), np.int32)), *map(_signed, p.line_keys), pa.array(ids[doc]), pa.array(p.line - p.doc_start[doc]),
+                [pa.array(np.ones(len(doc), np.int32)), *map(_signed, p.line_keys), pa.array(ids[doc]), pa.array(keys[doc]), pa.array(p.line - p.doc_start[doc]),
                  pa.array([row.tobytes() for row in bands], pa.binary())],
-                names=["kind", "k1", "k2", "doc_id", "start", "bands"],
+                names=names,
             )
 
     return _named(docs).mapInArrow(run, _FIRST)
@@ -255,7 +258,7 @@ def _may_be_in(table: np.ndarray, keys: np.ndarray) -> np.ndarray:
     return (table[(place >> np.uint64(6)).astype(np.int64)] >> (place & np.uint64(63))) & np.uint64(1) == 1
 
 
-_SECOND = "kind int, k1 long, k2 long, doc_id long, start long, stop long, hashes binary"
+_SECOND = "kind int, k1 long, k2 long, doc_id long, text_key long, start long, stop long, hashes binary"
 
 
 def _of_themselves(p: _Paragraphs, words: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -293,11 +296,11 @@ def _again(docs: DataFrame, windows: np.ndarray, lines: np.ndarray, o: Options)
     names = [c.split()[0] for c in _SECOND.split(", ")]
 
     def run(batches):
-        for p, ids in _each_chunk(batches, o):
+        for p, ids, keys in _each_chunk(batches, o):
             start, stop, wholly = _of_themselves(p, o.min_words)
             doc, zero = p.doc_of(start), pa.array(np.zeros(len(start), np.int64))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.full(len(start), 2, np.int32)), zero, zero, pa.array(ids[doc]), pa.array(start - p.doc_start[doc]),
+                [pa.array(np.full(len(start), 2, np.int32)), zero, zero, pa.array(ids[doc]), pa.array(keys[doc]), pa.array(start - p.doc_start[doc]),
                  pa.array(stop - p.doc_start[doc]), pa.nulls(len(start), pa.binary())],
                 names=names,
             )
@@ -309,7 +312,7 @@ def _again(docs: DataFrame, windows: np.ndarray, lines: np.ndarray, o: Options)
             doc = p.doc_of(start)
             at, offset = p.passages(some)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.zeros(len(some), np.int32)), _signed(p.window_keys[some]), _signed(p.rolling.of(start, stop)), pa.array(ids[doc]),
+                [pa.array(np.zeros(len(some), np.int32)), _signed(p.window_keys[some]), _signed(p.rolling.of(start, stop)), pa.array(ids[doc]), pa.array(keys[doc]),
                  pa.array(start - p.doc_start[doc]), pa.array(stop - p.doc_start[doc]), _lists(p.rolling.of(at, at + o.min_words), offset)],
                 names=names,
             )
@@ -320,7 +323,7 @@ def _again(docs: DataFrame, windows: np.ndarray, lines: np.ndarray, o: Options)
             doc = p.doc_of(p.line[chosen])
             sets = [np.unique(values[offset[i]: offset[i + 1]]).tobytes() for i in chosen]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.ones(len(chosen), np.int32)), *(_signed(k[chosen]) for k in p.line_keys), pa.array(ids[doc]),
+                [pa.array(np.ones(len(chosen), np.int32)), *(_signed(k[chosen]) for k in p.line_keys), pa.array(ids[doc]), pa.array(keys[doc]),
                  pa.array(p.line[chosen] - p.doc_start[doc]), pa.array(p.line_end[chosen] - p.doc_start[doc]), pa.array(sets, pa.binary())],
                 names=names,
             )
@@ -372,8 +375,8 @@ def _line_links(buckets: DataFrame, lines: DataFrame, found: DataFrame, o: Optio
     """Links ``a``-``b`` of lines (by ``k1``) that are similar enough and share a bucket. The shingles of a
     line are those of its first occurrence, so that they are sent once per bucket."""
     first = lines.select(F.col("k1").alias("id"), "k2", "first.*")
-    occurrences = found.where("kind = 1").select(F.col("k1").alias("id"), "k2", "doc_id", "start", F.col("hashes").alias("shingles")).dropDuplicates(["id", "k2", "doc_id", "start"])
-    members = buckets.join(first, "id").join(occurrences, ["id", "k2", "doc_id", "start"])
+    occurrences = found.where("kind = 1").select(F.col("k1").alias("id"), "k2", "doc_id", "text_key", "start", F.col("hashes").alias("shingles")).dropDuplicates(["id", "k2", "doc_id", "text_key", "start"])
+    members = buckets.join(first, "id").join(occurrences, ["id", "k2", "doc_id", "text_key", "start"])
     # A large bucket is cut into blocks, and every pair of blocks is a group; small ones share a group.
     blocks = F.ceil(F.col("size") / BLOCK).cast("int")
     own = F.pmod(F.xxhash64("id"), blocks).cast("int")
@@ -444,7 +447,7 @@ def _in_table(table: np.ndarray):
 
 
 def _passages(blocks: DataFrame, some: np.ndarray | None = None) -> DataFrame:
-    """``k1``, ``k2``, ``doc_id`` and ``start`` of the passages of blocks, or of ``some`` that may repeat."""
+    """``k1``, ``k2`` and place (``doc_id``, ``text_key``, ``start``) of the passages of blocks, or of ``some`` that may repeat."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -458,28 +461,31 @@ def _passages(blocks: DataFrame, some: np.ndarray | None = None) -> DataFrame:
                 if some is not None:
                     chosen = _may_be_in(some, hashes)
                     row, place, hashes = row[chosen], place[chosen], hashes[chosen]
-                k1, doc, start = (part.column(name).to_numpy(zero_copy_only=False)[row] for name in ("k1", "doc_id", "start"))
-                yield pa.RecordBatch.from_arrays([pa.array(k1), _signed(hashes), pa.array(doc), pa.array(start + place)], names=["k1", "k2", "doc_id", "start"])
+                k1, doc, key, start = (part.column(name).to_numpy(zero_copy_only=False)[row] for name in ("k1", "doc_id", "text_key", "start"))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(k1), _signed(hashes), pa.array(doc), pa.array(key), pa.array(start + place)], names=["k1", "k2", "doc_id", "text_key", "start"]
+                )
 
-    return blocks.select("k1", "doc_id", "start", "hashes").mapInArrow(run, "k1 long, k2 long, doc_id long, start long")
+    return blocks.select("k1", "doc_id", "text_key", "start", "hashes").mapInArrow(run, "k1 long, k2 long, doc_id long, text_key long, start long")
 
 
 def _window_spans(found: DataFrame, o: Options, folder: str) -> DataFrame:
     """Word ranges of the passages that repeat an earlier one of another document."""
     every = found.where("kind = 0")
-    first = F.min(F.struct("doc_id", "start")).alias("first")
+    first = F.min(F.struct("doc_id", "text_key", "start")).alias("first")
+    another = "doc_id <> first.doc_id OR text_key <> first.text_key"
     blocks = stored(every.groupBy("k1", "k2").agg(F.count("*").alias("n"), first), folder, "blocks")
     # Of equal blocks all but the first go as a whole.
-    whole = every.select("k1", "k2", "doc_id", "start", "stop").join(blocks.where("n > 1").select("k1", "k2", "first"), ["k1", "k2"])
-    whole = whole.where("doc_id <> first.doc_id").select("doc_id", "start", "stop")
+    whole = every.select("k1", "k2", "doc_id", "text_key", "start", "stop").join(blocks.where("n > 1").select("k1", "k2", "first"), ["k1", "k2"])
+    whole = whole.where(another).select("doc_id", "text_key", "start", "stop")
     # The first ones of different blocks of a window may still share passages.
     several = _bitmap(blocks.groupBy("k1").agg(F.count("*").alias("n")).where("n > 1"))
     place = lambda *columns: F.xxhash64("k1", "k2", *columns)
-    leading = _bitmap(blocks.where(_in_table(several)("k1")).select(place("first.doc_id", "first.start").alias("k1")))
-    members = every.where(_in_table(leading)(place("doc_id", "start")))
+    leading = _bitmap(blocks.where(_in_table(several)("k1")).select(place("first.doc_id", "first.text_key", "first.start").alias("k1")))
+    members = every.where(_in_table(leading)(place("doc_id", "text_key", "start")))
     repeated = stored(_passages(members).groupBy("k1", "k2").agg(F.count("*").alias("n"), first).where("n > 1").select("k1", "k2", "first"), folder, "passages")
     again = _passages(members, _bitmap(repeated.select(F.col("k2").alias("k1")))).join(repeated, ["k1", "k2"])
-    single = again.where("doc_id <> first.doc_id").select("doc_id", "start", (F.col("start") + o.min_words).alias("stop"))
+    single = again.where(another).select("doc_id", "text_key", "start", (F.col("start") + o.min_words).alias("stop"))
     return whole.union(single)
 
 
@@ -489,8 +495,8 @@ def _line_spans(found: DataFrame, distinct: DataFrame, links: DataFrame, folder:
     named = distinct.join(clusters, F.col("k1") == F.col("node"), "left").select("k1", "k2", "n", "first", F.coalesce("component", "k1").alias("cluster"))
     stays = named.groupBy("cluster").agg(F.min("first").alias("kept"), F.sum("n").alias("n")).where("n > 1").select("cluster", "kept")
     members = named.join(stays, "cluster").select("k1", "k2", "kept")
-    lines = found.where("kind = 1").select("k1", "k2", "doc_id", "start", "stop").join(members, ["k1", "k2"])
-    return lines.where("doc_id <> kept.doc_id OR start <> kept.start").select("doc_id", "start", "stop")
+    lines = found.where("kind = 1").select("k1", "k2", "doc_id", "text_key", "start", "stop").join(members, ["k1", "k2"])
+    return lines.where("doc_id <> kept.doc_id OR text_key <> kept.text_key OR start <> kept.start").select("doc_id", "text_key", "start", "stop")
 
 
 def _merged(spans: np.ndarray, least: int) -> list[tuple[int, int]]:
@@ -505,9 +511,10 @@ def _merged(spans: np.ndarray, least: int) -> list[tuple[int, int]]:
 
 
 def repeated_spans(docs: DataFrame, options: Options | None = None, folder: str | None = None) -> DataFrame:
-    """``doc_id`` and ``spans`` (array of start and stop, words from 0) of what is to be removed."""
+    """``doc_id``, ``text_key`` (``xxhash64`` of the text) and ``spans`` (array of start and stop, words from 0)
+    of what is to be removed."""
     o, folder = options or Options(), folder or work_folder(docs.sparkSession)
-    first = F.min(F.struct("doc_id", "start")).alias("first")
+    first = F.min(F.struct("doc_id", "text_key", "start")).alias("first")
     keyed = _found(docs, o).groupBy("kind", "k1", "k2").agg(F.count("*").alias("n"), first, F.max("bands").alias("bands"))
     keyed = stored(keyed.where("kind = 1 OR n > 1"), folder, "paragraphs")
     windows, lines = keyed.where("kind = 0"), keyed.where("kind = 1")
@@ -515,18 +522,18 @@ def repeated_spans(docs: DataFrame, options: Options | None = None, folder: str
     wanted = buckets.select(F.col("id").alias("k1")).union(lines.where("n > 1").select("k1"))
     found = stored(_again(docs, _bitmap(windows), _bitmap(wanted), o), folder, "again")
     links = _line_links(buckets, lines, found, o)
-    own = found.where("kind = 2").select("doc_id", "start", "stop")
+    own = found.where("kind = 2").select("doc_id", "text_key", "start", "stop")
     spans = _window_spans(found, o, folder).union(_line_spans(found, lines, links, folder)).union(own)
     least = o.min_words
 
     def merge(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for f in frames:
             merged = [_merged(np.array([(s["start"], s["stop"]) for s in spans], np.int64), least) for spans in f["spans"]]
-            rows = [(d, [{"start": a, "stop": b} for a, b in m]) for d, m in zip(f["doc_id"], merged, strict=True) if m]
-            yield pd.DataFrame(rows, columns=["doc_id", "spans"])
+            rows = [(d, k, [{"start": a, "stop": b} for a, b in m]) for d, k, m in zip(f["doc_id"], f["text_key"], merged, strict=True) if m]
+            yield pd.DataFrame(rows, columns=["doc_id", "text_key", "spans"])
 
-    by_doc = spans.distinct().groupBy("doc_id").agg(F.collect_list(F.struct("start", "stop")).alias("spans"))
-    return stored(by_doc.mapInPandas(merge, "doc_id long, spans array<struct<start: long, stop: long>>"), folder, "spans")
+    by_doc = spans.distinct().groupBy("doc_id", "text_key").agg(F.collect_list(F.struct("start", "stop")).alias("spans"))
+    return stored(by_doc.mapInPandas(merge, "doc_id long, text_key long, spans array<struct<start: long, stop: long>>"), folder, "spans")
 
 
 _WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -549,11 +556,13 @@ def remove_repeats(
     ``spans_column`` is named (null for nothing). A text that is all repeats stays as an empty one."""
     if spans_column in docs.columns:
         raise ValueError(f"the table has a column {spans_column} of its own")
-    own = spans_column or "spans"
+    own, key = spans_column or "spans", "text_key"
     while own in docs.columns:
         own += "_"
-    spans = repeated_spans(docs, options, folder).withColumnRenamed("spans", own)
-    table = _bitmap(spans.select(F.xxhash64("doc_id").alias("k1")))
+    while key in (*docs.columns, own):
+        key += "_"
+    spans = repeated_spans(docs, options, folder).withColumnsRenamed({"spans": own, "text_key": key})
+    table = _bitmap(spans.select(F.xxhash64("doc_id", key).alias("k1")))
 
     @F.arrow_udf("string")
     def without(texts: pa.Array, spans: pa.Array) -> pa.Array:
@@ -561,8 +570,9 @@ def remove_repeats(
         return pa.array([cut(t, [(s["start"], s["stop"]) for s in found]) if t and found else t for t, found in rows], pa.string())
 
     # Texts that surely have none stay where they are; the others are shuffled to their spans.
-    touched = _in_table(table)(F.xxhash64(F.col("doc_id").cast("long")))
-    joined = docs.where(touched).join(spans, "doc_id", "left").withColumn("text", without(F.col("text").cast("string"), own))
+    text_key = F.xxhash64(F.col("text").cast("string"))
+    touched = _in_table(table)(F.xxhash64(F.col("doc_id").cast("long"), text_key))
+    joined = docs.where(touched).withColumn(key, text_key).join(spans, ["doc_id", key], "left").drop(key).withColumn("text", without(F.col("text").cast("string"), own))
     rest = docs.where(~touched).withColumn(own, F.lit(None).cast(spans.schema[own].dataType))
     columns = [*docs.columns, own] if spans_column else docs.columns
     return joined.unionByName(rest).select(*(f"`{name}`" for name in columns))

@@ -62,3 +62,16 @@ def test_phrase_alone_and_again_in_a_shared_passage(spark):
     assert {i: w for i, w in kept.items() if i % 10 < 3} == {i: w for i, w in brute.items() if i % 10 < 3}
     left = [tuple(w[k: k + 50]) for w in kept.values() for k in range(len(w) - 49)]
     assert len(left) == len(set(left))
+
+
+def test_one_id_with_two_texts(spark):
+    rng = random.Random(14)
+    passage, other = fresh(rng, 70), fresh(rng, 60)
+    texts = [(0, fresh(rng, 30) + passage), (5, fresh(rng, 300) + passage + fresh(rng, 20)), (5, fresh(rng, 90)), (5, other), (6, other + fresh(rng, 60))]
+    rows = [(i, " ".join(words)) for i, words in [*texts, texts[1]]]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "'mine' AS text_key")
+    done = paragraph_minhash.remove_repeats(frame, spans_column="removed")
+    assert done.columns == ["doc_id", "text", "text_key", "removed"]
+    found = sorted((r.doc_id, r.text.split(), r.text_key) for r in done.collect())
+    kept = [texts[0], (5, texts[1][1][:300] + texts[1][1][370:]), texts[2], texts[3], (6, texts[4][1][60:])]
+    assert found == sorted((i, words, "mine") for i, words in [*kept, kept[1]])
