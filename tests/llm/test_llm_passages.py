@@ -2,6 +2,8 @@
 
 import random
 
+import xxhash
+
 from partloom.llm import paragraph_minhash
 
 
@@ -75,3 +77,18 @@ def test_one_id_with_two_texts(spark):
     found = sorted((r.doc_id, r.text.split(), r.text_key) for r in done.collect())
     kept = [texts[0], (5, texts[1][1][:300] + texts[1][1][370:]), texts[2], texts[3], (6, texts[4][1][60:])]
     assert found == sorted((i, words, "mine") for i, words in [*kept, kept[1]])
+
+
+def test_borders_are_told_by_whole_words(spark):
+    rng = random.Random(15)
+    by_byte = {}
+    for w in fresh(rng, 3000):
+        by_byte.setdefault(xxhash.xxh3_64_intdigest(w, paragraph_minhash.Options().seed) % 255, []).append(w)
+    alike = [same[:2] for same in by_byte.values() if len(same) > 1]
+    rows = []
+    for n in range(20):  # words beside a passage that differ but have the same byte
+        (a, b), (c, d) = alike[2 * n: 2 * n + 2]
+        passage = fresh(rng, 49 if n % 2 else 55)
+        rows += [(2 * n, [*fresh(rng, 90), a, *passage, c, *fresh(rng, 90)]), (2 * n + 1, [*fresh(rng, 90), b, *passage, d, *fresh(rng, 90)])]
+    kept = cut(spark, rows)
+    assert kept == cut_by_brute(rows) and {len(kept[2 * n + 1]) for n in range(20)} == {182, 231}
