@@ -3,13 +3,14 @@
 The vocabulary is a SentencePiece BPE model with byte pieces. A text becomes symbols (spaces as ``▁``,
 one put before the text), and an agenda holds the candidate merges of neighbouring symbols by
 score, then place. Each candidate that is taken from the agenda is skipped if a keyed hash says so:
-of the seed, the variant and the two places and pieces, never of a running generator, so a rerun
-task gives the same pieces. Without dropout the pieces are SentencePiece's own.
+of the seed, the document, the word's place in it, and the two places and pieces, never of a running
+generator, so a rerun task gives the same pieces. Without dropout the pieces are SentencePiece's own.
 
 No piece of the vocabulary holds ``▁`` after another character, so merges never cross into the next
-word: texts are cut before each run of ``▁``, and a word is segmented once per variant. A word's
-variant is drawn from ``variants`` by a hash of the document and the word's place, so a word varies
-within a text and the work per different word is bounded.
+word: texts are cut before each run of ``▁``. Each occurrence of a word has draws of its own. A different
+word is segmented once without dropout, with a list of its merges; an occurrence that skips none of
+them has that segmentation, and only the others go through the agenda. Where ``variants`` are given,
+an occurrence has one of so many draws instead.
 
 Decoding is exact: pieces without a vocabulary entry are spelled in bytes, and so is a ``▁`` that the text itself
 holds. Defined results: a null text has null pieces; an empty text has none; ids may be null or
@@ -162,9 +163,12 @@ def segment(word: str, v: Vocabulary, dropout: float = 0.0, seed: int = 0, varia
     return out
 
 
-def _segment_table(ids: np.ndarray, size: np.ndarray, v: Vocabulary, dropout: float, seed: int, variant: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _segment_table(
+    ids: np.ndarray, size: np.ndarray, v: Vocabulary, dropout: float, seed: int, variant: np.ndarray, merges: list | None = None
+) -> tuple[np.ndarray, np.ndarray]:
     """The agendas of many short words at once: a row of ``ids`` is a word of ``size`` symbols. Every
-    round takes the first candidate of each word and skips or merges it. The symbols that are left, and how many."""
+    round takes the first candidate of each word and skips or merges it. The symbols that are left, and how many.
+    ``merges`` gets the row, merged piece, left piece and place of each candidate that was taken."""
     n, width = ids.shape
     column = np.arange(width, dtype=np.int32)
     inside = column < size[:, None]
@@ -188,6 +192,8 @@ def _segment_table(ids: np.ndarray, size: np.ndarray, v: Vocabulary, dropout: fl
         if not live.all():
             row, at, place = row[live], at[live], place[live]
         to = flat_merged[place]
+        if merges is not None:
+            merges.append((row, to, flat[place], at))
         if dropout and len(row):
             skip = _skips(seed, variant[row], to, flat[place], at, dropout)
             flat_rank[place[skip]] = _NONE
@@ -214,8 +220,11 @@ def _segment_table(ids: np.ndarray, size: np.ndarray, v: Vocabulary, dropout: fl
     return flat[alive], alive.reshape(n, width).sum(axis=1)
 
 
-def segment_many(words: list[str], variants: np.ndarray, v: Vocabulary, dropout: float, seed: int) -> tuple[np.ndarray, np.ndarray]:
-    """The piece ids of all words, one after the other, and where each word's begin (and the last ends)."""
+def segment_many(
+    words: list[str], variants: np.ndarray, v: Vocabulary, dropout: float, seed: int, merges: list | None = None
+) -> tuple[np.ndarray, np.ndarray]:
+    """The piece ids of all words, one after the other, and where each word's begin (and the last ends).
+    ``merges`` gets the candidates that were taken, by word number; none of words that are segmented alone."""
     points = np.frombuffer("".join(words).encode("utf-32-le"), np.uint32)
     length = np.fromiter(map(len, words), np.int64, len(words))
     start = np.cumsum(length) - length
@@ -230,7 +239,10 @@ def segment_many(words: list[str], variants: np.ndarray, v: Vocabulary, dropout:
                 continue
             inside = np.arange(width) < length[some][:, None]
             ids = np.where(inside, symbols[np.minimum(start[some][:, None] + np.arange(width), max(0, len(symbols) - 1))], -1)
-            ids, size = _segment_table(ids.astype(np.int32), length[some], v, dropout, seed, variants[some])
+            taken = None if merges is None else []
+            ids, size = _segment_table(ids.astype(np.int32), length[some], v, dropout, seed, variants[some], taken)
+            if merges is not None:
+                merges += [(some[row], *rest) for row, *rest in taken]
             count[some] = size
             parts.append((some, ids))
     for i in np.flatnonzero(kind == len(_WIDTHS)):
@@ -268,15 +280,16 @@ _WORDS = re.compile(rf"{SPACE}|[ ]+[^ {SPACE}]*|[^ {SPACE}]+")
 
 
 class Encoder:
-    """Encodes texts, each different (word, variant) of a call once."""
+    """Encodes texts: each occurrence of a word with draws of its own, or, where ``variants`` are given, each
+    different (word, variant) of a call once."""
 
-    def __init__(self, model_file: str, dropout: float = 0.0, seed: int = 0, variants: int = 1):
+    def __init__(self, model_file: str, dropout: float = 0.0, seed: int = 0, variants: int | None = None):
         self.v, self.dropout, self.seed = vocabulary(model_file), dropout, seed
         self.variants = variants if 0 < dropout < 1 else 1
         self.own_space = np.array([self.v.byte_ids[b] for b in SPACE.encode()], np.int32)
 
     def _variants(self, documents: list, counts: list[int]) -> np.ndarray:
-        """The variant of every word: a hash of the seed, the document's id and the word's place."""
+        """The draw of every word, or its variant: a hash of the seed, the document's id and the word's place."""
         if self.variants == 1:
             return np.zeros(sum(counts), np.int64)
         u = np.uint64
@@ -285,7 +298,31 @@ class Encoder:
         place = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
         x = place.astype(u) * u(0x9E3779B97F4A7C15) + np.repeat(keys, counts)
         x = (x ^ (x >> u(30))) * u(0xBF58476D1CE4E5B9)
-        return ((x ^ (x >> u(27))) % u(self.variants)).astype(np.int64)
+        x = (x ^ (x >> u(27))) * u(0x94D049BB133111EB)
+        return x ^ (x >> u(31)) if self.variants is None else (x % u(self.variants)).astype(np.int64)
+
+    def _plain(self, words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, tuple[np.ndarray, ...]]:
+        """Pieces of words without dropout and where each word's begin; where the merges of each word begin, and
+        these. Words that are segmented alone count as one that is always skipped."""
+        taken: list[tuple] = []
+        flat, begin = segment_many(words, np.zeros(len(words), np.int64), self.v, 0.0, self.seed, taken)
+        alone = np.flatnonzero(np.fromiter(map(len, words), np.int64, len(words)) > _WIDTHS[-1])
+        lost = np.full(len(alone), -1)
+        word, *rest = (np.concatenate(x) for x in zip(*taken, (alone, lost, lost, lost), strict=True))
+        order = np.argsort(word, kind="stable")
+        return flat, begin, np.searchsorted(word[order], np.arange(len(words) + 1)), tuple(x[order] for x in rest)
+
+    def _varied(self, kind: np.ndarray, draw: np.ndarray, first: np.ndarray, merges: tuple[np.ndarray, ...]) -> np.ndarray:
+        """Numbers of the occurrences that skip a merge of their plain segmentation."""
+        found = []
+        for at in range(0, len(kind), TOGETHER):
+            which = kind[at: at + TOGETHER]
+            n = first[which + 1] - first[which]
+            row = np.repeat(np.arange(len(which)), n)
+            place = np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n) + np.repeat(first[which], n)
+            to, left, column = (x[place] for x in merges)
+            found.append(np.unique(row[(to < 0) | _skips(self.seed, draw[at + row], to, left, column, self.dropout)]) + at)
+        return np.concatenate([np.empty(0, np.int64), *found])
 
     def encode(self, texts: list[str | None], documents: list) -> pa.ListArray:
         words, counts = [], []
@@ -296,6 +333,8 @@ class Encoder:
         offsets = np.concatenate([[0], np.cumsum(counts)]).astype(np.int64)
         coded = pa.array(words, pa.large_string()).dictionary_encode()
         kinds = coded.dictionary.to_pylist()
+        if self.variants is None:
+            return self._put_together(texts, offsets, *self._each(kinds, coded.indices.to_numpy(zero_copy_only=False).astype(np.int64), self._variants(documents, counts)))
         both = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64) * self.variants + self._variants(documents, counts)
         different, inverse = np.unique(both, return_inverse=True)
         flats, sizes = [], []
@@ -311,6 +350,30 @@ class Encoder:
         if SPACE in kinds:  # a block character of the text's own is spelled in bytes
             own = different // self.variants == kinds.index(SPACE)
             start[own], size[own] = len(flat) - len(self.own_space), len(self.own_space)
+        return self._put_together(texts, offsets, flat, start, size, inverse)
+
+    def _each(self, kinds: list[str], kind: np.ndarray, draw: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Pieces, where each segmentation begins and its size, and the segmentation of each occurrence."""
+        spelled = [w.replace(" ", SPACE) for w in kinds]
+        flat, begin, first, merges = self._plain(spelled)
+        flats, start, size = [flat], [begin[:-1]], [np.diff(begin)]
+        if SPACE in kinds:  # a block character of the text's own is spelled in bytes
+            own = kinds.index(SPACE)
+            flats.append(self.own_space)
+            start[0], size[0] = start[0].copy(), size[0].copy()
+            start[0][own], size[0][own] = len(flat), len(self.own_space)
+        varied, which = self._varied(kind, draw, first, merges), kind.copy()
+        for at in range(0, len(varied), TOGETHER):
+            some = varied[at: at + TOGETHER]
+            which[some] = sum(map(len, size)) + np.arange(len(some))
+            more, begin = segment_many([spelled[i] for i in kind[some].tolist()], draw[some], self.v, self.dropout, self.seed)
+            start.append(begin[:-1] + sum(map(len, flats)))
+            size.append(np.diff(begin))
+            flats.append(more)
+        return np.concatenate(flats), np.concatenate(start), np.concatenate(size), which
+
+    @staticmethod
+    def _put_together(texts: list, offsets: np.ndarray, flat: np.ndarray, start: np.ndarray, size: np.ndarray, inverse: np.ndarray) -> pa.ListArray:
         n = size[inverse]
         ends = np.concatenate([[0], np.cumsum(n)])
         values = flat[np.arange(ends[-1]) - np.repeat(ends[:-1], n) + np.repeat(start[inverse], n)]
@@ -348,10 +411,10 @@ def decode_lists(pieces: pa.ListArray, v: Vocabulary) -> pa.Array:
 
 
 def encode(
-    docs: DataFrame, model_file: str, dropout: float = 0.1, seed: int = 1, variants: int = 8
+    docs: DataFrame, model_file: str, dropout: float = 0.1, seed: int = 1, variants: int | None = None
 ) -> DataFrame:
     """``doc_id`` and ``pieces`` (array of ids) of every row. ``model_file`` must be readable on every node."""
-    if not 0 <= dropout <= 1 or variants < 1:
+    if not 0 <= dropout <= 1 or (variants is not None and variants < 1):
         raise ValueError("dropout lies between 0 and 1, and there is at least one variant")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
