@@ -7,8 +7,8 @@ ones do (likelihood ratio), so ordinary windows gain next to nothing. Gains are
 thresholds, and the shares and counts of windows above them are calibrated to a probability on
 labelled texts that no dictionary saw. The score is moved so that 0.7 is the cut with the best F1 there.
 
-The model is fitted on the driver from at most ``Sample`` labelled texts and windows of them;
-scoring takes every window of every text.
+The dictionaries are trained on the driver from at most ``Sample`` labelled texts and windows of them.
+Calibration, like scoring, takes every window of its texts, in the tasks; eight numbers a text come back.
 
 Defined results: a null text is empty; an empty text has one empty window; without labelled texts of
 both kinds every score is 0; ids may be null or repeat (a row each; a doc_id labelled twice is toxic if
@@ -39,7 +39,8 @@ CUT = 0.7
 
 @dataclass(frozen=True)
 class Sample:
-    """Bounds of what the model is fitted on: texts of each kind, and windows of a text (evenly spaced over all of it)."""
+    """Bounds of what the model is fitted on: texts of each kind, and windows of a text that the dictionaries are
+    trained on (evenly spaced over all of it)."""
 
     toxic: int = 2500
     ordinary: int = 5000
@@ -127,9 +128,17 @@ def _telling(toxic: list[list[bytes]], ordinary: list[list[bytes]]) -> set[bytes
 def train(texts: list[tuple[bool, bool, list[bytes]]], seed: int = 1) -> Model:
     """The model from (toxic, for calibration, windows) of labelled texts."""
     kind = lambda toxic, calibrate: [w for t, c, w in texts if t == toxic and c == calibrate]
-    toxic, ordinary = kind(True, False), kind(False, False)
     check = [(t, w) for t, c, w in texts if c]
-    if not toxic or not ordinary or len({t for t, _ in check}) < 2:
+    model = _dictionaries(kind(True, False), kind(False, False), seed)
+    if not model.key:
+        return Model()
+    compressors = _compressors(model)
+    return _calibrated(model, [(t, _features(gains(w, compressors))) for t, w in check])
+
+
+def _dictionaries(toxic: list[list[bytes]], ordinary: list[list[bytes]], seed: int = 1) -> Model:
+    """The model before calibration; an empty one without texts of both kinds."""
+    if not toxic or not ordinary:
         return Model()
     rng = np.random.default_rng(seed)
     telling = _telling(toxic, ordinary)
@@ -139,20 +148,23 @@ def train(texts: list[tuple[bool, bool, list[bytes]]], seed: int = 1) -> Model:
     plain_windows = [w for text in ordinary for w in text]
     rng.shuffle(plain_windows)
     size = sum(map(len, plain_windows))
-    model = Model(
-        ordinary=_trained(plain_windows, max(4096, min(1 << 20, size // 4)), level=LEVEL, d=8, k=64),
-        toxic=_trained(joined, 1 << 14, d=6, k=16),
-    )
-    compressors = (_compressor(model.toxic + model.ordinary), _compressor(model.ordinary))
-    x = np.array([_features(gains(w, compressors)) for _, w in check])
+    common = _trained(plain_windows, max(4096, min(1 << 20, size // 4)), level=LEVEL, d=8, k=64)
+    rare = _trained(joined, 1 << 14, d=6, k=16)
+    return Model(common, rare, key=hashlib.sha256(rare + common).hexdigest())
+
+
+def _calibrated(model: Model, check: list[tuple[bool, list[float]]]) -> Model:
+    """``model`` with the weights of (toxic, features) of texts; an empty one without texts of both kinds."""
+    if len({t for t, _ in check}) < 2:
+        return Model()
+    x = np.array([found for _, found in check])
     y = np.array([t for t, _ in check], dtype=float)
     mean, deviation = x.mean(axis=0), x.std(axis=0) + 1e-6
     design = np.column_stack([np.ones(len(x)), (x - mean) / deviation])
     weights = _logistic(design, y)
     z = design @ weights
     shift = math.log(CUT / (1 - CUT)) - _best_cut(z, y)
-    key = hashlib.sha256(model.toxic + model.ordinary).hexdigest()
-    return Model(model.ordinary, model.toxic, tuple(weights), tuple(zip(mean, deviation, strict=True)), shift, key)
+    return Model(model.ordinary, model.toxic, tuple(weights), tuple(zip(mean, deviation, strict=True)), shift, model.key)
 
 
 def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0) -> np.ndarray:
@@ -191,6 +203,10 @@ def is_held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 3 == 1, F.lit(False))
 
 
+def for_calibration(doc_id: Column) -> Column:
+    return F.pmod(F.xxhash64(doc_id, F.lit(1)), F.lit(4)) == 0
+
+
 def fit(docs: DataFrame, labels: DataFrame, sample: Sample | None = None) -> Model:
     """The model of ``labels`` (doc_id, toxic) over ``docs``, without the held-out rows."""
     sample = sample or Sample()
@@ -202,21 +218,32 @@ def fit(docs: DataFrame, labels: DataFrame, sample: Sample | None = None) -> Mod
     )
     most = sample.windows
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            kept = [_spread(windows_of(t.as_py()), most) for t in batch.column("text")]
-            yield pa.RecordBatch.from_arrays(
-                [*(plain(batch.column(name)) for name in ("doc_id", "is_toxic", "calibrate")), pa.array(kept, pa.list_(pa.binary()))],
-                names=["doc_id", "is_toxic", "calibrate", "windows"],
-            )
+    def run(found, name: str, kind: pa.DataType):
+        def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                values = pa.array([found(t.as_py()) for t in batch.column("text")], kind)
+                yield pa.RecordBatch.from_arrays([*(plain(batch.column(c)) for c in ("doc_id", "is_toxic")), values], names=["doc_id", "is_toxic", name])
+
+        return each
 
     slim = docs.select(F.col("doc_id"), F.col("text").cast("string").alias("text"))
     # At most the sample's few thousand ids, so this side is small whatever the corpus.
-    joined = slim.join(F.broadcast(taken), "doc_id").withColumn("calibrate", F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(4)) == 0)
+    joined = slim.join(F.broadcast(taken), "doc_id")
+    calibrate = for_calibration(F.col("doc_id"))
     kind = joined.schema["doc_id"].dataType.simpleString()
-    rows = joined.mapInArrow(run, f"doc_id {kind}, is_toxic boolean, calibrate boolean, windows array<binary>").collect()
-    texts = {row["doc_id"]: (row["is_toxic"], row["calibrate"], [bytes(w) for w in row["windows"]]) for row in sorted(rows, key=lambda r: (r["doc_id"], r["windows"]))}
-    return train(list(texts.values()))
+
+    def collected(rows: DataFrame, found, name: str, of: str, arrow: pa.DataType) -> list:
+        rows = rows.mapInArrow(run(found, name, pa.list_(arrow)), f"doc_id {kind}, is_toxic boolean, {name} array<{of}>").collect()
+        texts = {row["doc_id"]: (row["is_toxic"], list(row[name])) for row in sorted(rows, key=lambda r: (r["doc_id"], r[name]))}
+        return list(texts.values())
+
+    rows = collected(joined.where(~calibrate), lambda text: _spread(windows_of(text), most), "windows", "binary", pa.binary())
+    texts = [(toxic, [bytes(w) for w in windows]) for toxic, windows in rows]
+    model = _dictionaries([w for toxic, w in texts if toxic], [w for toxic, w in texts if not toxic])
+    if not model.key:
+        return Model()
+    features = lambda text: _features(gains(windows_of(text), _compressors(model)))
+    return _calibrated(model, collected(joined.where(calibrate), features, "features", "double", pa.float64()))
 
 
 def _scored(model: Model):
