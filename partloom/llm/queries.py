@@ -12,12 +12,14 @@ from partloom.llm import (
     best_fit_packing,
     chat_format,
     compression_toxicity,
+    crc_resampling,
     embedding_blocks,
     license_scan,
     paragraph_minhash,
     quality_rules,
     sentencepiece_dropout,
     simhash_trie,
+    spelling_variants,
     warc_transactions,
 )
 from partloom.llm.common import stored, work_folder
@@ -240,3 +242,16 @@ SELECT *, (failed & 3) = 0 AS kept_base_v1, (failed & 127) = 0 AS kept_standard_
   (failed & 3) <> 0 AS base_failed, (failed & 127) = 0 AS kept
 FROM ledger
 """
+
+
+@registered
+def op12_crc_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return crc_resampling.resample(
+        docs, table(spark, sf_dir, "benchmark"), percent=10, least_words=20, n_buckets=10_000, max_words=1, seed=2024
+    )
+
+
+@registered
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_variants.groups(table(spark, sf_dir, "documents").select("doc_id", "text"))
