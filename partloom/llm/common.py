@@ -42,6 +42,32 @@ def is_empty(frame: DataFrame) -> bool:
     return not frame.take(1)
 
 
+#: Most blocks of 64 bits in a table that says which keys another frame may hold.
+MOST_BLOCKS = 1 << 19
+
+
+def asked_for(frame: DataFrame, column: str, keys: DataFrame, name: str = "asked_for") -> DataFrame:
+    """``frame`` with a boolean column that is false only where ``keys`` does not hold the row's ``column`` (long).
+
+    A blocked Bloom filter in a broadcast join, so rows that a join would refuse are not shuffled. It has
+    at most ``MOST_BLOCKS`` rows; for too many keys all rows are marked.
+    """
+    n = keys.count()
+    blocks = max(1, n * 12 // 64)
+    if blocks > 2 * MOST_BLOCKS:
+        return frame.withColumn(name, F.lit(True))
+    hashed = F.xxhash64(column, F.lit(11))
+    block = F.pmod(F.shiftright(hashed, 24), F.lit(min(blocks, MOST_BLOCKS)))
+    mask = F.lit(0).cast("long")
+    for k in range(4):
+        place = F.shiftrightunsigned(hashed, 6 * k).bitwiseAND(63).cast("int")
+        mask = mask.bitwiseOR(F.call_function("shiftleft", F.lit(1).cast("long"), place))
+    held = keys.select(block.alias("__block__"), mask.alias("mask")).groupBy("__block__").agg(F.bit_or("mask").alias("__bits__"))
+    marked = frame.withColumns({"__block__": block, "__mask__": mask}).join(F.broadcast(held), "__block__", "left")
+    found = F.coalesce(F.col("__bits__").bitwiseAND(F.col("__mask__")) == F.col("__mask__"), F.lit(False))
+    return marked.withColumn(name, found).drop("__block__", "__mask__", "__bits__")
+
+
 def merge_pairs(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """A spanning star per component of the pairs ``(a, b)``: each node with its least fellow node.
 

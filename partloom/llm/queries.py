@@ -20,6 +20,7 @@ from partloom.llm import (
     sentencepiece_dropout,
     simhash_trie,
     spelling_variants,
+    suffix_dedup,
     warc_transactions,
 )
 from partloom.llm.common import stored, work_folder
@@ -244,6 +245,18 @@ FROM ledger
 """
 
 
+@registered
+def op11_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = suffix_dedup.remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"), min_bytes=200)
+    return done.select(
+        "doc_id",
+        "n_bytes",
+        F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["stop"] - s["start"]).alias("n_removed"),
+        F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 @registered
 def op12_crc_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
