@@ -31,6 +31,10 @@ class StorageError(PipelineError):
     """The file system refused to move or delete a directory."""
 
 
+class Busy(PipelineError):
+    """Another call is writing to the same directory or partition, or one died there and waits for ``recover``."""
+
+
 class QueryTimeout(PipelineError):
     """The time limit passed and the running jobs were cancelled."""
 

@@ -13,6 +13,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 from partloom.errors import AlreadyExists, ConfigError, StorageError
+from partloom.plans.journal import Journal, writing
 from partloom.plans.layout import for_table, rebalance as rebalance_rows
 from partloom.plans.limits import TEN_MINUTES, time_limit
 from partloom.sources.catalog import (
@@ -21,9 +22,11 @@ from partloom.sources.catalog import (
     TableName,
     add_to_catalog,
     default_location,
+    define_like,
     describe_database,
     describe_table,
     drop_name,
+    drop_statement,
     every_location,
     list_partitions,
     literal,
@@ -34,8 +37,10 @@ from partloom.sources.catalog import (
 from partloom.sources.formats import Storage, storage_for
 from partloom.sources.sqltext import select_frame
 from partloom.sources.storage import (
+    aside_of,
     delete_beside,
     delete_tree,
+    exists,
     for_each,
     fresh_below,
     has_objects,
@@ -123,8 +128,20 @@ def ctas(
     if relocate and (location is None or save_mode != "overwrite" or table_mode == "empty"):
         raise ConfigError("relocate replaces the rows at a given location, with save_mode 'overwrite'")
     target = normalise(location) if location else fresh_location(spark, name)
+    with writing(spark, [target], what=f"{target}") as journal:
+        return _ctas(
+            spark, name, target, journal, select, location is not None, format, compression, field_delimiter, layout,
+            additional_properties or {}, table_mode, save_mode, rebalance, relocate, params, args, timeout,
+        )
+
+
+def _ctas(
+    spark: SparkSession, name: TableName, target: str, journal: Journal, select: str | os.PathLike, placed: bool, format: str,
+    compression: str, field_delimiter: str | None, layout: Layout, properties: Mapping[str, str], table_mode: str, save_mode: str,
+    rebalance: bool | None, relocate: bool, params: Mapping | None, args: Mapping | list | None, timeout: timedelta | None,
+) -> CtasResult:
     old = describe_table(spark, name) if table_exists(spark, name) else None
-    occupied = location is not None and has_objects(spark, target)
+    occupied = placed and has_objects(spark, target)
 
     if save_mode == "error_if_exists" and old:
         raise AlreadyExists(f"table {name} already exists")
@@ -133,7 +150,7 @@ def ctas(
     if save_mode == "ignore" and old:
         log.info("table %s already exists, nothing done", name)
         return CtasResult(name, old.location, False, spark.table(name.sql))
-    frame = select_frame(spark, select, params=params, args=args, database=database, catalog=catalog)
+    frame = select_frame(spark, select, params=params, args=args, database=name.database, catalog=name.catalog)
     storage = storage_for(format, frame.schema, compression, field_delimiter)
     if save_mode == "ignore" and occupied:
         log.info("location %s already holds objects, nothing done", target)
@@ -147,21 +164,21 @@ def ctas(
         rows = for_table(frame, layout.partitioned_by, layout.bucketed_by, layout.bucket_count)
         if rows is frame and (rebalance or storage.unsplittable):
             rows = rebalance_rows(frame)
-    write = Write(rows, storage, layout, additional_properties or {}, timeout)
-    if save_mode == "overwrite" and location is not None and not is_vacant(spark, target):
+    write = Write(rows, storage, layout, properties, timeout)
+    if save_mode == "overwrite" and placed and not is_vacant(spark, target):
         refuse_other_tables(spark, name, target)
 
     if table_mode == "data_only":
-        target = _data_only(spark, write, name, target, old, save_mode, relocate)
+        target = _data_only(spark, write, name, target, old, save_mode, relocate, journal)
         return CtasResult(name, target, True, read_files(spark, target, storage, frame))
     if table_mode == "empty":
-        _empty(spark, write, name, target, old, save_mode)
+        _empty(spark, write, name, target, old, save_mode, journal)
     elif save_mode == "none" or (not old and not relocate and is_vacant(spark, target)):
-        write.create(spark, name, target)
+        _plain(spark, write, name, target, save_mode, journal)
     elif relocate:
-        target = _relocate(spark, write, name, target, old)
+        target = _relocate(spark, write, name, target, old, journal)
     else:
-        _replace(spark, write, name, target, old)
+        _replace(spark, write, name, target, old, journal)
     spark.catalog.refreshTable(name.sql)
     return CtasResult(name, target, True, spark.table(name.sql))
 
@@ -221,9 +238,10 @@ class Write:
             session.catalog.dropTempView(view)
 
     @contextmanager
-    def scratch(self, spark: SparkSession, name: TableName, location: str):
+    def scratch(self, spark: SparkSession, name: TableName, location: str, journal: Journal):
         """The rows as a table of another name, gone when the block ends; its files stay."""
         scratch = name.sibling("scratch")
+        journal.say("staging", directories=[location], scratch=[scratch.sql])
         try:
             self.create(spark, scratch, location)
             yield scratch
@@ -231,8 +249,7 @@ class Write:
             spark.sql(f"DROP TABLE IF EXISTS {scratch.sql}")
 
     def define_like(self, spark: SparkSession, name: TableName, like: TableName, location: str) -> None:
-        properties = _listed("TBLPROPERTIES", self.properties)
-        spark.sql(f"CREATE TABLE {name.in_session} LIKE {like.in_session} {properties} LOCATION {literal(location)}")
+        define_like(spark, name, like, location, self.properties)
 
     def _division(self) -> str:
         clauses = []
@@ -260,75 +277,108 @@ def refuse_other_tables(spark: SparkSession, name: TableName, target: str) -> No
             raise ConfigError(f"{target} shares its directory with the table {info.name}")
 
 
+def _plain(spark: SparkSession, write: Write, name: TableName, target: str, save_mode: str, journal: Journal) -> None:
+    """CREATE TABLE AS SELECT where nothing stands in the way, or where Spark shall say so."""
+    if save_mode != "none":
+        # The entry comes with the last file: until then what is there is not a table.
+        journal.say("staging", directories=[target], scratch=[])
+    write.create(spark, name, target)
+    if save_mode != "none":
+        journal.say("cleaning")
+
+
 def _data_only(
-    spark: SparkSession, write: Write, name: TableName, target: str, old: TableInfo | None, save_mode: str, relocate: bool
+    spark: SparkSession,
+    write: Write,
+    name: TableName,
+    target: str,
+    old: TableInfo | None,
+    save_mode: str,
+    relocate: bool,
+    journal: Journal,
 ) -> str:
     replaced = old if save_mode == "overwrite" else None
+    entry = {"entry": drop_statement(replaced)} if replaced else {}
     if relocate:
         fresh = fresh_below(target)
-        with write.scratch(spark, name, fresh):
+        with write.scratch(spark, name, fresh, journal):
             pass
+        journal.require_lease()
+        journal.say("cleaning", beside=fresh, **entry)
         if replaced:
             drop_name(spark, replaced)
         delete_beside(spark, fresh)
         return fresh
     with landing(spark, target, replaced, in_place=save_mode == "none") as place:
-        with write.scratch(spark, name, place.directory):
+        with write.scratch(spark, name, place.directory, journal):
             pass
+        journal.require_lease()
+        if not place.staged:
+            journal.say("cleaning", **entry)
+            if replaced:
+                drop_name(spark, replaced)
+            return target
+        aside, replaces = aside_of(spark, target), exists(spark, target)
         if replaced and replaced.managed:
-            drop_name(spark, replaced)  # takes its files with it
+            # Its files go with it, so from here on there is no way back.
+            journal.say("cleaning", move=[place.directory, target], directories=[aside], **entry)
+            drop_name(spark, replaced)
             replaced = None
-        with place.settled():
+        else:
+            journal.say("switching", swap={"target": target, "aside": aside, "replaces": replaces})
+        with place.settled(aside):
+            if journal.state == "switching":
+                journal.say("cleaning", directories=[aside], **entry)
             if replaced:
                 drop_name(spark, replaced)
     return target
 
 
 def _empty(
-    spark: SparkSession, write: Write, name: TableName, target: str, old: TableInfo | None, save_mode: str
+    spark: SparkSession, write: Write, name: TableName, target: str, old: TableInfo | None, save_mode: str, journal: Journal
 ) -> None:
     if save_mode == "none" and not is_vacant(spark, target):
         # Spark would refuse a table with rows here, too.
         raise AlreadyExists(f"location {target} is not empty")
     aside = staging_beside(spark, target)
     try:
-        with write.scratch(spark, name, aside) as like:
+        with write.scratch(spark, name, aside, journal) as like:
             if save_mode != "overwrite":
                 write.define_like(spark, name, like, target)
                 return
-            if old and old.managed:
-                drop_name(spark, old)
-                old = None
-            with swapped(spark, None, target):
-                _define_and_switch(spark, write, name, like, target, old, [])
+            change = _Change(spark, journal, write, name, like, target, old)
+            with change.begun(exists(spark, target)):
+                with swapped(spark, None, target, change.aside):
+                    change.define_and_switch([])
     finally:
         delete_tree(spark, aside)
 
 
-def _replace(spark: SparkSession, write: Write, name: TableName, target: str, old: TableInfo | None) -> None:
+def _replace(spark: SparkSession, write: Write, name: TableName, target: str, old: TableInfo | None, journal: Journal) -> None:
     """Write first; then the new table is defined in full under another name and takes the old one's."""
     with landing(spark, target, old) as place:
-        with write.scratch(spark, name, place.directory) as scratch:
-            if old and old.managed:
-                drop_name(spark, old)
-                old = None
+        with write.scratch(spark, name, place.directory, journal) as scratch:
+            change = _Change(spark, journal, write, name, scratch, target, old)
             if not place.staged:
-                _switch(spark, name, scratch, old)
+                with change.begun(False):
+                    change.switch(scratch)
                 return
-            specs = _partitions(spark, scratch)
-            with place.settled():
-                _define_and_switch(spark, write, name, scratch, target, old, specs)
+            specs = written_partitions(spark, scratch)
+            with change.begun(exists(spark, target), place.directory):
+                with place.settled(change.aside):
+                    change.define_and_switch(specs)
 
 
-def _relocate(spark: SparkSession, write: Write, name: TableName, target: str, old: TableInfo | None) -> str:
+def _relocate(
+    spark: SparkSession, write: Write, name: TableName, target: str, old: TableInfo | None, journal: Journal
+) -> str:
     """Write into a new directory, switch the name to it, then delete what was in ``target`` before."""
     fresh = fresh_below(target)
     try:
-        with write.scratch(spark, name, fresh) as scratch:
-            if old and old.managed:
-                drop_name(spark, old)
-                old = None
-            _switch(spark, name, scratch, old)
+        with write.scratch(spark, name, fresh, journal) as scratch:
+            change = _Change(spark, journal, write, name, scratch, fresh, old, beside=fresh)
+            with change.begun(False):
+                change.switch(scratch)
     except BaseException:
         delete_tree(spark, fresh)
         raise
@@ -336,7 +386,7 @@ def _relocate(spark: SparkSession, write: Write, name: TableName, target: str, o
     return fresh
 
 
-def _partitions(spark: SparkSession, name: TableName) -> list[dict[str, str]]:
+def written_partitions(spark: SparkSession, name: TableName) -> list[dict[str, str]]:
     """The partitions of the table that was written, as its catalog entry has them."""
     info = describe_table(spark, name)
     if not info.partition_columns:
@@ -345,42 +395,89 @@ def _partitions(spark: SparkSession, name: TableName) -> list[dict[str, str]]:
     return [{key: NULL_PARTITION if row[key] is None else row[key] for key in info.partition_columns} for row in rows]
 
 
-def _define_and_switch(
-    spark: SparkSession, write: Write, name: TableName, like: TableName, target: str, old: TableInfo | None, specs: list
-) -> None:
-    """A table like ``like`` at ``target``, with its partitions, that takes the name once it is complete."""
-    ready = name.sibling("scratch")
-    try:
-        write.define_like(spark, ready, like, target)
-        if specs:
-            info = describe_table(spark, ready)
-            add_to_catalog(spark, info, specs, [default_location(info, spec) for spec in specs])
-            held = len(every_location(spark, info))
-            if held != len(specs):
-                raise StorageError(f"{held} of {len(specs)} partitions of {name} were registered")
-        _switch(spark, name, ready, old)
-    finally:
-        spark.sql(f"DROP TABLE IF EXISTS {ready.sql}")
-
+class _Change:
+    """The exchange of a table's entry, and of its directory, for those of a table that was written aside."""
+
+    def __init__(
+        self,
+        spark: SparkSession,
+        journal: Journal,
+        write: Write,
+        name: TableName,
+        like: TableName,
+        target: str,
+        old: TableInfo | None,
+        beside: str | None = None,
+    ):
+        self.spark, self.journal, self.write, self.name, self.like, self.target = spark, journal, write, name, like, target
+        self.old, self.beside = old, beside
+        self.before, self.ready, self.aside = name.sibling("replaced"), name.sibling("scratch"), aside_of(spark, target)
+        self.replaces = False
 
-def _switch(spark: SparkSession, name: TableName, ready: TableName, old: TableInfo | None) -> None:
-    """Give ``name`` to ``ready``. The old table keeps an entry until that is done."""
-    kind = "VIEW" if old and old.kind == "VIEW" else "TABLE"
-    before = name.sibling("replaced")
-    if old:
-        spark.sql(f"ALTER {kind} {name.in_session} RENAME TO {before.in_session}")
-    taken = False
-    try:
-        spark.sql(f"ALTER TABLE {ready.in_session} RENAME TO {name.in_session}")
-        taken = True
-        if old:
-            spark.sql(f"DROP {kind} IF EXISTS {before.in_session}")
-    except BaseException:
-        if taken:
-            spark.sql(f"ALTER TABLE {name.in_session} RENAME TO {ready.in_session}")
-        if old:
-            spark.sql(f"ALTER {kind} {before.in_session} RENAME TO {name.in_session}")
-        raise
+    @contextmanager
+    def begun(self, replaces: bool, staged: str | None = None):
+        """What shall be done goes to the journal; a managed table, whose files go with its entry, is dropped."""
+        self.replaces = replaces
+        self.journal.require_lease()
+        self.journal.say(
+            "switching",
+            table={
+                "name": [self.name.database, self.name.table, self.name.catalog],
+                "before": [self.name.database, self.before.table, self.name.catalog],
+                "like": [self.name.database, self.like.table, self.name.catalog],
+                "ready": self.ready.sql,
+                "old": self.old is not None,
+                "kind": "VIEW" if self.old and self.old.kind == "VIEW" else "TABLE",
+                "managed": bool(self.old and self.old.managed),
+                "target": self.target,
+                "staged": staged,
+                "aside": self.aside,
+                "replaces": replaces,
+                "properties": dict(self.write.properties),
+            },
+        )
+        if self.old and self.old.managed:
+            drop_name(self.spark, self.old)
+            self.old = None
+        yield
+
+    def define_and_switch(self, specs: list[dict[str, str]]) -> None:
+        """A table like the written one at ``target``, with its partitions, that takes the name once it is complete."""
+        spark = self.spark
+        try:
+            self.write.define_like(spark, self.ready, self.like, self.target)
+            if specs:
+                info = describe_table(spark, self.ready)
+                add_to_catalog(spark, info, specs, [default_location(info, spec) for spec in specs])
+                held = len(every_location(spark, info))
+                if held != len(specs):
+                    raise StorageError(f"{held} of {len(specs)} partitions of {self.name} were registered")
+            self.switch(self.ready)
+        finally:
+            spark.sql(f"DROP TABLE IF EXISTS {self.ready.sql}")
+
+    def switch(self, ready: TableName) -> None:
+        """Give the name to ``ready``. The old table keeps an entry until that is done."""
+        spark, name, before = self.spark, self.name, self.before
+        kind = "VIEW" if self.old and self.old.kind == "VIEW" else "TABLE"
+        if self.old:
+            spark.sql(f"ALTER {kind} {name.in_session} RENAME TO {before.in_session}")
+        taken = False
+        try:
+            spark.sql(f"ALTER TABLE {ready.in_session} RENAME TO {name.in_session}")
+            taken = True
+            last = f"DROP {kind} IF EXISTS {before.in_session}"
+            directories = [self.aside] if self.replaces else []
+            self.journal.say("cleaning", entry=last, directories=directories, beside=self.beside)
+            if self.old:
+                spark.sql(last)
+        except BaseException:
+            self.journal.retract("cleaning")
+            if taken:
+                spark.sql(f"ALTER TABLE {name.in_session} RENAME TO {ready.in_session}")
+            if self.old:
+                spark.sql(f"ALTER {kind} {before.in_session} RENAME TO {name.in_session}")
+            raise
 
 
 class _Place:
@@ -390,10 +487,10 @@ class _Place:
         self.directory = staging_beside(spark, target) if staged else target
 
     @contextmanager
-    def settled(self):
+    def settled(self, aside: str | None = None):
         """A staged directory where it belongs, for good if the block ends well."""
         if self.staged:
-            with swapped(self._spark, self.directory, self._target):
+            with swapped(self._spark, self.directory, self._target, aside):
                 yield
         else:
             yield

@@ -21,12 +21,12 @@ from partloom.sources.catalog import (
     drop_from_catalog,
     move_in_catalog,
     order_specs,
-    others_at,
     partition_locations,
     partitioned_table,
     present,
     table_exists,
 )
+from partloom.sources.places import note, others_at
 from partloom.sources.storage import delete_tree, for_each, has_objects, holds, normalise
 
 log = logging.getLogger(__name__)
@@ -71,8 +71,10 @@ def add_partition(
     added = [action == "added" for action in actions]
     dropped = [action == "dropped" for action in actions]
     refuse_managed(info, any(dropped))
-    add_to_catalog(spark, info, _picked(specs, added), _picked(places, added))
     moved = [action == "relocated" for action in actions]
+    told = [a or m for a, m in zip(added, moved)]
+    note(spark, info, _picked(specs, told), _picked(places, told))
+    add_to_catalog(spark, info, _picked(specs, added), _picked(places, added))
     for_each(
         spark, lambda pair: move_in_catalog(spark, info, *pair), zip(_picked(specs, moved), _picked(places, moved))
     )

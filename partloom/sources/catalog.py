@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DataType, StructType
 
 from partloom.errors import ConfigError, PartlyDone
-from partloom.sources.storage import for_each, normalise, overlapping
+from partloom.sources.storage import for_each, normalise
 
 # Fixed value: how Spark names the directory of a null key.
 NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
@@ -170,7 +170,18 @@ def _time(text: str | None) -> datetime | None:
 
 def drop_name(spark: SparkSession, info: TableInfo) -> None:
     """Take a table or a view out of the catalog."""
-    spark.sql(f"DROP {'VIEW' if info.kind == 'VIEW' else 'TABLE'} IF EXISTS {info.name.sql}")
+    spark.sql(drop_statement(info))
+
+
+def drop_statement(info: TableInfo) -> str:
+    return f"DROP {'VIEW' if info.kind == 'VIEW' else 'TABLE'} IF EXISTS {info.name.sql}"
+
+
+def define_like(spark: SparkSession, name: TableName, like: TableName, location: str, properties: Mapping[str, str]) -> None:
+    """An empty external table with the columns, format and division of another one."""
+    pairs = ", ".join(f"{literal(k)} = {literal(str(v))}" for k, v in properties.items())
+    given = f"TBLPROPERTIES ({pairs})" if pairs else ""
+    spark.sql(f"CREATE TABLE {name.in_session} LIKE {like.in_session} {given} LOCATION {literal(location)}")
 
 
 def partitioned_table(spark: SparkSession, name: TableName) -> TableInfo:
@@ -282,7 +293,7 @@ def present(spark: SparkSession, info: TableInfo, specs: Sequence[Spec]) -> list
         # Spark has no partition with an empty value: it keeps such rows under the null one.
         if "" in spec.values():
             return False
-        return not spark.sql(f"SHOW PARTITIONS {info.name.sql} {partition_clause(spec)}").isEmpty()
+        return has_spec(spark, info.name, spec)
 
     # Each is asked for by its name: a listing would bring all partitions of the table here.
     return for_each(spark, held, specs)
@@ -291,37 +302,31 @@ def present(spark: SparkSession, info: TableInfo, specs: Sequence[Spec]) -> list
 def partition_locations(spark: SparkSession, info: TableInfo, specs: Sequence[Spec]) -> list[str]:
     """Where each of these existing partitions lies."""
 
-    def location(spec: Spec) -> str:
-        text = spark.sql(f"DESCRIBE EXTENDED {info.name.sql} {partition_clause(spec)} AS JSON").collect()[0][0]
-        return normalise(json.loads(text)["location"])
+    return for_each(spark, lambda spec: location_of(spark, info.name, spec), specs)
+
 
-    return for_each(spark, location, specs)
+def spec_of(info: TableInfo, values: Mapping[str, str]) -> dict[str, str] | None:
+    """The values in the table's key order, or None where they are not its keys."""
+    return {key: values[key] for key in info.partition_columns} if set(values) == set(info.partition_columns) else None
 
 
-def every_location(spark: SparkSession, info: TableInfo) -> dict[str, str]:
-    """Where each partition of the table lies, by ``key=value, …``: one call to the catalog.
+def every_location(spark: SparkSession, info: TableInfo) -> list[tuple[dict[str, str], str]]:
+    """Every partition of the table and where it lies: one call to the catalog.
 
     Spark's SQL tells locations one partition at a time, which a table of many has no time for.
     """
     state, jvm = spark._jsparkSession.sessionState(), spark.sparkContext._jvm
     name = state.sqlParser().parseTableIdentifier(info.name.in_session)
     text = state.catalog().listPartitions(name, jvm.scala.Option.empty()).mkString("\x1e")
-    found = {}
+    between = r"Partition Values: \[" + ", ".join(f"{re.escape(key)}=(.*)" for key in info.partition_columns)
+    pattern = re.compile(between + r"\]\n\tLocation: ([^\n]*)", re.DOTALL)
+    found = []
     for part in text.split("\x1e") if text else []:
-        values = re.search(r"Partition Values: \[(.*)\]\n\tLocation: ([^\n]*)", part, re.DOTALL)
-        found[values[1]] = normalise(values[2])
+        *values, place = pattern.search(part).groups()
+        found.append((dict(zip(info.partition_columns, values)), normalise(place)))
     return found
 
 
-def others_at(spark: SparkSession, info: TableInfo, specs: Sequence[Spec], places: Sequence[str]) -> list[str]:
-    """Which of ``places`` hold, or lie within, the directory of a partition that is none of ``specs``."""
-    if info.name.catalog not in (None, "spark_catalog"):
-        return []
-    own = {", ".join(f"{k}={v}" for k, v in spec.items()) for spec in specs}
-    others = [place for values, place in every_location(spark, info).items() if values not in own]
-    return overlapping(spark, places, others)
-
-
 def add_to_catalog(spark: SparkSession, info: TableInfo, specs: Sequence[Spec], locations: Sequence[str]) -> None:
     # Above _SPECS_PER_STATEMENT these are several statements; one that fails says what went before it.
     clauses = [f"{partition_clause(s)} LOCATION {literal(l)}" for s, l in zip(specs, locations)]
@@ -329,13 +334,34 @@ def add_to_catalog(spark: SparkSession, info: TableInfo, specs: Sequence[Spec],
 
 
 def move_in_catalog(spark: SparkSession, info: TableInfo, spec: Spec, location: str) -> None:
-    spark.sql(f"ALTER TABLE {info.name.sql} {partition_clause(spec)} SET LOCATION {literal(location)}")
+    alter_location(spark, info.name, spec, location)
 
 
 def drop_from_catalog(spark: SparkSession, info: TableInfo, specs: Sequence[Spec]) -> None:
     _alter(spark, f"ALTER TABLE {info.name.sql} DROP IF EXISTS ", ", ", [partition_clause(spec) for spec in specs])
 
 
+def has_spec(spark: SparkSession, name: TableName, spec: Spec) -> bool:
+    return not spark.sql(f"SHOW PARTITIONS {name.sql} {partition_clause(spec)}").isEmpty()
+
+
+def location_of(spark: SparkSession, name: TableName, spec: Spec) -> str:
+    text = spark.sql(f"DESCRIBE EXTENDED {name.sql} {partition_clause(spec)} AS JSON").collect()[0][0]
+    return normalise(json.loads(text)["location"])
+
+
+def add_spec(spark: SparkSession, name: TableName, spec: Spec, location: str) -> None:
+    spark.sql(f"ALTER TABLE {name.sql} ADD IF NOT EXISTS {partition_clause(spec)} LOCATION {literal(location)}")
+
+
+def alter_location(spark: SparkSession, name: TableName, spec: Spec, location: str) -> None:
+    spark.sql(f"ALTER TABLE {name.sql} {partition_clause(spec)} SET LOCATION {literal(location)}")
+
+
+def drop_spec(spark: SparkSession, name: TableName, spec: Spec) -> None:
+    spark.sql(f"ALTER TABLE {name.sql} DROP IF EXISTS {partition_clause(spec)}")
+
+
 def _alter(spark: SparkSession, statement: str, separator: str, clauses: list[str]) -> None:
     for done in range(0, len(clauses), _SPECS_PER_STATEMENT):
         batch = clauses[done : done + _SPECS_PER_STATEMENT]

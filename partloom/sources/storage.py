@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import logging
+import re
 import uuid
 from collections.abc import Callable, Iterable
 from concurrent.futures import ThreadPoolExecutor
@@ -104,6 +105,108 @@ def newest_file(spark: SparkSession, uri: str, after_millis: int) -> bool:
     return False
 
 
+def create_new(spark: SparkSession, uri: str, text: str) -> bool:
+    """Write a file that must not be there yet, in one step; False where it is.
+
+    Hadoop's view of a local disk looks first and opens then, so there the file is opened by Java itself.
+    """
+    fs, path = _open(spark, uri)
+    jvm = spark.sparkContext._jvm
+    for _ in range(20):
+        fs.mkdirs(path.getParent())
+        try:
+            if fs.getUri().getScheme() == "file":
+                options = spark.sparkContext._gateway.new_array(jvm.java.nio.file.OpenOption, 2)
+                options[0], options[1] = jvm.java.nio.file.StandardOpenOption.CREATE_NEW, jvm.java.nio.file.StandardOpenOption.WRITE
+                jvm.java.nio.file.Files.write(jvm.java.io.File(path.toUri().getPath()).toPath(), text.encode(), options)
+            else:
+                stream = fs.create(path, False)
+                stream.write(text.encode())
+                stream.close()
+            return True
+        except Py4JJavaError as error:
+            kind = error.java_exception.getClass().getName()
+            if kind.endswith("FileAlreadyExistsException") or fs.exists(path):
+                return False
+            # Another call tidied the directory away before the file was in it.
+            if not kind.endswith(("NoSuchFileException", "FileNotFoundException")):
+                raise StorageError(f"{uri} could not be created") from error
+    raise StorageError(f"{uri} could not be created")
+
+
+def read_text(spark: SparkSession, uri: str) -> str | None:
+    """What a small file holds; None where there is none."""
+    fs, path = _open(spark, uri)
+    if not fs.exists(path):
+        return None
+    stream = fs.open(path)
+    try:
+        return spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def exists(spark: SparkSession, uri: str) -> bool:
+    fs, path = _open(spark, uri)
+    return fs.exists(path)
+
+
+def names_in(spark: SparkSession, uri: str) -> list[str]:
+    fs, path = _open(spark, uri)
+    return [status.getPath().getName() for status in fs.listStatus(path)] if fs.exists(path) else []
+
+
+def touch(spark: SparkSession, uri: str, millis: int) -> None:
+    fs, path = _open(spark, uri)
+    fs.setTimes(path, millis, -1)
+
+
+def modified_millis(spark: SparkSession, uri: str) -> int:
+    fs, path = _open(spark, uri)
+    return fs.getFileStatus(path).getModificationTime()
+
+
+def missing_above(spark: SparkSession, uri: str) -> list[str]:
+    """The directories over ``uri`` that are not there, the innermost first."""
+    fs, path = _open(spark, uri)
+    missing, above = [], path.getParent()
+    while above is not None and not fs.exists(above):
+        missing.append(above.toString())
+        above = above.getParent()
+    return missing
+
+
+def delete_if_empty(spark: SparkSession, uris: Iterable[str]) -> None:
+    """Take these directories away as far as nothing is in them."""
+    for uri in uris:
+        fs, path = _open(spark, uri)
+        if not fs.exists(path):
+            continue
+        if fs.listStatusIterator(path).hasNext():
+            return
+        try:
+            fs.delete(path, False)
+        except Py4JJavaError:  # something came in meanwhile
+            return
+
+
+def qualified(spark: SparkSession, uri: str) -> str:
+    """``uri`` in full, ending in a slash, as equal directories are spelled alike."""
+    return _qualified(spark, uri)
+
+
+def move(spark: SparkSession, source: str, target: str) -> None:
+    fs, path = _open(spark, source)
+    goal = _open(spark, target)[1]
+    fs.mkdirs(goal.getParent())
+    _rename(fs, path, goal)
+
+
+def aside_of(spark: SparkSession, uri: str) -> str:
+    """A name beside ``uri`` for what it holds while it is replaced."""
+    return _beside(spark, uri, "_replaced")
+
+
 def same_place(spark: SparkSession, left: str, right: str) -> bool:
     return _qualified(spark, left) == _qualified(spark, right)
 
@@ -115,9 +218,9 @@ def holds(spark: SparkSession, outer: str, inner: str) -> bool:
 
 def overlapping(spark: SparkSession, places: Iterable[str], others: Iterable[str]) -> list[str]:
     """Which of ``places`` are, hold or lie within one of ``others``."""
-    taken = {_qualified(spark, other) for other in others}
+    taken = {full_name(spark, other) for other in others}
     above = {prefix for other in taken for prefix in _prefixes(other)}
-    return [place for place in places if (full := _qualified(spark, place)) in above or taken.intersection(_prefixes(full))]
+    return [place for place in places if (full := full_name(spark, place)) in above or taken.intersection(_prefixes(full))]
 
 
 def _prefixes(uri: str) -> list[str]:
@@ -125,6 +228,19 @@ def _prefixes(uri: str) -> list[str]:
     return [uri[: i + 1] for i, c in enumerate(uri) if c == "/" and i and uri[i - 1] not in ":/"]
 
 
+# A path that names its scheme, and the host if it has one.
+_IN_FULL = re.compile(r"([a-z][a-z0-9+.-]*:)(//[^/]+|//(?=/))?(/.*)")
+
+
+def full_name(spark: SparkSession, uri: str) -> str:
+    """As ``qualified``; a name that is in full already takes no call to the file system."""
+    told = _IN_FULL.fullmatch(uri)
+    if not told or "//" in told[3] or (told[1] != "file:" and not told[2]):
+        return _qualified(spark, uri)
+    host = "" if told[2] in (None, "//") else told[2]
+    return normalise(f"{told[1]}{host}{told[3]}")
+
+
 def _qualified(spark: SparkSession, uri: str) -> str:
     fs, path = _open(spark, uri)
     return normalise(fs.makeQualified(path).toString())
@@ -149,17 +265,17 @@ def _beside(spark: SparkSession, uri: str, prefix: str) -> str:
 
 
 @contextmanager
-def swapped(spark: SparkSession, staged: str | None, target: str):
+def swapped(spark: SparkSession, staged: str | None, target: str, aside: str | None = None):
     """The directory ``staged`` (or none) at ``target`` in place of what is there, for good if the block ends well.
 
     The old directory is set aside as ``_replaced-…`` and brought back if the move or the block
     fails; it is deleted at the end. On HDFS and local disks these are metadata operations however
-    large the data; on object stores the connector copies the objects. Two calls must not replace the
-    same directory at the same time.
+    large the data; on object stores the connector copies the objects. The caller holds the directory's
+    lease (``plans.journal``).
     """
     fs, old = _open(spark, target)
     new = _open(spark, staged)[1] if staged else None
-    aside = _open(spark, _beside(spark, target, "_replaced"))[1]
+    aside = _open(spark, aside or aside_of(spark, target))[1]
     replaces, moved = fs.exists(old), False
     if replaces:
         _rename(fs, old, aside)
