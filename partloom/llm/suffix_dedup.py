@@ -26,6 +26,7 @@ gives no rows. Texts count as equal by 64 bits of hash and their length, content
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -37,9 +38,9 @@ from partloom.llm.lyndon_order import suffix_orders
 from partloom.llm.runs import text_bytes
 
 #: Classes of a shard above which its windows are counted one by one.
-MOST = 64
+MOST = 256
 #: Bytes of a text that are hashed at once, and of shards whose suffixes are ordered at once.
-_PIECE, _ORDERED = 4 << 20, 1 << 20
+_PIECE, _ORDERED = 1 << 20, 2 << 20
 _PLACE = 24  # bits that tell a place within a piece
 
 _BASE = 0x9E3779B97F4A7C15
@@ -55,23 +56,33 @@ def _mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(32))
 
 
+@lru_cache(maxsize=1)
+def _powers(size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of the base, and their inverses."""
+    out = np.full((2, size), np.array([[_BASE], [pow(_BASE, -1, 1 << 64)]], np.uint64), np.uint64)
+    out[:, 0] = 1
+    np.multiply.accumulate(out, axis=1, out=out)
+    return out[0], out[1]
+
+
 class Hashes:
     """Hashes of any range of ``data``, from sums over its beginnings."""
 
     def __init__(self, data: np.ndarray):
-        power = np.full(len(data) + 1, _BASE, np.uint64)
-        back = np.full(len(data) + 1, pow(_BASE, -1, 1 << 64), np.uint64)
-        power[0] = back[0] = 1
-        np.multiply.accumulate(power, out=power)
-        self._back = np.multiply.accumulate(back, out=back)
-        self._sums = np.zeros(len(data) + 1, np.uint64)
-        np.cumsum(_CODES[data] * power[:-1], out=self._sums[1:])
+        n = len(data) + 1
+        power, self._back = _powers(1 << (max(n, _PIECE + 4096) - 1).bit_length())
+        self._sums = np.zeros(n, np.uint64)
+        inner = self._sums[1:]
+        np.take(_CODES, data, out=inner)
+        np.multiply(inner, power[: n - 1], out=inner)
+        np.cumsum(inner, out=inner)
 
     def grams(self, k: int) -> np.ndarray:
-        return _mixed((self._sums[k:] - self._sums[:-k]) * self._back[:-k])
+        out = self._sums[k:] - self._sums[:-k]
+        return np.multiply(out, self._back[: len(out)], out=out)
 
     def ranges(self, start: np.ndarray, stop: np.ndarray) -> np.ndarray:
-        return _mixed((self._sums[stop] - self._sums[start]) * self._back[start])
+        return (self._sums[stop] - self._sums[start]) * self._back[start]
 
 
 def _least(values: np.ndarray, width: int) -> np.ndarray:
@@ -81,8 +92,8 @@ def _least(values: np.ndarray, width: int) -> np.ndarray:
     padded[: len(values)] = values
     rows = padded.reshape(-1, width)
     upto = np.minimum.accumulate(rows, axis=1).ravel()
-    onward = np.minimum.accumulate(rows[:, ::-1], axis=1)[:, ::-1].ravel()
-    return np.minimum(onward[:n], upto[width - 1: width - 1 + n])
+    np.minimum.accumulate(rows[:, ::-1], axis=1, out=rows[:, ::-1])
+    return np.minimum(padded[:n], upto[width - 1: width - 1 + n])
 
 
 def occurrences(data: np.ndarray, places: np.ndarray, width: int, gram: int):
@@ -90,21 +101,29 @@ def occurrences(data: np.ndarray, places: np.ndarray, width: int, gram: int):
     if len(data) < width:
         return tuple(np.empty(0, kind) for kind in (np.int64, np.int64, np.int64, np.uint64, np.uint64))
     hashed = Hashes(data)
+    # High bits of the hash rank the grams, the leftmost first among equals; the low ones tell the place.
     grams = hashed.grams(gram)
-    ranked = (grams >> np.uint64(_PLACE) << np.uint64(_PLACE)) | np.arange(len(grams), dtype=np.uint64)
-    named = (_least(ranked, width - gram + 1) & np.uint64((1 << _PLACE) - 1)).astype(np.int64)
+    np.bitwise_and(grams, np.uint64(((1 << 64) - 1) >> _PLACE << _PLACE), out=grams)
+    np.bitwise_or(grams, np.arange(len(grams), dtype=np.uint64), out=grams)
+    named = _least(grams, width - gram + 1)
     n = len(named)
-    owner = np.repeat(np.arange(len(places) - 1), np.diff(places))[:n]
-    whole = np.flatnonzero(np.arange(n) + width <= places[1:][owner])
-    heads = np.ones(len(whole), bool)
-    heads[1:] = (named[whole[1:]] != named[whole[:-1]]) | (owner[whole[1:]] != owner[whole[:-1]])
+    heads = np.empty(n, bool)
+    np.not_equal(named[1:], named[:-1], out=heads[1:])
+    # A text's windows begin at its first byte and end where too few bytes are left.
+    heads[0] = True
+    heads[places[:-1][places[:-1] < n]] = True
+    over = places[1:] - width + 1
+    heads[over[(over > places[:-1]) & (over < n)]] = True
     first = np.flatnonzero(heads)
-    count = np.diff(first, append=len(whole))
-    start, text = whole[first], owner[whole[first]]
-    anchor = named[start]
-    content = hashed.ranges(start, start + count + width - 1)
+    count = np.diff(first, append=n)
+    text = np.searchsorted(places, first, side="right") - 1
+    whole = first < over[text]
+    start, count, text = first[whole], count[whole], text[whole]
+    anchor = (named[start] & np.uint64((1 << _PLACE) - 1)).astype(np.int64)
+    content = _mixed(hashed.ranges(start, start + count + width - 1))
     shape = ((anchor - start) * width + count).astype(np.uint64)
-    return text, start - places[text], count, grams[anchor], _mixed(content + shape * np.uint64(_BASE))
+    key = _mixed(hashed.ranges(anchor, anchor + gram))
+    return text, start - places[text], count, key, _mixed(content + shape * np.uint64(_BASE))
 
 
 def pieces(texts: pa.Array, width: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, int]]:
@@ -145,9 +164,9 @@ def found_in(texts: DataFrame, width: int, gram: int) -> DataFrame:
 
 def repeated(texts: DataFrame, width: int, gram: int, folder: str) -> DataFrame:
     """The occurrences whose key comes more than once, one row per text hash and place, with their number ``times``."""
-    keys = found_in(texts, width, gram).groupBy("key").count().where("count > 1").select("key")
-    keys = stored(keys, folder, "keys")
-    with_key = stored(found_in(texts, width, gram).join(keys, "key", "left_semi"), folder, "with-key")
+    every = stored(found_in(texts, width, gram), folder, "every")
+    keys = stored(every.groupBy("key").count().where("count > 1").select("key"), folder, "keys")
+    with_key = stored(every.join(keys, "key", "left_semi"), folder, "with-key")
     alike = with_key.groupBy("key", "content", "n", "text_hash", "n_bytes", "at").agg(F.count("*").alias("times"))
     return stored(alike, folder, "occurrences")
 
@@ -201,7 +220,7 @@ def _cut(data: pa.Buffer, asked: pa.StructArray, width: int, by_window: bool) ->
         yield pa.RecordBatch.from_arrays([key, content, n, times, texts], names=["key", "content", "n", "times", "bytes"])
         return
     for i in range(len(key)):
-        hashed = Hashes(raw[start[i]: start[i] + count[i] + width - 1]).grams(width)
+        hashed = _mixed(Hashes(raw[start[i]: start[i] + count[i] + width - 1]).grams(width))
         row = pa.array(np.full(count[i], i))
         yield pa.RecordBatch.from_arrays(
             [pa.array(hashed.view(np.int64)), pa.array(np.arange(count[i], dtype=np.int32)), key.take(row), content.take(row), times.take(row)],
