@@ -40,7 +40,7 @@ from partloom.llm.runs import text_bytes
 #: Classes of a shard above which its windows are counted one by one.
 MOST = 256
 #: Bytes of a text that are hashed at once, and of shards whose suffixes are ordered at once.
-_PIECE, _ORDERED = 1 << 20, 2 << 20
+_PIECE, _ORDERED = 1 << 20, 1 << 20
 _PLACE = 24  # bits that tell a place within a piece
 
 _BASE = 0x9E3779B97F4A7C15
@@ -294,7 +294,7 @@ def by_suffixes(cut: DataFrame, width: int) -> DataFrame:
                     if held[-1][1][-1] == content:
                         continue
                 else:
-                    if size > 4 * _ORDERED:
+                    if size > 2 * _ORDERED:
                         yield from answers(held)
                         held, size = [], 0
                     held.append((key, [], []))
