@@ -5,7 +5,6 @@ from __future__ import annotations
 import logging
 import os
 from collections.abc import Callable, Collection, Mapping, Sequence
-from contextlib import ExitStack
 from dataclasses import dataclass, replace
 from datetime import timedelta
 
@@ -41,18 +40,17 @@ from partloom.sources.formats import PROVIDERS, Storage, storage_of
 from partloom.sources.places import note
 from partloom.sources.sqltext import select_frame
 from partloom.sources.storage import (
+    Swap,
     aside_of,
     delete_tree,
     exists,
     for_each,
     fresh_below,
     has_objects,
-    is_vacant,
     normalise,
     parent_of,
     same_place,
     staging_beside,
-    swapped,
 )
 
 log = logging.getLogger(__name__)
@@ -131,8 +129,7 @@ def apas(
         storage = replace(storage, options={**storage.options, **(additional_properties or {})})
         write = Write(rows, storage, layout, timeout=timeout)
         old_place = partition_locations(spark, info, [spec])[0] if held else None
-        if location or not is_vacant(spark, target):
-            refuse_shared(spark, info, [spec], [target])
+        refuse_shared(spark, info, [spec], [target])
 
         if relocate:
             stored = _relocate(spark, info, spec, write, target, old_place, journal)
@@ -334,7 +331,7 @@ def _exchange(
         deleted += [p for part in parts if relocate for p in {part.old_place, default_location(info, part.spec)} if p]
         touched = [part.target for part in parts if not relocate] + deleted
         refuse_table_root(spark, info, touched)
-        refuse_shared(spark, info, own, [p for p, free in zip(touched, for_each(spark, lambda p: is_vacant(spark, p), touched)) if not free])
+        refuse_shared(spark, info, own, touched)
         journal.require_lease()
         _commit(spark, info, journal, parts, leaving, deleted, relocate)
     except BaseException:
@@ -380,59 +377,33 @@ def _commit(
         for part, aside, there in zip(parts, asides, replaces)
     ] + [{"spec": spec, "held": True, "old_place": old, "target": old, "replaces": True} for spec, old in leaving]
     journal.say("switching", **_note(info, items))
-    with ExitStack() as undo:
-        if not relocate:
-            stacks = for_each(spark, lambda pair: _placed(spark, *pair), zip(parts, asides))
-            for stack in stacks:
-                undo.push(stack)
-            if failed := [stack.error for stack in stacks if stack.error]:
-                raise failed[0]
-        added = [part for part in parts if part.old_place is None]
-        moved = [part for part in parts if part.old_place is not None and not same_place(spark, part.old_place, part.target)]
-        undo.push(_Undo(lambda: _entries_back(spark, info, added, moved, leaving)))
+    added = [part for part in parts if part.old_place is None]
+    moved = [part for part in parts if part.old_place is not None and not same_place(spark, part.old_place, part.target)]
+    swaps = [] if relocate else [Swap(spark, part.written, part.target, aside) for part, aside in zip(parts, asides)]
+    placed: list[Swap] = []
+
+    def place(swap: Swap) -> None:
+        swap.place()
+        placed.append(swap)
+
+    entries = False
+    try:
+        for_each(spark, place, swaps)
+        entries = True
         add_to_catalog(spark, info, [part.spec for part in added], [part.target for part in added])
         for_each(spark, lambda part: move_in_catalog(spark, info, part.spec, part.target), moved)
         drop_from_catalog(spark, info, [spec for spec, _ in leaving])
-        journal.say("cleaning", directories=[*deleted, *(aside for aside in asides if aside)])
+        asides = [aside for aside in asides if aside]
+        journal.say("cleaning", directories=[*deleted, *asides], staged_too=not relocate)
+    except BaseException:
+        if entries:
+            _entries_back(spark, info, added, moved, leaving)
+        for_each(spark, Swap.undo, placed)
+        raise
+    for_each(spark, Swap.finish, swaps)
     for_each(spark, lambda place: delete_tree(spark, place), deleted)
 
 
-class _Undo:
-    """An exit that acts only where the block failed."""
-
-    def __init__(self, call: Callable[[], None]):
-        self._call = call
-
-    def __enter__(self):
-        return self
-
-    def __exit__(self, kind, *_):
-        if kind is not None:
-            self._call()
-
-
-class _Placed:
-    """One partition's directory in its place; leaving the block with an error takes it back."""
-
-    def __init__(self, swap, error: BaseException | None = None):
-        self._swap, self.error = swap, error
-
-    def __enter__(self):
-        return self
-
-    def __exit__(self, *failure):
-        return self._swap.__exit__(*failure) if self.error is None else None
-
-
-def _placed(spark: SparkSession, part: _Part, aside: str) -> _Placed:
-    swap = swapped(spark, part.written, part.target, aside)
-    try:
-        swap.__enter__()
-    except Exception as error:
-        return _Placed(swap, error)
-    return _Placed(swap)
-
-
 def _entries_back(
     spark: SparkSession, info: TableInfo, added: list[_Part], moved: list[_Part], leaving: list[tuple[dict[str, str], str]]
 ) -> None:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import logging
 import os
+import re
 from collections.abc import Mapping, Sequence
 from contextlib import contextmanager
 from dataclasses import dataclass, field
@@ -41,7 +42,6 @@ from partloom.sources.storage import (
     delete_beside,
     delete_tree,
     exists,
-    for_each,
     fresh_below,
     has_objects,
     is_vacant,
@@ -267,14 +267,18 @@ def _listed(keyword: str, pairs: Mapping[str, str]) -> str:
     return f"{keyword} (" + ", ".join(f"{literal(k)} = {literal(str(v))}" for k, v in pairs.items()) + ")"
 
 
+# A line of what Spark tells of a table.
+_LOCATION = re.compile(r"^Location: (.*)$", re.MULTILINE)
+
+
 def refuse_other_tables(spark: SparkSession, name: TableName, target: str) -> None:
     """A directory is replaced as a whole, so it must not hold, or lie in, that of another table."""
-    rows = spark.sql(f"SHOW TABLES IN {quote(name.database)}").where("NOT isTemporary").collect()
-    others = [TableName(name.database, row["tableName"]) for row in rows if row["tableName"].lower() != name.table.lower()]
-    infos = for_each(spark, lambda other: describe_table(spark, other), others)
-    for info in infos:
-        if info.location and overlapping(spark, [target], [info.location]):
-            raise ConfigError(f"{target} shares its directory with the table {info.name}")
+    # One statement tells of all tables of the database.
+    told = spark.sql(f"SHOW TABLE EXTENDED IN {quote(name.database)} LIKE '*'").where("NOT isTemporary")
+    for row in told.select("tableName", "information").collect():
+        place = _LOCATION.search(row["information"])
+        if row["tableName"].lower() != name.table.lower() and place and overlapping(spark, [target], [place[1]]):
+            raise ConfigError(f"{target} shares its directory with the table {TableName(name.database, row['tableName'])}")
 
 
 def _plain(spark: SparkSession, write: Write, name: TableName, target: str, save_mode: str, journal: Journal) -> None:
@@ -346,7 +350,7 @@ def _empty(
             if save_mode != "overwrite":
                 write.define_like(spark, name, like, target)
                 return
-            change = _Change(spark, journal, write, name, like, target, old)
+            change = _Change(spark, journal, write, name, like, target, old, leftover=aside)
             with change.begun(exists(spark, target)):
                 with swapped(spark, None, target, change.aside):
                     change.define_and_switch([])
@@ -408,9 +412,10 @@ class _Change:
         target: str,
         old: TableInfo | None,
         beside: str | None = None,
+        leftover: str | None = None,
     ):
         self.spark, self.journal, self.write, self.name, self.like, self.target = spark, journal, write, name, like, target
-        self.old, self.beside = old, beside
+        self.old, self.beside, self.leftover = old, beside, leftover
         self.before, self.ready, self.aside = name.sibling("replaced"), name.sibling("scratch"), aside_of(spark, target)
         self.replaces = False
 
@@ -467,7 +472,7 @@ class _Change:
             spark.sql(f"ALTER TABLE {ready.in_session} RENAME TO {name.in_session}")
             taken = True
             last = f"DROP {kind} IF EXISTS {before.in_session}"
-            directories = [self.aside] if self.replaces else []
+            directories = ([self.aside] if self.replaces else []) + ([self.leftover] if self.leftover else [])
             self.journal.say("cleaning", entry=last, directories=directories, beside=self.beside)
             if self.old:
                 spark.sql(last)

@@ -264,38 +264,58 @@ def _beside(spark: SparkSession, uri: str, prefix: str) -> str:
     return f"{path.getParent().toString().rstrip('/')}/{prefix}-{uuid.uuid4().hex}/"
 
 
-@contextmanager
-def swapped(spark: SparkSession, staged: str | None, target: str, aside: str | None = None):
-    """The directory ``staged`` (or none) at ``target`` in place of what is there, for good if the block ends well.
+class Swap:
+    """The directory ``staged`` (or none) at ``target`` in place of what is there.
 
-    The old directory is set aside as ``_replaced-…`` and brought back if the move or the block
-    fails; it is deleted at the end. On HDFS and local disks these are metadata operations however
-    large the data; on object stores the connector copies the objects. The caller holds the directory's
-    lease (``plans.journal``).
+    The old directory is set aside as ``_replaced-…``; ``undo`` brings it back, ``finish`` deletes it. On HDFS and
+    local disks these are metadata operations however large the data; on object stores the connector copies
+    the objects. The caller holds the directory's lease (``plans.journal``).
     """
-    fs, old = _open(spark, target)
-    new = _open(spark, staged)[1] if staged else None
-    aside = _open(spark, aside or aside_of(spark, target))[1]
-    replaces, moved = fs.exists(old), False
-    if replaces:
-        _rename(fs, old, aside)
-    else:
-        fs.mkdirs(old.getParent())
+
+    def __init__(self, spark: SparkSession, staged: str | None, target: str, aside: str | None = None):
+        self._fs, self._target = _open(spark, target)
+        self._staged = _open(spark, staged)[1] if staged else None
+        self._aside = _open(spark, aside or aside_of(spark, target))[1]
+        self._replaces = self._moved = False
+
+    def place(self) -> None:
+        if self._fs.exists(self._target):
+            _rename(self._fs, self._target, self._aside)
+            self._replaces = True
+        else:
+            self._fs.mkdirs(self._target.getParent())
+        try:
+            if self._staged is not None:
+                _rename(self._fs, self._staged, self._target)
+                self._moved = True
+        except BaseException:
+            self.undo()
+            raise
+
+    def undo(self) -> None:
+        if self._moved:
+            _rename(self._fs, self._target, self._staged)
+        elif self._fs.exists(self._target):
+            self._fs.delete(self._target, True)  # what came there meanwhile
+        if self._replaces:
+            _rename(self._fs, self._aside, self._target)
+
+    def finish(self) -> None:
+        if self._replaces:
+            self._fs.delete(self._aside, True)
+
+
+@contextmanager
+def swapped(spark: SparkSession, staged: str | None, target: str, aside: str | None = None):
+    """A ``Swap`` that stays if the block ends well."""
+    swap = Swap(spark, staged, target, aside)
+    swap.place()
     try:
-        if new is not None:
-            _rename(fs, new, old)
-            moved = True
         yield
     except BaseException:
-        if moved:
-            _rename(fs, old, new)
-        elif fs.exists(old):
-            fs.delete(old, True)  # what the block put there
-        if replaces:
-            _rename(fs, aside, old)
+        swap.undo()
         raise
-    if replaces:
-        fs.delete(aside, True)
+    swap.finish()
 
 
 def parent_of(spark: SparkSession, uri: str) -> str:

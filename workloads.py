@@ -22,6 +22,7 @@ from partloom import (
     Protect,
     add_partition,
     apas,
+    apas_many,
     ctas,
     database_inventory,
     diff_schema,
@@ -98,6 +99,10 @@ class Workspace:
         options.setdefault("timeout", None)
         return apas(self.spark, select, params=merged, database=self.database, table=table, **options)
 
+    def apas_many(self, select: str, table: str, **options) -> DataFrame:
+        options.setdefault("timeout", None)
+        return apas_many(self.spark, select, params=self.params, database=self.database, table=table, **options)
+
     def on(self, operator: Callable, table, **options) -> DataFrame:
         return operator(self.spark, database=self.database, table=table, **options)
 
@@ -415,6 +420,13 @@ def ctas_error_if_exists(w: Workspace) -> DataFrame:
     return w.table("t")
 
 
+@workload("SELECT p_partkey, p_name || ';' AS p_name FROM part")
+def ctas_semicolon(w: Workspace) -> DataFrame:
+    """A statement may end as in a script; a semicolon within it stays."""
+    w.ctas("SELECT p_partkey, p_name || ';' AS p_name FROM parquet.`${sf}/part.parquet` ;\n", "t")
+    return w.table("t")
+
+
 @workload("SELECT * FROM part")
 def ctas_none(w: Workspace) -> DataFrame:
     """No checks of our own: Spark makes the first table and refuses the second."""
@@ -590,6 +602,40 @@ def apas_schema_diff_ignored(w: Workspace) -> DataFrame:
     return w.table("t")
 
 
+@workload("SELECT *, CAST(year(o_orderdate) AS INTEGER) AS order_year FROM orders")
+def apas_many_(w: Workspace) -> DataFrame:
+    """One partition per order year, all of them from one scan of the source."""
+    keyed = "SELECT *, year(o_orderdate) AS order_year FROM parquet.`${sf}/orders.parquet`"
+    w.ctas(keyed, "t", table_mode="empty", partitioned_by=["order_year"])
+    w.apas_many(keyed, "t")
+    return w.table("t")
+
+
+@workload("""
+    SELECT o_orderkey, CASE WHEN o_orderstatus = 'F' THEN o_totalprice * 2 ELSE o_totalprice END AS o_totalprice,
+           o_orderstatus
+    FROM orders WHERE o_orderstatus <> 'P'""")
+def apas_many_overwrite(w: Workspace) -> DataFrame:
+    """F is doubled from its own rows, P is expected, gets none and goes, O is not named and stays."""
+    select = "SELECT o_orderkey, o_totalprice, o_orderstatus FROM parquet.`${sf}/orders.parquet`"
+    w.ctas(select, "t", partitioned_by=["o_orderstatus"])
+    doubled = "SELECT o_orderstatus, o_orderkey, o_totalprice * 2 AS o_totalprice FROM t WHERE o_orderstatus = 'F'"
+    w.apas_many(doubled, "t", expected=[{"o_orderstatus": "F"}, {"o_orderstatus": "P"}])
+    return w.table("t")
+
+
+@workload("SELECT 'kept' AS action, COUNT(DISTINCT l_returnflag || l_linestatus) AS n_partitions, SUM(l_quantity) AS quantity FROM lineitem")
+def apas_many_skip(w: Workspace) -> DataFrame:
+    """Two keys; what is there is kept, and new files stay where they were written."""
+    select = "SELECT l_orderkey, l_quantity, l_returnflag, l_linestatus FROM parquet.`${sf}/lineitem.parquet`"
+    w.ctas(select, "t", table_mode="empty", partitioned_by=["l_returnflag", "l_linestatus"])
+    w.apas_many(select, "t", relocate=True)
+    tripled = select.replace("l_quantity", "l_quantity * 3 AS l_quantity")
+    told = w.apas_many(tripled, "t", save_mode="skip_if_exists")
+    sums = w.table("t").agg(F.sum("l_quantity").alias("quantity"))
+    return told.groupBy("action").agg(F.count("*").alias("n_partitions")).crossJoin(F.broadcast(sums))
+
+
 @workload("SELECT o_orderkey, o_totalprice, o_orderstatus FROM orders")
 def apas_refused(w: Workspace) -> DataFrame:
     """What cannot take the partition is refused before anything is written."""
