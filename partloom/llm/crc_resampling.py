@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from partloom.llm.common import chunks, plain, stored, work_folder
-from partloom.llm.runs import crcs, gathered, lowered, runs, text_bytes
+from partloom.llm.runs import binary_bytes, crcs, gathered, lowered, runs, text_bytes
 
 #: Of ASCII, only letters and digits make words; all else above it does.
 _WORD_BYTE = np.zeros(256, bool)
@@ -52,17 +52,11 @@ def features(texts: pa.Array, n_buckets: int, max_words: int) -> Iterator[tuple[
         whole = np.flatnonzero(owner[:n] == owner[words - 1: words - 1 + n])
         at, size = spaced_start[whole], spaced_start[whole + words] - 1 - spaced_start[whole]
         named = gathered(spaced, at, size).dictionary_encode()
-        kinds, ends = text_bytes_of(named.dictionary)
+        kinds, ends = binary_bytes(named.dictionary)
         bucket = crcs(kinds, ends[:-1], np.diff(ends)).astype(np.int64) % n_buckets
         yield owner[whole], bucket[named.indices.to_numpy(zero_copy_only=False)]
 
 
-def text_bytes_of(values: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    _, offsets, data = values.buffers()
-    places = np.frombuffer(offsets, np.int64, len(values) + 1, values.offset * 8)
-    return (np.frombuffer(data, np.uint8) if data else np.empty(0, np.uint8)), places
-
-
 def bucket_counts(texts: DataFrame, n_buckets: int, max_words: int) -> DataFrame:
     """``bucket`` and ``n``: how many features of the column ``text`` each bucket holds."""
 

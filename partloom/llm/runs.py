@@ -16,7 +16,12 @@ LONGEST = 256
 
 def text_bytes(values: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The bytes of all texts in a row, and where each begins (one place more than texts); null is empty."""
-    filled = pc.fill_null(values.cast(pa.large_string()), "")
+    return binary_bytes(pc.fill_null(values.cast(pa.large_string()), ""))
+
+
+def binary_bytes(values: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The same for any strings of bytes without nulls."""
+    filled = values.cast(pa.large_binary())
     _, offsets, data = filled.buffers()
     places = np.frombuffer(offsets, np.int64, len(filled) + 1, filled.offset * 8) if offsets else np.zeros(1, np.int64)
     raw = np.frombuffer(data, np.uint8) if data else np.empty(0, np.uint8)

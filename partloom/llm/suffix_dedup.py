@@ -14,7 +14,9 @@ windows stand together; neighbours are compared byte for byte, and windows whose
 repeats. They go back to all occurrences of the class, and per text the windows' bytes are cut out together.
 
 Skew: copies fall together in partial aggregates (equal contents, equal texts). A key of more than ``MOST``
-classes is split into its single windows, which are counted by hash, so no shard grows with the data.
+classes is split: the contents of its classes are cut anew by the longest k-grams that leave ``FINE`` of them in a window,
+which gives other keys, classes and shards. Where one of those has too many classes as well, its windows are
+counted one by one, by hash. So no shard grows with the data.
 Joins are by hashes, with rows that adaptive execution can divide. Texts are shuffled only if a bounded table of
 bits says that the other side may ask for them; where there are too many for that, all are.
 
@@ -35,10 +37,12 @@ from pyspark.sql import functions as F
 
 from partloom.llm.common import asked_for, chunks, is_empty, plain, stored, work_folder
 from partloom.llm.lyndon_order import suffix_orders
-from partloom.llm.runs import text_bytes
+from partloom.llm.runs import binary_bytes, text_bytes
 
-#: Classes of a shard above which its windows are counted one by one.
+#: Classes of a shard above which it is split.
 MOST = 256
+#: K-grams in a window for the second cut of a shard with too many classes.
+FINE = 20
 #: Bytes of a text that are hashed at once, and of shards whose suffixes are ordered at once.
 _PIECE, _ORDERED = 1 << 20, 1 << 20
 _PLACE = 24  # bits that tell a place within a piece
@@ -184,13 +188,13 @@ def classes_of(found: DataFrame, most: int, folder: str) -> DataFrame:
     return classes.join(hot, "key", "left").withColumn("hot", F.coalesce("hot", F.lit(False)))
 
 
-def contents(texts: DataFrame, classes: DataFrame, width: int, columns: str) -> DataFrame:
-    """The classes with their bytes, or for hot keys with the hash of each window, read from the texts that hold them."""
-    wanted = classes.groupBy("text_hash", "n_bytes").agg(
-        F.collect_list(F.struct("key", "content", "n", "times", "hot", "at")).alias("asked")
-    )
+_CLASS = "key long, content long, n int, times long, bytes binary"
+
+
+def contents(texts: DataFrame, classes: DataFrame, width: int) -> DataFrame:
+    """The classes with their bytes, read from the texts that hold them first."""
+    wanted = classes.groupBy("text_hash", "n_bytes").agg(F.collect_list(F.struct("key", "content", "n", "times", "at")).alias("asked"))
     joined = asked_for(texts, "text_hash", classes).where("asked_for").join(wanted, ["text_hash", "n_bytes"])
-    by_window = columns.startswith("window")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last = None
@@ -201,31 +205,48 @@ def contents(texts: DataFrame, classes: DataFrame, width: int, columns: str) ->
                     continue
                 last = named
                 data = batch.column("text")[i].as_buffer()
-                yield from _cut(data, asked[i].values, width, by_window)
-
-    return joined.select("text_hash", "n_bytes", F.col("text").cast("binary").alias("text"), "asked").mapInArrow(run, columns)
-
-
-def _cut(data: pa.Buffer, asked: pa.StructArray, width: int, by_window: bool) -> Iterator[pa.RecordBatch]:
-    """From one text what one side asks for: the classes of hot keys window by window, the others whole."""
-    key, content, n, times, hot, at = asked.flatten()
-    mine = hot if by_window else pa.array(~hot.to_numpy(zero_copy_only=False))
-    key, content, n, times, at = (values.filter(mine) for values in (key, content, n, times, at))
-    if not len(key):
-        return
-    start, count = at.to_numpy(), n.to_numpy().astype(np.int64)
-    raw = np.frombuffer(data, np.uint8)
-    if not by_window:
-        texts = pa.array([data[s: s + c + width - 1].to_pybytes() for s, c in zip(start.tolist(), count.tolist(), strict=True)], pa.binary())
-        yield pa.RecordBatch.from_arrays([key, content, n, times, texts], names=["key", "content", "n", "times", "bytes"])
-        return
-    for i in range(len(key)):
-        hashed = _mixed(Hashes(raw[start[i]: start[i] + count[i] + width - 1]).grams(width))
-        row = pa.array(np.full(count[i], i))
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(hashed.view(np.int64)), pa.array(np.arange(count[i], dtype=np.int32)), key.take(row), content.take(row), times.take(row)],
-            names=["window", "place", "key", "content", "times"],
-        )
+                key, content, n, times, at = asked[i].values.flatten()
+                cut = [data[s: s + c + width - 1].to_pybytes() for s, c in zip(at.to_pylist(), n.to_pylist(), strict=True)]
+                yield pa.RecordBatch.from_arrays([key, content, n, times, pa.array(cut, pa.binary())], names=["key", "content", "n", "times", "bytes"])
+
+    return joined.select("text_hash", "n_bytes", F.col("text").cast("binary").alias("text"), "asked").mapInArrow(run, _CLASS)
+
+
+def parts_of(classes: DataFrame, width: int, gram: int) -> DataFrame:
+    """The classes' contents cut anew: ``of_key`` and ``of_content`` tell the class, ``place`` the first window."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            of_key, of_content, times = (plain(batch.column(name)) for name in ("key", "content", "times"))
+            whole = plain(batch.column("bytes"))
+            raw, places = binary_bytes(whole)
+            text, at, n, key, content = occurrences(raw, places, width, gram)
+            row = pa.array(text)
+            cut = [raw[a: a + c + width - 1].tobytes() for a, c in zip((places[text] + at).tolist(), n.tolist(), strict=True)]
+            yield pa.RecordBatch.from_arrays(
+                [of_key.take(row), of_content.take(row), pa.array(at), pa.array(key.view(np.int64)), pa.array(content.view(np.int64)),
+                 pa.array(n.astype(np.int32)), times.take(row), pa.array(cut, pa.binary())],
+                names=["of_key", "of_content", "place", "key", "content", "n", "times", "bytes"],
+            )
+
+    return classes.mapInArrow(run, f"of_key long, of_content long, place long, {_CLASS}")
+
+
+def windows_of(classes: DataFrame, width: int) -> DataFrame:
+    """Every window of the classes with its hash."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            key, content, times = (plain(batch.column(name)) for name in ("key", "content", "times"))
+            for i, n in enumerate(batch.column("n").to_pylist()):
+                raw = np.frombuffer(batch.column("bytes")[i].as_buffer(), np.uint8)
+                row = pa.array(np.full(n, i))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(_mixed(Hashes(raw).grams(width)).view(np.int64)), pa.array(np.arange(n)), key.take(row), content.take(row), times.take(row)],
+                    names=["window", "place", "key", "content", "times"],
+                )
+
+    return classes.mapInArrow(run, "window long, place long, key long, content long, times long")
 
 
 def repeats_in(shards: list[list[tuple[bytes, int, int]]], width: int) -> list[np.ndarray]:
@@ -309,13 +330,32 @@ def by_suffixes(cut: DataFrame, width: int) -> DataFrame:
     return dealt.mapInArrow(run, "key long, content long, low long, high long")
 
 
-def by_windows(cut: DataFrame, folder: str) -> DataFrame:
-    """The same for hot keys, whose windows are counted by their hashes."""
-    # A text that was divided among tasks may have been cut by each.
-    cut = stored(cut.dropDuplicates(["key", "content", "place"]), folder, "windows")
-    often = cut.groupBy("key", "window").agg(F.sum("times").alias("times")).where("times > 1").select("key", "window")
-    place = F.col("place").cast("long")
-    return cut.join(often, ["key", "window"], "left_semi").select("key", "content", place.alias("low"), (place + 1).alias("high"))
+def by_windows(windows: DataFrame, folder: str) -> DataFrame:
+    """The same by counting windows of one hash."""
+    windows = stored(windows, folder, "windows")
+    often = windows.groupBy("key", "window").agg(F.sum("times").alias("times")).where("times > 1").select("key", "window")
+    place = F.col("place")
+    return windows.join(often, ["key", "window"], "left_semi").select("key", "content", place.alias("low"), (place + 1).alias("high"))
+
+
+def by_parts(classes: DataFrame, width: int, most: int, folder: str) -> DataFrame:
+    """The same for classes of keys that have too many of them: cut into smaller shards, and those into windows."""
+    # A text that was divided among tasks may have given its class in each.
+    parts = stored(parts_of(classes.dropDuplicates(["key", "content"]), width, max(8, width - FINE + 1)), folder, "parts")
+    alike = parts.groupBy("key", "content").agg(F.first("n").alias("n"), F.sum("times").alias("times"), F.first("bytes").alias("bytes"))
+    alike = stored(alike, folder, "alike")
+    held = alike.groupBy("key").agg(F.count("*").alias("held"), F.sum("times").alias("all_times")).where("all_times > 1")
+    held = stored(held, folder, "held")
+    few = alike.join(held.where(F.col("held") <= most).select("key"), "key", "left_semi")
+    marks = stored(by_suffixes(few, width), folder, "part-marks")
+    crowded = held.where(F.col("held") > most).select("key")
+    if not is_empty(crowded):
+        marks = marks.unionByName(by_windows(windows_of(alike.join(crowded, "key", "left_semi"), width), folder))
+    back = parts.select("of_key", "of_content", "place", "key", "content").join(marks, ["key", "content"])
+    return back.select(
+        F.col("of_key").alias("key"), F.col("of_content").alias("content"),
+        (F.col("place") + F.col("low")).alias("low"), (F.col("place") + F.col("high")).alias("high"),
+    )
 
 
 # --- removal ---------------------------------------------------------------------
@@ -342,11 +382,11 @@ def remove_repeats(docs: DataFrame, min_bytes: int = 200, gram: int = 50, most:
     long_enough = texts.where(F.col("n_bytes") >= min_bytes)
     found = repeated(long_enough, min_bytes, gram, folder)
     classes = classes_of(found, most, folder)
-    whole = contents(long_enough, classes.where("NOT hot"), min_bytes, "key long, content long, n int, times long, bytes binary")
+    whole = contents(long_enough, classes.where("NOT hot"), min_bytes)
     marks = stored(by_suffixes(whole, min_bytes), folder, "marks")
-    if not is_empty(classes.where("hot")):
-        cut = contents(long_enough, classes.where("hot"), min_bytes, "window long, place int, key long, content long, times long")
-        marks = marks.unionByName(by_windows(cut, folder))
+    hot = classes.where("hot")
+    if not is_empty(hot):
+        marks = marks.unionByName(by_parts(contents(long_enough, hot, min_bytes), min_bytes, most, folder))
     span = F.struct((F.col("at") + F.col("low")).alias("start"), (F.col("at") + F.col("high") + (min_bytes - 1)).alias("stop"))
     spans = found.join(marks, ["key", "content"]).groupBy("text_hash", "n_bytes").agg(F.collect_list(span).alias("found"))
     spans = stored(spans, folder, "spans")
