@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -38,6 +39,19 @@ def stored(frame: DataFrame, folder: str, name: str) -> DataFrame:
     return frame.sparkSession.read.schema(frame.schema).parquet(path)
 
 
+def give_back() -> None:
+    """Hand memory that a batch has left unused back to the machine.
+
+    Python workers live on from task to task and stage to stage, and what each of them once needed
+    would add up beside the executor's heap.
+    """
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # another C library
+        pass
+
+
 def is_empty(frame: DataFrame) -> bool:
     return not frame.take(1)
 

@@ -29,7 +29,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from partloom.llm.common import plain
+from partloom.llm.common import give_back, plain
 
 #: Words of a window, compression level, and the gains in bytes at which windows are counted.
 WINDOW, LEVEL, GAINS = 32, 6, (1, 2, 3, 4)
@@ -249,7 +249,9 @@ def fit(docs: DataFrame, labels: DataFrame, sample: Sample | None = None) -> Mod
 def _scored(model: Model):
     @F.arrow_udf("double")
     def run(texts: pa.Array) -> pa.Array:
-        return pa.array([score_text(t.as_py(), model) for t in texts], pa.float64())
+        found = pa.array([score_text(t.as_py(), model) for t in texts], pa.float64())
+        give_back()
+        return found
 
     return run
 

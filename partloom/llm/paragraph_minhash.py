@@ -35,7 +35,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from partloom.llm.common import chunks, components, flat_words, merge_pairs, plain, stored, work_folder
+from partloom.llm.common import chunks, components, flat_words, give_back, merge_pairs, plain, stored, work_folder
 
 #: Words of a content-defined paragraph.
 WINDOW = 16
@@ -213,6 +213,7 @@ def _each_chunk(batches: Iterator[pa.RecordBatch], o: Options) -> Iterator[tuple
         for texts in chunks(plain(batch.column("text")), BYTES):
             yield _paragraphs(texts, o), ids[at: at + len(texts)], keys[at: at + len(texts)]
             at += len(texts)
+        give_back()
 
 
 def _found(docs: DataFrame, o: Options) -> DataFrame:
@@ -567,7 +568,9 @@ def remove_repeats(
     @F.arrow_udf("string")
     def without(texts: pa.Array, spans: pa.Array) -> pa.Array:
         rows = zip(texts.to_pylist(), spans.to_pylist(), strict=True)
-        return pa.array([cut(t, [(s["start"], s["stop"]) for s in found]) if t and found else t for t, found in rows], pa.string())
+        left = pa.array([cut(t, [(s["start"], s["stop"]) for s in found]) if t and found else t for t, found in rows], pa.string())
+        give_back()
+        return left
 
     # Texts that surely have none stay where they are; the others are shuffled to their spans.
     text_key = F.xxhash64(F.col("text").cast("string"))

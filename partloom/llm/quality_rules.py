@@ -21,7 +21,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from partloom.llm.common import chunks, flat_words, plain
+from partloom.llm.common import chunks, flat_words, give_back, plain
 
 #: Words of a repeat window.
 WINDOW = 5
@@ -131,6 +131,7 @@ def _measure_values(texts: pa.Array) -> dict[str, np.ndarray]:
 
 def _measured(texts: pa.Array) -> dict[str, np.ndarray]:
     parts = [_measure_values(chunk) for chunk in chunks(texts)]
+    give_back()
     return {name: np.concatenate([part[name] for part in parts]) if parts else np.zeros(0, np.int64) for name in MEASURES}
 
 

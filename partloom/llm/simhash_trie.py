@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from partloom.llm.common import components, merge_pairs, stored, work_folder
+from partloom.llm.common import components, give_back, merge_pairs, stored, work_folder
 
 BITS = 64
 #: Fingerprints that a subtree of the first levels should hold.
@@ -65,15 +65,17 @@ def fingerprint(text: str | None, shingle: int = 3, seed: int = 42) -> int:
 
 
 def fingerprints(docs: DataFrame, shingle: int = 3, seed: int = 42) -> DataFrame:
-    """``doc_id`` and ``fp`` (long) of every row."""
+    """``doc_id``, ``text_hash`` (64 bits) and ``fp`` (long) of every row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [fingerprint(text.as_py(), shingle, seed) for text in batch.column("text")]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(found, pa.int64())], names=["doc_id", "fp"])
+            found = pa.array([fingerprint(text.as_py(), shingle, seed) for text in batch.column("text")], pa.int64())
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("text_hash"), found], names=["doc_id", "text_hash", "fp"])
+            give_back()
 
-    slim = docs.select("doc_id", F.col("text").cast("string").alias("text"))
-    return slim.mapInArrow(run, f"doc_id {slim.schema['doc_id'].dataType.simpleString()}, fp long")
+    text = F.col("text").cast("string")
+    slim = docs.select("doc_id", F.xxhash64(text).alias("text_hash"), text.alias("text"))
+    return slim.mapInArrow(run, f"doc_id {slim.schema['doc_id'].dataType.simpleString()}, text_hash long, fp long")
 
 
 def walk(a: np.ndarray, b: np.ndarray, skip: int, budget: int, itself: bool) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -167,10 +169,8 @@ def links(distinct: DataFrame, budget: int, levels: int, order: list[int]) -> Da
     return sent.groupBy("low", "mask").applyInPandas(meet, "a long, b long")
 
 
-def near_duplicates(docs: DataFrame, shingle: int = 3, distance: int = 2, seed: int = 42, folder: str | None = None) -> DataFrame:
-    """``doc_id``, ``fingerprint`` (16 lower-case hex digits) and ``component_id`` of every row."""
-    folder = folder or work_folder(docs.sparkSession)
-    prints = stored(fingerprints(docs, shingle, seed), folder, "prints")
+def _classes(prints: DataFrame, distance: int, folder: str) -> DataFrame:
+    """``fp``, its ``class`` and ``least``, the smallest id that has it, for every distinct fingerprint."""
     distinct = stored(prints.groupBy("fp").agg(F.min("doc_id").alias("least")), folder, "distinct")
     bit = [F.sum(F.shiftrightunsigned("fp", BITS - 1 - i).bitwiseAND(1)).alias(f"b{i}") for i in range(BITS)]
     totals = distinct.agg(F.count("*").alias("n"), *bit).first()  # one row of 65 numbers
@@ -178,18 +178,35 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, distance: int = 2, seed:
     order = sorted(range(BITS), key=lambda i: (abs(2 * (totals[f"b{i}"] or 0) - n), i))
     levels = min(MOST_LEVELS, max(0, (n // SUBTREE).bit_length()))
     found = components(links(distinct.select("fp"), distance, levels, order), folder)
-    classes = distinct.join(found, F.col("fp") == F.col("node"), "left").select(
+    return distinct.join(found, F.col("fp") == F.col("node"), "left").select(
         "fp", "least", F.coalesce("component", "fp").alias("class")
     )
+
+
+def near_duplicates(docs: DataFrame, shingle: int = 3, distance: int = 2, seed: int = 42, folder: str | None = None) -> DataFrame:
+    """``doc_id``, ``fingerprint`` (16 lower-case hex digits) and ``component_id`` of every row."""
+    folder = folder or work_folder(docs.sparkSession)
+    prints = stored(fingerprints(docs, shingle, seed), folder, "prints")
+    classes = _classes(prints, distance, folder)
     least = classes.groupBy("class").agg(F.min("least").alias("component_id"))
     named = classes.join(least, "class").select("fp", "component_id")
     return prints.join(named, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-def keep_first(docs: DataFrame, folder: str | None = None, **options) -> DataFrame:
-    """The rows of ``docs`` whose id names their component, with all columns; rows of a repeated id leave one."""
+def keep_first(docs: DataFrame, shingle: int = 3, distance: int = 2, seed: int = 42, folder: str | None = None) -> DataFrame:
+    """One row of each group of near copies, with all columns: the one of the smallest id.
+
+    Where several rows have that id, the one whose text has the smallest hash; rows of one id and one
+    text leave one. Rows of one id that are not near copies stay, as do all rows without an id.
+    """
     folder = folder or work_folder(docs.sparkSession)
-    found = near_duplicates(docs, folder=folder, **options)
-    first = found.where(F.col("doc_id") == F.col("component_id")).select("doc_id").distinct()
-    nameless = docs.where("doc_id IS NULL")
-    return docs.join(first, "doc_id", "left_semi").dropDuplicates(["doc_id"]).unionByName(nameless)
+    prints = stored(fingerprints(docs.where("doc_id IS NOT NULL"), shingle, seed), folder, "prints")
+    first = prints.groupBy("fp").agg(F.min(F.struct("doc_id", "text_hash")).alias("first"))
+    first = first.join(_classes(prints, distance, folder), "fp").groupBy("class").agg(F.min("first").alias("first"))
+    own = "text_hash"
+    while own in docs.columns:
+        own += "_"
+    named = docs.where("doc_id IS NOT NULL").withColumn(own, F.xxhash64(F.col("text").cast("string")))
+    kept = first.select(F.col("first.doc_id").alias("doc_id"), F.col("first.text_hash").alias(own))
+    alone = named.join(kept, ["doc_id", own], "left_semi").dropDuplicates(["doc_id", own])
+    return alone.select(*(F.col(f"`{name}`") for name in docs.columns)).unionByName(docs.where("doc_id IS NULL"))

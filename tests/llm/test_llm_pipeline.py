@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from partloom.llm import compression_toxicity, quality_rules
+from partloom.llm import compression_toxicity, quality_rules, simhash_trie
 from partloom.llm.common import stored, work_folder
 from test_llm_brute import brute_measures, brute_print, grams, least_by_reach
 
@@ -65,6 +65,18 @@ def test_near_copies(steps):
     assert sorted(p for p in pairs(steps[3]) if p[0] is not None) == sorted(first)
 
 
+def test_one_id_with_several_texts(spark):
+    """Rows of one id that are not near copies stay, whatever the order they come in."""
+    other = " ".join(f"other{i}" for i in range(60))
+    long = " ".join(f"word{i}" for i in range(90))
+    rows = [(7, long), (7, other), (7, other), (8, other), (9, long), (None, long), (10, None), (11, ""), (10, "lone text of its own")]
+    for turn in range(10):
+        docs = spark.createDataFrame(rows[turn:] + rows[:turn], "doc_id long, text string").selectExpr("*", "'mine' AS text_hash").repartition(3)
+        kept = simhash_trie.keep_first(docs)
+        assert kept.columns == docs.columns
+        assert pairs(kept) == sorted([(7, long), (7, other), (None, long), (10, None), (10, "lone text of its own")], key=repr)
+
+
 def test_repeats(steps):
     before, after = pairs(steps[3]), pairs(steps[4])
     assert [d for d, _ in before] == [d for d, _ in after]
