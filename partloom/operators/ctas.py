@@ -7,7 +7,7 @@ import os
 import re
 from collections.abc import Mapping, Sequence
 from contextlib import contextmanager
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from datetime import timedelta
 
 from pyspark.errors import AnalysisException
@@ -35,7 +35,7 @@ from partloom.sources.catalog import (
     table_exists,
     unique_name,
 )
-from partloom.sources.formats import Storage, storage_for
+from partloom.sources.formats import Storage, holds_line_end, in_lines, splittable, storage_for
 from partloom.sources.sqltext import select_frame
 from partloom.sources.storage import (
     aside_of,
@@ -164,13 +164,15 @@ def _ctas(
         rows = for_table(frame, layout.partitioned_by, layout.bucketed_by, layout.bucket_count)
         if rows is frame and (rebalance or storage.unsplittable):
             rows = rebalance_rows(frame)
-    write = Write(rows, storage, layout, properties, timeout)
+    # An empty table must be able to take any text.
+    ways = [storage] if table_mode == "empty" else splittable(storage)
+    write = Write(rows, storage, layout, properties, timeout, ways)
     if save_mode == "overwrite" and placed and not is_vacant(spark, target):
         refuse_other_tables(spark, name, target)
 
     if table_mode == "data_only":
         target = _data_only(spark, write, name, target, old, save_mode, relocate, journal)
-        return CtasResult(name, target, True, read_files(spark, target, storage, frame))
+        return CtasResult(name, target, True, read_files(spark, target, write.storage, frame))
     if table_mode == "empty":
         _empty(spark, write, name, target, old, save_mode, journal)
     elif save_mode == "none" or (not old and not relocate and is_vacant(spark, target)):
@@ -197,20 +199,38 @@ def read_files(spark: SparkSession, location: str, storage: Storage, like: DataF
     return spark.read.format(storage.provider).options(**storage.options).schema(like.schema).load(location)
 
 
-@dataclass(frozen=True)
+@dataclass
 class Write:
-    """The rows of a SELECT together with how they are to be stored."""
+    """The rows of a SELECT together with how they are to be stored.
+
+    ``ways`` are to be tried in turn; the one that holds the rows is ``storage`` from then on.
+    """
 
     rows: DataFrame
     storage: Storage
     layout: Layout = Layout()
     properties: Mapping[str, str] = field(default_factory=dict)
     timeout: timedelta | None = None
+    ways: Sequence[Storage] = ()
 
     def create(self, spark: SparkSession, name: TableName, location: str) -> None:
         """CREATE TABLE AS SELECT: the one job that moves rows, within the time limit."""
-        with time_limit(spark, self.timeout):
-            self._create(name, location)
+        ways = list(self.ways) or [self.storage]
+        for way in ways:
+            rows = in_lines(self.rows, way, self.layout.partitioned_by)
+            try:
+                with time_limit(spark, self.timeout):
+                    replace(self, rows=rows, storage=way)._create(name, location)
+                self.storage = way
+                return
+            except Exception as error:
+                if not holds_line_end(error):
+                    raise
+                if way is ways[-1]:
+                    raise ConfigError(f"a value holds the character that ends the lines of {location}") from error
+                log.info("%s: lines cannot end with %r, a value holds it", name, way.line_end)
+                # The check runs before the first row of a file is closed, so nothing there is of use.
+                delete_tree(spark, location)
 
     def _create(self, name: TableName, location: str) -> None:
         # The rows may belong to a session with a current database of its own.

@@ -317,11 +317,12 @@ def every_location(spark: SparkSession, info: TableInfo) -> list[tuple[dict[str,
     """
     state, jvm = spark._jsparkSession.sessionState(), spark.sparkContext._jvm
     name = state.sqlParser().parseTableIdentifier(info.name.in_session)
-    text = state.catalog().listPartitions(name, jvm.scala.Option.empty()).mkString("\x1e")
+    end = f"\n{uuid.uuid4().hex}\n"
+    text = state.catalog().listPartitions(name, jvm.scala.Option.empty()).mkString(end)
     between = r"Partition Values: \[" + ", ".join(f"{re.escape(key)}=(.*)" for key in info.partition_columns)
     pattern = re.compile(between + r"\]\n\tLocation: ([^\n]*)", re.DOTALL)
     found = []
-    for part in text.split("\x1e") if text else []:
+    for part in text.split(end) if text else []:
         *values, place = pattern.search(part).groups()
         found.append((dict(zip(info.partition_columns, values)), normalise(place)))
     return found

@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import logging
-from collections.abc import Mapping
+from collections.abc import Collection, Mapping
 from dataclasses import dataclass, field
 
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, CharType, DataType, MapType, StringType, StructType, VarcharType
 
 from partloom.errors import ConfigError
@@ -58,6 +60,46 @@ class Storage:
         """Whether a file, however large, is read by one task."""
         return self.options.get("multiLine", "").lower() == "true"
 
+    @property
+    def line_end(self) -> str | None:
+        """What ends a line of text and so must be in no value; None where a value may span lines, or nothing is told."""
+        return self.options.get("lineSep") if self.provider == "csv" and not self.unsplittable else None
+
+
+# Ends of lines to be tried in turn: the usual one, and a character that texts hardly ever hold.
+_LINE_ENDS = ("\n", "\u001e")
+
+# Said by a write whose values hold the end of its lines.
+_HOLDS_LINE_END = "a value holds the end of lines"
+
+
+def splittable(storage: Storage) -> list[Storage]:
+    """Ways to store text in files that many tasks can share, the sure way last.
+
+    Where no value holds the end of lines, a line is a row and files are read in parts. Whether that is so
+    shows while the rows are written.
+    """
+    if not storage.unsplittable:
+        return [storage]
+    options = {k: v for k, v in storage.options.items() if k != "multiLine"}
+    return [Storage(storage.provider, {**options, "lineSep": end}) for end in _LINE_ENDS] + [storage]
+
+
+def in_lines(rows: DataFrame, storage: Storage, keys: Collection[str] = ()) -> DataFrame:
+    """The rows, which fail as soon as a value that goes into the files holds the end of a line."""
+    end = storage.line_end
+    if end is None:
+        return rows
+    texts = [f.name for f in rows.schema.fields if isinstance(f.dataType, StringType) and f.name not in keys]
+    of = lambda name: rows["`" + name.replace("`", "``") + "`"]
+    checked = {name: F.when(F.contains(of(name), F.lit(end)), F.raise_error(F.lit(_HOLDS_LINE_END))).otherwise(of(name)) for name in texts}
+    return rows.withColumns(checked) if checked else rows
+
+
+def holds_line_end(error: BaseException) -> bool:
+    """Whether a write failed for that."""
+    return _HOLDS_LINE_END in str(error)
+
 
 def storage_for(
     format: str, schema: StructType, compression: str | None = None, field_delimiter: str | None = None
