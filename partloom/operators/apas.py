@@ -85,7 +85,8 @@ def apas(
     ``stored``, ``kept`` (skipped) or ``empty`` (no rows, hence no partition).
     The schema is compared before anything is written, and the old partition goes
     only when the new rows are complete. Format, compression and delimiter are
-    those of the table unless given. ``bucketed_by`` divides the files, but the
+    those of the table unless given. A table made with buckets gets its rows in those, so that joins on them
+    need no shuffle. In any other one ``bucketed_by`` divides the files, but the
     catalog does not know the partition as bucketed. ``rebalance`` shuffles the
     rows into files of even size; by default that is done for buckets and for
     text files with strings, each of which one task must read.
@@ -98,6 +99,7 @@ def apas(
     choose("save_mode", save_mode, SAVE_MODES)
     layout = Layout((), bucketed_by, bucket_count)
     info = partitioned_table(spark, TableName(database, table, catalog))
+    layout = _buckets_of(info, layout)
     spec = order_specs(spark, info, [partition_kv])[0]
     home = default_location(info, spec)
     target = normalise(location) if location else home
@@ -139,6 +141,16 @@ def apas(
         return done("stored", stored) if stored else done("empty")
 
 
+def _buckets_of(info: TableInfo, layout: Layout) -> Layout:
+    """The layout in the buckets of the table, if it has some: readers take them for granted."""
+    if not info.bucket_columns:
+        return layout
+    asked = (tuple(name.lower() for name in layout.bucketed_by), layout.bucket_count)
+    if layout.bucketed_by and asked != (tuple(name.lower() for name in info.bucket_columns), info.bucket_count):
+        raise ConfigError(f"{info.name} has {info.bucket_count} buckets by {list(info.bucket_columns)}, its partitions can have no others")
+    return Layout(layout.partitioned_by, info.bucket_columns, info.bucket_count, info.sort_columns)
+
+
 def _note(info: TableInfo, items: list[dict]) -> dict:
     return {"name": [info.name.database, info.name.table, info.name.catalog], "partitions": items}
 
@@ -276,7 +288,7 @@ def apas_many(
         if rebalance is not False:
             rows = for_table(rows, keys, (), None)
         storage = replace(storage, options={**storage.options, **(additional_properties or {})})
-        write = Write(rows, storage, Layout(keys), timeout=timeout)
+        write = Write(rows, storage, _buckets_of(info, Layout(keys)), timeout=timeout)
         place = fresh_below(info.location) if relocate else staging_beside(spark, info.location)
         try:
             with write.scratch(spark, info.name, place, journal) as scratch:

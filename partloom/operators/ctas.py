@@ -65,6 +65,7 @@ class Layout:
     partitioned_by: Sequence[str] = ()
     bucketed_by: Sequence[str] = ()
     bucket_count: int | None = None
+    sorted_by: Sequence[str] = ()
 
     def __post_init__(self):
         if isinstance(self.partitioned_by, str) or isinstance(self.bucketed_by, str):
@@ -277,7 +278,8 @@ class Write:
             clauses.append(f"PARTITIONED BY ({', '.join(map(quote, self.layout.partitioned_by))})")
         if self.layout.bucketed_by:
             columns = ", ".join(map(quote, self.layout.bucketed_by))
-            clauses.append(f"CLUSTERED BY ({columns}) INTO {self.layout.bucket_count} BUCKETS")
+            order = f"SORTED BY ({', '.join(map(quote, self.layout.sorted_by))}) " if self.layout.sorted_by else ""
+            clauses.append(f"CLUSTERED BY ({columns}) {order}INTO {self.layout.bucket_count} BUCKETS")
         return " ".join(clauses)
 
 

@@ -24,9 +24,10 @@ from pyspark.sql.types import (
 
 from partloom.errors import QueryFailed, QueryTimeout
 from partloom.operators.preview import Preview, preview as preview_rows, result_folder, view_of
-from partloom.plans.limits import TEN_MINUTES, time_limit
-from partloom.sources.catalog import quote
+from partloom.plans.limits import TEN_MINUTES, limited
+from partloom.sources.catalog import literal, quote, unique_name
 from partloom.sources.sqltext import load_sql, session_in
+from partloom.sources.storage import make_directory
 
 _RECORD = StructType(
     [
@@ -54,7 +55,7 @@ class QueryRun:
 
     Like any stored table ``frame`` has no order of its own, whatever the ORDER BY of the
     statement: sort it again where order matters. ``preview`` does keep the statement's order.
-    ``scan_bytes`` is null where the plan does not say what is read.
+    ``scan_bytes`` counts the files that were opened, null where the plan does not say what is read.
     """
 
     id: str
@@ -103,11 +104,7 @@ def query(
     started = time.time()
     run = QueryRun(id=run_id, query=text, state="RUNNING", database=database, workgroup=workgroup)
     try:
-        with time_limit(spark, timeout):
-            frame = session_in(spark, database, catalog).sql(text, args=args)
-            scanned = scan_bytes(frame)
-            if frame.columns:
-                frame = _store(spark, frame, folder)
+        frame, scanned = limited(spark, timeout, lambda: _run(spark, text, args, database, catalog, folder))
     except Exception as error:
         state = "CANCELLED" if isinstance(error, QueryTimeout) else "FAILED"
         raise QueryFailed(_finish(run, started, state=state, state_change_reason=str(error))) from error
@@ -118,6 +115,19 @@ def query(
     return run
 
 
+def _run(
+    spark: SparkSession, text: str, args: Mapping | list | None, database: str | None, catalog: str | None, folder: str
+) -> tuple[DataFrame, int | None]:
+    """The stored rows of a statement, and how many bytes it has read."""
+    frame = session_in(spark, database, catalog).sql(text, args=args)
+    if not frame.columns:
+        return frame, scan_bytes(frame)
+    estimate = scan_bytes(frame)
+    frame, plan = _store(spark, frame, folder)
+    sizes = scanned_sizes(plan) if plan is not None else []
+    return frame, sum(sizes) if sizes and estimate is not None else estimate
+
+
 def _finish(run: QueryRun, started: float, **changes) -> QueryRun:
     ended = time.time()
     return replace(
@@ -129,14 +139,51 @@ def _finish(run: QueryRun, started: float, **changes) -> QueryRun:
     )
 
 
-def _store(spark: SparkSession, frame: DataFrame, folder: str) -> DataFrame:
-    """Write the rows once and read them from there on."""
+def _store(spark: SparkSession, frame: DataFrame, folder: str):
+    """Write the rows once and read them from there on; with the plan that was run for it, metrics and all."""
     frame = frame.toDF(*_distinct(frame.columns))
     # Types that parquet files do not hold become text.
     as_text = [f.name for f in frame.schema.fields if isinstance(f.dataType, _TEXT_TYPES)]
     frame = frame.withColumns({name: frame[quote(name)].cast("string") for name in as_text})
-    frame.write.parquet(folder)
-    return spark.read.schema(frame.schema).parquet(folder)
+    session, source, target = frame.sparkSession, unique_name("rows"), unique_name("result")
+    make_directory(spark, folder)
+    frame.createOrReplaceTempView(source)
+    columns = frame._jdf.schema().asNullable().toDDL()
+    try:
+        # A writer keeps the plan it has run to itself, a statement does not.
+        session.sql(f"CREATE TEMPORARY VIEW {target} ({columns}) USING parquet OPTIONS (path {literal(folder)})")
+        done = session.sql(f"INSERT INTO {target} SELECT * FROM {source}")
+    finally:
+        session.catalog.dropTempView(source)
+        session.catalog.dropTempView(target)
+    return spark.read.schema(frame.schema).parquet(folder), _plan_run(done)
+
+
+def _plan_run(frame: DataFrame):
+    """The physical plan of a statement that ran on its own; None where it keeps that to itself."""
+    try:
+        plan = frame._jdf.queryExecution().optimizedPlan()
+        return plan.commandPhysicalPlan() if plan.nodeName() == "CommandResult" else None
+    except Py4JError:
+        return None
+
+
+def scanned_sizes(plan) -> list[int]:
+    """Bytes of the files that each scan of a plan that was run has opened: after adaptive execution and
+    after partitions were left out while it ran, before column pruning."""
+    kind = plan.getClass().getSimpleName()
+    if kind == "AdaptiveSparkPlanExec":
+        return scanned_sizes(plan.executedPlan())
+    if kind.endswith("QueryStageExec"):
+        return scanned_sizes(plan.plan())
+    if kind == "ReusedExchangeExec":
+        return []
+    metrics = plan.metrics()
+    sizes = [int(metrics.apply("filesSize").value())] if metrics.contains("filesSize") else []
+    for below in (plan.children(), plan.subqueries()):
+        for i in range(below.size()):
+            sizes += scanned_sizes(below.apply(i))
+    return sizes
 
 
 def _distinct(names: list[str]) -> list[str]:

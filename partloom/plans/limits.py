@@ -4,12 +4,14 @@ from __future__ import annotations
 
 import threading
 import uuid
+from collections.abc import Callable
 from contextlib import contextmanager
 from datetime import timedelta
 
 from pyspark.sql import SparkSession
 
 from partloom.errors import QueryTimeout
+from partloom.sources.storage import inheriting
 
 TEN_MINUTES = timedelta(minutes=10)
 
@@ -55,3 +57,38 @@ def time_limit(spark: SparkSession, timeout: timedelta | None):
         done.set()
         watcher.join()
         context.removeJobTag(tag)
+
+
+#: Seconds that a call may take to end once its jobs are cancelled.
+GRACE = 0.5
+
+
+def limited(spark: SparkSession, timeout: timedelta | None, call: Callable):
+    """What ``call`` returns, or QueryTimeout soon after ``timeout`` whatever it is at.
+
+    Jobs are cancelled. Phases of the driver's own, such as analysis, a listing or a call to a catalog,
+    know no cancelling: the thread that is in one is left behind, and any job it comes to start is
+    cancelled as well.
+    """
+    if timeout is None:
+        return call()
+    told: list = []
+
+    def run():
+        try:
+            with time_limit(spark, timeout):
+                told.append((call(), None))
+        except BaseException as error:  # noqa: BLE001
+            told.append((None, error))
+
+    worker = threading.Thread(target=inheriting(spark, run), daemon=True)
+    worker.start()
+    worker.join(timeout.total_seconds())
+    if worker.is_alive():
+        worker.join(GRACE)
+    if not told:
+        raise QueryTimeout(f"not done after {timeout}, and left behind in a phase that cannot be cancelled")
+    result, error = told[0]
+    if error is not None:
+        raise error
+    return result

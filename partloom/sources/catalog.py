@@ -81,6 +81,9 @@ class TableInfo:
     provider: str
     serde: str | None
     partition_columns: tuple[str, ...]
+    bucket_columns: tuple[str, ...] = ()
+    bucket_count: int | None = None
+    sort_columns: tuple[str, ...] = ()
     storage_properties: Mapping[str, str] = field(default_factory=dict)
     table_properties: Mapping[str, str] = field(default_factory=dict)
     created_at: datetime | None = None
@@ -155,6 +158,9 @@ def describe_table(spark: SparkSession, name: TableName) -> TableInfo:
         provider=facts.get("provider", "").lower(),
         serde=facts.get("serde_library"),
         partition_columns=tuple(facts.get("partition_columns", ())),
+        bucket_columns=tuple(facts.get("bucket_columns") or ()),
+        bucket_count=int(facts["num_buckets"]) if facts.get("bucket_columns") else None,
+        sort_columns=tuple(facts.get("sort_columns") or ()),
         storage_properties=facts.get("storage_properties", {}),
         table_properties=facts.get("table_properties", {}),
         created_at=_time(facts.get("created_time")),

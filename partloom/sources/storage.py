@@ -13,6 +13,7 @@ from functools import lru_cache
 from py4j.protocol import Py4JJavaError
 from pyspark import inheritable_thread_target
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 
 from partloom.errors import ConfigError, StorageError
 
@@ -90,19 +91,19 @@ def only_file(spark: SparkSession, uri: str) -> str:
 
 
 def newest_file(spark: SparkSession, uri: str, after_millis: int) -> bool:
-    """Whether a data file below ``uri`` was written after that time; a listing that ends at the first."""
+    """Whether a file below ``uri`` was written after that time.
+
+    The cluster lists the files, in tasks where directories are many, and looks at none of them; what comes
+    here is an answer. Markers in the directory itself count as well: a write without rows may leave nothing else.
+    """
     fs, path = _open(spark, uri)
     if not fs.exists(path):
         return False
-    root = fs.makeQualified(path).toString()
-    files = fs.listFiles(path, True)
-    while files.hasNext():
-        status = files.next()
-        inside = status.getPath().toString()[len(root):].strip("/").split("/")
-        # A marker that a job left counts: a write without rows may leave nothing else.
-        if status.getModificationTime() > after_millis and not any(_hidden(name) for name in inside[:-1]):
-            return True
-    return False
+    markers = fs.globStatus(_path_class(spark.sparkContext._jvm)(path, "{_,.}*"))
+    if any(not m.isDirectory() and m.getModificationTime() > after_millis for m in markers or ()):
+        return True
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(fs.makeQualified(path).toString())
+    return not files.where(F.col("modificationTime") > F.timestamp_millis(F.lit(after_millis))).select("path").isEmpty()
 
 
 def create_new(spark: SparkSession, uri: str, text: str) -> bool:
@@ -318,6 +319,11 @@ def swapped(spark: SparkSession, staged: str | None, target: str, aside: str | N
     swap.finish()
 
 
+def make_directory(spark: SparkSession, uri: str) -> None:
+    fs, path = _open(spark, uri)
+    fs.mkdirs(path)
+
+
 def parent_of(spark: SparkSession, uri: str) -> str:
     return normalise(_open(spark, uri)[1].getParent().toString())
 
@@ -361,13 +367,13 @@ def for_each(spark: SparkSession, call: Callable, items: Iterable, at_once: int
 
     results = [None] * len(items)
     with ThreadPoolExecutor(workers) as pool:
-        shares = [pool.submit(_inheriting(spark, share), first) for first in range(workers)]
+        shares = [pool.submit(inheriting(spark, share), first) for first in range(workers)]
         for first, done in enumerate(shares):
             results[first::workers] = done.result()
     return results
 
 
-def _inheriting(spark: SparkSession, call: Callable) -> Callable:
+def inheriting(spark: SparkSession, call: Callable) -> Callable:
     """``call`` for one other thread, with a copy of this thread's job properties and tags.
 
     Threads must not share a copy: they would overwrite each other's properties.

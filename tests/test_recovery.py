@@ -210,7 +210,7 @@ def race(spark, calls):
         except BaseException as error:  # noqa: BLE001
             outcomes[i] = repr(error)
 
-    threads = [threading.Thread(target=storage._inheriting(spark, run), args=(i,)) for i in range(len(calls))]
+    threads = [threading.Thread(target=storage.inheriting(spark, run), args=(i,)) for i in range(len(calls))]
     for thread in threads:
         thread.start()
     for thread in threads:

@@ -228,6 +228,20 @@ def query_record(w: Workspace) -> DataFrame:
     return run.frame.agg(F.count("*").alias("n")).withColumns({name: F.lit(value) for name, value in facts.items()})
 
 
+@workload("SELECT COUNT(*) AS n, true AS read_the_pruned FROM orders WHERE o_orderstatus = 'P'")
+def query_record_pruned(w: Workspace) -> DataFrame:
+    """Partitions that a join rules out while it runs do not count as read."""
+    w.ctas("SELECT * FROM parquet.`${sf}/orders.parquet`", "t", partitioned_by=["o_orderstatus"])
+    names = "SELECT o_orderstatus AS status, upper(o_orderstatus) AS name FROM parquet.`${sf}/orders.parquet` GROUP BY 1"
+    w.ctas(names, "names")
+    joined = "SELECT o_orderkey FROM t JOIN names ON o_orderstatus = status WHERE name = 'P'"
+    run = w.query(joined, database=w.database)
+    files = w.spark.read.format("binaryFile").option("recursiveFileLookup", True).load(f"{w.folder}{w.database}_files")
+    pruned = files.where(F.col("path").contains("o_orderstatus=P") | F.col("path").contains("/names/")).agg(F.sum("length"))
+    told = run.record(w.spark).first().scan_bytes
+    return run.frame.agg(F.count("*").alias("n")).withColumn("read_the_pruned", F.lit(told == pruned.first()[0]))
+
+
 @workload("SELECT COUNT(*) AS n, 'FAILED' AS state, true AS says_why FROM orders")
 def query_failed(w: Workspace) -> DataFrame:
     """A run that fails says so, and why."""
@@ -636,6 +650,24 @@ def apas_many_skip(w: Workspace) -> DataFrame:
     return told.groupBy("action").agg(F.count("*").alias("n_partitions")).crossJoin(F.broadcast(sums))
 
 
+@workload("""
+    SELECT o_orderstatus, c_mktsegment, COUNT(*) AS n, true AS without_shuffle
+    FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY o_orderstatus, c_mktsegment""")
+def apas_buckets(w: Workspace) -> DataFrame:
+    """Partitions of a table with buckets are in those, so that a join on them moves no rows."""
+    select = "SELECT o_orderkey, o_custkey, o_orderstatus FROM parquet.`${sf}/orders.parquet`"
+    buckets = {"bucketed_by": ["o_custkey"], "bucket_count": 4}
+    w.ctas(select, "t", table_mode="empty", partitioned_by=["o_orderstatus"], **buckets)
+    data = "SELECT o_orderkey, o_custkey FROM parquet.`${sf}/orders.parquet` WHERE o_orderstatus = 'F'"
+    w.apas(data, "t", partition_kv={"o_orderstatus": "F"})
+    w.apas_many(f"{select} WHERE o_orderstatus <> 'F'", "t")
+    customers = "SELECT c_custkey, c_mktsegment FROM parquet.`${sf}/customer.parquet`"
+    w.ctas(customers, "c", bucketed_by=["c_custkey"], bucket_count=4)
+    joined = w.table("t").join(w.table("c").hint("merge"), F.col("o_custkey") == F.col("c_custkey"))
+    still = "Exchange" not in joined._jdf.queryExecution().executedPlan().toString()
+    return joined.groupBy("o_orderstatus", "c_mktsegment").agg(F.count("*").alias("n")).withColumn("without_shuffle", F.lit(still))
+
+
 @workload("SELECT o_orderkey, o_totalprice, o_orderstatus FROM orders")
 def apas_refused(w: Workspace) -> DataFrame:
     """What cannot take the partition is refused before anything is written."""
