@@ -25,6 +25,7 @@ from pyspark.sql.types import (
 from partloom.errors import QueryFailed, QueryTimeout
 from partloom.operators.preview import Preview, preview as preview_rows, result_folder, view_of
 from partloom.plans.limits import TEN_MINUTES, limited
+from partloom.sources.access import note_access
 from partloom.sources.catalog import literal, quote, unique_name
 from partloom.sources.sqltext import load_sql, session_in
 from partloom.sources.storage import make_directory
@@ -119,7 +120,7 @@ def _run(
     spark: SparkSession, text: str, args: Mapping | list | None, database: str | None, catalog: str | None, folder: str
 ) -> tuple[DataFrame, int | None]:
     """The stored rows of a statement, and how many bytes it has read."""
-    frame = session_in(spark, database, catalog).sql(text, args=args)
+    frame = note_access(session_in(spark, database, catalog).sql(text, args=args))
     if not frame.columns:
         return frame, scan_bytes(frame)
     estimate = scan_bytes(frame)

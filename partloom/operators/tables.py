@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from partloom.errors import ConfigError, NotFound
+from partloom.sources.access import last_access
 from partloom.sources.catalog import (
     TableInfo,
     TableName,
@@ -108,7 +109,8 @@ def drop_table_multi(
     """Drop the tables whose whole name matches ``regexp``, except protected ones.
 
     ``limit`` counts the matching names in order, before protection is looked at.
-    A table whose last access the catalog does not know is not protected by it.
+    The last access is what the catalog tells, or the last read by ``query``, ``ctas`` or ``apas``; a table of
+    which neither is known is not protected by it.
     """
     now = datetime.now(timezone.utc)
     if not regexp:
@@ -146,9 +148,12 @@ def _is_protected(spark: SparkSession, info: TableInfo, protect: Protect, now: d
             return True
         if info.location and _has_files_since(spark, info, now - protect.updated_within):
             return True
-    if protect.accessed_within is not None and info.accessed_at is None:
+    if protect.accessed_within is None:
+        return False
+    told = [moment for moment in (info.accessed_at, last_access(spark, info.location)) if moment]
+    if not told:
         log.warning("%s: last access unknown, not protected by it", info.name)
-    return within(info.accessed_at, protect.accessed_within)
+    return any(within(moment, protect.accessed_within) for moment in told)
 
 
 def _has_files_since(spark: SparkSession, info: TableInfo, moment: datetime) -> bool:

@@ -10,6 +10,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 
 from partloom.errors import ConfigError
+from partloom.sources.access import note_access
 from partloom.sources.catalog import quote
 from partloom.sources.storage import only_file
 
@@ -82,4 +83,4 @@ def select_frame(
 ) -> DataFrame:
     """The analysed, not yet executed, DataFrame of a SELECT."""
     text = load_sql(spark, command, params)
-    return session_in(spark, database, catalog).sql(text, args=args)
+    return note_access(session_in(spark, database, catalog).sql(text, args=args))

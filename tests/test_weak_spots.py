@@ -116,3 +116,32 @@ def test_protected_by_a_young_file_deep_inside(spark, db, folder):
     apas(spark, "select 3 as a", database=db, table="t", partition_kv={"k": "2"})
     kept = drop_table_multi(spark, database=db, regexp="t", protect=Protect(updated_within=timedelta(seconds=60)))
     assert kept.first().action == "protected"
+
+
+def test_tables_that_were_read_are_kept(spark, db, folder):
+    for name in ("a", "b", "c", "d", "e"):
+        ctas(spark, f"select 1 as {name}, 1 as k", database=db, table=f"t_{name}", location=f"{folder}t_{name}", partitioned_by=["k"])
+    spark.sql(f"CREATE VIEW {db}.over_c AS SELECT * FROM {db}.t_c")
+    query(spark, "select * from t_a where a in (select b from t_b)", database=db, output=folder)
+    ctas(spark, f"select * from {db}.over_c", database=db, table="other", location=f"{folder}other")
+    apas(spark, f"select d as a from {db}.t_d", database=db, table="t_a", partition_kv={"k": "7"})
+    told = drop_table_multi(spark, database=db, regexp="t_.", protect=Protect(accessed_within=timedelta(minutes=5)))
+    assert rows(told, "table", "action") == [("t_a", "protected"), ("t_b", "protected"), ("t_c", "protected"), ("t_d", "protected"), ("t_e", "dropped")]
+    old = datetime(2020, 1, 1, tzinfo=timezone.utc).timestamp()
+    for path in Path(folder.removeprefix("file:")).glob("_access.*"):
+        os.utime(path, (old, old))
+    query(spark, "select * from t_a", database=db, output=folder)
+    told = drop_table_multi(spark, database=db, regexp="t_.", protect=Protect(accessed_within=timedelta(minutes=5)))
+    assert rows(told, "table", "action")[0] == ("t_a", "protected") and told.where("action = 'dropped'").count() == 3
+
+
+def test_a_note_that_cannot_be_written_stops_nothing(spark, db, folder, monkeypatch):
+    from partloom.errors import StorageError
+    from partloom.sources import access
+
+    def fail(*_):
+        raise StorageError("read-only")
+
+    ctas(spark, "select 1 as a", database=db, table="t", location=f"{folder}t")
+    monkeypatch.setattr(access, "create_new", fail)
+    assert query(spark, "select * from t", database=db, output=folder).frame.count() == 1

@@ -946,6 +946,15 @@ def drop_table_multi_accessed(w: Workspace) -> DataFrame:
     return w.counts()
 
 
+@workload(f"{_EVENTS} WHERE event_type = 'view' GROUP BY event_type")
+def drop_table_multi_read(w: Workspace) -> DataFrame:
+    """A table that a query has read a moment ago is kept, the others go."""
+    _table_per_type(w)
+    w.query("SELECT * FROM events_view LIMIT 1", database=w.database)
+    drop_table_multi(w.spark, database=w.database, regexp="events_.*", protect=Protect(accessed_within=timedelta(days=1)))
+    return w.counts()
+
+
 @workload(f"{_EVENTS} GROUP BY event_type")
 def drop_table_multi_refused(w: Workspace) -> DataFrame:
     """Without an expression nothing is dropped; an expression must match a whole name."""
