@@ -27,18 +27,53 @@ from pyspark.sql import functions as F
 #: Phrases whose words count wherever they stand one after another.
 PHRASES = {"cc by": "cc-by", "general public license": "gpl", "all rights reserved": "reserved"}
 
-#: Notices and license bodies by label.
+_WARRANTY = (
+    " this software is provided by {{16}} as is and any express or implied warranties including but not limited to the"
+    " implied warranties of merchantability and fitness for a particular purpose are disclaimed in no event shall {{16}} be"
+    " liable for any direct indirect incidental special exemplary or consequential damages including but not limited to"
+    " procurement of substitute goods or services loss of use data or profits or business interruption however caused and on"
+    " any theory of liability whether in contract strict liability or tort including negligence or otherwise arising in any"
+    " way out of the use of this software even if advised of the possibility of such damage"
+)
+_BSD = (
+    "redistribution and use in source and binary forms with or without modification are permitted provided that the"
+    " following conditions are met"
+)
+_BSD_CONDITIONS = (
+    " [[ 1 ]] redistributions of source code must retain the above copyright notice this list of conditions and the following"
+    " disclaimer [[ 2 ]] redistributions in binary form must reproduce the above copyright notice this list of conditions"
+    " and the following disclaimer in the documentation and or other materials provided with the distribution"
+)
+_NO_ENDORSEMENT = (
+    " neither the name of {{16}} nor the names of its contributors may be used to endorse or promote products derived from"
+    " this software without specific prior written permission"
+)
+_MIT = (
+    "permission is hereby granted free of charge to any person obtaining a copy of this {{8}} to deal in the {{4}}"
+    " without restriction including without limitation the rights to use copy modify merge publish distribute"
+    " sublicense and or sell copies of the {{4}}"
+)
+_MIT_NOTICE = (
+    " and to permit persons to whom the {{4}} is furnished to do so subject to the following conditions the above copyright"
+    " notice and this permission notice [[ including the next paragraph ]] shall be included in all copies or substantial"
+    " portions of the {{4}}"
+)
+_MIT_WARRANTY = (
+    " the {{4}} is provided as is without warranty of any kind express or implied including but not limited to the warranties"
+    " of merchantability fitness for a particular purpose and noninfringement in no event shall the {{6}} be liable for any"
+    " claim damages or other liability whether in an action of contract tort or otherwise arising from out of or in"
+    " connection with the {{4}} or the use or other dealings in the {{4}}"
+)
+_ISC = (
+    "permission to use copy modify and or distribute this {{3}} for any purpose with or without fee is hereby"
+    " granted provided that the above copyright notice and this permission notice appear in all copies"
+)
+
+#: Notices and license bodies by label: the whole wording, but for optional and free words.
 TEMPLATES = {
-    "apache-2.0": (
-        "licensed under the apache license version 2.0 [[ the license ]]",
-        "apache license version 2.0 january 2004 [[ http www apache org licenses ]]",
-    ),
-    "mit": (
-        "[[ this {{4}} is ]] [[ released ]] under the [[ terms of the ]] mit license",
-        "permission is hereby granted free of charge to any person obtaining a copy of this {{8}} to deal in the {{4}}"
-        " without restriction including without limitation the rights to use copy modify merge publish distribute"
-        " sublicense and or sell copies of the {{4}}",
-    ),
+    "apache-2.0": ("licensed under the apache license version 2.0 [[ the license ]]",),
+    "mit": ("[[ this {{4}} is ]] [[ released ]] under the [[ terms of the ]] mit license", _MIT + _MIT_NOTICE + _MIT_WARRANTY),
+    "json": (_MIT + _MIT_NOTICE + " the {{4}} shall be used for good not evil" + _MIT_WARRANTY,),
     "gpl-3.0": (
         "[[ this {{6}} is ]] licensed under the gnu general public license [[ as published by the free software"
         " foundation ]] [[ either ]] version 3 [[ of the license ]] [[ or at your option any later version ]]",
@@ -55,18 +90,30 @@ TEMPLATES = {
         "[[ licensed under ]] [[ a ]] [[ the ]] cc by sa 4.0",
         "creative commons attribution sharealike 4.0 international [[ public ]] license",
     ),
-    "bsd": (
-        "redistribution and use in source and binary forms with or without modification are permitted provided that"
-        " the following conditions are met",
+    "bsd-2-clause": (_BSD + _BSD_CONDITIONS + _WARRANTY,),
+    "bsd-3-clause": (_BSD + _BSD_CONDITIONS + " [[ 3 ]]" + _NO_ENDORSEMENT + _WARRANTY,),
+    "bsd-4-clause": (
+        _BSD + _BSD_CONDITIONS + " [[ 3 ]] all advertising materials mentioning features or use of this software must display the"
+        " following acknowledgement this product includes software developed by {{16}} [[ 4 ]]" + _NO_ENDORSEMENT + _WARRANTY,
     ),
     "isc": (
-        "permission to use copy modify and or distribute this {{3}} for any purpose with or without fee is hereby"
-        " granted provided that the above copyright notice and this permission notice appear in all copies",
+        _ISC + " the {{3}} is provided as is and {{8}} disclaims all warranties with regard to this {{3}} including all implied"
+        " warranties of merchantability and fitness in no event shall {{8}} be liable for any special direct indirect or"
+        " consequential damages or any damages whatsoever resulting from loss of use data or profits whether in an action of"
+        " contract negligence or other tortious action arising out of or in connection with the use or performance of this {{3}}",
     ),
 }
 
-#: What a label is worth: a template's full wording, or a phrase alone.
-TEMPLATE_SCORE, PHRASE_SCORE = 1.0, 0.5
+#: Titles and first sentences of licenses, for texts that go on in words of their own or break off.
+OPENINGS = {
+    "apache-2.0-opening": ("apache license version 2.0 january 2004 [[ http www apache org licenses ]]",),
+    "bsd-opening": (_BSD,),
+    "isc-opening": (_ISC,),
+    "mit-opening": (_MIT,),
+}
+
+#: What a label is worth: a template's whole wording, the opening of a license, or a phrase alone.
+TEMPLATE_SCORE, OPENING_SCORE, PHRASE_SCORE = 1.0, 0.75, 0.5
 
 # Bytes: ASCII letters become lower case, all other ASCII but digits separates.
 _TABLE = bytes(
@@ -198,30 +245,27 @@ class Matcher:
                 start = None
         if not runs:
             raise ValueError(f"no mandatory wording in {template!r}")
-        a, b = max(runs, key=lambda r: (r[1] - r[0], -r[0]))  # the longest literal run is the rarest
+        # The run of most words, then letters, is the rarest.
+        a, b = max(runs, key=lambda r: (r[1] - r[0], sum(map(len, parts[r[0]: r[1]])), -r[0]))
         return cls(
             b" " + b" ".join(parts[a:b]) + b" ", compile_parts(_turned(parts[:a])), compile_parts(parts[b:]), b - a
         )
 
     def found(self, line: bytes, words: list[bytes]) -> bool:
-        at = line.find(self.anchor)
-        while at >= 0:
-            first = line.count(b" ", 0, at + 1) - 1
-            if self.before.ends(words, first - 1, -1) and self.after.ends(words, first + self.anchor_words, 1):
-                return True
-            at = line.find(self.anchor, at + 1)
-        return False
-
-
-def _places(line: bytes, phrase: bytes) -> list[int]:
-    """The numbers of the words at which the phrase begins."""
-    found, at, counted, words = [], line.find(phrase), 0, 0
+        return any(
+            self.before.ends(words, first - 1, -1) and self.after.ends(words, first + self.anchor_words, 1)
+            for first in _places(line, self.anchor)
+        )
+
+
+def _places(line: bytes, phrase: bytes) -> Iterator[int]:
+    """The numbers of the words at which the phrase begins, counted on from one to the next."""
+    at, counted, words = line.find(phrase), 0, 0
     while at >= 0:
         words += line.count(b" ", counted, at + 1)
         counted = at + 1
-        found.append(words - 1)
+        yield words - 1
         at = line.find(phrase, at + 1)
-    return found
 
 
 _SCHEMA = (
@@ -233,31 +277,35 @@ def scan(
     docs: DataFrame,
     phrases: Mapping[str, str] = PHRASES,
     templates: Mapping[str, tuple[str, ...]] = TEMPLATES,
+    openings: Mapping[str, tuple[str, ...]] = OPENINGS,
 ) -> DataFrame:
     """Per row: ``n_words``, places of phrases (``n_base``, ``first_word``, ``last_word``, words from 0),
-    ``base_labels``, ``labels`` (those and the templates that match) and ``score``: the worth of the best label."""
+    ``base_labels``, ``labels`` (those, and the templates and openings that match) and ``score``: the worth of the best label."""
     wanted = [(b" " + b" ".join(words_of(p)) + b" ", label) for p, label in phrases.items()]
 
-    def one(line: bytes, words: list[bytes], matchers) -> tuple:
+    def one(line: bytes, words: list[bytes], matchers, beginnings) -> tuple:
         places, labels = [], set()
         for phrase, label in wanted:
-            if here := _places(line, phrase):
+            if here := list(_places(line, phrase)):
                 places += here
                 labels.add(label)
         matched = {label for label, several in matchers if any(m.found(line, words) for m in several)}
-        score = TEMPLATE_SCORE if matched else PHRASE_SCORE if labels else 0.0
+        opened = {label for label, several in beginnings if any(m.found(line, words) for m in several)}
+        score = TEMPLATE_SCORE if matched else OPENING_SCORE if opened else PHRASE_SCORE if labels else 0.0
         return (
             len(words), len(places), min(places, default=None), max(places, default=None),
-            ",".join(sorted(labels)), ",".join(sorted(labels | matched)), score,
+            ",".join(sorted(labels)), ",".join(sorted(labels | matched | opened)), score,
         )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        matchers = [(label, [Matcher.of(t) for t in several]) for label, several in templates.items()]
+        matchers, beginnings = (
+            [(label, [Matcher.of(t) for t in several]) for label, several in given.items()] for given in (templates, openings)
+        )
         for batch in batches:
             rows = []
             for text in batch.column("text"):
                 words = words_of(text.as_py() or "")
-                rows.append(one(b" " + b" ".join(words) + b" ", words, matchers))
+                rows.append(one(b" " + b" ".join(words) + b" ", words, matchers, beginnings))
             columns = list(zip(*rows, strict=True)) if rows else [[]] * 7
             kinds = [pa.int64()] * 4 + [pa.string()] * 2 + [pa.float64()]
             names = ["n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score"]

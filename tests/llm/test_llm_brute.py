@@ -3,6 +3,7 @@
 import math
 import random
 import re
+import time
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -201,11 +202,14 @@ def brute_scan(text):
         if at := [i for i in range(len(words)) if words[i: i + len(p)] == p]:
             places[label] = at
     line = " " + "".join(w + " " for w in words)
-    matched = {label for label, several in license_scan.TEMPLATES.items() if any(regex_of(t).search(line) for t in several)}
+    matched, opened = (
+        {label for label, several in given.items() if any(regex_of(t).search(line) for t in several)}
+        for given in (license_scan.TEMPLATES, license_scan.OPENINGS)
+    )
     every = sum(places.values(), [])
     return (
         len(words), len(every), min(every, default=None), max(every, default=None), ",".join(sorted(places)),
-        ",".join(sorted(set(places) | matched)), 1.0 if matched else 0.5 if places else 0.0,
+        ",".join(sorted(set(places) | matched | opened)), 1.0 if matched else 0.75 if opened else 0.5 if places else 0.0,
     )
 
 
@@ -224,6 +228,52 @@ def test_license_scan(spark, texts):
     assert {r[5] for r in found.values()} >= {"mit", "gpl,gpl-3.0", "cc-by", "reserved", "gpl", "cc-by,cc-by-nc-4.0"}
 
 
+MIT = """Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated
+documentation files (the "Software"), to deal in the Software without restriction, including without limitation the rights to
+use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom
+the Software is furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software.
+%s
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE
+WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT
+HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM,
+OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."""
+
+
+def spelled(template):
+    """A text that a template stands for: optional parts in, free words given."""
+    return re.sub(r"\{\{\d+\}\}", "Example Holders", template).replace("[[", "").replace("]]", "")
+
+
+def test_whole_wordings_are_told_apart(spark):
+    rows = {
+        "mit": MIT % "", "json": MIT % "The Software shall be used for Good, not Evil.", "mit-opening": MIT[:420], "changed": MIT % "But only on Mondays.",
+        "no words": MIT.replace("hereby", "") % "", **{label: spelled(license_scan.TEMPLATES[label][-1]) for label in ("isc", "bsd-2-clause", "bsd-3-clause", "bsd-4-clause")},
+        "bsd-opening": spelled(license_scan.OPENINGS["bsd-opening"][0]) + " you like it", "isc-opening": spelled(license_scan.OPENINGS["isc-opening"][0]),
+    }
+    found = {r.doc_id: (r.labels, r.score) for r in license_scan.scan(spark.createDataFrame(list(rows.items()), "doc_id string, text string")).collect()}
+    for label in ("mit", "json"):
+        assert found[label] == (f"{label},mit-opening", 1.0)
+    for n in "234":
+        assert found[f"bsd-{n}-clause"] == (f"bsd-{n}-clause,bsd-opening", 1.0)
+    assert found["isc"] == ("isc,isc-opening", 1.0)
+    assert found["changed"] == found["mit-opening"] == ("mit-opening", 0.75) and found["no words"] == ("", 0.0)
+    assert found["bsd-opening"] == ("bsd-opening", 0.75) and found["isc-opening"] == ("isc-opening", 0.75)
+
+
+def test_many_anchors_take_linear_time():
+    matchers = [license_scan.Matcher.of(t) for given in (license_scan.TEMPLATES, license_scan.OPENINGS) for several in given.values() for t in several]
+    words = license_scan.words_of("sold under the mit license terms or not under the usual terms cc by nc " * 28_000)
+    line = b" " + b" ".join(words) + b" "
+    assert len(line) > 1_900_000
+    anchor = license_scan.Matcher.of("[[ x ]] under the y")
+    started = time.perf_counter()
+    assert sum(1 for _ in license_scan._places(line, b" under the ")) == 56_000 and not anchor.found(line, words)
+    assert [m for m in matchers if m.found(line, words)]
+    assert time.perf_counter() - started < 4
+
+
 def test_license_markup_errors():
     for bad in ("a [[ b", "a ]] b", "[[ a ]]", "{{3}}"):
         with pytest.raises(ValueError):
