@@ -7,7 +7,8 @@ whether its order is allowed and where it breaks. Everything is SQL functions ov
 Defined results: a null text or role is empty; a role the template does not know bears no loss and
 makes the order invalid; turns are ordered by (turn, role, text) with nulls first, so ties and
 repeated rows keep one order; rows without ``conv_id`` form one conversation; an empty table gives no
-rows; further columns are ignored. One row holds a whole conversation, as its text is one value.
+rows; further columns are ignored. One row holds a whole conversation, as its text is one value; the work grows
+with its length. Where turns begin in it is a running sum over rows, not over an array.
 """
 
 from __future__ import annotations
@@ -15,7 +16,7 @@ from __future__ import annotations
 from collections.abc import Mapping
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 START = "start"
@@ -87,25 +88,35 @@ def _machine(template: ChatTemplate) -> Column:
 def format_conversations(turns: DataFrame, template: ChatTemplate | None = None) -> DataFrame:
     """One row per conversation of ``turns`` (conv_id, turn, role, text).
 
-    ``segments``: array of (text, loss) whose texts, put together, are ``formatted``; ``loss_spans``:
-    the (start, length) of the loss-bearing segments in characters from 0; ``valid``: the roles
-    follow the template's order; ``broken_at``: the number of the first turn out of order, else null.
+    ``segments``: array of (text, loss) whose texts, put together, are ``formatted``; ``turn_spans``: the
+    (start, length, loss) of each turn's text in ``formatted``, in characters from 0; ``loss_spans``: the (start,
+    length) of those that bear loss; ``valid``: the roles follow the template's order; ``broken_at``: the
+    number of the first turn out of order, else null.
     """
     template = template or ChatTemplate()
-    role, text = F.coalesce("role", F.lit("")), F.coalesce("text", F.lit(""))
-    gathered = turns.groupBy("conv_id").agg(
-        F.sort_array(F.collect_list(F.struct(F.col("turn").alias("turn"), role.alias("role"), text.alias("text")))).alias("turns")
+    role, text, tail = F.coalesce("role", F.lit("")), F.coalesce("text", F.lit("")), template.close + template.between
+    rows = turns.select("conv_id", "turn", role.alias("role"), text.alias("text"))
+    before = Window.partitionBy("conv_id").orderBy(F.asc_nulls_first("turn"), "role", "text")
+    shown = F.concat(F.lit(template.open), _escape_role(F.col("role"), template), F.lit(template.after_role))
+    bears = F.col("role").isin(*template.loss_roles) if template.loss_roles else F.lit(False)
+    rows = rows.select("*", shown.alias("shown"), _escape(F.col("text"), template).alias("body"), bears.alias("loss"))
+    length = F.char_length("shown") + F.char_length("body") + len(tail)
+    # A running sum over rows: in an array each step would copy what there is.
+    begun = F.coalesce(F.sum(length).over(before.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    rows = rows.select(
+        "conv_id", F.row_number().over(before).alias("place"), "role", "shown", "body", "loss",
+        (begun + F.char_length("shown")).cast("int").alias("start"),
+    )
+    gathered = rows.groupBy("conv_id").agg(
+        F.sort_array(F.collect_list(F.struct("place", "role", "shown", "body", "loss", "start"))).alias("turns")
     )
 
     def segments(turn: Column) -> Column:
-        shown = F.concat(F.lit(template.open), _escape_role(turn["role"], template), F.lit(template.after_role))
-        bears = turn["role"].isin(*template.loss_roles) if template.loss_roles else F.lit(False)
         part = lambda value, loss: F.struct(value.alias("text"), loss.alias("loss"))
-        return F.array(
-            part(shown, F.lit(False)),
-            part(_escape(turn["text"], template), bears),
-            part(F.lit(template.close + template.between), F.lit(False)),
-        )
+        return F.array(part(turn["shown"], F.lit(False)), part(turn["body"], turn["loss"]), part(F.lit(tail), F.lit(False)))
+
+    def span(turn: Column) -> Column:
+        return F.struct(turn["start"].alias("start"), F.char_length(turn["body"]).alias("length"), turn["loss"].alias("loss"))
 
     machine = _machine(template)
 
@@ -120,34 +131,27 @@ def format_conversations(turns: DataFrame, template: ChatTemplate | None = None)
         "conv_id",
         F.size("turns").cast("long").alias("n_turns"),
         F.flatten(F.transform("turns", segments)).alias("segments"),
+        F.array_join(F.transform("turns", lambda t: F.concat(t["shown"], t["body"], F.lit(tail))), "").alias("formatted"),
+        F.transform("turns", span).alias("turn_spans"),
         F.aggregate("turns", begin, step).alias("order"),
     )
-
-    def span(state: Column, segment: Column) -> Column:
-        length = F.char_length(segment["text"])
-        here = F.array(F.struct(state["at"].alias("start"), length.alias("length")))
-        none = F.array().cast("array<struct<start:int,length:int>>")
-        return F.struct(
-            (state["at"] + length).alias("at"),
-            F.concat(state["spans"], F.when(segment["loss"], here).otherwise(none)).alias("spans"),
-        )
-
-    empty = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,length:int>>").alias("spans"))
     return built.select(
         "conv_id",
         "n_turns",
         "segments",
-        F.array_join(F.transform("segments", lambda s: s["text"]), "").alias("formatted"),
-        F.aggregate("segments", empty, span)["spans"].alias("loss_spans"),
+        "formatted",
+        "turn_spans",
+        F.transform(F.filter("turn_spans", lambda s: s["loss"]), lambda s: F.struct(s["start"], s["length"])).alias("loss_spans"),
         (F.col("order.at").isin(*template.ends) if template.ends else F.col("order.at") != BROKEN).alias("valid"),
         F.when(F.col("order.at") == BROKEN, F.col("order.fine").cast("long")).alias("broken_at"),
     )
 
 
 def read_formatted(formatted: DataFrame, template: ChatTemplate | None = None) -> DataFrame:
-    """The turns and the loss text, recovered from ``formatted`` and ``loss_spans`` alone.
+    """The turns and the loss text, recovered from ``formatted`` and ``turn_spans`` alone.
 
-    Adds ``read_turns`` (array of role and text) and ``loss_text`` to the columns given.
+    Adds ``read_turns`` (array of role and text) and ``loss_text`` to the columns given. A turn whose text is not
+    as long as its span says makes ``loss_text`` null.
     """
     template = template or ChatTemplate()
     # Escaped texts hold no bare mark, so the marks cut the text apart exactly.
@@ -155,17 +159,25 @@ def read_formatted(formatted: DataFrame, template: ChatTemplate | None = None) -
     pieces = F.slice(cut_apart, F.lit(2), F.size(cut_apart))
     ending = len(template.close + template.between)
 
+    def role_of(piece: Column) -> Column:
+        return F.substring_index(piece, "\n", 1)
+
+    def body_of(piece: Column) -> Column:
+        start = F.char_length(role_of(piece)) + 2
+        return F.substr(piece, start, F.char_length(piece) - start + 1 - ending)
+
     def turn(piece: Column) -> Column:
-        role = F.substring_index(piece, "\n", 1)
-        start = F.char_length(role) + 2
-        body = F.substr(piece, start, F.char_length(piece) - start + 1 - ending)
-        return F.struct(_unescape_role(role, template).alias("role"), _unescape(body, template).alias("text"))
+        return F.struct(_unescape_role(role_of(piece), template).alias("role"), _unescape(body_of(piece), template).alias("text"))
+
+    def under_loss(piece: Column, span: Column) -> Column:
+        fits = F.char_length(body_of(piece)) == span["length"]
+        return F.when(~span["loss"], F.lit("")).otherwise(F.when(fits, _unescape(body_of(piece), template)))
 
-    cut = lambda span: _unescape(F.substr("formatted", span["start"] + 1, span["length"]), template)
+    parts = F.zip_with(pieces, "turn_spans", under_loss)
     return formatted.withColumns(
         {
             "read_turns": F.transform(pieces, turn),
-            "loss_text": F.array_join(F.transform("loss_spans", cut), ""),
+            "loss_text": F.when(~F.exists(parts, lambda p: p.isNull()), F.array_join(parts, "")),
         }
     )
 

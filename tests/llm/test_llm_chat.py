@@ -1,6 +1,9 @@
 """Formatting reads back, whatever texts and roles hold; the order of roles is judged as written."""
 
+import time
+
 import pytest
+from pyspark.sql import functions as F
 
 from partloom.llm.chat_format import ChatTemplate, format_conversations, read_formatted
 
@@ -47,3 +50,31 @@ def test_other_templates(spark):
     for bad in ({"mark": "<<"}, {"mark": "x"}, {"open": "no"}, {"close": "<|im_start|>"}, {"after_role": ":"}):
         with pytest.raises(ValueError):
             ChatTemplate(**bad)
+
+
+def test_spans_are_where_the_texts_are(spark):
+    rows = [(1, i, role, text) for i, (role, text) in enumerate([("user", "é<|x"), ("assistant", "a\\b"), ("odd\n", ""), ("assistant", "日本 <|")])]
+    r = run(spark, rows)[1]
+    bodies = [s.text for s in r.segments[1::3]]
+    assert [r.formatted[s.start: s.start + s.length] for s in r.turn_spans] == bodies
+    assert [(s.start, s.length) for s in r.loss_spans] == [(s.start, s.length) for s in r.turn_spans if s.loss] and len(r.loss_spans) == 2
+
+
+def test_spans_that_do_not_fit_are_told(spark):
+    frame = spark.createDataFrame([(1, 0, "user", "x"), (1, 1, "assistant", "abc")], "conv_id long, turn long, role string, text string")
+    bent = format_conversations(frame).withColumn("turn_spans", F.transform("turn_spans", lambda s: s.withField("length", s["length"] + 1)))
+    assert read_formatted(bent).first().loss_text is None
+
+
+def test_many_turns_take_linear_time(spark):
+    def seconds(n):
+        turns = spark.range(n).selectExpr("1L AS conv_id", "id AS turn", "if(id % 2 = 0, 'user', 'assistant') AS role", "repeat(concat('word', id), 12) AS text")
+        turns = turns.repartition(4)
+        started = time.perf_counter()
+        found = read_formatted(format_conversations(turns)).select(F.size("read_turns"), F.char_length("loss_text"), "valid").first()
+        assert found[0] == n and found[2]
+        return time.perf_counter() - started, found[1]
+
+    seconds(100)
+    spent, chars = seconds(16_000)
+    assert spent < 5 and chars == 12 * sum(4 + len(str(i)) for i in range(1, 16_000, 2))
