@@ -62,28 +62,14 @@ def op2_embedding_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_warc_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = work_folder(spark)
     warc_transactions.write_archives(table(spark, sf_dir, "pages").select("page_id", "url", "html"), f"{folder}archives")
-    read = warc_transactions.read_archives(spark, f"{folder}archives")
-    # Payloads are looked at as they are read; captures are assembled from what is asked of them below.
-    is_page = F.col("type") == "response"
-    records = read.withColumns(
-        {
-            "stored_bytes": F.when(is_page, F.octet_length("payload").cast("long")),
-            "stored_digest": F.when(is_page, F.sha1("payload")),
-            "payload": F.when(F.col("type") == "metadata", F.col("payload")),
-            "http_head": F.when(F.col("type") == "revisit", F.col("http_head")),
-            "payload_digest": F.when(F.col("type") == "revisit", F.col("payload_digest")),
-            "target_uri": F.lit(None).cast("string"),
-            "date": F.lit(None).cast("string"),
-        }
-    )
-    records = stored(records, folder, "records")
-    captures = warc_transactions.assemble(records, folder)
+    captures = warc_transactions.assemble(warc_transactions.read_archives(spark, f"{folder}archives"), folder)
     head = warc_transactions.field_of(F.col("capture.http_head"), "Content-Length")
+    here = F.col("capture.type") == "response"
     pages = captures.select(
         "capture_id",
         warc_transactions.field_of(F.element_at("metadata", 1)["payload"], "page-id").cast("long").alias("page_id"),
-        F.coalesce("capture.stored_bytes", head.cast("long")).alias("payload_bytes"),
-        F.coalesce("capture.stored_digest", F.regexp_replace("capture.payload_digest", "^sha1:", "")).alias("payload_digest"),
+        F.when(here, F.octet_length("capture.payload")).otherwise(head).cast("long").alias("payload_bytes"),
+        F.when(here, F.sha1("capture.payload")).otherwise(F.regexp_replace("capture.payload_digest", "^sha1:", "")).alias("payload_digest"),
         F.col("capture.type").alias("record_type"),
         F.col("capture.refers_to").alias("target"),
         F.size("requests").cast("long").alias("n_requests"),

@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
+from itertools import groupby
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -113,26 +114,16 @@ RECORDS = (
 
 
 class _Bytes:
-    """The bytes of a gzip or plain archive, unpacked as they are asked for."""
+    """Bytes that come in parts, taken as they are needed."""
 
-    def __init__(self, content: memoryview):
-        self._rest, self._held = content, bytearray()
-        self._gzip = bytes(content[:2]) == b"\x1f\x8b"
-        self._unpack = zlib.decompressobj(31) if self._gzip else None
+    def __init__(self, parts: Iterator[bytes]):
+        self._parts, self._held = parts, bytearray()
 
     def _more(self) -> bool:
-        if not len(self._rest):
+        part = next(self._parts, None)
+        if part is None:
             return False
-        part, self._rest = self._rest[: 1 << 20], self._rest[1 << 20:]
-        if not self._gzip:
-            self._held += part
-            return True
-        data = bytes(part)
-        while data:
-            self._held += self._unpack.decompress(data)
-            data = self._unpack.unused_data
-            if data:  # the next member of a file compressed record by record
-                self._unpack = zlib.decompressobj(31)
+        self._held += part
         return True
 
     def upto(self, mark: bytes) -> bytes | None:
@@ -146,8 +137,8 @@ class _Bytes:
         del self._held[: at + len(mark)]
         return out
 
-    def rest(self) -> int:
-        return len(self._held)
+    def rest(self) -> bytes:
+        return bytes(self._held)
 
     def take(self, n: int) -> bytes:
         while len(self._held) < n and self._more():
@@ -159,10 +150,28 @@ class _Bytes:
         return out
 
 
+def unpacked(content: memoryview) -> Iterator[bytes]:
+    """The parts of a gzip or plain archive, unpacked as they are asked for."""
+    pack = zlib.decompressobj(31) if bytes(content[:2]) == b"\x1f\x8b" else None
+    for at in range(0, len(content), 1 << 20):
+        data = bytes(content[at: at + (1 << 20)])
+        if pack is None:
+            yield data
+        while pack is not None and data:
+            yield pack.decompress(data)
+            data = pack.unused_data
+            if data:  # the next member of a file compressed record by record
+                pack = zlib.decompressobj(31)
+
+
 def records_of(content: memoryview) -> Iterator[tuple[list[tuple[str, str]], bytes]]:
     """Header fields, with their names in lower case, and block of every record of an archive."""
-    data = _Bytes(content)
-    while (head := data.upto(b"\r\n\r\n")) is not None:
+    return _records(unpacked(content))
+
+
+def _records(parts: Iterator[bytes]) -> Iterator[tuple[list[tuple[str, str]], bytes]]:
+    data = _Bytes(parts)
+    while (head := data.upto(b"\r\n\r\n")) is not None and head.strip():
         lines = head.decode().split("\r\n")
         if not lines[0].startswith("WARC/"):
             raise ValueError(f"not a WARC record: {lines[0][:40]!r}")
@@ -170,7 +179,7 @@ def records_of(content: memoryview) -> Iterator[tuple[list[tuple[str, str]], byt
         block = data.take(int(dict(fields)["content-length"]))
         data.take(4)
         yield fields, block
-    if data.rest():
+    if data.rest().strip(b"\r\n"):
         raise ValueError("an archive ends within a record")
 
 
@@ -191,27 +200,44 @@ _BATCH = 8 << 20
 
 
 def read_archives(spark: SparkSession, path: str) -> DataFrame:
-    """A row per record of the archives below ``path``."""
+    """A row per record of the archives below ``path``.
+
+    Packed archives are read by Spark's text reader, cut at blank lines, and put together again record by record
+    as they come, so an archive of any size needs the memory of its largest record. Others, which that reader
+    would divide among tasks within records, are read as one value each and so must be under 2 GB.
+    """
     kinds = [pa.string(), pa.string(), pa.list_(pa.string()), *[pa.string()] * 5, pa.binary()]
     names = [c.split()[0] for c in RECORDS.split(", ")]
 
-    def batch(rows: list[tuple]) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names=names)
+    def batches_of(records: Iterator[tuple]) -> Iterator[pa.RecordBatch]:
+        rows, held = [], 0
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def batch() -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names=names)
+
+        for fields, block in records:
+            rows.append(_row(fields, block))
+            held += len(block)
+            if held >= _BATCH:
+                yield batch()
+                rows, held = [], 0
+        if rows:
+            yield batch()
+
+    def from_files(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for files in batches:
             for content in plain(files.column("content")):
-                rows, held = [], 0
-                for fields, block in records_of(memoryview(content.as_buffer())):
-                    rows.append(_row(fields, block))
-                    held += len(block)
-                    if held >= _BATCH:
-                        yield batch(rows)
-                        rows, held = [], 0
-                if rows:
-                    yield batch(rows)
+                yield from batches_of(records_of(memoryview(content.as_buffer())))
 
-    return spark.read.format("binaryFile").load(path).select("content").mapInArrow(run, RECORDS)
+    def from_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lines = (pair for batch in batches for pair in zip(batch.column("file"), batch.column("value"), strict=True))
+        for _, of_file in groupby(lines, key=lambda pair: pair[0].as_py()):
+            yield from batches_of(_records(bytes(value.as_buffer()) + _END.encode() for _, value in of_file))
+
+    packed = spark.read.option("lineSep", _END).option("pathGlobFilter", "*.gz").text(path)
+    packed = packed.select(F.col("_metadata.file_path").alias("file"), F.col("value").cast("binary").alias("value"))
+    bare = spark.read.format("binaryFile").option("pathGlobFilter", "{*[!z],*[!g]z}").load(path).select("content")
+    return packed.mapInArrow(from_lines, RECORDS).unionByName(bare.mapInArrow(from_files, RECORDS))
 
 
 CAPTURE_TYPES = ("response", "revisit", "resource")
@@ -224,36 +250,41 @@ def assemble(records: DataFrame, folder: str | None = None) -> DataFrame:
     Captures and the records that name them meet in one grouping by the identifier. Identifiers may point
     either way; where some name a record that is no capture, those are followed first. A record that names
     several captures is with each. Captures with more records than another only make their own row longer.
+    Of captures with one identifier the first by (date, target_uri, payload_digest, type) is ``capture``, the others
+    are in ``repeats``.
     """
     folder = folder or work_folder(records.sparkSession)
+    # Only identifiers are looked at more than once; whole records are read for the grouping alone.
+    slim = stored(records.select("record_id", "type", "concurrent_to"), folder, "pointers")
     is_capture = F.col("type").isin(*CAPTURE_TYPES)
-    pointing = records.select("record_id", is_capture.alias("is_capture"), F.explode("concurrent_to").alias("other"))
+    pointing = slim.select("record_id", is_capture.alias("is_capture"), F.explode("concurrent_to").alias("other"))
     named = pointing.where("NOT is_capture").select(F.col("record_id").alias("part"), F.col("other").alias("at"))
     naming = pointing.where("is_capture").select(F.col("other").alias("part"), F.col("record_id").alias("at"))
-    ids = records.where(is_capture).select(F.col("record_id").alias("at"))
+    ids = slim.where(is_capture).select(F.col("record_id").alias("at")).distinct()
     indirect = stored(named.join(ids, "at", "left_anti"), folder, "indirect")
-    parts = records.where(~is_capture)
+    fields = ("record_id", "type", "target_uri", "date", "http_head", "payload")
+    order = ("date", "target_uri", "payload_digest", "type")
+    names = [*order, *(name for name in records.columns if name not in order)]
+    whole = F.struct(*(f"`{name}`" for name in names))
     if is_empty(indirect) and is_empty(naming):
-        placed = parts.withColumn("capture_id", F.explode(F.array_distinct("concurrent_to")))
+        at = F.when(is_capture, F.array("record_id")).otherwise(F.array_distinct("concurrent_to"))
+        both = records.withColumn("capture_id", F.explode(at))
     else:
         places = _follow(named, naming, ids, indirect, folder)
-        placed = parts.join(places.select(F.col("part").alias("record_id"), F.col("at").alias("capture_id")), "record_id")
-    fields = ("record_id", "type", "target_uri", "date", "http_head", "payload")
-    part = F.struct(*fields)
-    whole = F.struct(*(f"`{name}`" for name in records.columns))
-    captures = records.where(is_capture).select(F.col("record_id").alias("capture_id"), whole.alias("capture"))
-    both = captures.withColumn("part", F.lit(None).cast(parts.select(part.alias("p")).schema["p"].dataType)).unionByName(
-        placed.select("capture_id", F.lit(None).cast(captures.schema["capture"].dataType).alias("capture"), part.alias("part"))
-    )
+        placed = records.where(~is_capture).join(places.select(F.col("part").alias("record_id"), F.col("at").alias("capture_id")), "record_id")
+        both = records.where(is_capture).withColumn("capture_id", F.col("record_id")).unionByName(placed)
+    both = both.select("capture_id", F.when(is_capture, whole).alias("capture"), F.when(~is_capture, F.struct(*fields)).alias("part"))
     gathered = both.groupBy("capture_id").agg(
-        F.first("capture", ignorenulls=True).alias("capture"), F.sort_array(F.collect_list("part")).alias("parts")
-    ).where("capture IS NOT NULL")
+        F.sort_array(F.collect_list("capture")).alias("captures"), F.sort_array(F.collect_list("part")).alias("parts")
+    ).where("size(captures) > 0")
     kind = lambda wanted: F.filter("parts", lambda p: wanted(p["type"]))
     return gathered.select(
-        "capture_id", "capture",
+        "capture_id",
+        F.element_at("captures", 1).alias("capture"),
         kind(lambda t: t == "request").alias("requests"),
         kind(lambda t: t == "metadata").alias("metadata"),
         kind(lambda t: ~t.isin("request", "metadata")).alias("others"),
+        F.slice("captures", F.lit(2), F.size("captures")).alias("repeats"),
     )
 
 

@@ -88,3 +88,32 @@ def test_links_through_others_and_backwards(spark):
 
 def test_no_records(spark):
     assert captures(spark, []) == {}
+
+
+def test_archives_packed_and_plain(spark, tmp_path):
+    """Packed whole or record by record, or not at all; blocks with blank lines within, before and after them."""
+    blocks = ["a\r\nb", "\r\n\r\n", "x\r\n", "\r\n", "", "é\r\n\r\n\r\nz\r\n\r\n", "y" * 300_000]
+    head = "WARC/1.1\r\nWARC-Type: metadata\r\nWARC-Record-ID: {}\r\nContent-Length: {}\r\n\r\n{}\r\n\r\n"
+    for kind in ("whole.warc.gz", "each.warc.gz", "plain.warc"):
+        texts = [head.format(f"{kind}-{i}", len(b.encode()), b).encode() for i, b in enumerate(blocks)]
+        packed = {"whole.warc.gz": gzip.compress(b"".join(texts)), "each.warc.gz": b"".join(map(gzip.compress, texts)), "plain.warc": b"".join(texts)}
+        (tmp_path / kind).write_bytes(packed[kind])
+    (tmp_path / "empty.warc.gz").write_bytes(gzip.compress(b""))
+    found = {r.record_id: bytes(r.payload).decode() for r in warc.read_archives(spark, f"file:{tmp_path}").collect()}
+    assert found == {f"{kind}-{i}": b for kind in ("whole.warc.gz", "each.warc.gz", "plain.warc") for i, b in enumerate(blocks)}
+
+
+def test_captures_of_one_identifier(spark):
+    """The first by date is the capture, the others are told, whatever order they come in."""
+    rows = [("a", "response", [], None, date, None, None, None, date.encode()) for date in ("2024", "2022", "2023")] + [record("q", "request", "a")]
+    for turn in range(4):
+        frame = spark.createDataFrame(rows[turn:] + rows[:turn], warc.RECORDS).repartition(3)
+        (got,) = warc.assemble(frame).collect()
+        assert got.capture.date == "2022" and [r.date for r in got.repeats] == ["2023", "2024"] and len(got.requests) == 1
+        assert got.capture.payload == b"2022"
+
+
+def test_captures_hold_their_payloads(spark, archive):
+    found = warc.assemble(warc.read_archives(spark, archive)).collect()
+    assert {bytes(r.capture.payload).decode() for r in found if r.capture.type == "response"} == {h or "" for i, _, h in PAGES if i is not None and h != "é" * 599}
+    assert all(len(r.requests) == len(r.metadata) == 1 and r.capture.target_uri and not r.repeats for r in found)
