@@ -22,8 +22,9 @@ from __future__ import annotations
 import re
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
-from functools import lru_cache
+from functools import cached_property, lru_cache
 from heapq import heapify, heappop, heappush
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -66,6 +67,19 @@ class Vocabulary:
     pairs: np.ndarray
     merged: np.ndarray
     rank: np.ndarray
+    inner: np.ndarray  # pairs of characters that follow each other in some piece, as sorted numbers
+
+    @cached_property
+    def merges(self) -> dict[int, tuple[int, int]]:
+        """Rank and merged id by pair, for merges that are looked up one by one."""
+        held = np.flatnonzero(self.pairs >= 0)
+        return dict(zip(self.pairs[held].tolist(), zip(self.rank[held].tolist(), self.merged[held].tolist(), strict=True), strict=True))
+
+    def crossing(self, points: np.ndarray) -> np.ndarray:
+        """For each character but the last, whether a piece may reach from it to the next one."""
+        key = points[:-1].astype(np.int64) * 0x110000 + points[1:]
+        at = np.minimum(np.searchsorted(self.inner, key), len(self.inner) - 1)
+        return self.inner[at] == key if len(self.inner) else np.zeros(len(key), bool)
 
     def merge(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The merged id and rank of neighbours; no rank where they do not merge."""
@@ -114,7 +128,10 @@ def vocabulary(model_file: str) -> Vocabulary:
         while pairs[slot] >= 0:
             slot = (slot + 1) & _SLOTS
         pairs[slot], row[slot] = keys[i], i
-    return Vocabulary(pieces, byte_ids, spelled, of_character, pairs, table[row, 2].astype(np.int32), rank[row])
+    inner = {ord(a) * 0x110000 + ord(b) for piece in pieces for a, b in pairwise(piece)}
+    return Vocabulary(
+        pieces, byte_ids, spelled, of_character, pairs, table[row, 2].astype(np.int32), rank[row], np.array(sorted(inner), np.int64)
+    )
 
 
 def _skips(seed: int, variant: np.ndarray, merged: np.ndarray, left: np.ndarray, place: np.ndarray, dropout: float) -> np.ndarray:
@@ -127,35 +144,43 @@ def _skips(seed: int, variant: np.ndarray, merged: np.ndarray, left: np.ndarray,
     return ((x ^ (x >> u(31))) >> u(11)).astype(np.float64) < dropout * 2.0**53
 
 
-def segment(word: str, v: Vocabulary, dropout: float = 0.0, seed: int = 0, variant: int = 0) -> list[int]:
-    """Symbol ids of one word, its spaces written as ``\u2581``, by an agenda of candidate merges."""
-    ids = v.of_character[np.frombuffer(word.encode("utf-32-le"), np.uint32)].tolist()
-    n = len(ids)
-    before, after = list(range(-1, n - 1)), list(range(1, n + 1))
+_64 = (1 << 64) - 1
 
-    def candidates(left: list[int]) -> list[tuple]:
-        if not left:
-            return []
-        right = [after[i] for i in left]
-        a, b = np.array([ids[i] for i in left]), np.array([ids[j] for j in right])
-        merged, rank = v.merge(a, b)
-        return [x for x in zip(rank.tolist(), left, right, a.tolist(), b.tolist(), merged.tolist(), strict=True) if x[0] != _NONE]
 
-    agenda = candidates(list(range(n - 1)))
+def _skips_one(seed: int, variant: int, merged: int, left: int, place: int, dropout: float) -> bool:
+    """``_skips`` for a single candidate."""
+    x = (merged * 0x9E3779B97F4A7C15 ^ left * 0xC2B2AE3D27D4EB4F) & _64
+    x = (x ^ place << 40 ^ variant * 0x165667B19E3779F9 ^ seed * 0x27D4EB2F165667C5) & _64
+    x = (x ^ x >> 30) * 0xBF58476D1CE4E5B9 & _64
+    x = (x ^ x >> 27) * 0x94D049BB133111EB & _64
+    return (x ^ x >> 31) >> 11 < dropout * 2.0**53
+
+
+def segment(word: str, v: Vocabulary, dropout: float = 0.0, seed: int = 0, variant: int = 0, offset: int = 0) -> list[int]:
+    """Symbol ids of one word, its spaces written as ``\u2581``, by an agenda of candidate merges.
+    ``offset`` is the place of its first character where it is a part of a longer word."""
+    ids = v.of_character[np.frombuffer(word.encode("utf-32-le"), np.uint32)].tolist()
+    n, variant, merges = len(ids), int(variant), v.merges
+    before, after = list(range(-1, n - 1)), list(range(1, n + 1))
+    agenda = []
+    for i in range(n - 1):
+        if found := merges.get(ids[i] << _SHIFT | ids[i + 1]):
+            agenda.append((found[0], i, i + 1, ids[i], ids[i + 1], found[1]))
     heapify(agenda)
-    one = lambda x: np.array([x])
     while agenda:
         _, i, j, a, b, merged = heappop(agenda)
         if ids[i] != a or after[i] != j or ids[j] != b:
             continue  # one of the two has been merged meanwhile
-        if dropout and _skips(seed, one(variant), one(merged), one(a), one(i), dropout)[0]:
+        if dropout and _skips_one(seed, variant, merged, a, i + offset, dropout):
             continue
         ids[i], ids[j] = merged, -1
-        after[i] = after[j]
-        if after[j] < n:
-            before[after[j]] = i
-        for c in candidates([x for x in (before[i], i) if x >= 0 and after[x] < n]):
-            heappush(agenda, c)
+        after[i] = k = after[j]
+        if k < n:
+            before[k] = i
+            if found := merges.get(merged << _SHIFT | ids[k]):
+                heappush(agenda, (found[0], i, k, merged, ids[k], found[1]))
+        if (h := before[i]) >= 0 and (found := merges.get(ids[h] << _SHIFT | merged)):
+            heappush(agenda, (found[0], h, i, ids[h], merged, found[1]))
     out, i = [], 0
     while i < n:
         out.append(ids[i])
@@ -164,12 +189,15 @@ def segment(word: str, v: Vocabulary, dropout: float = 0.0, seed: int = 0, varia
 
 
 def _segment_table(
-    ids: np.ndarray, size: np.ndarray, v: Vocabulary, dropout: float, seed: int, variant: np.ndarray, merges: list | None = None
+    ids: np.ndarray, size: np.ndarray, v: Vocabulary, dropout: float, seed: int, variant: np.ndarray, merges: list | None = None,
+    offset: np.ndarray | None = None,
 ) -> tuple[np.ndarray, np.ndarray]:
     """The agendas of many short words at once: a row of ``ids`` is a word of ``size`` symbols. Every
     round takes the first candidate of each word and skips or merges it. The symbols that are left, and how many.
-    ``merges`` gets the row, merged piece, left piece and place of each candidate that was taken."""
+    ``merges`` gets the row, merged piece, left piece and place of each candidate that was taken. ``offset``:
+    places of the rows' first symbols in their words."""
     n, width = ids.shape
+    offset = np.zeros(n, np.int64) if offset is None else offset
     column = np.arange(width, dtype=np.int32)
     inside = column < size[:, None]
     if width < 2:
@@ -193,9 +221,9 @@ def _segment_table(
             row, at, place = row[live], at[live], place[live]
         to = flat_merged[place]
         if merges is not None:
-            merges.append((row, to, flat[place], at))
+            merges.append((row, to, flat[place], at + offset[row]))
         if dropout and len(row):
-            skip = _skips(seed, variant[row], to, flat[place], at, dropout)
+            skip = _skips(seed, variant[row], to, flat[place], at + offset[row], dropout)
             flat_rank[place[skip]] = _NONE
             kept = ~skip
             r, at, place, to = row[kept], at[kept], place[kept], to[kept]
@@ -226,11 +254,10 @@ def segment_many(
     """The piece ids of all words, one after the other, and where each word's begin (and the last ends).
     ``merges`` gets the candidates that were taken, by word number; none of words that are segmented alone."""
     points = np.frombuffer("".join(words).encode("utf-32-le"), np.uint32)
-    length = np.fromiter(map(len, words), np.int64, len(words))
-    start = np.cumsum(length) - length
     symbols = v.of_character[points]
-    count = np.zeros(len(words), np.int64)
-    parts: list[tuple[np.ndarray, np.ndarray]] = []  # word numbers, and their symbols one after the other
+    word, start, length, offset = _units(words, points, v)
+    count = np.zeros(len(word), np.int64)
+    parts: list[tuple[np.ndarray, np.ndarray]] = []  # numbers of units, and their symbols one after the other
     kind = np.searchsorted(_WIDTHS, length)
     for k, width in enumerate(_WIDTHS):
         chosen = np.flatnonzero(kind == k)
@@ -240,13 +267,14 @@ def segment_many(
             inside = np.arange(width) < length[some][:, None]
             ids = np.where(inside, symbols[np.minimum(start[some][:, None] + np.arange(width), max(0, len(symbols) - 1))], -1)
             taken = None if merges is None else []
-            ids, size = _segment_table(ids.astype(np.int32), length[some], v, dropout, seed, variants[some], taken)
+            ids, size = _segment_table(ids.astype(np.int32), length[some], v, dropout, seed, variants[word[some]], taken, offset[some])
             if merges is not None:
-                merges += [(some[row], *rest) for row, *rest in taken]
+                merges += [(word[some[row]], *rest) for row, *rest in taken]
             count[some] = size
             parts.append((some, ids))
-    for i in np.flatnonzero(kind == len(_WIDTHS)):
-        found = np.array(segment(words[i], v, dropout, seed, int(variants[i])), np.int32)
+    for i in np.flatnonzero(kind == len(_WIDTHS)).tolist():
+        text = points[start[i]: start[i] + length[i]].tobytes().decode("utf-32-le")
+        found = np.array(segment(text, v, dropout, seed, int(variants[word[i]]), int(offset[i])), np.int32)
         count[i] = len(found)
         parts.append((np.array([i]), found))
     begin = np.concatenate([[0], np.cumsum(count)])
@@ -254,7 +282,29 @@ def segment_many(
     for some, ids in parts:
         n = count[some]
         flat[np.arange(len(ids)) - np.repeat(np.cumsum(n) - n, n) + np.repeat(begin[some], n)] = ids
-    return _in_bytes(flat, begin, v)
+    return _in_bytes(flat, begin[np.searchsorted(word, np.arange(len(words) + 1))], v)
+
+
+def _units(words: list[str], points: np.ndarray, v: Vocabulary) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """What is segmented by itself: its word, first character, length and place in the word. Words of more than the
+    greatest width are cut wherever no piece reaches across, which no merge can tell."""
+    length = np.fromiter(map(len, words), np.int64, len(words))
+    start = np.cumsum(length) - length
+    long = np.flatnonzero(length > _WIDTHS[-1])
+    if not len(long):
+        return np.arange(len(words)), start, length, np.zeros(len(words), np.int64)
+    heads = [start[length > 0]]
+    for i in long.tolist():
+        heads.append(start[i] + 1 + np.flatnonzero(~v.crossing(points[start[i]: start[i] + length[i]])))
+    empty = np.flatnonzero(length == 0)
+    begin = np.unique(np.concatenate(heads))
+    word = np.searchsorted(start, begin, side="right") - 1
+    word = np.concatenate([word, empty])  # of words that begin at one place the last has the characters
+    size = np.concatenate([np.diff(begin, append=len(points)), np.zeros(len(empty), np.int64)])
+    begin = np.concatenate([begin, start[empty]])
+    order = np.argsort(word, kind="stable")
+    word, begin, size = word[order], begin[order], size[order]
+    return word, begin, size, begin - start[word]
 
 
 def _in_bytes(flat: np.ndarray, begin: np.ndarray, v: Vocabulary) -> tuple[np.ndarray, np.ndarray]:
@@ -264,14 +314,16 @@ def _in_bytes(flat: np.ndarray, begin: np.ndarray, v: Vocabulary) -> tuple[np.nd
         return flat, begin
     kinds, which = np.unique(flat[strange], return_inverse=True)
     spelled = [[v.byte_ids[b] for b in chr(k - _CHARACTER).encode()] for k in kinds.tolist()]
+    length = np.array([len(x) for x in spelled])
     size = np.ones(len(flat), np.int64)
-    size[strange] = np.array([len(x) for x in spelled])[which]
+    size[strange] = length[which]
     place = np.concatenate([[0], np.cumsum(size)])
     out = np.repeat(flat, size)
-    for k, ids in enumerate(spelled):
-        at = place[:-1][np.flatnonzero(strange)[which == k]]
-        for i, x in enumerate(ids):
-            out[at + i] = x
+    # Each occurrence takes the bytes of its kind, which stand one after the other.
+    n = length[which]
+    step = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+    first = (np.cumsum(length) - length)[which]
+    out[np.repeat(place[:-1][strange], n) + step] = np.concatenate(spelled)[np.repeat(first, n) + step]
     return out, place[begin]
 
 
