@@ -206,7 +206,7 @@ FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM filled)
 WHERE regexp_matches(line, '[^\x20\x09-\x0D]') GROUP BY doc_id
 """
 
-ORACLES["op10_rule_ledger"] = rf"""
+_LEDGER = rf"""
 WITH filled AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
 split AS (SELECT doc_id, text, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS words FROM filled),
 repeated AS ({_REPEATED}),
@@ -225,12 +225,30 @@ found AS (
     + 32 * (100 * n_dup_lines > 30 * n_lines)::INT + 64 * (100 * n_letter_words < 70 * n_words)::INT
     + 128 * (n_words > 1000000)::INT AS BIGINT) AS failed FROM found
 )
+"""
+
+ORACLES["op10_rule_ledger"] = _LEDGER + """
 SELECT *, (failed & 3) = 0 AS kept_base_v1, (failed & 127) = 0 AS kept_standard_v1,
   (failed & 3) <> 0 AS base_failed, (failed & 127) = 0 AS kept
 FROM ledger
 """
 
 
+@registered
+def rule_ablation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What each rule of the standard policy does alone, from the ledger's bitmasks."""
+    return quality_rules.ablation(quality_rules.measure(table(spark, sf_dir, "documents")))
+
+
+ORACLES["rule_ablation"] = _LEDGER + """, masks AS (SELECT failed & 127 AS bits FROM ledger),
+rules(rule, bit) AS (
+  VALUES ('few_words', 1), ('repeated_windows', 2), ('short_words', 4), ('long_words', 8), ('many_symbols', 16), ('dup_lines', 32), ('few_letters', 64)
+)
+SELECT rule, CAST(sum((bits & bit <> 0)::INT) AS BIGINT) AS fail, CAST(sum((bits = bit)::INT) AS BIGINT) AS fail_only_this,
+  CAST(sum((bits = 0)::INT) AS BIGINT) AS kept_with, CAST(sum((bits = 0 OR bits = bit)::INT) AS BIGINT) AS kept_without
+FROM masks CROSS JOIN rules GROUP BY rule
+"""
+
 @registered
 def op11_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     done = suffix_dedup.remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"), min_bytes=200)
