@@ -381,7 +381,9 @@ def _line_links(buckets: DataFrame, lines: DataFrame, found: DataFrame, o: Optio
     # A large bucket is cut into blocks, and every pair of blocks is a group; small ones share a group.
     blocks = F.ceil(F.col("size") / BLOCK).cast("int")
     own = F.pmod(F.xxhash64("id"), blocks).cast("int")
-    shared = max(1, -(-buckets.where(F.col("size") <= SMALL).count() // TOGETHER))
+    # As many groups as a shuffle has tasks at least, so that no task has most of the small buckets.
+    tasks = int(buckets.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    shared = max(tasks, -(-buckets.where(F.col("size") <= SMALL).count() // TOGETHER))
     group = F.when(F.col("size") <= SMALL, F.pmod(F.xxhash64("bucket"), F.lit(shared))).otherwise(F.col("bucket"))
     spread = members.select(
         "bucket", "id", "shingles", (F.col("size") <= SMALL).alias("small"), group.alias("group"), own.alias("own"),
