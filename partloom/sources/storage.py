@@ -32,7 +32,7 @@ def shared_folder(spark: SparkSession) -> str:
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
         raise ConfigError("spark.checkpoint.dir is not set: name an output folder")
-    uri = _qualified(spark, folder)
+    uri = qualified(spark, folder)
     if uri.startswith("file:") and not _is_one_machine(spark):
         log.warning("spark.checkpoint.dir is %s: every node must reach it under that path, as a shared mount", uri)
     return uri
@@ -191,11 +191,6 @@ def delete_if_empty(spark: SparkSession, uris: Iterable[str]) -> None:
             return
 
 
-def qualified(spark: SparkSession, uri: str) -> str:
-    """``uri`` in full, ending in a slash, as equal directories are spelled alike."""
-    return _qualified(spark, uri)
-
-
 def move(spark: SparkSession, source: str, target: str) -> None:
     fs, path = _open(spark, source)
     goal = _open(spark, target)[1]
@@ -209,12 +204,12 @@ def aside_of(spark: SparkSession, uri: str) -> str:
 
 
 def same_place(spark: SparkSession, left: str, right: str) -> bool:
-    return _qualified(spark, left) == _qualified(spark, right)
+    return qualified(spark, left) == qualified(spark, right)
 
 
 def holds(spark: SparkSession, outer: str, inner: str) -> bool:
     """Whether ``inner`` is ``outer`` or lies below it."""
-    return _qualified(spark, inner).startswith(_qualified(spark, outer))
+    return qualified(spark, inner).startswith(qualified(spark, outer))
 
 
 def overlapping(spark: SparkSession, places: Iterable[str], others: Iterable[str]) -> list[str]:
@@ -237,12 +232,13 @@ def full_name(spark: SparkSession, uri: str) -> str:
     """As ``qualified``; a name that is in full already takes no call to the file system."""
     told = _IN_FULL.fullmatch(uri)
     if not told or "//" in told[3] or (told[1] != "file:" and not told[2]):
-        return _qualified(spark, uri)
+        return qualified(spark, uri)
     host = "" if told[2] in (None, "//") else told[2]
     return normalise(f"{told[1]}{host}{told[3]}")
 
 
-def _qualified(spark: SparkSession, uri: str) -> str:
+def qualified(spark: SparkSession, uri: str) -> str:
+    """``uri`` in full, ending in a slash, as equal directories are spelled alike."""
     fs, path = _open(spark, uri)
     return normalise(fs.makeQualified(path).toString())
 
