@@ -154,7 +154,12 @@ def exists(spark: SparkSession, uri: str) -> bool:
 
 def names_in(spark: SparkSession, uri: str) -> list[str]:
     fs, path = _open(spark, uri)
-    return [status.getPath().getName() for status in fs.listStatus(path)] if fs.exists(path) else []
+    try:
+        return [status.getPath().getName() for status in fs.listStatus(path)] if fs.exists(path) else []
+    except Py4JJavaError:
+        if fs.exists(path):
+            raise
+        return []  # gone since
 
 
 def touch(spark: SparkSession, uri: str, millis: int) -> None:
@@ -181,13 +186,13 @@ def delete_if_empty(spark: SparkSession, uris: Iterable[str]) -> None:
     """Take these directories away as far as nothing is in them."""
     for uri in uris:
         fs, path = _open(spark, uri)
-        if not fs.exists(path):
-            continue
-        if fs.listStatusIterator(path).hasNext():
-            return
         try:
+            if not fs.exists(path):
+                continue
+            if fs.listStatusIterator(path).hasNext():
+                return
             fs.delete(path, False)
-        except Py4JJavaError:  # something came in meanwhile
+        except Py4JJavaError:  # something came in, or another call took it away, meanwhile
             return
 
 
