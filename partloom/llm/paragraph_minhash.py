@@ -12,7 +12,9 @@ hashes of all its words) stands before it: what stays is the occurrence with the
 Scale: equal windows meet in a partial aggregate. Blocks, a window with all passages that belong to
 it, are only sent for windows that may repeat, told by a bitmap of fixed size; where it fills up it lets
 more rows pass, and the joins after it decide. Equal blocks are told by one key; only where a window
-has several different blocks, the first of each are compared passage by passage. Buckets of a band with
+has several different blocks, the first of each are looked at. Their passages come in quarters by where the window
+stands in them, and what all passages of a quarter hold (42 words of 50) has a hash; only passages of quarters that
+another block has too are read from the texts again and compared one by one. Buckets of a band with
 equal members are verified once, large ones in pairs of blocks; a group gives a spanning star of its links.
 
 Defined results: words are split at ASCII white space and compared without ASCII case; a null text is
@@ -41,6 +43,8 @@ from partloom.llm.common import chunks, components, flat_words, give_back, merge
 WINDOW = 16
 #: Bits of the table that tells which paragraphs may repeat (8 MB).
 TABLE_BITS = 26
+#: Parts of a window's passages, by where the window stands in them.
+PARTS = 4
 #: Members of a bucket that are verified in one group, and rows of small buckets that make up a group.
 BLOCK, TOGETHER = 2048, 8192
 #: Members up to which a bucket is small.
@@ -130,9 +134,14 @@ class _Paragraphs:
 
     def passages(self, some: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Where the passages of ``some`` windows begin, one window after the other, and where each window's begin."""
-        count = self.most[some] - self.least[some] + 1
-        offset = np.concatenate([[0], np.cumsum(count)])
-        return np.arange(offset[-1]) - np.repeat(offset[:-1] - self.least[some], count), offset
+        return _between(self.least[some], self.most[some])
+
+
+def _between(first: np.ndarray, last: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """All numbers from each first to its last, and where each begin."""
+    count = last - first + 1
+    offset = np.concatenate([[0], np.cumsum(count)])
+    return np.arange(offset[-1]) - np.repeat(offset[:-1] - first, count), offset
 
 
 def _paragraphs(texts: pa.Array, o: Options) -> _Paragraphs:
@@ -259,6 +268,14 @@ def _may_be_in(table: np.ndarray, keys: np.ndarray) -> np.ndarray:
     return (table[(place >> np.uint64(6)).astype(np.int64)] >> (place & np.uint64(63))) & np.uint64(1) == 1
 
 
+def _in_table(table: np.ndarray):
+    @F.arrow_udf("boolean")
+    def run(keys: pa.Array) -> pa.Array:
+        return pa.array(_may_be_in(table, keys.to_numpy(zero_copy_only=False).view(np.uint64)))
+
+    return run
+
+
 _SECOND = "kind int, k1 long, k2 long, doc_id long, text_key long, start long, stop long, hashes binary"
 
 
@@ -286,14 +303,20 @@ def _of_themselves(p: _Paragraphs, words: int) -> tuple[np.ndarray, np.ndarray,
     return start[new], reached[last], wholly
 
 
-def _lists(values: np.ndarray, offset: np.ndarray) -> pa.Array:
-    """Binary values that hold the numbers between the offsets."""
-    return pa.Array.from_buffers(pa.binary(), len(offset) - 1, [None, pa.py_buffer((8 * offset).astype(np.int32)), pa.py_buffer(values)])
+def _quarters(p: _Paragraphs, o: Options) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Per window and part of its passages: a key of the words that all of them hold, zero where the window has none
+    of them, and the first and last place where those begin that it has."""
+    edge = -(-np.arange(PARTS + 1) * o.run // PARTS)
+    origin = (p.window - (o.min_words - WINDOW))[:, None]
+    low, high = origin + edge[:-1], origin + edge[1:] - 1
+    has = (p.least[:, None] <= high) & (p.most[:, None] >= low)
+    keys = _mixed(p.rolling.of(np.where(has, high, 0), np.where(has, low + o.min_words, 0)) + np.arange(PARTS, dtype=np.uint64) * _B)
+    return np.where(has, keys | np.uint64(1), np.uint64(0)), np.maximum(low, p.least[:, None]), np.minimum(high, p.most[:, None])
 
 
 def _again(docs: DataFrame, windows: np.ndarray, lines: np.ndarray, o: Options) -> DataFrame:
-    """The paragraphs that may repeat: as kind 0 the blocks of windows, with a key of all their words and a hash
-    of each passage; as kind 1 lines with their shingles; as kind 2 the word ranges in which documents repeat themselves."""
+    """The paragraphs that may repeat: as kind 0 the blocks of windows, with a key of all their words and the
+    keys of their quarters; as kind 1 lines with their shingles; as kind 2 the word ranges in which documents repeat themselves."""
     names = [c.split()[0] for c in _SECOND.split(", ")]
 
     def run(batches):
@@ -311,10 +334,9 @@ def _again(docs: DataFrame, windows: np.ndarray, lines: np.ndarray, o: Options)
             some = np.flatnonzero(chosen)
             start, stop = p.least[some], p.most[some] + o.min_words
             doc = p.doc_of(start)
-            at, offset = p.passages(some)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(np.zeros(len(some), np.int32)), _signed(p.window_keys[some]), _signed(p.rolling.of(start, stop)), pa.array(ids[doc]), pa.array(keys[doc]),
-                 pa.array(start - p.doc_start[doc]), pa.array(stop - p.doc_start[doc]), _lists(p.rolling.of(at, at + o.min_words), offset)],
+                 pa.array(start - p.doc_start[doc]), pa.array(stop - p.doc_start[doc]), _rows(_quarters(p, o)[0][some])],
                 names=names,
             )
             if not len(p.line):
@@ -332,6 +354,77 @@ def _again(docs: DataFrame, windows: np.ndarray, lines: np.ndarray, o: Options)
     return _named(docs).mapInArrow(run, _SECOND)
 
 
+def _place(*parts: np.ndarray) -> np.ndarray:
+    """A hash of the numbers that name a block and where it stands."""
+    out = np.zeros(len(parts[0]), np.uint64)
+    for part in parts:
+        out = _mixed((out ^ part.view(np.uint64)) * _A)
+    return out
+
+
+def _place_of(*columns: str):
+    """The same as a column."""
+
+    @F.arrow_udf("long")
+    def run(k1: pa.Array, k2: pa.Array, doc: pa.Array, key: pa.Array, start: pa.Array) -> pa.Array:
+        return _signed(_place(*(x.to_numpy(zero_copy_only=False) for x in (k1, k2, doc, key, start))))
+
+    return run(*columns)
+
+
+def _lists(values: np.ndarray, offset: np.ndarray) -> pa.Array:
+    """Binary values that hold the numbers between the offsets."""
+    return pa.Array.from_buffers(pa.binary(), len(offset) - 1, [None, pa.py_buffer((8 * offset).astype(np.int32)), pa.py_buffer(values)])
+
+
+def _rows(values: np.ndarray) -> pa.Array:
+    """Each row of a matrix as a binary value."""
+    return _lists(np.ascontiguousarray(values), np.arange(len(values) + 1) * values.shape[1])
+
+
+def _quarter_keys(blocks: DataFrame) -> DataFrame:
+    """The keys of the quarters that blocks have, as ``k1``."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keys = np.frombuffer(b"".join(batch.column("hashes").to_pylist()), np.uint64)
+            yield pa.RecordBatch.from_arrays([_signed(keys[keys != 0])], names=["k1"])
+
+    return blocks.select("hashes").mapInArrow(run, "k1 long")
+
+
+def _any_in_table(table: np.ndarray):
+    @F.arrow_udf("boolean")
+    def run(hashes: pa.Array) -> pa.Array:
+        keys = np.frombuffer(b"".join(hashes.to_pylist()), np.uint64).reshape(len(hashes), -1)
+        return pa.array((_may_be_in(table, keys) & (keys != 0)).any(axis=1))
+
+    return run
+
+
+def _with_passages(docs: DataFrame, rows: np.ndarray, places: np.ndarray, quarters: np.ndarray, o: Options) -> DataFrame:
+    """The ``quarters`` of the blocks that stand at ``places`` of some ``rows``, with a hash of each passage."""
+    names = ["k1", "doc_id", "text_key", "start", "hashes"]
+
+    def run(batches):
+        for p, ids, keys in _each_chunk(batches, o):
+            k2, doc = p.rolling.of(p.least, p.most + o.min_words), p.doc_of(p.least)
+            start = p.least - p.doc_start[doc]
+            chosen = _may_be_in(places, _place(p.window_keys, k2, ids[doc], keys[doc], start))
+            keyed, first, last = _quarters(p, o)
+            some, part = np.nonzero(chosen[:, None] & _may_be_in(quarters, keyed) & (keyed != 0))
+            doc, first = doc[some], first[some, part]
+            at, offset = _between(first, last[some, part])
+            yield pa.RecordBatch.from_arrays(
+                [_signed(p.window_keys[some]), pa.array(ids[doc]), pa.array(keys[doc]), pa.array(first - p.doc_start[doc]),
+                 _lists(p.rolling.of(at, at + o.min_words), offset)],
+                names=names,
+            )
+
+    some = _named(docs).where(_in_table(rows)(F.xxhash64("doc_id", "text_key")))
+    return some.mapInArrow(run, "k1 long, doc_id long, text_key long, start long, hashes binary")
+
+
 def similar_links(sets: list[np.ndarray], similarity: float) -> tuple[np.ndarray, np.ndarray]:
     """Index pairs that join the ``sets`` (each of distinct numbers) as all pairs with Jaccard similarity of at
     least ``similarity`` would. Every pair that could join two clusters is counted in full, over an inverted index.
@@ -441,14 +534,6 @@ def _buckets(lines: DataFrame, o: Options, folder: str) -> DataFrame:
     return members.join(once, "bucket")
 
 
-def _in_table(table: np.ndarray):
-    @F.arrow_udf("boolean")
-    def run(keys: pa.Array) -> pa.Array:
-        return pa.array(_may_be_in(table, keys.to_numpy(zero_copy_only=False).view(np.uint64)))
-
-    return run
-
-
 def _passages(blocks: DataFrame, some: np.ndarray | None = None) -> DataFrame:
     """``k1``, ``k2`` and place (``doc_id``, ``text_key``, ``start``) of the passages of blocks, or of ``some`` that may repeat."""
 
@@ -472,21 +557,29 @@ def _passages(blocks: DataFrame, some: np.ndarray | None = None) -> DataFrame:
     return blocks.select("k1", "doc_id", "text_key", "start", "hashes").mapInArrow(run, "k1 long, k2 long, doc_id long, text_key long, start long")
 
 
-def _window_spans(found: DataFrame, o: Options, folder: str) -> DataFrame:
+def _window_spans(docs: DataFrame, found: DataFrame, o: Options, folder: str) -> DataFrame:
     """Word ranges of the passages that repeat an earlier one of another document."""
     every = found.where("kind = 0")
     first = F.min(F.struct("doc_id", "text_key", "start")).alias("first")
     another = "doc_id <> first.doc_id OR text_key <> first.text_key"
     blocks = stored(every.groupBy("k1", "k2").agg(F.count("*").alias("n"), first), folder, "blocks")
     # Of equal blocks all but the first go as a whole.
-    whole = every.select("k1", "k2", "doc_id", "text_key", "start", "stop").join(blocks.where("n > 1").select("k1", "k2", "first"), ["k1", "k2"])
+    copied = blocks.where("n > 1").select("k1", "k2", "first")
+    may_be_copied = _in_table(_bitmap(copied.select(F.col("k2").alias("k1"))))
+    whole = every.where(may_be_copied("k2")).select("k1", "k2", "doc_id", "text_key", "start", "stop").join(copied, ["k1", "k2"])
     whole = whole.where(another).select("doc_id", "text_key", "start", "stop")
-    # The first ones of different blocks of a window may still share passages.
+    # The first ones of different blocks of a window may still share passages, if they share a quarter.
     several = _bitmap(blocks.groupBy("k1").agg(F.count("*").alias("n")).where("n > 1"))
-    place = lambda *columns: F.xxhash64("k1", "k2", *columns)
-    leading = _bitmap(blocks.where(_in_table(several)("k1")).select(place("first.doc_id", "first.text_key", "first.start").alias("k1")))
-    members = every.where(_in_table(leading)(place("doc_id", "text_key", "start")))
-    repeated = stored(_passages(members).groupBy("k1", "k2").agg(F.count("*").alias("n"), first).where("n > 1").select("k1", "k2", "first"), folder, "passages")
+    leading = _bitmap(blocks.where(_in_table(several)("k1")).select(_place_of("k1", "k2", "first.doc_id", "first.text_key", "first.start").alias("k1")))
+    place = _place_of("k1", "k2", "doc_id", "text_key", "start")
+    members = every.where(_in_table(leading)(place))
+    shared = _bitmap(_quarter_keys(members).groupBy("k1").agg(F.count("*").alias("n")).where("n > 1"))
+    likely = members.where(_any_in_table(shared)("hashes")).select(place.alias("place"), F.xxhash64("doc_id", "text_key").alias("row"))
+    likely = stored(likely, folder, "likely")
+    places, rows = (_bitmap(likely.select(F.col(name).alias("k1"))) for name in ("place", "row"))
+    members = stored(_with_passages(docs, rows, places, shared, o), folder, "members-of-windows")
+    repeated = _passages(members).groupBy("k1", "k2").agg(F.count("*").alias("n"), first).where("n > 1").select("k1", "k2", "first")
+    repeated = stored(repeated, folder, "passages")
     again = _passages(members, _bitmap(repeated.select(F.col("k2").alias("k1")))).join(repeated, ["k1", "k2"])
     single = again.where(another).select("doc_id", "text_key", "start", (F.col("start") + o.min_words).alias("stop"))
     return whole.union(single)
@@ -523,10 +616,12 @@ def repeated_spans(docs: DataFrame, options: Options | None = None, folder: str
     windows, lines = keyed.where("kind = 0"), keyed.where("kind = 1")
     buckets = stored(_buckets(lines, o, folder), folder, "buckets")
     wanted = buckets.select(F.col("id").alias("k1")).union(lines.where("n > 1").select("k1"))
-    found = stored(_again(docs, _bitmap(windows), _bitmap(wanted), o), folder, "again")
+    repeating = _bitmap(wanted)
+    found = stored(_again(docs, _bitmap(windows), repeating, o), folder, "again")
+    lines = lines.where(_in_table(repeating)("k1"))
     links = _line_links(buckets, lines, found, o)
     own = found.where("kind = 2").select("doc_id", "text_key", "start", "stop")
-    spans = _window_spans(found, o, folder).union(_line_spans(found, lines, links, folder)).union(own)
+    spans = _window_spans(docs, found, o, folder).union(_line_spans(found, lines, links, folder)).union(own)
     least = o.min_words
 
     def merge(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

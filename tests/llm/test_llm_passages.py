@@ -92,3 +92,25 @@ def test_borders_are_told_by_whole_words(spark):
         rows += [(2 * n, [*fresh(rng, 90), a, *passage, c, *fresh(rng, 90)]), (2 * n + 1, [*fresh(rng, 90), b, *passage, d, *fresh(rng, 90)])]
     kept = cut(spark, rows)
     assert kept == cut_by_brute(rows) and {len(kept[2 * n + 1]) for n in range(20)} == {182, 231}
+
+
+def test_shared_passages_at_every_place_of_a_window(spark):
+    rng = random.Random(16)
+    rows = []
+    for n in range(35):  # one phrase, and 49 to 51 equal words around it that begin at every place before it
+        phrase, around = fresh(rng, 16), fresh(rng, 35)
+        passage = (around[:n] + phrase + around[n:])[: 49 + n % 3]
+        rows += [(10 * n + k, fresh(rng, 40) + passage + fresh(rng, 40)) for k in range(2)]
+        rows += [(10 * n + k, fresh(rng, 60) + phrase + fresh(rng, 60)) for k in range(2, 5)]
+    assert cut(spark, rows) == cut_by_brute(rows)
+
+
+def test_passages_around_a_frequent_phrase_are_not_written(spark, tmp_path):
+    rng = random.Random(17)
+    phrase = fresh(rng, 40)
+    rows = [(n, " ".join(fresh(rng, 60) + phrase + fresh(rng, 60))) for n in range(300)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    assert not paragraph_minhash.repeated_spans(frame, folder=f"file:{tmp_path}/").collect()
+    # About 30 passages around each phrase hold words that no other text has.
+    assert spark.read.parquet(f"file:{tmp_path}/again").where("kind = 0 AND length(hashes) > 80").count() == 0
+    assert paragraph_minhash._passages(spark.read.parquet(f"file:{tmp_path}/members-of-windows")).count() == 0
