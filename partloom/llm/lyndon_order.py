@@ -45,7 +45,7 @@ def _groups(symbols: np.ndarray, places: np.ndarray, sizes: np.ndarray):
     """Phase one: slots ordered by group, each suffix's group (its first slot), and per group prefix length and size."""
     n = len(symbols)
     by = np.repeat(np.arange(len(sizes)), sizes) * (int(symbols.max(initial=0)) + 1) + symbols
-    order = np.argsort(by, kind="stable")
+    order = np.argsort(by)
     starts = np.flatnonzero(_heads(by[order]))
     counts = np.diff(starts, append=n)
     group, slot, size, length = (np.zeros(n, np.int64) for _ in range(4))
@@ -89,7 +89,7 @@ def _groups(symbols: np.ndarray, places: np.ndarray, sizes: np.ndarray):
         to, own = to[held], own[held]
         if len(to):
             if not single:
-                by = np.argsort(to, kind="stable")
+                by = np.argsort(to)
                 to, own = to[by], own[by]
             heads = np.flatnonzero(_heads(to))
             times = np.diff(heads, append=len(to))
@@ -104,7 +104,8 @@ def _groups(symbols: np.ndarray, places: np.ndarray, sizes: np.ndarray):
 def _move(place, times, longer, order, slot, group, size, length, moving) -> None:
     """Take places out of their groups into new ones right above, the more often followed ones higher."""
     home = group[place]
-    by = np.lexsort((times, home))
+    # No place counts as often as there are places; the order of equal ones does not matter.
+    by = np.argsort(home * len(order) + times)
     place, times, longer, home = place[by], times[by], longer[by], home[by]
     heads = _heads(home)
     first = np.flatnonzero(heads)
@@ -168,7 +169,9 @@ def _emitted(order, group, length, size, places, sizes) -> np.ndarray:
             same = same[to[same] < end[same]]
             same = same[group[to[same]] == own[same]]
         behind = np.where(to < end, rank[np.minimum(to, n)], -1)
-        sorted_at = at[np.lexsort((behind, hops, own))]
+        # Ranks behind are below n.
+        by = np.argsort(own * (n + 1) + behind + 1) if not hops.any() else np.lexsort((behind, hops, own))
+        sorted_at = at[by]
         order[slots] = sorted_at
         rank[sorted_at] = slots
     return order

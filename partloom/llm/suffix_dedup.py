@@ -266,12 +266,11 @@ def repeats_in(shards: list[list[tuple[bytes, int, int]]], width: int) -> list[n
     windows = np.repeat(starts[:-1], count) + np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
     weight[windows] = np.repeat(np.array([t for _, _, t in flat]), count)
     order = order[weight[order] > 0]
-    equal = np.searchsorted(places, order[1:], side="right") == np.searchsorted(places, order[:-1], side="right")
-    equal = np.flatnonzero(equal)
-    eights = np.lib.stride_tricks.sliding_window_view(raw, 8)
+    shard = np.repeat(np.arange(len(shards)), lengths)[order]
+    equal = np.flatnonzero(shard[1:] == shard[:-1])
+    eights = np.ndarray(len(raw) - 7, np.uint64, raw, strides=1).copy()
     for step in [*range(0, width - 7, 8), *([width - 8] if width % 8 else [])]:
-        left, right = eights[order[equal] + step], eights[order[equal + 1] + step]
-        equal = equal[(left.view(np.uint64) == right.view(np.uint64)).ravel()]
+        equal = equal[eights[order[equal] + step] == eights[order[equal + 1] + step]]
     heads = np.ones(len(order), bool)
     heads[equal + 1] = False
     first = np.flatnonzero(heads)
@@ -286,25 +285,32 @@ def _stretches(flags: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return edges[::2], edges[1::2]
 
 
+def answers(held: list[tuple[int, list[int], list]], width: int) -> Iterator[pa.RecordBatch]:
+    """Ranges of repeats in shards, given as key, contents and classes (bytes, windows, times).
+
+    Windows of one class name one place, so no two of them are equal: a class without others is a repeat as a
+    whole or not at all, and there is nothing to order it among.
+    """
+    alone = [(key, named[0], 0, cut[0][1]) for key, named, cut in held if len(named) == 1 and cut[0][2] > 1]
+    held = sorted((shard for shard in held if len(shard[1]) > 1), key=lambda shard: sum(len(one[0]) for one in shard[2]))
+    while held or alone:
+        rows, alone = alone, []
+        size, some = 0, []
+        while held and (not some or size + sum(len(one[0]) for one in held[-1][2]) <= _ORDERED):
+            some.append(held.pop())
+            size += sum(len(one[0]) for one in some[-1][2])
+        flags = iter(repeats_in([shard for _, _, shard in some], width) if some else [])
+        for key, named, _ in some:
+            for content in named:
+                low, high = _stretches(next(flags))
+                rows += [(key, content, a, b) for a, b in zip(low.tolist(), high.tolist(), strict=True)]
+        columns = list(zip(*rows, strict=True)) if rows else [[], [], [], []]
+        yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=["key", "content", "low", "high"])
+
+
 def by_suffixes(cut: DataFrame, width: int) -> DataFrame:
     """``key``, ``content`` and ranges ``low`` to ``high`` of windows that are repeats, from the shards' suffix orders."""
 
-    def answers(held: list[tuple[tuple, list, list]]) -> Iterator[pa.RecordBatch]:
-        held.sort(key=lambda shard: sum(len(one[0]) for one in shard[2]))
-        while held:
-            size, some = 0, []
-            while held and (not some or size + sum(len(one[0]) for one in held[-1][2]) <= _ORDERED):
-                some.append(held.pop())
-                size += sum(len(one[0]) for one in some[-1][2])
-            flags = iter(repeats_in([shard for _, _, shard in some], width))
-            rows = []
-            for key, named, _ in some:
-                for content in named:
-                    low, high = _stretches(next(flags))
-                    rows += [(key, content, a, b) for a, b in zip(low.tolist(), high.tolist(), strict=True)]
-            columns = list(zip(*rows, strict=True)) if rows else [[], [], [], []]
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=["key", "content", "low", "high"])
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple[int, list[int], list]] = []
         size = 0
@@ -316,14 +322,14 @@ def by_suffixes(cut: DataFrame, width: int) -> DataFrame:
                         continue
                 else:
                     if size > 2 * _ORDERED:
-                        yield from answers(held)
+                        yield from answers(held, width)
                         held, size = [], 0
                     held.append((key, [], []))
                 held[-1][1].append(content)
                 held[-1][2].append((text, n, times))
                 size += len(text)
         if held:
-            yield from answers(held)
+            yield from answers(held, width)
 
     tasks = int(cut.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     dealt = cut.repartition(tasks, "key").sortWithinPartitions("key", "content")

@@ -113,3 +113,25 @@ def test_empty_table_and_options(spark):
 def test_ids_may_be_strings(spark):
     docs = spark.createDataFrame([("a", "q" * 300), ("b", "q" * 250), ("c", "other")], "doc_id string, text string")
     assert result(suffix_dedup.remove_repeats(docs)) == brute([("a", "q" * 300), ("b", "q" * 250), ("c", "other")], 200)
+
+
+def test_lone_classes_are_not_ordered(monkeypatch):
+    ordered = []
+    repeats_in = suffix_dedup.repeats_in
+    monkeypatch.setattr(suffix_dedup, "repeats_in", lambda shards, width: ordered.extend(shards) or repeats_in(shards, width))
+    text = bytes(range(30))
+    held = [(1, [10], [(text, 21, 2)]), (2, [20], [(text, 21, 1)]), (3, [30, 31], [(text, 21, 1), (text[5:], 16, 1)])]
+    rows = [tuple(row.values()) for batch in suffix_dedup.answers(held, 10) for row in batch.to_pylist()]
+    assert sorted(rows) == [(1, 10, 0, 21), (3, 30, 5, 21), (3, 31, 0, 16)]
+    assert ordered == [held[2][2]]
+    assert not list(suffix_dedup.answers(held[1:2], 10))
+
+
+def test_windows_of_an_occurrence_differ():
+    pick = random.Random(8)
+    for _ in range(200):  # periodic bytes, of which a text has the same windows at many places
+        parts = [bytes(pick.choices(b"ab", k=pick.randint(1, 9))) * pick.randint(1, 30) for _ in range(5)]
+        data = np.frombuffer(b"".join(parts), np.uint8)
+        for at, n in zip(*suffix_dedup.occurrences(data, np.array([0, len(data)]), 20, 9)[1:3]):
+            windows = [data[i: i + 20].tobytes() for i in range(at, at + n)]
+            assert len(set(windows)) == n
